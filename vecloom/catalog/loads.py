@@ -321,6 +321,25 @@ def upsert_by_key(spark, folder):
     return table.read_label("User").select("user_id", "event_id", "event_type", "value")
 
 
+@register(
+    "upsert_partial_rows",
+    """WITH last AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC)
+        AS nth FROM events) WHERE nth = 1),
+    bought AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC)
+        AS nth FROM events WHERE event_type = 'purchase') WHERE nth = 1)
+    SELECT l.user_id, l.event_type, CASE WHEN b.user_id IS NOT NULL THEN b.event_id ELSE l.event_id END AS event_id,
+    CASE WHEN b.user_id IS NOT NULL THEN b.value ELSE l.value END AS value FROM last l LEFT JOIN bought b USING (user_id)""",
+)
+def upsert_partial_rows(spark, folder):
+    """A later run that gives some columns only: the others keep their values."""
+    table = new_table(spark, EVENT, "user_id", order_by=["ts", "event_id"], partial_rows=True)
+    events = load_table(spark, folder, "events").withColumn("label", F.lit("User"))
+    table.write_batch(events, table.open_run("events"), 0)
+    purchases = events.filter(F.col("event_type") == "purchase").drop("event_type")
+    table.write_batch(purchases, table.open_run("purchases"), 0)
+    return table.read_label("User").select("user_id", "event_id", "event_type", "value")
+
+
 @register(
     "read_label",
     f"""SELECT user_id, event_id, ts, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id

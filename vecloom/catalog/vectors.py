@@ -341,7 +341,7 @@ def vector_search_many_grid(spark, folder):
 
 
 APPROX = """WITH plane AS (SELECT j, i, CASE WHEN substr(md5(j || '-' || i), 1, 1) < '8' THEN 1 ELSE -1 END AS h
-        FROM range(8) a(j), range(64) b(i)),
+        FROM range(6) a(j), range(64) b(i)),
     side AS (SELECT vec_id, j, sum(h * (embedding[i + 1])::DOUBLE) > 0 AS up
         FROM embeddings, plane GROUP BY ALL),
     placed AS (SELECT vec_id, sum(CASE WHEN up THEN 1 << j ELSE 0 END)::BIGINT AS cell FROM side GROUP BY vec_id),
@@ -363,16 +363,27 @@ def label_questions(stored: DataFrame) -> DataFrame:
     )
 
 
-@register("vector_search_approx", APPROX)
-def vector_search_approx(spark, folder):
+def _approx(spark, folder, **sizes) -> DataFrame:
     stored = load_table(spark, folder, "embeddings")
     path = work_path(spark, "index")
-    ann.write_index(stored, path, DIMS, key="vec_id")
+    ann.write_index(stored, path, DIMS, bits=6)
+    index = spark.read.parquet(path)
     return ann.vector_search_approx(
-        spark.read.parquet(path), label_questions(stored), DIMS, 5, key="vec_id", query_key="query_label"
+        index, label_questions(stored), DIMS, 5, key="vec_id", query_key="query_label", bits=6, **sizes
     )
 
 
+@register("vector_search_approx", APPROX)
+def vector_search_approx(spark, folder):
+    return _approx(spark, folder)
+
+
+@register("vector_search_approx_join", APPROX)
+def vector_search_approx_join(spark, folder):
+    """The same search with the query size set so low that queries are joined to their cells."""
+    return _approx(spark, folder, query_bytes=8 * DIMS * 3)
+
+
 @register(
     "search_guard",
     """SELECT count(*) AS records, true AS wrong_length_refused, 0::BIGINT AS found_without_records FROM embeddings""",

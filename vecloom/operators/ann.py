@@ -37,29 +37,23 @@ def write_index(
     records: DataFrame,
     path: str,
     dimensions: int,
-    *,
-    key: str,
     vector: str = "embedding",
     bits: int = CELL_BITS,
-    salts: int = 16,
 ) -> None:
-    """Write the records by cell; salted, so that a hot cell is written by many tasks."""
-    salt = F.pmod(F.xxhash64(key, F.spark_partition_id()), F.lit(salts))
+    """Write the records by cell.
+
+    The rebalance hint brings a cell's rows together for few and large files, and lets
+    Spark split a hot cell among several tasks.
+    """
     (
         with_cells(records, dimensions, vector, bits)
-        .withColumn("_salt", salt)
-        .repartition("cell", "_salt")
-        .drop("_salt")
+        .hint("rebalance", "cell")
         .write.mode("overwrite")
         .partitionBy("cell")
         .parquet(path)
     )
 
 
-def read_index(spark, path: str, schema) -> DataFrame:
-    return spark.read.schema(schema).parquet(path)
-
-
 def near_cells(cells: Sequence[int], bits: int, radius: int) -> list[int]:
     """All cells that differ from one of `cells` in at most `radius` bits."""
     every = np.arange(1 << bits, dtype=np.int64)
@@ -80,27 +74,39 @@ def vector_search_approx(
     bits: int = CELL_BITS,
     radius: int = 2,
     metric: str = "cosine",
+    query_bytes: int = search.QUERY_BYTES,
 ) -> DataFrame:
     """k near records of each query among the cells at most `radius` bits away.
 
-    Every candidate is rescored exactly. Only the near cells are read: the cell is a
-    partition column of the index. Queries must fit in QUERY_BYTES.
+    Every candidate is rescored exactly. The cell is a partition column of the index, so
+    a few queries read only the cells near them; queries beyond `query_bytes` are sent to
+    their near cells by a join.
     """
     if metric not in METRICS:
         raise ValueError(f"unknown metric {metric!r}; choose one of {list(METRICS)}")
-    most = max(1, search.QUERY_BYTES // (8 * dimensions))
-    head = queries.select(query_key, F.col(query_vector).alias("_vector")).limit(most + 1).collect()
-    if len(head) > most:
-        raise ValueError(f"more than {most} queries at once; search them in several calls")
+    wanted = queries.select(query_key, F.col(query_vector).alias("_vector"))
+    most = max(1, query_bytes // (8 * dimensions))
+    head = wanted.limit(most + 1).collect()
     usable = [row for row in head if row["_vector"] is not None]
     for row in usable:
         search.guard_dimensions(dimensions, len(row["_vector"]))
-    matrix = np.array([row["_vector"] for row in usable], dtype=np.float64).reshape(-1, dimensions)
-    query_cells = kernels.sign_cells(matrix, kernels.hyperplanes(bits, dimensions))
-    near = index.filter(F.col("cell").isin(near_cells(query_cells, bits, radius)))
-    found = search._scan(near, matrix, dimensions, k, key, [], vector, metric, query_cells, "cell", radius)
-    named = search._name_queries(found, [r[query_key] for r in usable], queries.schema[query_key])
-    return search._rank(named, query_key, key, k, metric).select(query_key, key, "score", "rank")
+    if len(head) > most:
+        placed = with_cells(wanted, dimensions, "_vector", bits)
+        flips = F.array(*[F.lit(c).cast("bigint") for c in near_cells([0], bits, radius)])
+        near = F.explode(F.transform(flips, lambda f: F.col("cell").bitwiseXOR(f)))
+        spread = placed.select(query_key, "_vector", near.alias("cell"))
+        found = search._grid(
+            index.withColumn("cell", F.col("cell").cast("bigint")),
+            spread,
+            dimensions, k, key, query_key, [], vector, metric, most, search.CELL_ROWS,
+        )
+    else:
+        matrix = np.array([row["_vector"] for row in usable], dtype=np.float64).reshape(-1, dimensions)
+        cells = kernels.sign_cells(matrix, kernels.hyperplanes(bits, dimensions))
+        near = index.filter(F.col("cell").isin(near_cells(cells, bits, radius)))
+        scanned = search._scan(near, matrix, dimensions, k, key, [], vector, metric, cells, "cell", radius)
+        found = search._name_queries(scanned, [row[query_key] for row in usable], queries.schema[query_key])
+    return search._rank(found, query_key, key, k, metric).select(query_key, key, "score", "rank")
 
 
 def recall(approximate: DataFrame, exact: DataFrame, query_key: str, key: str) -> DataFrame:

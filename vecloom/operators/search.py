@@ -162,7 +162,12 @@ def vector_search_many(
         if row["_vector"] is not None:
             guard_dimensions(dimensions, len(row["_vector"]))
     if len(head) > most:
-        found = _grid(records, wanted, dimensions, k, key, query_key, list(columns), vector, metric, most, cell_rows)
+        one_cell = F.lit(0).cast("bigint").alias("cell")
+        found = _grid(
+            records.select("*", one_cell),
+            wanted.select("*", one_cell),
+            dimensions, k, key, query_key, list(columns), vector, metric, most, cell_rows,
+        )
     else:
         usable = [row for row in head if row["_vector"] is not None]
         matrix = np.array([row["_vector"] for row in usable], dtype=np.float64).reshape(-1, dimensions)
@@ -195,28 +200,32 @@ def _grid(
     query_rows: int,
     cell_rows: int,
 ) -> DataFrame:
-    """Exact search for a query table of any size.
+    """Search for a query table of any size; both tables have a `cell` that must agree.
 
-    Records fall into R blocks and queries into Q blocks; every (record block, query
-    block) cell is one task that returns k candidates per query. Both block counts grow
-    with the tables, so a cell holds about `cell_rows` records and `query_rows` queries.
+    The records of a cell fall into R blocks and its queries into Q blocks; each pair of
+    blocks is one group, which returns k candidates per query. The block counts follow
+    the row counts, so a group holds about `cell_rows` records and `query_rows` queries.
     Blocks come from a hash of the row and its input partition, so copies are spread.
     """
     kept = list(dict.fromkeys([key, *columns]))
-    left = valid_embeddings(records, dimensions, vector).select(*kept, vector)
-    right = valid_embeddings(queries, dimensions, "_vector")
-    sizes = left.agg(F.count(F.lit(1)).alias("n")).first()["n"], right.agg(F.count(F.lit(1)).alias("n")).first()["n"]
-    r_blocks = max(1, -(-sizes[0] // cell_rows))
-    q_blocks = max(1, -(-sizes[1] // max(1, query_rows)))
+    blocks = _blocks(records, "_records", cell_rows).join(_blocks(queries, "_queries", max(1, query_rows)), "cell")
+    left = valid_embeddings(records, dimensions, vector).select(*kept, vector, "cell")
+    right = valid_embeddings(queries, dimensions, "_vector").select(query_key, "_vector", "cell")
+
+    def block(name: str, source: str, count: str):
+        return F.pmod(F.xxhash64(name, source, F.spark_partition_id()), F.col(count))
 
-    def block(name: str, source: str, count: int):
-        return F.pmod(F.xxhash64(name, source, F.spark_partition_id()), F.lit(count)).cast("int")
+    def every(count: str):
+        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(count) - 1))
 
-    def every(count: int):
-        return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+    def place(side: DataFrame, own: str, name: str, source: str, mine: str, other: str, theirs: str) -> DataFrame:
+        # One row per cell: as many as the index has cells, whatever the data.
+        sizes = F.broadcast(blocks.select("cell", F.col(own).alias("_own"), F.col(other).alias("_other")))
+        placed = side.join(sizes, "cell").withColumn(mine, block(name, source, "_own"))
+        return placed.withColumn(theirs, every("_other")).drop("_own", "_other")
 
-    left = left.withColumn("_r", block(key, vector, r_blocks)).withColumn("_q", every(q_blocks))
-    right = right.withColumn("_q", block(query_key, "_vector", q_blocks)).withColumn("_r", every(r_blocks))
+    left = place(left, "_records", key, vector, "_r", "_queries", "_q")
+    right = place(right, "_queries", query_key, "_vector", "_q", "_records", "_r")
 
     schema = T.StructType(
         [
@@ -239,5 +248,10 @@ def _grid(
         names = some_queries[query_key].combine_chunks().take(best["_query"].combine_chunks())
         return best.append_column(query_key, names).select(arrow.names).cast(arrow)
 
-    grouped = left.groupBy("_r", "_q").cogroup(right.groupBy("_r", "_q"))
+    grouped = left.groupBy("cell", "_r", "_q").cogroup(right.groupBy("cell", "_r", "_q"))
     return grouped.applyInArrow(cell, schema)
+
+
+def _blocks(df: DataFrame, name: str, rows: int) -> DataFrame:
+    """How many blocks of `rows` rows each cell needs."""
+    return df.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / rows).alias(name))

@@ -33,7 +33,8 @@ class LoadConfig:
 
     `max_rows` <= 0 means no limit. A limit drops what it cuts off: a later resume does
     not see those rows again. `write_partitions` caps the number of concurrent writers;
-    without it every task of the scan writes its own rows.
+    without it every task of the scan writes its own rows. `embed_partitions` spreads the
+    rows over so many tasks before a costly model, for sources with few splits.
     """
 
     label: str
@@ -43,6 +44,7 @@ class LoadConfig:
     source_schema: StructType | None = None
     batch_size: int = 5000
     write_partitions: int | None = None
+    embed_partitions: int | None = None
     checkpoint: str | None = None
     max_files_per_trigger: int = 1
     max_rows: int = -1
@@ -72,7 +74,7 @@ def open_run(
 ) -> LoadRun:
     run_seq = table.open_run(config.checkpoint or table.root, fresh)
     ledger = BatchLedger(spark, table.root)
-    return LoadRun(config, provider, table, run_seq, ledger, ledger.written(run_seq))
+    return LoadRun(config, provider, table, run_seq, ledger, {} if fresh else ledger.written(run_seq))
 
 
 def prepare(df: DataFrame, config: LoadConfig, provider: EmbeddingProvider, selector: Selector | None) -> DataFrame:
@@ -124,6 +126,8 @@ def _write(batch: DataFrame, batch_id: int, run: LoadRun) -> tuple[int, int]:
     """One write action; the counts come out of it, so nothing is embedded twice."""
     config, provider = run.config, run.provider
     vector = provider.config.output_column
+    if config.embed_partitions:
+        batch = batch.repartition(config.embed_partitions)
     embedded = provider.add_embeddings(batch)
     embedded = embedded.withColumn(vector, as_float_vector(F.col(vector)))
     if config.write_partitions:

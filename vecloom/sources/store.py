@@ -10,11 +10,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-RUNS_SCHEMA = "run_seq bigint, checkpoint string"
+RUNS_SCHEMA = T.StructType([T.StructField("run_seq", T.LongType()), T.StructField("checkpoint", T.StringType())])
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
@@ -26,6 +26,12 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str) ->
         return spark.createDataFrame([], schema)
 
 
+def one_row(spark: SparkSession, values: dict, schema: T.StructType) -> DataFrame:
+    """A single row as a frame of one partition, for the small books a table keeps."""
+    columns = [F.lit(values[f.name]).cast(f.dataType).alias(f.name) for f in schema if f.name in values]
+    return spark.range(0, 1, 1, 1).select(*columns)
+
+
 def append_rows(df: DataFrame, path: str, label: str = "label") -> None:
     """Always add the rows; the same key may then occur many times."""
     df.write.mode("append").partitionBy(label).parquet(path)
@@ -46,16 +52,19 @@ class VectorTable:
         key: str,
         order_by: Sequence[str] = (),
         max_records_per_file: int = 1_000_000,
+        partial_rows: bool = False,
     ):
         self.spark = spark
         self.root = root
         self.key = key
         self.order_by = list(order_by)
         self.max_records_per_file = max_records_per_file
+        self.partial_rows = partial_rows
         self.schema = T.StructType([f for f in schema if f.name != "label"])
         self.stored = T.StructType(
             [T.StructField(f.name, f.dataType) for f in self.schema]
             + [
+                *([T.StructField("given", T.ArrayType(T.StringType()))] if partial_rows else []),
                 T.StructField("deleted", T.BooleanType()),
                 T.StructField("run_seq", T.LongType()),
                 T.StructField("batch_id", T.LongType()),
@@ -80,7 +89,8 @@ class VectorTable:
         if not fresh and row["mine"] is not None:
             return row["mine"]
         run_seq = (row["last"] or 0) + 1
-        self.spark.createDataFrame([(run_seq, checkpoint)], RUNS_SCHEMA).write.mode("append").parquet(path)
+        values = {"run_seq": run_seq, "checkpoint": checkpoint}
+        one_row(self.spark, values, RUNS_SCHEMA).write.mode("append").parquet(path)
         return run_seq
 
     def write_batch(self, df: DataFrame, run_seq: int, batch_id: int) -> None:
@@ -90,7 +100,15 @@ class VectorTable:
         """
         if "deleted" not in df.columns:
             df = df.withColumn("deleted", F.lit(False))
-        columns = [F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in self.schema]
+        given = self.schema.names
+        if self.partial_rows:
+            given = [name for name in given if name in df.columns]
+        columns = [
+            (F.col(f"`{f.name}`") if f.name in given else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in self.schema
+        ]
+        if self.partial_rows:
+            columns.append(F.array(*[F.lit(name) for name in given]).alias("given"))
         (
             df.select(*columns, "deleted", F.col("label").cast("string").alias("label"))
             .write.mode("overwrite")
@@ -110,16 +128,48 @@ class VectorTable:
         Spark keeps one row per key in every task before it shuffles (WindowGroupLimit),
         so a key with very many versions costs no more than any other.
         """
-        last = self.order_by or [F.xxhash64(*[F.col(f"`{c}`") for c in self.schema.names])]
-        version = [F.desc("run_seq"), F.desc("batch_id"), *[F.desc(c) if isinstance(c, str) else c.desc() for c in last]]
-        latest = Window.partitionBy("label", self.key).orderBy(*version)
+        rows = self.history(label)
+        last = [F.col(c) for c in self.order_by] or [F.xxhash64(*[F.col(f"`{c}`") for c in self.schema.names])]
+        version = [F.col("run_seq"), F.col("batch_id"), *last]
+        if self.partial_rows:
+            return self._merged(rows, F.struct(*version))
+        latest = Window.partitionBy("label", self.key).orderBy(*[v.desc() for v in version])
         return (
-            self.history(label)
-            .withColumn("_nth", F.row_number().over(latest))
+            rows.withColumn("_nth", F.row_number().over(latest))
             .filter((F.col("_nth") == 1) & ~F.col("deleted"))
             .drop("_nth", "deleted")
         )
 
+    def _merged(self, rows: DataFrame, version: Column) -> DataFrame:
+        """Each column from the latest row that gave it, unless the key was deleted since."""
+        others = [name for name in self.schema.names if name != self.key]
+        alive = ~F.col("deleted")
+
+        def latest(name: str) -> Column:
+            given = alive & F.array_contains("given", name)
+            return F.max(F.when(given, F.struct(version.alias("at"), F.col(f"`{name}`").alias("value")))).alias(name)
+
+        found = rows.groupBy("label", self.key).agg(
+            F.max(F.when(F.col("deleted"), version)).alias("_deleted"),
+            F.max(F.when(alive, version)).alias("_version"),
+            *[latest(name) for name in others],
+        )
+
+        def since_deletion(at: Column) -> Column:
+            return F.col("_deleted").isNull() | (at > F.col("_deleted"))
+
+        def kept(name: str) -> Column:
+            if name == self.key:
+                return F.col(name)
+            return F.when(since_deletion(F.col(name)["at"]), F.col(name)["value"]).alias(name)
+
+        return found.filter(since_deletion(F.col("_version"))).select(
+            *[kept(name) for name in self.schema.names],
+            F.col("_version.run_seq").alias("run_seq"),
+            F.col("_version.batch_id").alias("batch_id"),
+            "label",
+        )
+
     def read_label(self, label: str) -> DataFrame:
         return self.current(label).select(*self.schema.names, "label")
 
@@ -139,6 +189,8 @@ class VectorTable:
 
     def compact(self, root: str) -> "VectorTable":
         """Write the current state as a new table of one batch, run 0."""
-        target = VectorTable(self.spark, root, self.schema, self.key, self.order_by, self.max_records_per_file)
+        target = VectorTable(
+            self.spark, root, self.schema, self.key, self.order_by, self.max_records_per_file, self.partial_rows
+        )
         target.write_batch(self.current(), 0, 0)
         return target

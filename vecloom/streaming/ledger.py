@@ -6,12 +6,24 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-from vecloom.sources.store import read_or_empty
-
-LEDGER_SCHEMA = (
-    "run_seq bigint, batch_id bigint, status string, rows_read bigint, rows_skipped bigint, "
-    "rows_invalid bigint, rows_written bigint, chunks bigint, started timestamp, seconds double, error string"
+from pyspark.sql import types as T
+
+from vecloom.sources.store import one_row, read_or_empty
+
+LEDGER_SCHEMA = T.StructType(
+    [
+        T.StructField("run_seq", T.LongType()),
+        T.StructField("batch_id", T.LongType()),
+        T.StructField("status", T.StringType()),
+        T.StructField("rows_read", T.LongType()),
+        T.StructField("rows_skipped", T.LongType()),
+        T.StructField("rows_invalid", T.LongType()),
+        T.StructField("rows_written", T.LongType()),
+        T.StructField("chunks", T.LongType()),
+        T.StructField("started", T.TimestampType()),
+        T.StructField("seconds", T.DoubleType()),
+        T.StructField("error", T.StringType()),
+    ]
 )
 
 WRITTEN, NO_VALID, EMPTY, SKIPPED, FAILED = "written", "no_valid", "empty", "skipped", "failed"
@@ -40,12 +52,19 @@ class BatchLedger:
         chunks: int = 0,
         error: str | None = None,
     ) -> None:
-        row = (
-            run_seq, batch_id, status, rows_read, rows_skipped, rows_invalid, rows_written,
-            chunks, started, seconds, error,
-        )
-        frame = self.spark.createDataFrame([row], LEDGER_SCHEMA).drop("run_seq", "batch_id").coalesce(1)
-        frame.write.mode("overwrite").parquet(f"{self.path}/run_seq={run_seq}/batch_id={batch_id}")
+        values = {
+            "status": status,
+            "rows_read": rows_read,
+            "rows_skipped": rows_skipped,
+            "rows_invalid": rows_invalid,
+            "rows_written": rows_written,
+            "chunks": chunks,
+            "started": started,
+            "seconds": seconds,
+            "error": error,
+        }
+        row = one_row(self.spark, values, LEDGER_SCHEMA)
+        row.write.mode("overwrite").parquet(f"{self.path}/run_seq={run_seq}/batch_id={batch_id}")
 
     def rows(self, run_seq: int | None = None) -> DataFrame:
         found = read_or_empty(self.spark, self.path, LEDGER_SCHEMA)
