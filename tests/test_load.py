@@ -258,6 +258,17 @@ def test_compact(spark):
     assert small.history().count() == 2 and texts(small) == texts(table)
     small.write_batch(rows(spark, (1, "z")), small.open_run("later"), 0)
     assert texts(small) == {1: "z", 2: "B"}
+    assert small.delete_label("L", 5) == 2 and texts(small) == {}
+    small.write_batch(rows(spark, (2, "y"), (7, "new")), 6, 0)
+    assert texts(small) == {2: "y", 7: "new"}
+
+
+def test_compacted_table_with_null_keys(spark):
+    table = new_table(spark)
+    table.write_batch(rows(spark, (None, "a"), (2, "b")), 1, 0)
+    small = table.compact(work_path(spark, "compacted"))
+    small.write_batch(rows(spark, (None, "c")), 1, 0)
+    assert texts(small) == {None: "c", 2: "b"} and small.current().count() == 2
 
 
 def test_reading_prunes_folders_and_keys_early(spark):

@@ -114,6 +114,16 @@ def test_grid_equals_scan(spark, metric):
     assert scan.count() == 100
 
 
+def test_no_cross_joins(spark, sf_dir):
+    from conftest import plan_of
+    from vecloom.catalog import vectors  # noqa: F401
+    from vecloom.catalog.registry import QUERIES
+
+    for name in ("vector_search", "vector_search_many", "vector_search_many_grid", "vector_search_approx_join"):
+        plan = plan_of(QUERIES[name](spark, sf_dir))
+        assert "NestedLoop" not in plan and "Cartesian" not in plan, name
+
+
 def test_grid_with_a_third_of_the_rows_alike(spark):
     copies = spark.range(400).select((F.col("id") + 1000).alias("id"), F.array(*[F.lit(1.0)] * 8).cast("array<float>").alias("embedding"))
     records = some_vectors(spark, 800, 3, "id").union(copies).repartition(6)

@@ -95,11 +95,9 @@ def vector_search_approx(
         flips = F.array(*[F.lit(c).cast("bigint") for c in near_cells([0], bits, radius)])
         near = F.explode(F.transform(flips, lambda f: F.col("cell").bitwiseXOR(f)))
         spread = placed.select(query_key, "_vector", near.alias("cell"))
-        found = search._grid(
-            index.withColumn("cell", F.col("cell").cast("bigint")),
-            spread,
-            dimensions, k, key, query_key, [], vector, metric, most, search.CELL_ROWS,
-        )
+        cells_of = index.withColumn("cell", F.col("cell").cast("bigint"))
+        left, right = search._cell_grid(cells_of, spread, most, search.CELL_ROWS)
+        found = search._grid(left, right, dimensions, k, key, query_key, [], vector, metric, ["cell"])
     else:
         matrix = np.array([row["_vector"] for row in usable], dtype=np.float64).reshape(-1, dimensions)
         cells = kernels.sign_cells(matrix, kernels.hyperplanes(bits, dimensions))

@@ -162,12 +162,8 @@ def vector_search_many(
         if row["_vector"] is not None:
             guard_dimensions(dimensions, len(row["_vector"]))
     if len(head) > most:
-        one_cell = F.lit(0).cast("bigint").alias("cell")
-        found = _grid(
-            records.select("*", one_cell),
-            wanted.select("*", one_cell),
-            dimensions, k, key, query_key, list(columns), vector, metric, most, cell_rows,
-        )
+        left, right = _whole_grid(records, wanted, most, cell_rows)
+        found = _grid(left, right, dimensions, k, key, query_key, list(columns), vector, metric)
     else:
         usable = [row for row in head if row["_vector"] is not None]
         matrix = np.array([row["_vector"] for row in usable], dtype=np.float64).reshape(-1, dimensions)
@@ -187,6 +183,42 @@ def _name_queries(found: DataFrame, keys: list, field: T.StructField) -> DataFra
     return found.join(F.broadcast(names), "_query").drop("_query")
 
 
+# The grid: search for a query table of any size. Records fall into R blocks and queries
+# into Q blocks, and each pair of blocks is one group that returns k candidates per query.
+# R and Q follow the row counts, so a group holds about `cell_rows` records and
+# `query_rows` queries, whatever the size of the tables.
+
+
+def _blocks(rows, per_block: int):
+    return F.greatest(F.ceil(rows / per_block), F.lit(1)).cast("bigint")
+
+
+def _whole_grid(records: DataFrame, queries: DataFrame, query_rows: int, cell_rows: int):
+    """Block counts for records and queries that all meet."""
+
+    def blocks(df: DataFrame, per_block: int):
+        return F.lit(max(1, -(-df.count() // per_block))).cast("bigint")
+
+    sizes = [blocks(records, cell_rows).alias("_records"), blocks(queries, query_rows).alias("_queries")]
+    return records.select("*", *sizes), queries.select("*", *sizes)
+
+
+def _cell_grid(records: DataFrame, queries: DataFrame, query_rows: int, cell_rows: int):
+    """Block counts for records and queries that meet only in the same `cell`."""
+
+    def counted(df: DataFrame, name: str, per_block: int) -> DataFrame:
+        return df.groupBy("cell").agg(_blocks(F.count(F.lit(1)), per_block).alias(name))
+
+    sizes = counted(records, "_records", cell_rows).join(counted(queries, "_queries", query_rows), "cell")
+
+    def sized(df: DataFrame) -> DataFrame:
+        # One row per cell: as many as the index has cells, whatever the data.
+        own = sizes.select("cell", *[F.col(c).alias(c) for c in ("_records", "_queries")])
+        return df.join(F.broadcast(own), "cell")
+
+    return sized(records), sized(queries)
+
+
 def _grid(
     records: DataFrame,
     queries: DataFrame,
@@ -197,20 +229,14 @@ def _grid(
     columns: list[str],
     vector: str,
     metric: str,
-    query_rows: int,
-    cell_rows: int,
+    within: Sequence[str] = (),
 ) -> DataFrame:
-    """Search for a query table of any size; both tables have a `cell` that must agree.
+    """Candidates from every group of the grid.
 
-    The records of a cell fall into R blocks and its queries into Q blocks; each pair of
-    blocks is one group, which returns k candidates per query. The block counts follow
-    the row counts, so a group holds about `cell_rows` records and `query_rows` queries.
     Blocks come from a hash of the row and its input partition, so copies are spread.
     """
     kept = list(dict.fromkeys([key, *columns]))
-    blocks = _blocks(records, "_records", cell_rows).join(_blocks(queries, "_queries", max(1, query_rows)), "cell")
-    left = valid_embeddings(records, dimensions, vector).select(*kept, vector, "cell")
-    right = valid_embeddings(queries, dimensions, "_vector").select(query_key, "_vector", "cell")
+    group = [*within, "_r", "_q"]
 
     def block(name: str, source: str, count: str):
         return F.pmod(F.xxhash64(name, source, F.spark_partition_id()), F.col(count))
@@ -218,14 +244,12 @@ def _grid(
     def every(count: str):
         return F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(count) - 1))
 
-    def place(side: DataFrame, own: str, name: str, source: str, mine: str, other: str, theirs: str) -> DataFrame:
-        # One row per cell: as many as the index has cells, whatever the data.
-        sizes = F.broadcast(blocks.select("cell", F.col(own).alias("_own"), F.col(other).alias("_other")))
-        placed = side.join(sizes, "cell").withColumn(mine, block(name, source, "_own"))
-        return placed.withColumn(theirs, every("_other")).drop("_own", "_other")
-
-    left = place(left, "_records", key, vector, "_r", "_queries", "_q")
-    right = place(right, "_queries", query_key, "_vector", "_q", "_records", "_r")
+    left = valid_embeddings(records, dimensions, vector)
+    left = left.withColumn("_r", block(key, vector, "_records")).withColumn("_q", every("_queries"))
+    left = left.select(*group, *kept, vector)
+    right = valid_embeddings(queries, dimensions, "_vector")
+    right = right.withColumn("_q", block(query_key, "_vector", "_queries")).withColumn("_r", every("_records"))
+    right = right.select(*group, query_key, "_vector")
 
     schema = T.StructType(
         [
@@ -248,10 +272,4 @@ def _grid(
         names = some_queries[query_key].combine_chunks().take(best["_query"].combine_chunks())
         return best.append_column(query_key, names).select(arrow.names).cast(arrow)
 
-    grouped = left.groupBy("cell", "_r", "_q").cogroup(right.groupBy("cell", "_r", "_q"))
-    return grouped.applyInArrow(cell, schema)
-
-
-def _blocks(df: DataFrame, name: str, rows: int) -> DataFrame:
-    """How many blocks of `rows` rows each cell needs."""
-    return df.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / rows).alias(name))
+    return left.groupBy(*group).cogroup(right.groupBy(*group)).applyInArrow(cell, schema)

@@ -126,13 +126,35 @@ class VectorTable:
         """The latest version of each (label, key).
 
         Spark keeps one row per key in every task before it shuffles (WindowGroupLimit),
-        so a key with very many versions costs no more than any other.
+        so a key with very many versions costs no more than any other. In a compacted
+        table only the keys written since are resolved; the rest is read as it is.
         """
         rows = self.history(label)
         last = [F.col(c) for c in self.order_by] or [F.xxhash64(*[F.col(f"`{c}`") for c in self.schema.names])]
         version = [F.col("run_seq"), F.col("batch_id"), *last]
         if self.partial_rows:
             return self._merged(rows, F.struct(*version))
+        if not self._compacted():
+            return self._latest(rows, version)
+        later = rows.filter(F.col("run_seq") > 0)
+        changed = later.select(F.col("label").alias("_label"), F.col(self.key).alias("_key")).distinct()
+        base = rows.filter(F.col("run_seq") == 0)
+        unchanged = base.join(
+            changed, base[self.key].eqNullSafe(F.col("_key")) & (F.col("label") == F.col("_label")), "left_anti"
+        )
+        return unchanged.drop("deleted").unionByName(self._latest(later, version))
+
+    def _compacted(self) -> bool:
+        """Is there a run 0? Only `compact` writes it, with one row per key."""
+        try:
+            self.spark.read.schema(self.stored).parquet(f"{self.records}/run_seq=0")
+            return True
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return False
+
+    def _latest(self, rows: DataFrame, version: list[Column]) -> DataFrame:
         latest = Window.partitionBy("label", self.key).orderBy(*[v.desc() for v in version])
         return (
             rows.withColumn("_nth", F.row_number().over(latest))
