@@ -86,15 +86,18 @@ def brute(queries, records, k, metric):
 cells = st.lists(st.lists(st.integers(-2, 2), min_size=3, max_size=3), min_size=1, max_size=30)
 
 
-@settings(max_examples=60, deadline=None)
-@given(cells, cells, st.integers(1, 4), st.sampled_from(V.METRICS), st.integers(1, 9))
-def test_scan_equals_brute_force(records, queries, k, metric, batch_rows):
-    table = pa.table({"id": pa.array(range(len(records)), pa.int64()), "v": pa.array(records, pa.list_(pa.float32()))})
+@settings(max_examples=150, deadline=None)
+@given(cells, cells, st.integers(1, 4), st.sampled_from(V.METRICS), st.integers(1, 60), st.randoms(), st.booleans())
+def test_scan_equals_brute_force(records, queries, k, metric, batch_rows, random, text_keys):
+    records = records * 3
+    keys = [f"{i:03d}" for i in range(len(records))] if text_keys else list(range(len(records)))
+    table = pa.table({"id": pa.array(keys), "v": pa.array(records, pa.list_(pa.float32()))})
+    table = table.take(random.sample(range(len(records)), len(records)))
     matrix = np.array(queries, dtype=np.float64)
     best = kernels.best_per_query(
         table.to_batches(max_chunksize=batch_rows), matrix, k, "id", "v", ["id"], metric, 6
     )
-    found = [] if best is None else list(zip(best["_query"].to_pylist(), best["id"].to_pylist()))
+    found = [] if best is None else list(zip(best["_query"].to_pylist(), map(int, best["id"].to_pylist())))
     assert found == brute(matrix, np.array(records, dtype=np.float64), k, metric)
 
 

@@ -222,20 +222,61 @@ def encode_batches(
 
 # --- similarity search ---------------------------------------------------------------------
 
-SCORE_CELLS = 1 << 22
+# Scores held at a time, so that the score matrix stays in the processor's cache.
+SCORE_CELLS = 1 << 20
 
 
-def score_matrix(queries: np.ndarray, records: np.ndarray, metric: str) -> np.ndarray:
-    """queries x records scores; NaN where the metric is undefined."""
+def directions(matrix: np.ndarray) -> np.ndarray:
+    """Unit rows; a zero row, which has no direction, becomes NaN."""
+    norms = np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
+    return matrix / np.where(norms == 0, np.nan, norms)
+
+
+def gain_matrix(queries: np.ndarray, records: np.ndarray, metric: str) -> np.ndarray:
+    """queries x records, higher is better; NaN where the metric is undefined.
+
+    For the cosine both sides are directions already.
+    """
     if metric == "euclidean":
-        return np.stack([np.sqrt(((records - q) ** 2).sum(axis=1)) for q in queries])
-    dots = queries @ records.T
-    if metric == "dot_product":
-        return dots
-    norms = np.outer(
-        np.sqrt((queries * queries).sum(axis=1)), np.sqrt((records * records).sum(axis=1))
-    )
-    return np.divide(dots, norms, out=np.full(dots.shape, np.nan), where=norms > 0)
+        return np.stack([-np.sqrt(((records - q) ** 2).sum(axis=1)) for q in queries])
+    return queries @ records.T
+
+
+def candidates(
+    gains: np.ndarray,
+    floor: np.ndarray,
+    k: int,
+    digits: int,
+    key_rank: Callable[[], np.ndarray],
+    keys: np.ndarray | None,
+    last_key: np.ndarray | None,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, record, rounded gain) of all entries that can still be among the k best.
+
+    `floor` is the gain a query's k-th candidate has now, and `last_key` its key. Entries
+    equal to the bar count only if they are among the k smallest keys, so a table full of
+    copies gives few candidates too.
+    """
+    slack = 10.0**-digits
+    bar = floor
+    better = np.count_nonzero(gains > (floor + slack)[:, None])
+    if better > 4 * k * len(floor) and gains.shape[1] > k:
+        known = np.where(np.isnan(gains), -np.inf, gains)
+        best = np.partition(known, gains.shape[1] - k, axis=1)[:, gains.shape[1] - k]
+        bar = np.maximum(floor, np.round(best, digits))
+    query, row = np.nonzero(gains >= (bar - slack)[:, None])
+    gain = np.round(gains[query, row], digits) + 0.0
+    keep = gain > bar[query]
+    tied = np.flatnonzero(gain == bar[query])
+    if keys is not None and last_key is not None:
+        at_floor = (bar == floor)[query[tied]]
+        tied = tied[~(at_floor & (keys[row[tied]] > last_key[query[tied]]))]
+    if len(tied):
+        tied = tied[np.lexsort((key_rank()[row[tied]], query[tied]))]
+        owner = query[tied]
+        place = np.arange(len(tied)) - np.searchsorted(owner, owner, side="left")
+        keep[tied[place < k]] = True
+    return query[keep], row[keep], gain[keep]
 
 
 def keep_best(pool: pa.Table, k: int, key: str) -> pa.Table:
@@ -264,36 +305,66 @@ def best_per_query(
 ) -> pa.Table | None:
     """Scan record batches, holding only k candidates per query at any time."""
     count, dims = queries.shape
-    step = max(1, SCORE_CELLS // max(count, 1))
-    sign = -1.0 if metric == "euclidean" else 1.0
+    if metric == "cosine":
+        queries = directions(queries)
     floor = np.full(count, -np.inf)
+    last_key: np.ndarray | None = None
     pool: pa.Table | None = None
-    for whole in batches:
-        for start in range(0, whole.num_rows, step):
-            batch = whole.slice(start, step)
-            scores = np.round(score_matrix(queries, to_matrix(batch.column(vector), dims), metric), digits)
-            scores += 0.0
-            gain = np.where(np.isnan(scores), -np.inf, sign * scores)
-            if query_cells is not None:
-                far = np.bitwise_count(query_cells[:, None] ^ batch.column(cell).to_numpy()[None, :])
-                gain[far > radius] = -np.inf
-            bar = floor
-            if batch.num_rows > k:
-                bar = np.maximum(floor, -np.partition(-gain, k - 1, axis=1)[:, k - 1])
-            query, row = np.nonzero((gain >= bar[:, None]) & (gain > -np.inf))
-            if not len(query):
-                continue
-            picked = {"_query": pa.array(query), "_gain": pa.array(gain[query, row])}
-            picked["score"] = pa.array(scores[query, row])
-            for name in columns:
-                picked[name] = batch.column(name).take(pa.array(row))
-            fresh = pa.table(picked)
-            pool = keep_best(fresh if pool is None else pa.concat_tables([pool, fresh]), k, key)
-            held = pool["_query"].to_numpy()
-            last = np.searchsorted(held, np.arange(count), side="right") - 1
-            full = np.bincount(held, minlength=count) >= k
-            floor[full] = pool["_gain"].to_numpy()[last[full]]
-    return pool
+
+    def offer(batch: pa.RecordBatch, asking: np.ndarray) -> None:
+        nonlocal pool, last_key
+        records = to_matrix(batch.column(vector), dims)
+        if metric == "cosine":
+            records = directions(records)
+
+        def key_rank() -> np.ndarray:
+            rank = np.empty(batch.num_rows, dtype=np.int64)
+            rank[pc.sort_indices(batch.column(key)).to_numpy()] = np.arange(batch.num_rows)
+            return rank
+
+        # Whole-number keys can be compared with the last key held before any sorting.
+        keys = batch.column(key)
+        numbers = keys.to_numpy() if pa.types.is_integer(keys.type) and not keys.null_count else None
+        if numbers is not None and last_key is None:
+            last_key = np.full(count, np.iinfo(numbers.dtype).max, dtype=numbers.dtype)
+        last = None if numbers is None else last_key[asking]
+
+        gains = gain_matrix(queries[asking], records, metric)
+        query, row, gain = candidates(gains, floor[asking], k, digits, key_rank, numbers, last)
+        if not len(query):
+            return
+        picked = {"_query": pa.array(asking[query]), "_gain": pa.array(gain)}
+        for name in columns:
+            picked[name] = batch.column(name).take(pa.array(row))
+        fresh = pa.table(picked)
+        pool = keep_best(fresh if pool is None else pa.concat_tables([pool, fresh]), k, key)
+        held = pool["_query"].to_numpy()
+        end = np.searchsorted(held, np.arange(count), side="right") - 1
+        full = np.bincount(held, minlength=count) >= k
+        floor[full] = pool["_gain"].to_numpy()[end[full]]
+        if last_key is not None and not pool[key].null_count:
+            last_key[full] = pool[key].to_numpy()[end[full]]
+
+    def offer_in_steps(batch: pa.RecordBatch, asking: np.ndarray) -> None:
+        step = max(1, SCORE_CELLS // max(len(asking), 1))
+        for start in range(0, batch.num_rows if len(asking) else 0, step):
+            offer(batch.slice(start, step), asking)
+
+    for batch in batches:
+        if query_cells is None:
+            offer_in_steps(batch, np.arange(count))
+            continue
+        # Files hold one cell each, so this is mostly one round.
+        cells = batch.column(cell).to_numpy()
+        for here in np.unique(cells):
+            near = np.flatnonzero(np.bitwise_count(query_cells ^ np.int64(here)) <= radius)
+            inside = cells == here
+            offer_in_steps(batch if inside.all() else batch.filter(pa.array(inside)), near)
+
+    if pool is None:
+        return None
+    sign = -1.0 if metric == "euclidean" else 1.0
+    return pool.append_column("score", pa.array(sign * pool["_gain"].to_numpy() + 0.0))
 
 
 def hyperplanes(bits: int, dims: int) -> np.ndarray:
