@@ -74,6 +74,16 @@ def test_files_per_batch(spark, files):
     assert stream_load(spark, config(spark, files, max_files_per_trigger=2), provider(), table)["batches_processed"] == 2
 
 
+def test_named_source_table(spark):
+    for start in (0, 10, 20):
+        source(spark, start, start + 10).write.mode("append").saveAsTable("texts_to_load")
+    for mode, batches in (("batch", 1), ("stream", 3)):
+        table = new_table(spark)
+        settings = LoadConfig(label="L", key="id", source_table="texts_to_load", checkpoint=work_path(spark, "cp"))
+        totals = run_load(spark, settings, provider(), table, mode=mode)
+        assert (totals["batches_processed"], totals["rows_written"]) == (batches, 30)
+
+
 def test_resume_takes_only_new_files(spark, files):
     table, settings = new_table(spark), config(spark, files)
     stream_load(spark, settings, provider(), table)

@@ -1,3 +1,5 @@
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -194,5 +196,17 @@ def test_totals_of_nothing_are_zero(spark):
     assert report["rate"] == "N/A" and report["duration"] == "0.0s"
 
 
-def test_shared_folder_comes_from_the_session(spark):
+def session_like(master, folder=None):
+    conf = SimpleNamespace(get=lambda name, default: folder or default)
+    context = SimpleNamespace(master=master, applicationId=f"app-{master}")
+    return SimpleNamespace(conf=conf, sparkContext=context)
+
+
+def test_shared_folder(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+    assert shared_folder(session_like("yarn", "hdfs://shared/")) == "hdfs://shared"
+    own = shared_folder(session_like("local[4]"))
+    assert own == shared_folder(session_like("local[4]"))
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]", "k8s://host"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            shared_folder(session_like(master))

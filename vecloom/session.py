@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -25,20 +26,24 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) ->
     return spark
 
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in spark.checkpoint.dir.
 
-    Only a local session, where driver and executors are one process, may fall
-    back to a temporary folder.
+    Only a local session, where driver and executors are one process, may fall back to
+    a temporary folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    made = tempfile.mkdtemp(prefix="vecloom-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    context = spark.sparkContext
+    if not re.match(r"local(\[|$)", context.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    if context.applicationId not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="vecloom-")
+    return _LOCAL_FOLDERS[context.applicationId]
 
 
 def work_path(spark: SparkSession, name: str) -> str:
