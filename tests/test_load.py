@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 from conftest import plan_of
 from vecloom.functions import models
 from vecloom.operators.embed import EmbeddingConfig, HashingProvider, ModelProvider
+from vecloom.plans.job import ProviderNotReady, run_job
 from vecloom.plans.load import LoadConfig, batch_load, open_run, process_batch, run_load, stream_load
 from vecloom.session import work_path
 from vecloom.sources.store import VectorTable, append_rows
@@ -147,6 +148,38 @@ def test_failure_in_the_second_batch_then_restart(spark, files):
     assert table.history().count() == 30
 
 
+def test_limit_goes_on_after_a_restart(spark, files):
+    table, settings = new_table(spark), config(spark, files, max_rows=17)
+    with pytest.raises(StreamingQueryException):
+        stream_load(spark, settings, Breaks(EmbeddingConfig("b", DIMS)), table)
+    stream_load(spark, settings, provider(), table, clear_checkpoint=False)
+    assert [r[2:] for r in ledger(table)] == [("written", 10, 0, 10), ("written", 7, 3, 7), ("skipped", 0, 10, 0)]
+    assert [r[0] for r in state(table)] == list(range(17))
+
+
+def test_records_without_their_ledger_row(spark):
+    """A crash after the records are written and before the batch is recorded."""
+    table = new_table(spark)
+    run = open_run(spark, LoadConfig(label="L", key="id"), provider(), table)
+    embedded = provider().add_embeddings(source(spark, 0, 10)).withColumn("label", F.lit("L"))
+    table.write_batch(embedded, run.run_seq, 0)
+    process_batch(source(spark, 0, 10), 0, run)
+    assert table.history().count() == 10 and [r[2] for r in ledger(table)] == ["written"]
+
+
+def test_job(spark, files):
+    table, settings = new_table(spark), config(spark, files)
+    result = run_job(spark, settings, provider(), table, search_text="text 7")
+    assert result.verification.first()["status"] == "passed" and result.deleted == 0
+    nearest = result.nearest.collect()
+    assert len(nearest) == 5 and nearest[0]["score"] == 1.0
+    assert result.report.first()["rows_written"] == 30
+    again = run_job(spark, settings, provider(), table, cleanup=True)
+    assert again.deleted == 30 and again.nearest is None and again.report.first()["rows_written"] == 30
+    with pytest.raises(ProviderNotReady):
+        run_job(spark, settings, ModelProvider(EmbeddingConfig("m", DIMS), lambda: lambda texts: [[1.0]]), table)
+
+
 def test_replay_replaces_the_batch(spark):
     table = new_table(spark)
     run = open_run(spark, LoadConfig(label="L", key="id"), provider(), table)

@@ -12,6 +12,7 @@ from vecloom.catalog.rows import documents
 from vecloom.catalog.vectors import DIMS, DOCS, SPOKEN, cells, hashing
 from vecloom.functions import models
 from vecloom.operators.embed import EmbeddingConfig, EmbeddingProvider, HashingProvider, ModelProvider
+from vecloom.plans.job import run_job
 from vecloom.plans.load import LoadConfig, batch_load, open_run, process_batch, run_load, stream_load
 from vecloom.session import work_path
 from vecloom.sources.store import VectorTable, append_rows
@@ -286,6 +287,24 @@ def limit_stream_counts(spark, folder):
     return totals_frame(spark, totals).select("rows_written", "rows_skipped")
 
 
+@register(
+    "load_job",
+    f"""WITH {sql.hashed(DOCS, DIMS, 'd_')}, {sql.hashed("SELECT 0 AS key, 'the with and that is' AS text", DIMS, 'q_')},
+    scored AS (SELECT d.key AS doc_id, {sql.cosine('d.embedding', 'q.embedding')} AS score FROM d_list d, q_list q)
+    SELECT doc_id, score, (SELECT count(*) FROM documents) AS verified FROM scored WHERE NOT isnan(score)
+    ORDER BY score DESC, doc_id LIMIT 5""",
+)
+def load_job(spark, folder):
+    """Load, verify and search in one go: the five documents nearest to a typed query."""
+    config = LoadConfig(label="Document", key="doc_id", source_path=f"{folder}/documents.parquet")
+    result = run_job(
+        spark, config, hashing(), new_table(spark), lambda df: df.select("doc_id", "text", "lang"),
+        mode="batch", search_text="the with and that is",
+    )
+    verified = result.verification.filter("passes").select("total")
+    return result.nearest.select("doc_id", "score").withColumn("verified", verified.scalar())
+
+
 # --- the keyed table -----------------------------------------------------------------------
 
 EVENT = T.StructType(
