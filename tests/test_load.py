@@ -323,6 +323,16 @@ def test_reading_prunes_folders_and_keys_early(spark):
     assert plan.index("WindowGroupLimit") < plan.index("Exchange") < plan.rindex("WindowGroupLimit")
 
 
+def test_odd_key_name(spark):
+    schema = T.StructType([T.StructField(":ID(X).1", T.LongType()), T.StructField("v", T.StringType())])
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], schema).withColumn("label", F.lit("L"))
+    for partial in (False, True):
+        table = VectorTable(spark, work_path(spark, "table"), schema, ":ID(X).1", ["v"], partial_rows=partial)
+        table.write_batch(df, 1, 0)
+        assert sorted(tuple(r) for r in table.read_label("L").collect()) == [(1, "b", "L"), (2, "c", "L")]
+        assert table.delete_label("L", 2) == 2
+
+
 def test_append_keeps_duplicates(spark):
     path = work_path(spark, "appended")
     append_rows(rows(spark, (1, "a")), path)

@@ -38,6 +38,12 @@ def test_hot_and_null_keys(spark):
     assert ordered == sorted(ordered, key=lambda k: (k is not None, k or ""))
 
 
+def test_odd_column_names(spark):
+    df = spark.range(5).select(F.col("id").alias("a.b"), F.lit("x").alias("c`d"))
+    found = chunk.number_rows(df, ["`a.b`"])
+    assert found.columns == ["a.b", "c`d", "row_num"] and found.count() == 5
+
+
 def test_full_copies_are_numbered_apart(spark):
     df = spark.range(0, 1000, 1, 8).select(F.lit("x").alias("k"))
     assert chunk.number_rows(df, ["k"]).select("row_num").distinct().count() == 1000

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from vecloom.operators.project import quoted
 from vecloom.session import work_path
 
 # Below this many rows Spark's own top-n, which ends in one task, is the cheaper plan.
@@ -24,8 +25,8 @@ def number_rows(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
     input partition they come from, so that a hot group of copies is spread over ranges.
     """
     spark = df.sparkSession
-    columns = df.columns
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in columns])
+    columns = [quoted(c) for c in df.columns]
+    row_hash = F.xxhash64(*columns)
     placed = (
         df.withColumn("_hash", row_hash)
         .withColumn("_from", F.spark_partition_id())

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vecloom.operators.project import quoted
+
 RUNS_SCHEMA = T.StructType([T.StructField("run_seq", T.LongType()), T.StructField("checkpoint", T.StringType())])
 
 
@@ -104,7 +106,7 @@ class VectorTable:
         if self.partial_rows:
             given = [name for name in given if name in df.columns]
         columns = [
-            (F.col(f"`{f.name}`") if f.name in given else F.lit(None)).cast(f.dataType).alias(f.name)
+            (quoted(f.name) if f.name in given else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in self.schema
         ]
         if self.partial_rows:
@@ -130,17 +132,20 @@ class VectorTable:
         table only the keys written since are resolved; the rest is read as it is.
         """
         rows = self.history(label)
-        last = [F.col(c) for c in self.order_by] or [F.xxhash64(*[F.col(f"`{c}`") for c in self.schema.names])]
+        names = self.order_by or self.schema.names
+        last = [quoted(name) for name in names]
+        if not self.order_by:
+            last = [F.xxhash64(*last)]
         version = [F.col("run_seq"), F.col("batch_id"), *last]
         if self.partial_rows:
             return self._merged(rows, F.struct(*version))
         if not self._compacted():
             return self._latest(rows, version)
         later = rows.filter(F.col("run_seq") > 0)
-        changed = later.select(F.col("label").alias("_label"), F.col(self.key).alias("_key")).distinct()
+        changed = later.select(F.col("label").alias("_label"), quoted(self.key).alias("_key")).distinct()
         base = rows.filter(F.col("run_seq") == 0)
         unchanged = base.join(
-            changed, base[self.key].eqNullSafe(F.col("_key")) & (F.col("label") == F.col("_label")), "left_anti"
+            changed, quoted(self.key).eqNullSafe(F.col("_key")) & (F.col("label") == F.col("_label")), "left_anti"
         )
         return unchanged.drop("deleted").unionByName(self._latest(later, version))
 
@@ -155,7 +160,7 @@ class VectorTable:
             return False
 
     def _latest(self, rows: DataFrame, version: list[Column]) -> DataFrame:
-        latest = Window.partitionBy("label", self.key).orderBy(*[v.desc() for v in version])
+        latest = Window.partitionBy("label", quoted(self.key)).orderBy(*[v.desc() for v in version])
         return (
             rows.withColumn("_nth", F.row_number().over(latest))
             .filter((F.col("_nth") == 1) & ~F.col("deleted"))
@@ -169,9 +174,9 @@ class VectorTable:
 
         def latest(name: str) -> Column:
             given = alive & F.array_contains("given", name)
-            return F.max(F.when(given, F.struct(version.alias("at"), F.col(f"`{name}`").alias("value")))).alias(name)
+            return F.max(F.when(given, F.struct(version.alias("at"), quoted(name).alias("value")))).alias(name)
 
-        found = rows.groupBy("label", self.key).agg(
+        found = rows.groupBy("label", quoted(self.key)).agg(
             F.max(F.when(F.col("deleted"), version)).alias("_deleted"),
             F.max(F.when(alive, version)).alias("_version"),
             *[latest(name) for name in others],
@@ -182,8 +187,8 @@ class VectorTable:
 
         def kept(name: str) -> Column:
             if name == self.key:
-                return F.col(name)
-            return F.when(since_deletion(F.col(name)["at"]), F.col(name)["value"]).alias(name)
+                return quoted(name)
+            return F.when(since_deletion(quoted(name)["at"]), quoted(name)["value"]).alias(name)
 
         return found.filter(since_deletion(F.col("_version"))).select(
             *[kept(name) for name in self.schema.names],
@@ -193,14 +198,14 @@ class VectorTable:
         )
 
     def read_label(self, label: str) -> DataFrame:
-        return self.current(label).select(*self.schema.names, "label")
+        return self.current(label).select(*[quoted(name) for name in self.schema.names], "label")
 
     def delete_label(self, label: str, run_seq: int, batch_id: int = 0) -> int:
         """Delete all records of a label and say how many; the label can be loaded again later."""
         seen = Observation()
         gone = self.current(label).select(
             *[
-                F.col(f"`{f.name}`") if f.name == self.key else F.lit(None).cast(f.dataType).alias(f.name)
+                quoted(f.name) if f.name == self.key else F.lit(None).cast(f.dataType).alias(f.name)
                 for f in self.schema
             ],
             F.lit(True).alias("deleted"),
