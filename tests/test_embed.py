@@ -65,6 +65,16 @@ def test_hashing_in_small_slices(texts, monkeypatch):
     assert list(kernels.hash_vectors(iter([column.slice(3)]), 8))[0].to_pylist() == whole[3:]
 
 
+@pytest.mark.parametrize("texts", [[], [""], [None], ["é ß", ""], [" a  b ", None, "a"]])
+def test_hashing_of_awkward_batches(texts):
+    import pyarrow as pa
+
+    column = pa.array(["skipped", *texts], pa.string()).slice(1)
+    found = list(kernels.hash_vectors(iter([column]), 4))[0].to_pylist()
+    wanted = [None if t is None else pytest.approx(plain_hashing(t, 4), abs=1e-6) for t in texts]
+    assert found == wanted
+
+
 def test_random_is_uniform_and_stable(spark):
     keys = spark.range(2000).select("id", F.lit("same text").alias("text"))
     provider = embed.RandomProvider(config(32, key_column="id"))
