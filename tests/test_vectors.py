@@ -159,6 +159,15 @@ def test_search_guards(spark):
     assert search.vector_search(records.limit(0), [1.0] * 8, 8, key="id").count() == 0
 
 
+def test_search_without_usable_queries(spark):
+    records, queries = some_vectors(spark, 10, 6, "id"), some_vectors(spark, 3, 1, "q")
+    missing = queries.withColumn("embedding", F.lit(None).cast("array<float>"))
+    for asked in (queries.limit(0), missing):
+        for size in (1 << 20, 1):
+            found = search.vector_search_many(records, asked, 8, 5, key="id", query_key="q", query_bytes=size)
+            assert found.columns == ["q", "id", "score", "rank"] and found.count() == 0
+
+
 def test_search_skips_bad_vectors(spark):
     rows = [(1, [1.0, 0.0]), (2, None), (3, [1.0]), (4, [0.0, 0.0]), (5, [1.0, None]), (6, [0.0, 1.0])]
     records = spark.createDataFrame(rows, "id string, embedding array<float>")
