@@ -176,7 +176,7 @@ def _versions(table: VectorTable) -> DataFrame:
     return history.withColumn("current", current.scalar())
 
 
-class FirstCallsFail(EmbeddingProvider):
+class EndpointDown(EmbeddingProvider):
     """Stands for a model endpoint that is down."""
 
     def vector(self):
@@ -255,7 +255,7 @@ def failure_accounting(spark, folder):
     """A failed batch is recorded and the error reaches the caller; the next batch is not affected."""
     source = documents(spark, folder).select("doc_id", "text", "lang")
     config = LoadConfig(label="Document", key="doc_id")
-    run = open_run(spark, config, FirstCallsFail(EmbeddingConfig("down", DIMS)), new_table(spark))
+    run = open_run(spark, config, EndpointDown(EmbeddingConfig("down", DIMS)), new_table(spark))
     try:
         process_batch(source, 0, run)
         raised = False
