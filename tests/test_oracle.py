@@ -7,8 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
-
-QUERIES, ORACLES = entry_module.queries(), entry_module.oracle_sql()
+from vecloom.catalog.registry import ORACLES, QUERIES
 
 
 @pytest.fixture(scope="module")
