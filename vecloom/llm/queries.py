@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecloom.llm import sharding, simhash
+from vecloom.llm import packing, pieces, projections, sharding, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -22,12 +23,38 @@ def _documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+def _sha256(column: str) -> Column:
+    return F.sha2(F.col(column).cast("binary"), 256)
+
+
+@_query
+def op1_sentencepiece_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    found = pieces.decode(pieces.encode(_documents(spark, folder), path, keys=["doc_id"]), path)
+    return found.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
+        _sha256("decoded").alias("decoded_sha256"),
+    )
+
+
 @_query
 def op4_hash_tree_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.assign(spark, _documents(spark, folder), shards=40)
 
 
+@_query
+def op7_pattern_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(spark, _documents(spark, folder), public_tokenizers.path("word_bpe_49k.json"))
+
+
 @_query
 def op9_simhash_near_copies(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_copies(spark, _documents(spark, folder), size=3)
     return found.select("doc_id", simhash.as_hex(F.col("fingerprint")).alias("fingerprint"), "component_id")
+
+
+@_query
+def op10_projected_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{folder}/embeddings.parquet")
+    return projections.search(spark, vectors, "vec_id % 100 = 0", k=10)

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -147,6 +148,34 @@ def words(body: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return begins, ends, np.searchsorted(begins, starts)
 
 
+class WordCache:
+    """Token ids of words, kept within a task up to a number of words and then forgotten at once."""
+
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int):
+        self.encode, self.most = encode, most
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.ids, self.starts = np.zeros(0, np.int32), np.zeros(1, np.int64)
+
+    def look_up(self, cut: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts' words in a row, and where each text's begin; one more for the end."""
+        if len(self.known) > self.most:
+            self.forget()
+        known = self.known
+        fresh = list(set(chain.from_iterable(cut)).difference(known))
+        if fresh:
+            ids, starts = self.encode(fresh)
+            known.update(zip(fresh, range(len(known), len(known) + len(fresh))))
+            self.starts = np.concatenate([self.starts, self.starts[-1] + starts[1:]])
+            self.ids = np.concatenate([self.ids, ids])
+        index = np.array([known[w] for words in cut for w in words], np.int64)
+        lengths = self.starts[index + 1] - self.starts[index]
+        firsts = np.cumsum([0, *(len(words) for words in cut)])
+        return self.ids[spans_of(self.starts[index], lengths)], np.r_[0, np.cumsum(lengths)][firsts]
+
+
 def crc_mod(key: str, modulus: int) -> Column:
     """crc32 of the key as text, modulo; a null key counts as the text of nothing."""
     return F.pmod(F.crc32(F.coalesce(col(key).cast("string"), F.lit("")).cast("binary")), F.lit(modulus))
