@@ -4,8 +4,8 @@ Lengths are counted into a histogram, which is all that the plan needs, so the p
 depends on the sequence length and not on the corpus. Patterns are the ways to fill a
 sequence with up to three lengths on a grid; non-negative least squares finds how often to
 repeat each so that together they use the histogram up; the counts are rounded down. A
-repeat takes its first lengths from its grid cells and its last as the longest that still
-fits. What the patterns leave over is packed best-fit decreasing, also into their gaps.
+repeat takes all lengths but the last from its grid cells and the last as what is missing,
+so it is full to the token. What the patterns leave over is packed best-fit decreasing.
 Documents find their places by their number among those of equal length.
 """
 
@@ -16,6 +16,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -28,11 +29,15 @@ from vecloom.llm.text import WordCache, col, helper, or_empty, steps, written
 
 CAPACITY, END = 2048, 0
 GRID, PARTS = 128, 3
+#: Share of the fitted repeats that is used; the rest keeps short lengths for the residual's gaps.
+SHARE = 0.8
+#: Grid cells too short for a pattern: such lengths are worth most in the residual's gaps.
+SMALL = 24
 REMEMBERED = 600_000
 
-# Cuts at white space, and before a full stop or comma that follows a letter: the
+# Cuts at white space, and before a full stop or comma that follows a Latin letter: the
 # tokenizer cuts there too, so the parts' ids make up the text's.
-_PARTS = re.compile(r"[^\W\d_]+(?=[., \n]|$)|[^ \t\n\r\x0b\x0c]+")
+_PARTS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[., \n]|$)|[^ \t\n\r\x0b\x0c]+")
 
 
 class Tokens:
@@ -106,31 +111,30 @@ def patterns(grid: int, parts: int) -> np.ndarray:
     return np.array(out)
 
 
-def nnls(matrix: np.ndarray, target: np.ndarray, rounds: int = 400) -> np.ndarray:
-    """Non-negative least squares by an active set (Lawson and Hanson)."""
-    n = matrix.shape[1]
-    x, used = np.zeros(n), np.zeros(n, bool)
+def nnls(matrix: np.ndarray, target: np.ndarray, rounds: int = 600) -> np.ndarray:
+    """Non-negative least squares by an active set (Lawson and Hanson), on the normal equations."""
+    square, side = matrix.T @ matrix, matrix.T @ target
+    x, used = np.zeros(len(side)), np.zeros(len(side), bool)
     scale = max(1.0, float(np.abs(target).max()))
+    ridge = 1e-9
     for _ in range(rounds):
-        gradient = matrix.T @ (target - matrix @ x)
-        gradient[used] = -np.inf
+        gradient = np.where(used, -np.inf, side - square @ x)
         best = int(np.argmax(gradient))
-        if gradient[best] <= 1e-9 * scale:
+        if gradient[best] <= 1e-6 * scale:
             break
         used[best] = True
-        while True:
-            trial = np.zeros(n)
-            trial[used] = np.linalg.lstsq(matrix[:, used], target, rcond=None)[0]
-            bad = used & (trial <= 0)
-            if not bad.any():
+        while used.any():
+            at = np.flatnonzero(used)
+            trial = np.zeros(len(side))
+            trial[at] = np.linalg.solve(square[np.ix_(at, at)] + ridge * np.eye(len(at)), side[at])
+            bad = at[trial[at] <= 0]
+            if not len(bad):
                 x = trial
                 break
             step = np.min(x[bad] / np.maximum(x[bad] - trial[bad], 1e-300))
-            x = x + step * (trial - x)
+            x = np.maximum(x + step * (trial - x), 0)
             used &= x > 1e-12 * scale
             x[~used] = 0
-            if not used.any():
-                break
     return x
 
 
@@ -152,55 +156,40 @@ class Plan:
         self.taken[length] += count
         self.left[length] -= count
 
-    def _longest(self, most: int) -> int:
-        there = np.flatnonzero(self.left[1 : most + 1])
-        return int(there[-1]) + 1 if len(there) else 0
-
     def _repeat_patterns(self) -> None:
         capacity = self.capacity
         grid = min(GRID, capacity)
         cell = -(-np.arange(capacity + 1) * grid // capacity)
         have = np.bincount(cell, weights=self.left, minlength=grid + 1)
         ways = patterns(grid, PARTS)
+        ways = ways[((ways == 0) | (ways > SMALL)).all(axis=1)]
         matrix = np.zeros((grid + 1, len(ways)))
         for k in range(ways.shape[1]):
             np.add.at(matrix, (ways[:, k], np.arange(len(ways))), 1.0)
-        repeats = np.floor(nnls(matrix[1:], have[1:])).astype(np.int64)
+        repeats = np.floor(SHARE * nnls(matrix[1:], have[1:])).astype(np.int64)
         cells = [np.flatnonzero(cell == c) for c in range(grid + 1)]
         for w in np.argsort(-repeats, kind="stable"):
             if not repeats[w]:
                 break
-            way = [c for c in ways[w] if c]
-            self._repeat([cells[c] for c in way[:-1]] or [cells[way[0]]], int(repeats[w]), len(way))
+            self._repeat([cells[c] for c in ways[w][:-1] if 0 < c < grid], int(repeats[w]), int((ways[w] > 0).sum()))
 
     def _repeat(self, heads: list[np.ndarray], count: int, parts: int) -> None:
-        """Sequences that begin with a length of each head cell and end with the longest that fits."""
-        while count:
-            chosen: list[int] = []
-            for cell in heads:
-                there = [int(x) for x in cell[::-1] if self.left[x] > chosen.count(int(x))]
-                if not there:
-                    return
-                chosen.append(there[0])
-            room = self.capacity - sum(chosen)
-            n = min([count, *(int(self.left[x]) // chosen.count(x) for x in chosen)])
-            if room < 0 or n < 1:
-                return
-            if parts > len(heads):
-                last = self._longest(room)
-                if last:
-                    n = min([n, *(int(self.left[x]) // [*chosen, last].count(x) for x in [*chosen, last])])
-                    if n:
-                        chosen.append(last)
-                    else:
-                        n = 1
+        """Full sequences: a length of each head cell, and one of just the rest."""
+        heads = heads[: parts - 1]
+        for chosen in product(*(cell[::-1].tolist() for cell in heads)):
+            rest = self.capacity - sum(chosen)
+            if rest < 1 or not self.left[rest]:
+                continue
+            way = [*chosen, rest]
+            n = min([count, *(int(self.left[x]) // way.count(x) for x in way)])
             offset = 0
-            for x in chosen:
+            for x in way if n else []:
                 self._put(x, n, self.sequences, offset)
                 offset += x
-            self._leave(self.capacity - offset, self.sequences, n)
             self.sequences += n
             count -= n
+            if not count:
+                return
 
     def _leave(self, gap: int, first: int, count: int) -> None:
         if gap and count:
