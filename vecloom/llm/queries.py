@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecloom.llm import packing, pieces, projections, sharding, simhash
+from vecloom.llm import packing, pieces, projections, sharding, simhash, toxicity
+from vecloom.llm.text import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -38,6 +39,16 @@ def op1_sentencepiece_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@_query
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _documents(spark, folder)
+    model = toxicity.train(spark, documents, spark.read.parquet(f"{folder}/labels.parquet"))
+    return toxicity.score(spark, documents, model, ["doc_id"]).select(
+        "doc_id", (crc_mod("doc_id", 3) == 1).alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 @_query
 def op4_hash_tree_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.assign(spark, _documents(spark, folder), shards=40)
