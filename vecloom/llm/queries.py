@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecloom.llm import packing, pieces, projections, sharding, simhash, toxicity
+from vecloom.llm import lm, packing, pieces, projections, sharding, simhash, toxicity
 from vecloom.llm.text import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +39,11 @@ def op1_sentencepiece_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@_query
+def op2_log_bilinear_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.score(spark, _documents(spark, folder), folds=10)
+
+
 @_query
 def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     documents = _documents(spark, folder)
