@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecloom.llm import lm, packing, pieces, projections, sharding, simhash, toxicity
+from vecloom.llm import lm, packing, pieces, projections, sharding, simhash, sketch, toxicity
 from vecloom.llm.text import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,6 +59,11 @@ def op4_hash_tree_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.assign(spark, _documents(spark, folder), shards=40)
 
 
+@_query
+def op6_threshold_sketches(spark: SparkSession, folder: str) -> DataFrame:
+    return sketch.fingerprint_edits(spark, _documents(spark, folder))
+
+
 @_query
 def op7_pattern_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(spark, _documents(spark, folder), public_tokenizers.path("word_bpe_49k.json"))
