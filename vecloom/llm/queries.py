@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecloom.llm import lm, packing, pieces, projections, sharding, simhash, sketch, toxicity
+from vecloom.llm import lines, lm, packing, pieces, projections, sharding, simhash, sketch, toxicity
 from vecloom.llm.text import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,6 +59,31 @@ def op4_hash_tree_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.assign(spark, _documents(spark, folder), shards=40)
 
 
+@_query
+def op5_near_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return lines.digests(spark, _documents(spark, folder))
+
+
+ORACLES["op5_near_lines"] = """
+WITH doc AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+line AS (SELECT doc_id, unnest(range(len(parts))) AS n, unnest(parts) AS l FROM doc),
+long AS (SELECT * FROM line WHERE length(l) >= 10),
+seen AS (SELECT l, min((doc_id, n)) AS first FROM long GROUP BY l),
+variant AS (SELECT l, first, i, md5(substr(l, 1, i - 1) || substr(l, i + 1)) AS v
+    FROM (SELECT l, first, unnest(range(1, length(l) + 1)) AS i FROM seen)),
+near AS (
+    SELECT a.l FROM variant a JOIN variant b ON a.v = b.v AND a.i = b.i AND b.first < a.first
+    UNION SELECT a.l FROM variant a JOIN seen b ON a.v = md5(b.l) AND b.first < a.first
+    UNION SELECT a.l FROM seen a JOIN variant b ON md5(a.l) = b.v AND b.first < a.first),
+judged AS (
+    SELECT line.doc_id, line.n, line.l, s.first IS NOT NULL AND s.first <> (line.doc_id, line.n) AS equal,
+           s.first IS NOT NULL AND s.first = (line.doc_id, line.n) AND line.l IN (SELECT l FROM near) AS near
+    FROM line LEFT JOIN seen s ON s.l = line.l)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (equal) AS n_equal, count(*) FILTER (near) AS n_near,
+       sha256(coalesce(string_agg(l, chr(10) ORDER BY n) FILTER (NOT equal AND NOT near), '')) AS kept_sha256
+FROM judged GROUP BY doc_id"""
+
+
 @_query
 def op6_threshold_sketches(spark: SparkSession, folder: str) -> DataFrame:
     return sketch.fingerprint_edits(spark, _documents(spark, folder))
