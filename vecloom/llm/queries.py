@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecloom.llm import lines, lm, packing, pieces, projections, sharding, simhash, sketch, toxicity
+from vecloom.llm import lines, lm, packing, pieces, projections, sharding, simhash, sketch, suffixes, toxicity
 from vecloom.llm.text import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,6 +94,11 @@ def op7_pattern_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(spark, _documents(spark, folder), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@_query
+def op8_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.digests(spark, _documents(spark, folder), least=400)
+
+
 @_query
 def op9_simhash_near_copies(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_copies(spark, _documents(spark, folder), size=3)

@@ -178,3 +178,18 @@ def score(spark: SparkSession, documents: DataFrame, model: tuple[np.ndarray, np
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keys)], pa.array(found)], [*keys, out])
 
     return narrow.mapInArrow(run, schema)
+
+
+def drop_toxic(spark: SparkSession, documents: DataFrame, model: tuple[np.ndarray, np.ndarray, float], text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The documents that score below the threshold; columns and texts stay as they are."""
+    shared, names = spark.sparkContext.broadcast(model), documents.columns
+    place = names.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep, weights, bias = shared.value
+        for batch in steps(batches, text):
+            owner, cell = buckets(*flat(batch.column(place)), keep)
+            margin = np.bincount(owner, weights[cell], batch.num_rows) + bias
+            yield batch.filter(pa.array(1 / (1 + np.exp(-np.clip(margin, -30, 30))) < threshold))
+
+    return documents.mapInArrow(run, documents.schema)
