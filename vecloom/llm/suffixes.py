@@ -154,10 +154,6 @@ def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) - 1
 
 
-def _spans_schema() -> str:
-    return "row long, a long, e long"
-
-
 class Repeats:
     """Repeated passages of a table of texts: spans of UTF-8 bytes, by row number.
 
@@ -167,8 +163,8 @@ class Repeats:
     each other's bytes.
     """
 
-    def __init__(self, spark: SparkSession, documents: DataFrame, text: str = "text", least: int = LEAST):
-        self.spark, self.least = spark, least
+    def __init__(self, spark: SparkSession, documents: DataFrame, text: str = "text", least: int = LEAST, group_bytes: int = GROUP_BYTES):
+        self.spark, self.least, self.group_bytes = spark, least, group_bytes
         self.row = helper("row")
         self.numbered = with_row(documents, self.row)
         self.texts = self.numbered.select(F.col(self.row).alias("row"), or_empty(text).alias("body"))
@@ -220,7 +216,7 @@ class Repeats:
 
     def _expanded(self, pieces: DataFrame) -> DataFrame:
         """Spans of the pieces, and the windows of those grams that have too many: (row, a, e, w1, w2)."""
-        least = self.least
+        least, most = self.least, self.group_bytes
         schema = "row long, a long, e long, w1 long, w2 long"
 
         def spans(group: list[tuple]) -> Iterator[pa.RecordBatch]:
@@ -263,7 +259,7 @@ class Repeats:
                             ready, ready_bytes = [], 0
                     group.append(x)
                     group_bytes += len(x[4])
-                    if group_bytes > GROUP_BYTES and len(group) > 1:
+                    if group_bytes > most:
                         hot = x[0]
                         yield from windows(group)
                         group, group_bytes = [], 0
@@ -320,9 +316,11 @@ def _cut(text: bytes, begins: np.ndarray, ends: np.ndarray) -> bytes:
     return b"".join(text[edges[k] : edges[k + 1]] for k in range(0, len(edges), 2))
 
 
-def digests(spark: SparkSession, documents: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST) -> DataFrame:
+def digests(
+    spark: SparkSession, documents: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST, group_bytes: int = GROUP_BYTES
+) -> DataFrame:
     """One row per document: key, n_bytes, n_removed, n_spans, kept_sha256 of the bytes that are left."""
-    found = Repeats(spark, documents.select(col(key), col(text)), text, least).joined("spans")
+    found = Repeats(spark, documents.select(col(key), col(text)), text, least, group_bytes).joined("spans")
     found = found.select(col(key).alias("key"), or_empty(text).alias("body"), "spans")
     schema = T.StructType([
         T.StructField(key, found.schema["key"].dataType), *(T.StructField(n, T.LongType()) for n in ("n_bytes", "n_removed", "n_spans")),
