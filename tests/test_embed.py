@@ -111,12 +111,61 @@ def test_model_failure_gives_null(texts):
 
 
 def test_model_returning_none_or_too_few(texts):
-    provider = embed.ModelProvider(config(2), lambda: lambda batch: [None for _ in batch])
-    assert set(map(str, vectors(provider, texts).values())) == {"None"}
+    def none_for_long(batch):
+        return [None if len(t) > 30 else [1.0, 0.0] for t in batch]
+
+    found = vectors(embed.ModelProvider(config(2), lambda: none_for_long), texts)
+    assert found[1] is None and found[3] == [1.0, 0.0]
     short = embed.ModelProvider(config(2), lambda: lambda batch: [[1.0, 0.0]])
     assert vectors(short, texts)[1] == [1.0, 0.0]
 
 
+def test_reasons(texts):
+    def encode(batch):
+        if any("gear" in t for t in batch):
+            raise RuntimeError("no gear")
+        return [[1.0, 2.0] for _ in batch]
+
+    provider = embed.ModelProvider(config(2), lambda: encode, normalize=False)
+    rows = texts.withColumn("o", provider.outcome()).select("id", "o.reason").collect()
+    assert {r["id"]: r["reason"] for r in rows} == {1: None, 2: "RuntimeError: no gear", 3: None, 4: None, 5: None, 6: None}
+
+
+def test_outage_fails_the_task(spark, texts):
+    calls = spark.sparkContext.accumulator(0)
+
+    def factory():
+        def encode(batch):
+            calls.add(1)
+            raise ConnectionError("endpoint is down")
+
+        return encode
+
+    provider = embed.ModelProvider(config(2), factory, attempts=3, wait=0.01)
+    with pytest.raises(Exception, match="no answer in 3 attempts: ConnectionError: endpoint is down"):
+        vectors(provider, texts.coalesce(1))
+    # Each attempt: the slice, each of its texts, the probe.
+    assert calls.value % 3 == 0
+    with pytest.raises(embed.NoQueryVector):
+        embed.embed_query(spark, "gear", embed.ModelProvider(config(2), lambda: lambda b: [None if "gear" in t else [1.0, 1.0] for t in b]))
+
+
+def test_a_model_that_comes_back(texts):
+    def factory():
+        asked = []
+
+        def encode(batch):
+            asked.append(1)
+            if len(asked) < 8:
+                raise ConnectionError("busy")
+            return [[1.0, 0.0] for _ in batch]
+
+        return encode
+
+    found = vectors(embed.ModelProvider(config(2), factory, wait=0.01), texts.coalesce(1))
+    assert [v for v in found.values() if v] and set(map(str, found.values())) <= {"[1.0, 0.0]", "None"}
+
+
 def test_each_text_goes_to_the_model_once(spark, texts):
     calls = spark.sparkContext.accumulator(0)
 
@@ -136,7 +185,7 @@ def test_each_text_goes_to_the_model_once(spark, texts):
 def test_hosted_reads_the_whole_text(spark):
     words = [f"w{i}" for i in range(300)]
     df = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(words[:299] + ["other"]))], "id int, text string")
-    provider = embed.HostedProvider(config(64), max_words=32)
+    provider = embed.HostedProvider(config(64), max_units=32, count_units=models.word_units)
     found = vectors(provider, df)
     assert found[1] != found[2]
 
@@ -148,8 +197,16 @@ def test_hosted_reads_the_whole_text(spark):
 
 
 def test_hosted_context_by_name():
-    assert embed.HostedProvider(embed.EmbeddingConfig("gte-large-en", 8)).max_words == 8192
-    assert embed.HostedProvider(embed.EmbeddingConfig("something", 8)).max_words == 512
+    assert embed.HostedProvider(embed.EmbeddingConfig("gte-large-en", 8)).max_units == 8190
+    with pytest.raises(ValueError, match="max_units"):
+        embed.HostedProvider(embed.EmbeddingConfig("something", 8))
+
+
+def test_windows_stay_within_the_bound():
+    for text in ("word " * 300, "x" * 1000, "日本" * 400 + " a b", "a" * 31 + " " + "b" * 31, " " * 100, ""):
+        windows = kernels.split_windows(text, 32)
+        assert all(len(w.encode()) <= 32 for w, _ in windows) or not text.strip()
+        assert "".join(w for w, _ in windows).replace(" ", "") == text.replace(" ", "")
 
 
 def test_create_provider():
@@ -176,6 +233,7 @@ def test_embedding_is_narrow(texts):
     from conftest import plan_of
 
     for name in embed.PROVIDERS:
-        provider = embed.create_embedding_provider(name, config(key_column="id"))
+        named = embed.EmbeddingConfig("bge-large-en", 16, key_column="id")
+        provider = embed.create_embedding_provider(name, named)
         plan = plan_of(provider.filter_valid_embeddings(provider.add_embeddings(texts)))
         assert "Exchange" not in plan and plan.count("ArrowEvalPython") == 1, plan

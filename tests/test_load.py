@@ -172,7 +172,7 @@ def test_job(spark, files):
     result = run_job(spark, settings, provider(), table, search_text="text 7")
     assert result.verification.first()["status"] == "passed" and result.deleted == 0
     nearest = result.nearest.collect()
-    assert len(nearest) == 5 and nearest[0]["score"] == 1.0
+    assert len(nearest) == 5 and nearest[0]["score"] == pytest.approx(1.0)
     assert result.report.first()["rows_written"] == 30
     again = run_job(spark, settings, provider(), table, cleanup=True)
     assert again.deleted == 30 and again.nearest is None and again.report.first()["rows_written"] == 30
@@ -267,11 +267,90 @@ def test_same_key_twice_in_a_batch(spark):
     assert texts(table) == {1: "c"}
 
 
-def test_run_number_wins_over_batch_number(spark):
+def test_the_last_write_wins(spark):
     table = new_table(spark)
-    table.write_batch(rows(spark, (1, "old")), 1, 7)
-    table.write_batch(rows(spark, (1, "new")), 2, 0)
-    assert texts(table) == {1: "new"}
+    table.write_batch(rows(spark, (1, "a1")), 1, 7)
+    table.write_batch(rows(spark, (1, "b1")), 2, 0)
+    assert texts(table) == {1: "b1"}
+    table.write_batch(rows(spark, (1, "a2")), 1, 8)
+    assert texts(table) == {1: "a2"}
+    table.write_batch(rows(spark, (1, "b1 again")), 2, 0)
+    assert texts(table) == {1: "a2"}
+    table.delete_label("L", 3)
+    table.write_batch(rows(spark, (1, "a3")), 1, 9)
+    assert texts(table) == {1: "a3"}
+    other = VectorTable(spark, table.root, SCHEMA, "id")
+    other.write_batch(rows(spark, (1, "other writer")), 9, 0)
+    assert texts(table) == {1: "other writer"}
+
+
+def test_equal_order_is_settled_by_the_row(spark):
+    for parts in (1, 3):
+        table = new_table(spark, order_by=["id"])
+        table.write_batch(rows(spark, (1, "b"), (1, "c"), (1, "a")).repartition(parts), 1, 0)
+        first = texts(table)
+    assert first == texts(table) and len(first) == 1
+
+
+def test_checkpoint_folders_are_of_one_run(spark, files):
+    settings, first, second = config(spark, files), new_table(spark), new_table(spark)
+    for table in (first, second):
+        stream_load(spark, settings, provider(), table)
+        assert len(state(table)) == 30
+    small = first.compact(work_path(spark, "compacted"))
+    write_files(spark, files, (30, 40))
+    totals = stream_load(spark, settings, provider(), small, clear_checkpoint=False)
+    assert len(state(small)) == 40 and totals["batches_processed"] == 4
+    stream_load(spark, settings, provider(), small)
+    assert small.history().count() == 30 + 10 + 40 and len(state(small)) == 40
+
+
+def test_outage_fails_the_batch_and_a_resume_loads_it(spark, files):
+    table, settings = new_table(spark), config(spark, files)
+
+    def down(batch):
+        raise ConnectionError("endpoint is down")
+
+    broken = ModelProvider(EmbeddingConfig("m", DIMS), lambda: down, attempts=2, wait=0.01)
+    with pytest.raises(StreamingQueryException, match="endpoint is down"):
+        stream_load(spark, settings, broken, table)
+    assert [r[2] for r in ledger(table)] == ["failed"]
+    error = BatchLedger(spark, table.root).rows().first()["error"]
+    assert "ConnectionError: endpoint is down" in error
+    stream_load(spark, settings, provider(), table, clear_checkpoint=False)
+    assert len(state(table)) == 30
+
+
+def test_rejects(spark):
+    table = new_table(spark)
+    source_rows = source(spark, 0, 20).withColumn("id", F.when(F.col("id") % 10 != 3, F.col("id")))
+    short = ModelProvider(EmbeddingConfig("short", DIMS), lambda: models.ShortTextEncoder(DIMS, len("text 1")))
+    run = open_run(spark, LoadConfig(label="L", key="id"), short, table)
+    process_batch(source_rows, 0, run)
+    found = {(r["label"], r["id"], r["reason"]) for r in table.rejects("L").collect()}
+    assert found == {("L", None, "null key")} | {("L", i, "ValueError: text too long") for i in range(10, 20) if i != 13}
+    assert ledger(table)[0][3:] == (20, 0, 9) and sorted(texts(table)) == [0, 1, 2, 4, 5, 6, 7, 8, 9]
+    assert table.history().count() == 9
+
+
+def test_files_of_batch_size(spark):
+    table = new_table(spark)
+    run = open_run(spark, LoadConfig(label="L", key="id", batch_size=7, batch_files=True), provider(), table)
+    process_batch(source(spark, 0, 30), 0, run)
+    assert max(r["count"] for r in table.history().groupBy(F.input_file_name()).count().collect()) <= 7
+
+
+@pytest.mark.parametrize("limit", [1, 5, 77, 100, 250, 299, 300, 400])
+def test_limit_with_ties_and_copies(spark, limit):
+    from vecloom.operators.chunk import limit_rows
+
+    frame = spark.range(0, 300, 1, 4).select((F.col("id") % 3).alias("k"), F.when(F.col("id") % 3 == 1, F.lit(0)).otherwise(F.col("id")).alias("v"))
+    found = limit_rows(frame, limit, ["k"])
+    once, again = sorted(map(tuple, found.collect())), sorted(map(tuple, limit_rows(frame.repartition(7), limit, ["k"]).collect()))
+    assert len(once) == min(limit, 300) and once == again
+    assert [r[0] for r in once] == sorted(i % 3 for i in range(300))[:limit]
+    assert set(once) <= set(map(tuple, frame.collect()))
+    assert "TakeOrdered" not in plan_of(found)
 
 
 def test_runs_belong_to_checkpoints(spark):
@@ -306,12 +385,11 @@ def test_compact(spark):
     assert texts(small) == {2: "y", 7: "new"}
 
 
-def test_compacted_table_with_null_keys(spark):
+def test_null_keys_are_refused(spark):
     table = new_table(spark)
-    table.write_batch(rows(spark, (None, "a"), (2, "b")), 1, 0)
-    small = table.compact(work_path(spark, "compacted"))
-    small.write_batch(rows(spark, (None, "c")), 1, 0)
-    assert texts(small) == {None: "c", 2: "b"} and small.current().count() == 2
+    table.write_batch(rows(spark, (None, "a"), (None, "c"), (2, "b")), 1, 0)
+    assert texts(table) == {2: "b"} and table.history().count() == 1
+    assert [tuple(r)[:3] for r in table.rejects().collect()] == [("L", None, "null key")] * 2
 
 
 def test_reading_prunes_folders_and_keys_early(spark):

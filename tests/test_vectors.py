@@ -62,6 +62,24 @@ def test_filters(pairs):
     assert filters.has_embedding(pairs, "a").count() == 6
 
 
+def test_nearly_equal_records_are_told_apart(spark):
+    rows = [(1, [1.0, 6e-4]), (2, [1.0, 0.0])]
+    records = spark.createDataFrame(rows, "id bigint, embedding array<float>")
+    queries = spark.createDataFrame([(0, [1.0, 0.0])], "q bigint, embedding array<float>")
+    assert search.vector_search(records, [1.0, 0.0], 2, 1, key="id").first()["id"] == 2
+    for size in (1 << 20, 1):
+        found = search.vector_search_many(records, queries, 2, 1, key="id", query_key="q", query_bytes=size)
+        assert found.first()["id"] == 2
+
+
+def test_one_bad_query_refuses_all(spark):
+    records, queries = some_vectors(spark, 30, 6, "id"), some_vectors(spark, 20, 1, "q")
+    bad = queries.unionByName(spark.createDataFrame([(99, [1.0, 2.0])], "q bigint, embedding array<float>"))
+    for size in (1 << 20, 1):
+        with pytest.raises(search.DimensionMismatch):
+            search.vector_search_many(records, bad, 8, 5, key="id", query_key="q", query_bytes=size)
+
+
 def brute(queries, records, k, metric):
     """(query row, key) of the k best, from the plain definition."""
     found = []
@@ -77,7 +95,7 @@ def brute(queries, records, k, metric):
                 score = (q * r).sum()
             else:
                 score = -math.sqrt(((q - r) ** 2).sum())
-            scored.append((-round(score, 6) + 0.0, key))
+            scored.append((-score + 0.0, key))
         found += [(qi, key) for _, key in sorted(scored)[:k]]
     return found
 
@@ -95,7 +113,7 @@ def test_scan_equals_brute_force(records, queries, k, metric, batch_rows, random
     table = table.take(random.sample(range(len(records)), len(records)))
     matrix = np.array(queries, dtype=np.float64)
     best = kernels.best_per_query(
-        table.to_batches(max_chunksize=batch_rows), matrix, k, "id", "v", ["id"], metric, 6
+        table.to_batches(max_chunksize=batch_rows), matrix, k, "id", "v", ["id"], metric
     )
     found = [] if best is None else list(zip(best["_query"].to_pylist(), map(int, best["id"].to_pylist())))
     assert found == brute(matrix, np.array(records, dtype=np.float64), k, metric)

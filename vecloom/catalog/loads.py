@@ -291,8 +291,8 @@ def limit_stream_counts(spark, folder):
     "load_job",
     f"""WITH {sql.hashed(DOCS, DIMS, 'd_')}, {sql.hashed("SELECT 0 AS key, 'the with and that is' AS text", DIMS, 'q_')},
     scored AS (SELECT d.key AS doc_id, {sql.cosine('d.embedding', 'q.embedding')} AS score FROM d_list d, q_list q)
-    SELECT doc_id, score, (SELECT count(*) FROM documents) AS verified FROM scored WHERE NOT isnan(score)
-    ORDER BY score DESC, doc_id LIMIT 5""",
+    SELECT doc_id, {sql.shown()}, (SELECT count(*) FROM documents) AS verified FROM (
+        SELECT * FROM scored WHERE NOT isnan(score) ORDER BY score DESC, doc_id LIMIT 5)""",
 )
 def load_job(spark, folder):
     """Load, verify and search in one go: the five documents nearest to a typed query."""
@@ -302,7 +302,7 @@ def load_job(spark, folder):
         mode="batch", search_text="the with and that is",
     )
     verified = result.verification.filter("passes").select("total")
-    return result.nearest.select("doc_id", "score").withColumn("verified", verified.scalar())
+    return result.nearest.select("doc_id", (F.round("score", 6) + 0.0).alias("score")).withColumn("verified", verified.scalar())
 
 
 # --- the keyed table -----------------------------------------------------------------------
@@ -323,7 +323,7 @@ def event_table(spark: SparkSession, folder: str, label) -> VectorTable:
     """All events in one batch, keyed by user: the last event of a user is the current one."""
     table = new_table(spark, EVENT, "user_id", order_by=["ts", "event_id"])
     events = load_table(spark, folder, "events").withColumn("label", label)
-    table.write_batch(events, table.open_run("events"), 0)
+    table.write_batch(events, table.open_run("events"), 0, many_labels=True)
     return table
 
 
@@ -403,7 +403,7 @@ VECTOR = T.StructType(
 
 def label_table(spark: SparkSession, folder: str) -> VectorTable:
     table = new_table(spark, VECTOR, "vec_id")
-    table.write_batch(load_table(spark, folder, "embeddings"), table.open_run("embeddings"), 0)
+    table.write_batch(load_table(spark, folder, "embeddings"), table.open_run("embeddings"), 0, many_labels=True)
     return table
 
 
@@ -433,3 +433,103 @@ def compact_table(spark, folder):
     """The current state rewritten as a table of one version per record."""
     compacted = event_table(spark, folder, F.lit("User")).compact(work_path(spark, "compacted"))
     return compacted.history("User").select("user_id", "event_id", "event_type")
+
+
+# --- the order of writing, other tables' checkpoints, refused rows --------------------------
+
+
+def shouted(text: str, times: int):
+    return F.concat(F.col(text), F.lit("!" * times))
+
+
+def versions_of(spark: SparkSession, folder: str, times: int, residue: int) -> DataFrame:
+    """The documents of one residue class, with a text that tells the write they come from."""
+    rows = documents(spark, folder).filter(F.col("doc_id") % 3 <= residue)
+    return rows.select("doc_id", shouted("text", times).alias("text"), "lang", F.lit("Document").alias("label"))
+
+
+@register(
+    "upsert_interleaved_runs",
+    """SELECT doc_id, text || CASE doc_id % 3 WHEN 0 THEN '!!!' WHEN 1 THEN '!!' ELSE '!' END AS text FROM documents""",
+)
+def upsert_interleaved_runs(spark, folder):
+    """Run A writes, run B writes, run A goes on: the last write of a key wins, whatever its run."""
+    table = new_table(spark, partial_rows=True)
+    first = table.open_run("a")
+    table.write_batch(versions_of(spark, folder, 1, 2), first, 0)
+    table.write_batch(versions_of(spark, folder, 2, 1), table.open_run("b"), 0)
+    table.write_batch(versions_of(spark, folder, 3, 0), table.open_run("a", fresh=False), 1)
+    # Doing an earlier batch again does not make it later.
+    table.write_batch(versions_of(spark, folder, 1, 2), first, 0)
+    return table.read_label("Document").select("doc_id", "text")
+
+
+@register(
+    "delete_then_resume",
+    """SELECT doc_id, text || '!!' AS text FROM documents WHERE doc_id % 3 <= 1""",
+)
+def delete_then_resume(spark, folder):
+    """A run writes, its label is deleted, the same run goes on: what comes back is there."""
+    table = new_table(spark)
+    run = table.open_run("a")
+    table.write_batch(versions_of(spark, folder, 1, 2).withColumn("embedding", F.lit(None)), run, 0)
+    table.delete_label("Document", table.open_run("cleanup"))
+    again = versions_of(spark, folder, 2, 1).withColumn("embedding", F.lit(None))
+    table.write_batch(again, table.open_run("a", fresh=False), 1)
+    return table.read_label("Document").select("doc_id", "text")
+
+
+@register("checkpoint_reset_other_table", "SELECT doc_id, text FROM documents")
+def checkpoint_reset_other_table(spark, folder):
+    """A fresh load with another table's checkpoint setting takes all rows."""
+    path, files = document_files(spark, folder, 1)
+    config = document_load(spark, path, files)
+    stream_load(spark, config, hashing(), new_table(spark))
+    other = new_table(spark)
+    stream_load(spark, config, hashing(), other)
+    return other.read_label("Document").select("doc_id", "text")
+
+
+@register(
+    "compact_then_stream",
+    "SELECT doc_id, text FROM documents",
+)
+def compact_then_stream(spark, folder):
+    """Half of the source, compaction, then the rest into the compacted table, which resumes there."""
+    (first, second), path = document_slices(spark, folder, 2)
+    config = document_load(spark, path, 1_000_000)
+    first.write.mode("append").parquet(path)
+    table = new_table(spark)
+    stream_load(spark, config, hashing(), table)
+    compacted = table.compact(work_path(spark, "compacted"))
+    second.write.mode("append").parquet(path)
+    stream_load(spark, config, hashing(), compacted, clear_checkpoint=False)
+    return compacted.history("Document").select("doc_id", "text")
+
+
+@register(
+    "load_rejects",
+    """SELECT doc_id, 'ValueError: text too long' AS reason FROM documents WHERE length(text) > 2000 AND lang <> 'de'
+    UNION ALL SELECT NULL, 'null key' FROM documents WHERE lang = 'de'""",
+)
+def load_rejects(spark, folder):
+    """Rows that get no vector, and rows without a key, with the reasons."""
+    config = LoadConfig(label="Document", key="doc_id")
+    table = new_table(spark)
+    key = F.when(F.col("lang") != "de", F.col("doc_id")).alias("doc_id")
+    run = open_run(spark, config, short_texts_only(), table)
+    process_batch(documents(spark, folder).select(key, "text", "lang"), 0, run)
+    return table.rejects("Document").select("doc_id", "reason")
+
+
+@register(
+    "read_label_after_compact",
+    """SELECT user_id, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id
+    ORDER BY event_type = 'purchase' DESC, ts DESC, event_id DESC) AS nth FROM events) WHERE nth = 1""",
+)
+def read_label_after_compact(spark, folder):
+    """The state of a compacted table with a later run on top."""
+    table = event_table(spark, folder, F.lit("User")).compact(work_path(spark, "compacted"))
+    purchases = load_table(spark, folder, "events").filter(F.col("event_type") == "purchase")
+    table.write_batch(purchases.withColumn("label", F.lit("User")), table.open_run("purchases"), 0)
+    return table.read_label("User").select("user_id", "event_id")

@@ -46,4 +46,9 @@ def vector_cells(source: str, key: str, vector: str = "embedding") -> str:
 
 
 def cosine(a: str, b: str) -> str:
-    return f"round(list_cosine_similarity({a}::DOUBLE[], {b}::DOUBLE[]), 6) + 0.0"
+    return f"list_cosine_similarity({a}::DOUBLE[], {b}::DOUBLE[])"
+
+
+def shown(score: str = "score") -> str:
+    """A score as the queries give it; ranks come from the whole value."""
+    return f"round({score}, 6) + 0.0 AS score"

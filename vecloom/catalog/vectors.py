@@ -60,7 +60,7 @@ PROVIDER_SUMMARY = " UNION ALL ".join(
 @register("embedding_provider", PROVIDER_SUMMARY)
 def embedding_provider(spark, folder):
     """All providers behind one interface."""
-    config = EmbeddingConfig("any", DIMS, key_column="doc_id")
+    config = EmbeddingConfig("bge-large-en", DIMS, key_column="doc_id")
     found = [
         create_embedding_provider(name, config).check(documents(spark, folder)).withColumn("provider", F.lit(name))
         for name in ("random", "custom", "hosted", "hashing")
@@ -105,7 +105,7 @@ def embed_model(spark, folder):
 )
 def embed_hosted(spark, folder):
     """Long texts in windows of 128 words, averaged; nothing is cut off."""
-    provider = HostedProvider(EmbeddingConfig("hosted", DIMS), max_words=128)
+    provider = HostedProvider(EmbeddingConfig("hosted", DIMS), max_units=128, count_units=models.word_units)
     return cells(provider.add_embeddings(documents(spark, folder)), "doc_id")
 
 
@@ -269,25 +269,30 @@ def first_question(spark, folder) -> list[float]:
     f"""WITH {sql.hashed(DOCS, DIMS, 'd_')}, {sql.hashed(FIRST_QUESTION, DIMS, 'q_')},
     scored AS (SELECT d.key AS doc_id, {sql.cosine('d.embedding', 'q.embedding')} AS score
         FROM d_list d CROSS JOIN q_list q)
-    SELECT doc_id, text, score FROM scored JOIN documents USING (doc_id)
-    WHERE NOT isnan(score) ORDER BY score DESC, doc_id LIMIT 5""",
+    SELECT doc_id, text, {sql.shown()} FROM (SELECT * FROM scored WHERE NOT isnan(score) ORDER BY score DESC, doc_id LIMIT 5)
+    JOIN documents USING (doc_id)""",
 )
 def vector_search(spark, folder):
     """Projection, null filter, hashing, validity filter and search for one question."""
     records = embedded_documents(spark, folder)
-    return search.vector_search(records, first_question(spark, folder), DIMS, 5, key="doc_id", columns=["text"])
+    return shown(search.vector_search(records, first_question(spark, folder), DIMS, 5, key="doc_id", columns=["text"]))
+
+
+def shown(found: DataFrame) -> DataFrame:
+    """Scores to six digits, after all ranking."""
+    return found.withColumn("score", F.round("score", 6) + 0.0)
 
 
 @register(
     "vector_search_euclidean",
     """WITH q AS (SELECT embedding::DOUBLE[] AS q FROM embeddings ORDER BY vec_id LIMIT 1)
-    SELECT vec_id, round(list_distance(embedding::DOUBLE[], q), 6) + 0.0 AS score FROM embeddings, q
-    ORDER BY 2, 1 LIMIT 5""",
+    SELECT vec_id, round(s, 6) + 0.0 AS score FROM (
+        SELECT vec_id, list_distance(embedding::DOUBLE[], q) AS s FROM embeddings, q ORDER BY 2, 1 LIMIT 5)""",
 )
 def vector_search_euclidean(spark, folder):
     stored = load_table(spark, folder, "embeddings")
     query = stored.orderBy("vec_id").limit(1).first()["embedding"]
-    return search.vector_search(stored, query, DIMS, 5, key="vec_id", metric="euclidean")
+    return shown(search.vector_search(stored, query, DIMS, 5, key="vec_id", metric="euclidean"))
 
 
 @register(
@@ -299,20 +304,20 @@ def vector_search_scored(spark, folder):
     stored = load_table(spark, folder, "embeddings")
     query = stored.orderBy("vec_id").limit(1).first()["embedding"]
     found = search.vector_search_scored(stored, query, DIMS)
-    return found.select("vec_id", (F.col("score") + 0.0).alias("score"))
+    return shown(found.select("vec_id", "score"))
 
 
 @register(
     "top_k",
     """WITH q AS (SELECT embedding::DOUBLE[] AS q FROM embeddings ORDER BY vec_id LIMIT 1)
-    SELECT vec_id, label, round(list_inner_product(embedding::DOUBLE[], q), 6) + 0.0 AS score FROM embeddings, q
-    ORDER BY 3 DESC, 1 LIMIT 10""",
+    SELECT vec_id, label, round(s, 6) + 0.0 AS score FROM (SELECT vec_id, label,
+        list_inner_product(embedding::DOUBLE[], q) AS s FROM embeddings, q ORDER BY 3 DESC, 1 LIMIT 10)""",
 )
 def top_k(spark, folder):
     stored = load_table(spark, folder, "embeddings")
     query = stored.orderBy("vec_id").limit(1).first()["embedding"]
     scored = search.vector_search_scored(stored, query, DIMS, metric="dot_product")
-    return search.top_k(scored, 10, "vec_id", "dot_product").select("vec_id", "label", "score")
+    return shown(search.top_k(scored, 10, "vec_id", "dot_product").select("vec_id", "label", "score"))
 
 
 MANY = f"""{SEARCH_CTE},
@@ -320,13 +325,13 @@ MANY = f"""{SEARCH_CTE},
         FROM d_list d CROSS JOIN q_list q),
     ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank
         FROM scored WHERE NOT isnan(score))
-    SELECT item_id, doc_id, score, rank FROM ranked WHERE rank <= 5"""
+    SELECT item_id, doc_id, {sql.shown()}, rank FROM ranked WHERE rank <= 5"""
 
 
 def _many(spark, folder, **sizes):
     asked = embed_queries(load_table(spark, folder, "benchmark"), hashing()).select("item_id", "embedding")
     records = embedded_documents(spark, folder)
-    return search.vector_search_many(records, asked, DIMS, 5, key="doc_id", query_key="item_id", **sizes)
+    return shown(search.vector_search_many(records, asked, DIMS, 5, key="doc_id", query_key="item_id", **sizes))
 
 
 @register("vector_search_many", MANY)
@@ -340,7 +345,7 @@ def vector_search_many_grid(spark, folder):
     return _many(spark, folder, query_bytes=8 * DIMS * 15, cell_rows=400)
 
 
-APPROX = """WITH plane AS (SELECT j, i, CASE WHEN substr(md5(j || '-' || i), 1, 1) < '8' THEN 1 ELSE -1 END AS h
+PLACED = """WITH plane AS (SELECT j, i, CASE WHEN substr(md5(j || '-' || i), 1, 1) < '8' THEN 1 ELSE -1 END AS h
         FROM range(6) a(j), range(64) b(i)),
     side AS (SELECT vec_id, j, sum(h * (embedding[i + 1])::DOUBLE) > 0 AS up
         FROM embeddings, plane GROUP BY ALL),
@@ -348,10 +353,12 @@ APPROX = """WITH plane AS (SELECT j, i, CASE WHEN substr(md5(j || '-' || i), 1,
     record AS (SELECT vec_id, label, embedding::DOUBLE[] AS e, cell FROM embeddings JOIN placed USING (vec_id)),
     query AS (SELECT label AS query_label, e AS q, cell AS q_cell FROM record
         WHERE vec_id IN (SELECT min(vec_id) FROM embeddings GROUP BY label)),
-    scored AS (SELECT query_label, vec_id, round(list_cosine_similarity(e, q), 6) + 0.0 AS score
-        FROM record, query WHERE bit_count(xor(cell, q_cell)) <= 2)
-    SELECT * FROM (SELECT query_label, vec_id, score,
-        row_number() OVER (PARTITION BY query_label ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+    every AS (SELECT query_label, vec_id, list_cosine_similarity(e, q) AS score, bit_count(xor(cell, q_cell)) AS apart
+        FROM record, query)"""
+
+APPROX = f"""{PLACED}
+    SELECT query_label, vec_id, {sql.shown()}, rank FROM (SELECT query_label, vec_id, score,
+        row_number() OVER (PARTITION BY query_label ORDER BY score DESC, vec_id)::INTEGER AS rank FROM every WHERE apart <= 2)
     WHERE rank <= 5"""
 
 
@@ -363,25 +370,42 @@ def label_questions(stored: DataFrame) -> DataFrame:
     )
 
 
-def _approx(spark, folder, **sizes) -> DataFrame:
+def _approx(spark, folder, radius: int = 2, **sizes) -> DataFrame:
     stored = load_table(spark, folder, "embeddings")
     path = work_path(spark, "index")
     ann.write_index(stored, path, DIMS, bits=6)
     index = spark.read.parquet(path)
     return ann.vector_search_approx(
-        index, label_questions(stored), DIMS, 5, key="vec_id", query_key="query_label", bits=6, **sizes
+        index, label_questions(stored), DIMS, 5, key="vec_id", query_key="query_label", bits=6, radius=radius, **sizes
     )
 
 
+@register(
+    "vector_search_approx_recall",
+    f"""{PLACED},
+    exact AS (SELECT query_label, vec_id FROM (SELECT *, row_number() OVER (PARTITION BY query_label
+        ORDER BY score DESC, vec_id) AS nth FROM every) WHERE nth <= 5),
+    near AS (SELECT query_label, vec_id FROM (SELECT *, row_number() OVER (PARTITION BY query_label
+        ORDER BY score DESC, vec_id) AS nth FROM every WHERE apart <= 4) WHERE nth <= 5)
+    SELECT query_label, count(*) AS wanted, count(n.vec_id) AS found, count(n.vec_id) / count(*) AS recall
+    FROM exact x LEFT JOIN near n USING (query_label, vec_id) GROUP BY query_label""",
+)
+def approximate_recall(spark, folder):
+    """Share of the exact neighbours found within four of six bits."""
+    stored = load_table(spark, folder, "embeddings")
+    exact = search.vector_search_many(stored, label_questions(stored), DIMS, 5, key="vec_id", query_key="query_label")
+    return ann.recall(_approx(spark, folder, radius=4), exact, "query_label", "vec_id")
+
+
 @register("vector_search_approx", APPROX)
 def vector_search_approx(spark, folder):
-    return _approx(spark, folder)
+    return shown(_approx(spark, folder))
 
 
 @register("vector_search_approx_join", APPROX)
 def vector_search_approx_join(spark, folder):
     """The same search with the query size set so low that queries are joined to their cells."""
-    return _approx(spark, folder, query_bytes=8 * DIMS * 3)
+    return shown(_approx(spark, folder, query_bytes=8 * DIMS * 3))
 
 
 @register(

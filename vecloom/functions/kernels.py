@@ -8,7 +8,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+import time
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -134,78 +136,140 @@ def hash_vectors(batches: Iterator[pa.Array], dims: int) -> Iterator[pa.Array]:
 Encoder = Callable[[list[str]], "list[list[float] | None] | np.ndarray"]
 
 
-def encode_slice(encode: Encoder, texts: list[str]) -> list:
-    """One model call; if it fails, one call per text so that only the bad texts are lost."""
+class ModelOutage(RuntimeError):
+    """A model answers nothing, whatever the text."""
+
+
+@dataclass(frozen=True)
+class Retry:
+    """How often a model that does not answer is asked, the seconds between, and a text any model takes."""
+
+    attempts: int
+    wait: float
+    probe: str
+
+
+def _asked(encode: Encoder, texts: list[str]) -> tuple[list, list[str | None]]:
+    """One call; if it fails, one call per text, with the reason for each that fails alone."""
     try:
         found = list(encode(texts))
         if len(found) == len(texts):
-            return found
-    except Exception:
-        pass
+            return found, [None if v is not None else "the model gives no vector" for v in found]
+        reason = f"{len(found)} vectors for {len(texts)} texts"
+    except Exception as error:
+        reason = f"{type(error).__name__}: {error}"
     if len(texts) == 1:
-        return [None]
-    return [encode_slice(encode, [t])[0] for t in texts]
+        return [None], [reason]
+    each = [_asked(encode, [t]) for t in texts]
+    return [v[0] for v, _ in each], [r[0] for _, r in each]
+
 
+def encode_slice(encode: Encoder, texts: list[str], retry: Retry) -> tuple[list, list[str | None]]:
+    """Vectors and reasons of a slice; raises if the model is down.
+
+    Where every text fails, a probe tells bad texts from a model that is down.
+    """
+    for attempt in range(retry.attempts):
+        found, reasons = _asked(encode, texts)
+        if any(v is not None for v in found):
+            return found, reasons
+        if _asked(encode, [retry.probe])[0][0] is not None:
+            return found, reasons
+        if attempt + 1 < retry.attempts:
+            time.sleep(retry.wait)
+    raise ModelOutage(f"no answer in {retry.attempts} attempts: {reasons[0]}")
 
-def split_windows(text: str, max_words: int) -> list[tuple[str, int]]:
-    """A text as consecutive windows of at most `max_words` words, with their word counts."""
-    words = [w for w in SPACE.split(text) if w]
-    if len(words) <= max_words:
-        return [(text, max(len(words), 1))]
-    parts = [words[i : i + max_words] for i in range(0, len(words), max_words)]
-    return [(" ".join(p), len(p)) for p in parts]
+
+def byte_units(text: str) -> int:
+    return len(text.encode())
+
+
+def _halves(part: str, count: Callable[[str], int], most: int) -> list[tuple[str, int]]:
+    """A part without spaces in pieces of at most `most` units; a single character is not split."""
+    units = count(part)
+    if units <= most or len(part) < 2:
+        return [(part, units)]
+    middle = len(part) // 2
+    return _halves(part[:middle], count, most) + _halves(part[middle:], count, most)
+
+
+def split_windows(text: str, most: int, count: Callable[[str], int] | None = None) -> list[tuple[str, int]]:
+    """A text as consecutive windows of at most `most` units, with their units.
+
+    Windows end at spaces where they can; what has no space is split inside.
+    """
+    count = count or byte_units
+    space = count(" ")
+    whole = count(text)
+    if whole <= most:
+        return [(text, max(whole, 1))]
+    windows: list[tuple[str, int]] = []
+    held: list[str] = []
+    units = 0
+    for word in SPACE.split(text):
+        for part, size in _halves(word, count, most) if word else []:
+            if held and units + space + size > most:
+                windows.append((" ".join(held), units))
+                held, units = [], 0
+            held.append(part)
+            units += size + (space if units else 0)
+    return [*windows, (" ".join(held), max(units, 1))] if held else windows or [("", 1)]
 
 
 def encode_column(
-    encode: Encoder, column: pa.Array, slice_rows: int, normalize: bool, max_words: int | None
+    encode: Encoder, column: pa.Array, slice_rows: int, normalize: bool, windows: tuple, retry: Retry
 ) -> pa.Array:
-    """One vector per text; null in or a failed call gives null out.
+    """One (vector, reason) per text; null in gives null out.
 
-    With `max_words`, a long text is encoded window by window and the windows are
-    averaged by word count, so the whole text counts.
+    A long text is encoded window by window and the windows are averaged by their units,
+    so the whole text counts. Each slice is added up as one matrix.
     """
+    most, count = windows
     owners: list[int] = []
     weights: list[int] = []
     texts: list[str] = []
     for row, text in enumerate(column.to_pylist()):
-        if text is None:
-            continue
-        for part, words in split_windows(text, max_words) if max_words else [(text, 1)]:
+        for part, units in [] if text is None else split_windows(text, most, count) if most else [(text, 1)]:
             owners.append(row)
-            weights.append(words)
+            weights.append(units)
             texts.append(part)
 
-    result: list = [None] * len(column)
-    failed: set[int] = set()
+    rows = len(column)
+    reasons: list[str | None] = [None] * rows
+    sums: np.ndarray | None = None
+    lengths = np.full(rows, -1)
+    # Vectors of a length of their own: kept as they are, for the length check that follows.
+    odd: dict[int, np.ndarray] = {}
     for start in range(0, len(texts), slice_rows):
-        stop = start + slice_rows
-        found = encode_slice(encode, texts[start:stop])
-        for row, weight, vector in zip(owners[start:stop], weights[start:stop], found):
-            if vector is None or row in failed:
-                failed.add(row)
-                result[row] = None
-                continue
-            part = np.asarray(vector, dtype=np.float64) * weight
-            if result[row] is None:
-                result[row] = part
-            elif result[row].shape == part.shape:
-                result[row] = result[row] + part
-            else:
-                failed.add(row)
-                result[row] = None
-
-    spans: dict[int, int] = {}
-    for row, weight in zip(owners, weights):
-        spans[row] = spans.get(row, 0) + weight
-    out = []
-    for row, vector in enumerate(result):
-        if vector is None:
-            out.append(None)
-        elif normalize:
-            out.append(unit_rows(vector[None, :])[0].astype(np.float32))
-        else:
-            out.append((vector / spans[row]).astype(np.float32))
-    return pa.array(out, type=pa.list_(pa.float32()))
+        found, why = encode_slice(encode, texts[start : start + slice_rows], retry)
+        good = [k for k, v in enumerate(found) if v is not None]
+        for k, reason in enumerate(why):
+            if found[k] is None:
+                reasons[owners[start + k]] = reasons[owners[start + k]] or reason
+        vectors = [np.asarray(found[k], dtype=np.float64) for k in good]
+        owner = np.array([owners[start + k] for k in good], dtype=np.int64)
+        weight = np.array([weights[start + k] for k in good], dtype=np.float64)
+        if sums is None and vectors:
+            sums = np.zeros((rows, len(vectors[0])))
+        fits = [k for k, v in enumerate(vectors) if v.shape == sums.shape[1:]]
+        for k in set(range(len(vectors))) - set(fits):
+            odd[int(owner[k])] = vectors[k]
+        if fits:
+            np.add.at(sums, owner[fits], np.stack([vectors[k] for k in fits]) * weight[fits, None])
+            lengths[owner[fits]] = sums.shape[1]
+
+    good = (lengths >= 0) & np.array([r is None for r in reasons], dtype=bool)
+    total = np.bincount(np.array(owners, np.int64), np.array(weights, float), rows) if owners else np.zeros(rows)
+    if sums is None:
+        sums = np.zeros((rows, 0))
+    result = unit_rows(sums) if normalize else sums / np.maximum(total, 1)[:, None]
+    if odd:
+        listed = [odd.get(k, result[k] if good[k] else None) for k in range(rows)]
+        listed = [None if reasons[k] is not None else v for k, v in enumerate(listed)]
+        vectors = pa.array([None if v is None else v.astype(np.float32) for v in listed], pa.list_(pa.float32()))
+    else:
+        vectors = to_vectors(result, ~good)
+    return pa.StructArray.from_arrays([vectors, pa.array(reasons, pa.string())], ["vector", "reason"])
 
 
 def encode_batches(
@@ -213,17 +277,19 @@ def encode_batches(
     factory: Callable[[], Encoder],
     slice_rows: int,
     normalize: bool,
-    max_words: int | None,
+    windows: tuple,
+    retry: Retry,
 ) -> Iterator[pa.Array]:
     encode = factory()
     for column in batches:
-        yield encode_column(encode, column, slice_rows, normalize, max_words)
+        yield encode_column(encode, column, slice_rows, normalize, windows, retry)
 
 
 # --- similarity search ---------------------------------------------------------------------
 
-# Scores held at a time, so that the score matrix stays in the processor's cache.
-SCORE_CELLS = 1 << 20
+# Scores held at a time, so that the score matrix stays in the processor's cache, and the
+# queries among them.
+SCORE_CELLS, SCORE_QUERIES = 1 << 20, 1024
 
 
 def directions(matrix: np.ndarray) -> np.ndarray:
@@ -232,51 +298,34 @@ def directions(matrix: np.ndarray) -> np.ndarray:
     return matrix / np.where(norms == 0, np.nan, norms)
 
 
-def gain_matrix(queries: np.ndarray, records: np.ndarray, metric: str) -> np.ndarray:
-    """queries x records, higher is better; NaN where the metric is undefined.
+def pair_gains(queries: np.ndarray, records: np.ndarray, metric: str) -> np.ndarray:
+    """Gain of each query with the record beside it, higher is better.
 
-    For the cosine both sides are directions already.
+    Each pair is summed for itself, so that equal vectors have equal gains wherever they lie.
     """
     if metric == "euclidean":
-        return np.stack([-np.sqrt(((records - q) ** 2).sum(axis=1)) for q in queries])
-    return queries @ records.T
+        return -np.sqrt(((records - queries) ** 2).sum(axis=1))
+    products = (queries * records).sum(axis=1)
+    if metric == "dot_product":
+        return products
+    norms = np.sqrt((queries * queries).sum(axis=1)) * np.sqrt((records * records).sum(axis=1))
+    return products / np.where(norms == 0, np.nan, norms)
 
 
-def candidates(
-    gains: np.ndarray,
-    floor: np.ndarray,
-    k: int,
-    digits: int,
-    key_rank: Callable[[], np.ndarray],
-    keys: np.ndarray | None,
-    last_key: np.ndarray | None,
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query, record, rounded gain) of all entries that can still be among the k best.
-
-    `floor` is the gain a query's k-th candidate has now, and `last_key` its key. Entries
-    equal to the bar count only if they are among the k smallest keys, so a table full of
-    copies gives few candidates too.
+def rough_gains(queries: np.ndarray, records: np.ndarray, metric: str) -> tuple[np.ndarray, float]:
+    """queries x records by one matrix product, and how far off its values may be.
+
+    Euclidean gains are squared distances with the sign turned. Undefined ones are NaN.
     """
-    slack = 10.0**-digits
-    bar = floor
-    better = np.count_nonzero(gains > (floor + slack)[:, None])
-    if better > 4 * k * len(floor) and gains.shape[1] > k:
-        known = np.where(np.isnan(gains), -np.inf, gains)
-        best = np.partition(known, gains.shape[1] - k, axis=1)[:, gains.shape[1] - k]
-        bar = np.maximum(floor, np.round(best, digits))
-    query, row = np.nonzero(gains >= (bar - slack)[:, None])
-    gain = np.round(gains[query, row], digits) + 0.0
-    keep = gain > bar[query]
-    tied = np.flatnonzero(gain == bar[query])
-    if keys is not None and last_key is not None:
-        at_floor = (bar == floor)[query[tied]]
-        tied = tied[~(at_floor & (keys[row[tied]] > last_key[query[tied]]))]
-    if len(tied):
-        tied = tied[np.lexsort((key_rank()[row[tied]], query[tied]))]
-        owner = query[tied]
-        place = np.arange(len(tied)) - np.searchsorted(owner, owner, side="left")
-        keep[tied[place < k]] = True
-    return query[keep], row[keep], gain[keep]
+    products = queries @ records.T
+    if metric != "euclidean":
+        largest = np.nanmax(np.abs(products), initial=0.0)
+        return products, 1e-12 * max(1.0, largest) * queries.shape[1]
+    squares, others = (queries * queries).sum(axis=1), (records * records).sum(axis=1)
+    products *= 2
+    products -= squares[:, None]
+    products -= others[None, :]
+    return products, 1e-13 * (np.nanmax(squares, initial=0.0) + np.nanmax(others, initial=0.0)) * queries.shape[1]
 
 
 def keep_best(pool: pa.Table, k: int, key: str) -> pa.Table:
@@ -284,10 +333,65 @@ def keep_best(pool: pa.Table, k: int, key: str) -> pa.Table:
     order = pc.sort_indices(
         pool, sort_keys=[("_query", "ascending"), ("_gain", "descending"), (key, "ascending")]
     )
-    pool = pool.take(order)
-    query = pool["_query"].to_numpy()
+    query = pool["_query"].to_numpy()[order.to_numpy()]
     rank = np.arange(len(query)) - np.searchsorted(query, query, side="left")
-    return pool.filter(pa.array(rank < k))
+    return pool.take(order.filter(pa.array(rank < k)))
+
+
+class BestPool:
+    """The k best records of each query so far, with a buffer that is pruned when it has doubled."""
+
+    def __init__(self, queries: np.ndarray, k: int, key: str, columns: list[str], metric: str):
+        self.queries, self.k, self.key, self.columns, self.metric = queries, k, key, columns, metric
+        self.rough = directions(queries) if metric == "cosine" else queries
+        self.floor = np.full(len(queries), -np.inf)
+        self.parts: list[pa.Table] = []
+        self.rows, self.kept = 0, 0
+
+    def offer(self, batch: pa.RecordBatch, records: np.ndarray, asking: np.ndarray) -> None:
+        """Records that can still be among the best of the asking queries go into the buffer."""
+        sides = directions(records) if self.metric == "cosine" else records
+        gains, slack = rough_gains(self.rough[asking], sides, self.metric)
+        floor = self.floor[asking]
+        # A gain is compared with the floor on its own scale.
+        bar = -(floor * floor) if self.metric == "euclidean" else floor
+        if gains.shape[1] > self.k and np.count_nonzero(gains > bar[:, None]) > 4 * self.k * len(asking):
+            known = np.where(np.isnan(gains), -np.inf, gains)
+            best = np.partition(known, gains.shape[1] - self.k, axis=1)[:, gains.shape[1] - self.k]
+            bar = np.maximum(bar, best)
+        query, row = np.nonzero(gains >= (bar - slack)[:, None])
+        if not len(query):
+            return
+        gain = pair_gains(self.queries[asking[query]], records[row], self.metric)
+        able = ~np.isnan(gain) & (gain >= floor[query])
+        query, row, gain = query[able], row[able], gain[able]
+        if len(query) > 2 * self.k * len(asking):
+            # Many ties, as among copies: the k best by gain and key are enough.
+            rank = np.empty(batch.num_rows, np.int64)
+            rank[pc.sort_indices(batch.column(self.key)).to_numpy()] = np.arange(batch.num_rows)
+            order = np.lexsort((rank[row], -gain, query))
+            place = np.arange(len(order)) - np.searchsorted(query[order], query[order], side="left")
+            order = order[place < self.k]
+            query, row, gain = query[order], row[order], gain[order]
+        picked = {"_query": pa.array(asking[query]), "_gain": pa.array(gain)}
+        for name in self.columns:
+            picked[name] = batch.column(name).take(pa.array(row))
+        self.parts.append(pa.table(picked))
+        self.rows += len(query)
+        if self.rows > 2 * max(self.kept, 4096):
+            self.prune()
+
+    def prune(self) -> pa.Table | None:
+        if not self.parts:
+            return None
+        pool = keep_best(pa.concat_tables(self.parts), self.k, self.key)
+        self.parts, self.rows, self.kept = [pool], pool.num_rows, pool.num_rows
+        held = pool["_query"].to_numpy()
+        count = np.bincount(held, minlength=len(self.floor))
+        end = np.cumsum(count) - 1
+        full = count >= self.k
+        self.floor[full] = pool["_gain"].to_numpy()[end[full]]
+        return pool
 
 
 def best_per_query(
@@ -298,61 +402,26 @@ def best_per_query(
     vector: str,
     columns: list[str],
     metric: str,
-    digits: int,
     query_cells: np.ndarray | None = None,
     cell: str | None = None,
     radius: int = 0,
 ) -> pa.Table | None:
-    """Scan record batches, holding only k candidates per query at any time."""
-    count, dims = queries.shape
-    if metric == "cosine":
-        queries = directions(queries)
-    floor = np.full(count, -np.inf)
-    last_key: np.ndarray | None = None
-    pool: pa.Table | None = None
-
-    def offer(batch: pa.RecordBatch, asking: np.ndarray) -> None:
-        nonlocal pool, last_key
-        records = to_matrix(batch.column(vector), dims)
-        if metric == "cosine":
-            records = directions(records)
-
-        def key_rank() -> np.ndarray:
-            rank = np.empty(batch.num_rows, dtype=np.int64)
-            rank[pc.sort_indices(batch.column(key)).to_numpy()] = np.arange(batch.num_rows)
-            return rank
-
-        # Whole-number keys can be compared with the last key held before any sorting.
-        keys = batch.column(key)
-        numbers = keys.to_numpy() if pa.types.is_integer(keys.type) and not keys.null_count else None
-        if numbers is not None and last_key is None:
-            last_key = np.full(count, np.iinfo(numbers.dtype).max, dtype=numbers.dtype)
-        last = None if numbers is None else last_key[asking]
-
-        gains = gain_matrix(queries[asking], records, metric)
-        query, row, gain = candidates(gains, floor[asking], k, digits, key_rank, numbers, last)
-        if not len(query):
-            return
-        picked = {"_query": pa.array(asking[query]), "_gain": pa.array(gain)}
-        for name in columns:
-            picked[name] = batch.column(name).take(pa.array(row))
-        fresh = pa.table(picked)
-        pool = keep_best(fresh if pool is None else pa.concat_tables([pool, fresh]), k, key)
-        held = pool["_query"].to_numpy()
-        end = np.searchsorted(held, np.arange(count), side="right") - 1
-        full = np.bincount(held, minlength=count) >= k
-        floor[full] = pool["_gain"].to_numpy()[end[full]]
-        if last_key is not None and not pool[key].null_count:
-            last_key[full] = pool[key].to_numpy()[end[full]]
+    """Scan record batches, holding a small multiple of k candidates per query at any time."""
+    pool = BestPool(queries, k, key, columns, metric)
 
     def offer_in_steps(batch: pa.RecordBatch, asking: np.ndarray) -> None:
-        step = max(1, SCORE_CELLS // max(len(asking), 1))
-        for start in range(0, batch.num_rows if len(asking) else 0, step):
-            offer(batch.slice(start, step), asking)
+        if not batch.num_rows or not len(asking):
+            return
+        step = max(1, SCORE_CELLS // min(len(asking), SCORE_QUERIES))
+        for start in range(0, batch.num_rows, step):
+            part = batch.slice(start, step)
+            records = to_matrix(part.column(vector), queries.shape[1])
+            for first in range(0, len(asking), SCORE_QUERIES):
+                pool.offer(part, records, asking[first : first + SCORE_QUERIES])
 
     for batch in batches:
         if query_cells is None:
-            offer_in_steps(batch, np.arange(count))
+            offer_in_steps(batch, np.arange(len(queries)))
             continue
         # Files hold one cell each, so this is mostly one round.
         cells = batch.column(cell).to_numpy()
@@ -361,10 +430,11 @@ def best_per_query(
             inside = cells == here
             offer_in_steps(batch if inside.all() else batch.filter(pa.array(inside)), near)
 
-    if pool is None:
+    best = pool.prune()
+    if best is None:
         return None
     sign = -1.0 if metric == "euclidean" else 1.0
-    return pool.append_column("score", pa.array(sign * pool["_gain"].to_numpy() + 0.0))
+    return best.append_column("score", pa.array(sign * best["_gain"].to_numpy() + 0.0))
 
 
 def hyperplanes(bits: int, dims: int) -> np.ndarray:

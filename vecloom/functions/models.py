@@ -11,6 +11,11 @@ import pyarrow as pa
 from vecloom.functions import kernels
 
 
+def word_units(text: str) -> int:
+    """Words between white space, as the units of a model that counts words."""
+    return sum(1 for w in kernels.SPACE.split(text) if w)
+
+
 class CountingEncoder:
     """Signed word counts per hash bucket, not normalized."""
 

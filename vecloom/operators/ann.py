@@ -8,6 +8,7 @@ not depend on the data, so records added later need no new training.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -15,9 +16,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vecloom.functions import kernels
-from vecloom.functions.vector import METRICS
 from vecloom.operators import search
 from vecloom.operators.filters import valid_embeddings
+from vecloom.operators.project import quoted
 
 CELL_BITS = 8
 
@@ -54,11 +55,19 @@ def write_index(
     )
 
 
+def flips(bits: int, radius: int) -> list[int]:
+    """The cells at most `radius` bits away from cell 0; XOR with a cell gives its own."""
+    out = [0]
+    for size in range(1, min(radius, bits) + 1):
+        out += [sum(1 << b for b in some) for some in combinations(range(bits), size)]
+    return out
+
+
 def near_cells(cells: Sequence[int], bits: int, radius: int) -> list[int]:
     """All cells that differ from one of `cells` in at most `radius` bits."""
-    every = np.arange(1 << bits, dtype=np.int64)
-    apart = np.bitwise_count(every[:, None] ^ np.asarray(cells, dtype=np.int64)[None, :])
-    return [int(c) for c in every[(apart <= radius).any(axis=1)]]
+    masks = np.array(flips(bits, radius), dtype=np.int64)
+    near = [np.int64(c) ^ masks for c in sorted(set(int(c) for c in cells))]
+    return [int(c) for c in np.unique(np.concatenate(near))] if near else []
 
 
 def vector_search_approx(
@@ -80,31 +89,33 @@ def vector_search_approx(
 
     Every candidate is rescored exactly. The cell is a partition column of the index, so
     a few queries read only the cells near them; queries beyond `query_bytes` are sent to
-    their near cells by a join.
+    their near cells by a join. Cells tell angles, so the metric must be the cosine. A query
+    table with one vector of a wrong length is refused.
     """
-    if metric not in METRICS:
-        raise ValueError(f"unknown metric {metric!r}; choose one of {list(METRICS)}")
-    wanted = queries.select(query_key, F.col(query_vector).alias("_vector"))
-    most = max(1, query_bytes // (8 * dimensions))
-    head = wanted.limit(most + 1).collect()
-    usable = [row for row in head if row["_vector"] is not None]
-    for row in usable:
-        search.guard_dimensions(dimensions, len(row["_vector"]))
-    if len(head) > most:
-        placed = with_cells(wanted, dimensions, "_vector", bits)
-        flips = F.array(*[F.lit(c).cast("bigint") for c in near_cells([0], bits, radius)])
-        near = F.explode(F.transform(flips, lambda f: F.col("cell").bitwiseXOR(f)))
-        spread = placed.select(query_key, "_vector", near.alias("cell"))
-        cells_of = index.withColumn("cell", F.col("cell").cast("bigint"))
-        left, right = search._cell_grid(cells_of, spread, most, search.CELL_ROWS)
-        found = search._grid(left, right, dimensions, k, key, query_key, [], vector, metric, ["cell"])
-    else:
+    search._check(metric, k)
+    if metric != "cosine":
+        raise ValueError("the cells of this index are angular: search it by cosine")
+    if query_key == key:
+        raise ValueError("the query key needs a name of its own")
+    search.guard_queries(queries, dimensions, query_vector)
+    wanted = queries.select(quoted(query_key), quoted(query_vector).alias("_vector"))
+    if search.fits(wanted, query_key, query_bytes, dimensions):
+        usable = wanted.filter(F.col("_vector").isNotNull()).collect()
         matrix = np.array([row["_vector"] for row in usable], dtype=np.float64).reshape(-1, dimensions)
         cells = kernels.sign_cells(matrix, kernels.hyperplanes(bits, dimensions))
         near = index.filter(F.col("cell").isin(near_cells(cells, bits, radius)))
         scanned = search._scan(near, matrix, dimensions, k, key, [], vector, metric, cells, "cell", radius)
         found = search._name_queries(scanned, [row[query_key] for row in usable], queries.schema[query_key])
-    return search._rank(found, query_key, key, k, metric).select(query_key, key, "score", "rank")
+    else:
+        placed = with_cells(wanted, dimensions, "_vector", bits)
+        masks = F.array(*[F.lit(c).cast("bigint") for c in flips(bits, radius)])
+        near = F.explode(F.transform(masks, lambda f: F.col("cell").bitwiseXOR(f)))
+        spread = placed.select(quoted(query_key), "_vector", near.alias("cell"))
+        cells_of = index.withColumn("cell", F.col("cell").cast("bigint"))
+        most = max(1, query_bytes // (8 * dimensions))
+        left, right = search._cell_grid(cells_of, spread, most, search.CELL_ROWS)
+        found = search._grid(left, right, dimensions, k, key, query_key, [], vector, metric, ["cell"])
+    return search._rank(found, query_key, key, k, metric).select(quoted(query_key), quoted(key), "score", "rank")
 
 
 def recall(approximate: DataFrame, exact: DataFrame, query_key: str, key: str) -> DataFrame:

@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 from vecloom.operators.project import quoted
 from vecloom.session import work_path
 
-# Below this many rows Spark's own top-n, which ends in one task, is the cheaper plan.
-SMALL_LIMIT = 100_000
-
 _PLACE = "_place"
 
 
@@ -72,12 +69,28 @@ def chunk_count(rows: int, chunk_size: int) -> int:
 
 
 def limit_rows(df: DataFrame, max_rows: int, order_by: Sequence[str]) -> DataFrame:
-    """The first `max_rows` rows by `order_by`; all rows if `max_rows` is not positive."""
+    """The first `max_rows` rows by `order_by` and a hash of the row; all rows if `max_rows` is not positive.
+
+    The last row that is let in is found on the order columns and hashes alone; the
+    whole rows are then only filtered, so they stay in their tasks. Copies of that row are
+    told apart by nothing, so as many as are still wanted are made of one of them.
+    """
     if max_rows <= 0:
         return df
-    if max_rows <= SMALL_LIMIT:
-        return df.orderBy(*order_by).limit(max_rows)
-    return number_rows(df, order_by).filter(F.col("row_num") <= max_rows).drop("row_num")
+    names = [quoted(c) for c in df.columns]
+    hashes = [F.xxhash64(*names).alias("_h1"), F.xxhash64(F.lit(1), *names).alias("_h2")]
+    place = F.struct(*[quoted(c).alias(f"_o{i}") for i, c in enumerate(order_by)], *hashes)
+    narrow = df.select(*[quoted(c).alias(f"_o{i}") for i, c in enumerate(order_by)], *hashes)
+    order = [*(f"_o{i}" for i in range(len(order_by))), "_h1", "_h2"]
+    numbered = number_rows(narrow, order)
+    last = numbered.filter(F.col("row_num") == max_rows).select(F.struct(*order).alias("last"))
+    if last.isEmpty():
+        return df
+    before = numbered.filter(F.struct(*order) < last.scalar()).count()
+    below = df.filter(place < last.scalar())
+    copy = df.filter(place == last.scalar()).limit(1).withColumn("_copies", F.lit(max_rows - before))
+    copies = copy.select(*names, F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*names)
+    return below.unionByName(copies)
 
 
 def sample_rows(df: DataFrame, order_by: Sequence[str], rows: int = 5) -> DataFrame:

@@ -22,11 +22,17 @@ VECTOR_TYPE = "array<float>"
 
 # Context lengths of the hosted models, in tokens.
 HOSTED_CONTEXT = {"bge-large-en": 512, "gte-large-en": 8192}
+# Tokens that a model adds to every text, at its beginning and end.
+SPECIAL_UNITS = 2
 
 MODEL_SLICE = 64
 PROBE_TEXT = "test embedding validation"
 
 
+class NoQueryVector(ValueError):
+    """A provider fails on the text of a query."""
+
+
 @dataclass(frozen=True)
 class EmbeddingConfig:
     """What to embed and how long the vectors must be."""
@@ -48,6 +54,10 @@ class EmbeddingProvider(ABC):
     def vector(self) -> Column:
         """The vector as a column expression over the input row."""
 
+    def outcome(self) -> Column:
+        """The vector, and why there is none where that is known."""
+        return F.struct(self.vector().alias("vector"), F.lit(None).cast("string").alias("reason"))
+
     def add_embeddings(self, df: DataFrame) -> DataFrame:
         return df.withColumn(self.config.output_column, self.vector())
 
@@ -115,8 +125,10 @@ class HashingProvider(EmbeddingProvider):
 class ModelProvider(EmbeddingProvider):
     """A caller's model: `factory()` runs once per task and returns `encode(texts)`.
 
-    A text the model fails on gets NULL and the job goes on. The step is marked
-    non-deterministic so that Spark never evaluates it twice for one row.
+    A text that the model fails on while it answers others gets NULL and a reason. A model
+    that answers nothing, not even a probe text, is asked again `attempts` times with
+    `wait` seconds between, and then fails the task: an outage is no property of the texts.
+    The step is marked non-deterministic so that Spark never evaluates it twice for a row.
     """
 
     def __init__(
@@ -125,37 +137,49 @@ class ModelProvider(EmbeddingProvider):
         factory: Callable[[], kernels.Encoder] | None = None,
         slice_rows: int = MODEL_SLICE,
         normalize: bool = True,
-        max_words: int | None = None,
+        max_units: int | None = None,
+        count_units: Callable[[str], int] | None = None,
+        attempts: int = 3,
+        wait: float = 30.0,
     ):
         super().__init__(config)
         dims = config.dimensions
         self.factory = factory or (lambda: models.HashingEncoder(dims))
         self.slice_rows = slice_rows
         self.normalize = normalize
-        self.max_words = max_words
+        self.max_units = max_units
+        self.count_units = count_units
+        self.retry = kernels.Retry(attempts, wait, "a")
 
-    def vector(self) -> Column:
-        factory, rows = self.factory, self.slice_rows
-        normalize, max_words = self.normalize, self.max_words
+    def outcome(self) -> Column:
+        factory, rows, retry = self.factory, self.slice_rows, self.retry
+        normalize, windows = self.normalize, (self.max_units, self.count_units)
 
-        @F.arrow_udf(VECTOR_TYPE)
+        @F.arrow_udf(f"struct<vector:{VECTOR_TYPE},reason:string>")
         def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            yield from kernels.encode_batches(batches, factory, rows, normalize, max_words)
+            yield from kernels.encode_batches(batches, factory, rows, normalize, windows, retry)
 
         return encoded.asNondeterministic()(F.col(self.config.text_column).cast("string"))
 
+    def vector(self) -> Column:
+        return self.outcome()["vector"]
+
 
 class HostedProvider(ModelProvider):
     """A model with a bounded context.
 
     Texts longer than the context are encoded in windows and averaged, so no part of
-    a text is left out.
+    a text is left out. The context is counted in the model's own units: `count_units`
+    gives the units of a text. Without it every UTF-8 byte counts as one, since no token is
+    shorter than a byte. A model that is not in the table needs its `max_units` named.
     """
 
-    def __init__(self, config: EmbeddingConfig, factory=None, max_words: int | None = None, **kwargs):
-        if max_words is None:
-            max_words = HOSTED_CONTEXT.get(config.endpoint_name, min(HOSTED_CONTEXT.values()))
-        super().__init__(config, factory, max_words=max_words, **kwargs)
+    def __init__(self, config: EmbeddingConfig, factory=None, max_units: int | None = None, **kwargs):
+        if max_units is None:
+            if config.endpoint_name not in HOSTED_CONTEXT:
+                raise ValueError(f"name max_units for the unknown model {config.endpoint_name!r}")
+            max_units = HOSTED_CONTEXT[config.endpoint_name] - SPECIAL_UNITS
+        super().__init__(config, factory, max_units=max_units, **kwargs)
 
 
 PROVIDERS = {
@@ -192,4 +216,7 @@ def embed_queries(queries: DataFrame, provider: EmbeddingProvider, text: str = "
 def embed_query(spark: SparkSession, text: str, provider: EmbeddingProvider) -> list[float]:
     """One query vector, for a search whose query is typed in."""
     row = provider.add_embeddings(query_frame(spark, [text], provider)).first()
-    return row[provider.config.output_column]
+    vector = row[provider.config.output_column]
+    if vector is None:
+        raise NoQueryVector(f"{provider.config.endpoint_name} gives no vector for the query text")
+    return vector

@@ -14,8 +14,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from vecloom.functions import kernels
 from vecloom.functions.vector import DISTANCE_METRICS, METRICS, similarity
 from vecloom.operators.filters import valid_embeddings
-
-SCORE_DIGITS = 6
+from vecloom.operators.project import quoted
 
 # Query vectors sent with every task may take this much; a larger table takes the grid.
 QUERY_BYTES = 32 << 20
@@ -45,7 +44,7 @@ def best_first(metric: str, score: str = "score"):
 
 def top_k(scored: DataFrame, k: int, key: str, metric: str = "cosine") -> DataFrame:
     """The k best rows by `score`; the smaller key wins a tie."""
-    return scored.orderBy(best_first(metric), key).limit(k)
+    return scored.orderBy(best_first(metric), quoted(key)).limit(k)
 
 
 def vector_search(
@@ -61,14 +60,13 @@ def vector_search(
 ) -> DataFrame:
     """The k records nearest to one query vector: key, columns, score.
 
-    Scores are rounded before ranking so that ties break on the key and not on the
-    last bits of a sum. Records whose score is undefined are left out.
+    One query needs no matrix, so it is a column expression and Spark's own top-k; only
+    the wanted columns are read. Records whose score is undefined are left out.
     """
     _check(metric, k)
-    guard_dimensions(dimensions, len(query))
-    matrix = np.array([query], dtype=np.float64)
-    found = _scan(records, matrix, dimensions, k, key, list(columns), vector, metric)
-    return top_k(found.drop("_query"), k, key, metric).select(key, *columns, "score")
+    scored = vector_search_scored(records, query, dimensions, vector=vector, metric=metric)
+    defined = scored.filter(F.col("score").isNotNull() & ~F.isnan("score"))
+    return top_k(defined, k, key, metric).select(quoted(key), *[quoted(c) for c in columns], "score")
 
 
 def vector_search_scored(
@@ -83,8 +81,16 @@ def vector_search_scored(
     _check(metric, 1)
     guard_dimensions(dimensions, len(query))
     literal = F.array(*[F.lit(float(x)) for x in query])
-    score = F.round(similarity(metric, F.col(vector), literal), SCORE_DIGITS)
-    return valid_embeddings(records, dimensions, vector).withColumn("score", score)
+    return valid_embeddings(records, dimensions, vector).withColumn("score", similarity(metric, quoted(vector), literal))
+
+
+def guard_queries(queries: DataFrame, dimensions: int, vector: str) -> None:
+    """Refuse a query table if any of its vectors has another length; null vectors are no queries."""
+    size = F.size(quoted(vector))
+    wrong = F.when(quoted(vector).isNotNull() & (size != dimensions), size)
+    found = queries.agg(F.max(wrong).alias("found")).first()["found"]
+    if found is not None:
+        guard_dimensions(dimensions, found)
 
 
 def _scan(
@@ -106,7 +112,7 @@ def _scan(
     """
     kept = list(dict.fromkeys([key, *columns]))
     needed = [*kept, vector, *([cell] if cell else [])]
-    source = valid_embeddings(records, dimensions, vector).select(*needed)
+    source = valid_embeddings(records, dimensions, vector).select(*[quoted(c) for c in needed])
     schema = T.StructType(
         [
             T.StructField("_query", T.LongType()),
@@ -118,7 +124,7 @@ def _scan(
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = kernels.best_per_query(
-            batches, queries, k, key, vector, kept, metric, SCORE_DIGITS, query_cells, cell, radius
+            batches, queries, k, key, vector, kept, metric, query_cells, cell, radius
         )
         if best is not None:
             yield from best.select(arrow.names).cast(arrow).combine_chunks().to_batches()
@@ -128,7 +134,7 @@ def _scan(
 
 def _rank(candidates: DataFrame, query_key: str, key: str, k: int, metric: str) -> DataFrame:
     """The k best of each query; Spark prunes to k per query before the shuffle."""
-    window = Window.partitionBy(query_key).orderBy(best_first(metric), key)
+    window = Window.partitionBy(quoted(query_key)).orderBy(best_first(metric), quoted(key))
     return candidates.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= k)
 
 
@@ -149,31 +155,37 @@ def vector_search_many(
 ) -> DataFrame:
     """The k nearest records of every query: query_key, key, columns, score, rank.
 
-    Queries that fit in `query_bytes` go to the tasks that scan the records, which are
-    then not shuffled. More queries than that take the grid, see `_grid`.
+    Queries that fit in `query_bytes`, their keys included, go to the tasks that scan the
+    records, which are then not shuffled. More queries than that take the grid, see `_grid`.
+    Both give the same rows, and refuse the whole table if one query has a wrong length.
+    Ranks come from the exact scores.
     """
     _check(metric, k)
     if query_key == key or query_key in columns:
         raise ValueError("the query key needs a name of its own")
-    wanted = queries.select(query_key, F.col(query_vector).alias("_vector"))
+    guard_queries(queries, dimensions, query_vector)
+    wanted = queries.select(quoted(query_key), quoted(query_vector).alias("_vector"))
     most = max(1, query_bytes // (8 * dimensions))
-    head = wanted.limit(most + 1).collect()
-    for row in head:
-        if row["_vector"] is not None:
-            guard_dimensions(dimensions, len(row["_vector"]))
-    if len(head) > most:
-        left, right = _whole_grid(records, wanted, most, cell_rows)
-        found = _grid(left, right, dimensions, k, key, query_key, list(columns), vector, metric)
-    else:
-        usable = [row for row in head if row["_vector"] is not None]
+    if fits(wanted, query_key, query_bytes, dimensions):
+        usable = wanted.filter(F.col("_vector").isNotNull()).collect()
         matrix = np.array([row["_vector"] for row in usable], dtype=np.float64).reshape(-1, dimensions)
         found = _name_queries(
             _scan(records, matrix, dimensions, k, key, list(columns), vector, metric),
             [row[query_key] for row in usable],
             queries.schema[query_key],
         )
+    else:
+        left, right = _whole_grid(records, wanted, most, cell_rows)
+        found = _grid(left, right, dimensions, k, key, query_key, list(columns), vector, metric)
     ranked = _rank(found, query_key, key, k, metric)
-    return ranked.select(query_key, *dict.fromkeys([key, *columns]), "score", "rank")
+    return ranked.select(*[quoted(c) for c in (query_key, *dict.fromkeys([key, *columns]))], "score", "rank")
+
+
+def fits(queries: DataFrame, query_key: str, query_bytes: int, dimensions: int) -> bool:
+    """Whether all queries with their keys take at most `query_bytes`."""
+    key = F.coalesce(F.octet_length(quoted(query_key).cast("string")), F.lit(0))
+    size = queries.agg(F.coalesce(F.sum(key + 8 * dimensions), F.lit(0)).alias("n")).first()["n"]
+    return size <= query_bytes
 
 
 def _name_queries(found: DataFrame, keys: list, field: T.StructField) -> DataFrame:
@@ -239,17 +251,17 @@ def _grid(
     group = [*within, "_r", "_q"]
 
     def block(name: str, source: str, count: str):
-        return F.pmod(F.xxhash64(name, source, F.spark_partition_id()), F.col(count))
+        return F.pmod(F.xxhash64(quoted(name), quoted(source), F.spark_partition_id()), F.col(count))
 
     def every(count: str):
         return F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(count) - 1))
 
     left = valid_embeddings(records, dimensions, vector)
     left = left.withColumn("_r", block(key, vector, "_records")).withColumn("_q", every("_queries"))
-    left = left.select(*group, *kept, vector)
+    left = left.select(*group, *[quoted(c) for c in [*kept, vector]])
     right = valid_embeddings(queries, dimensions, "_vector")
     right = right.withColumn("_q", block(query_key, "_vector", "_queries")).withColumn("_r", every("_records"))
-    right = right.select(*group, query_key, "_vector")
+    right = right.select(*group, quoted(query_key), "_vector")
 
     schema = T.StructType(
         [
@@ -266,7 +278,7 @@ def _grid(
         best = None
         if len(matrix):
             batches = some_records.combine_chunks().to_batches()
-            best = kernels.best_per_query(batches, matrix, k, key, vector, kept, metric, SCORE_DIGITS)
+            best = kernels.best_per_query(batches, matrix, k, key, vector, kept, metric)
         if best is None:
             return arrow.empty_table()
         names = some_queries[query_key].combine_chunks().take(best["_query"].combine_chunks())

@@ -18,14 +18,12 @@ from vecloom.functions.vector import as_float_vector
 from vecloom.operators.chunk import chunk_count, limit_rows
 from vecloom.operators.embed import EmbeddingProvider
 from vecloom.operators.filters import text_not_null
-from vecloom.operators.project import Selector, apply_selector
-from vecloom.sources.store import VectorTable
+from vecloom.operators.project import Selector, apply_selector, quoted
+from vecloom.sources.store import NULL_KEY, VectorTable
 from vecloom.sources.tables import stream_scan, table_scan
 from vecloom.streaming import ledger as books
 from vecloom.streaming.ledger import BatchLedger, batch_totals
 
-ERROR_LENGTH = 1000
-
 
 @dataclass
 class LoadConfig:
@@ -35,6 +33,7 @@ class LoadConfig:
     not see those rows again. `write_partitions` caps the number of concurrent writers;
     without it every task of the scan writes its own rows. `embed_partitions` spreads the
     rows over so many tasks before a costly model, for sources with few splits.
+    `batch_files` bounds the rows of a written file by `batch_size`.
     """
 
     label: str
@@ -43,6 +42,7 @@ class LoadConfig:
     source_path: str | None = None
     source_schema: StructType | None = None
     batch_size: int = 5000
+    batch_files: bool = False
     write_partitions: int | None = None
     embed_partitions: int | None = None
     checkpoint: str | None = None
@@ -60,10 +60,18 @@ class LoadRun:
     table: VectorTable
     run_seq: int
     ledger: BatchLedger
-    written: dict[int, int] = field(default_factory=dict)
+    _through: int | None = None
+    _written: int = 0
 
     def written_before(self, batch_id: int) -> int:
-        return sum(rows for batch, rows in self.written.items() if batch < batch_id)
+        """Rows written by earlier batches: a running total, summed by Spark after a restart or a replay."""
+        if self._through is None or batch_id <= self._through:
+            self._written, self._through = self.ledger.written_before(self.run_seq, batch_id), batch_id - 1
+        return self._written
+
+    def count_written(self, batch_id: int, rows: int) -> None:
+        if self._through is not None and batch_id > self._through:
+            self._written, self._through = self._written + rows, batch_id
 
     def totals(self) -> dict:
         return batch_totals(self.ledger.rows(self.run_seq)).first().asDict()
@@ -73,8 +81,7 @@ def open_run(
     spark: SparkSession, config: LoadConfig, provider: EmbeddingProvider, table: VectorTable, fresh: bool = True
 ) -> LoadRun:
     run_seq = table.open_run(config.checkpoint or table.root, fresh)
-    ledger = BatchLedger(spark, table.root)
-    return LoadRun(config, provider, table, run_seq, ledger, {} if fresh else ledger.written(run_seq))
+    return LoadRun(config, provider, table, run_seq, BatchLedger(spark, table.root))
 
 
 def prepare(df: DataFrame, config: LoadConfig, provider: EmbeddingProvider, selector: Selector | None) -> DataFrame:
@@ -96,7 +103,7 @@ def process_batch(batch: DataFrame, batch_id: int, run: LoadRun) -> None:
     def record(status: str, **counts) -> None:
         seconds = time.perf_counter() - clock
         run.ledger.record(run.run_seq, batch_id, status, started, seconds, rows_skipped=skipped, **counts)
-        run.written[batch_id] = counts.get("rows_written", 0)
+        run.count_written(batch_id, counts.get("rows_written", 0))
 
     if config.max_rows > 0:
         found = batch.agg(F.count(F.lit(1)).alias("n")).first()["n"]
@@ -110,7 +117,7 @@ def process_batch(batch: DataFrame, batch_id: int, run: LoadRun) -> None:
     try:
         rows_read, rows_valid = _write(batch, batch_id, run)
     except Exception as error:
-        record(books.FAILED, error=str(error)[:ERROR_LENGTH])
+        record(books.FAILED, error=str(error))
         raise
     status = books.EMPTY if rows_read == 0 else books.WRITTEN if rows_valid else books.NO_VALID
     record(
@@ -123,25 +130,34 @@ def process_batch(batch: DataFrame, batch_id: int, run: LoadRun) -> None:
 
 
 def _write(batch: DataFrame, batch_id: int, run: LoadRun) -> tuple[int, int]:
-    """One write action; the counts come out of it, so nothing is embedded twice."""
+    """One write action; the counts come out of it, so nothing is embedded twice.
+
+    Rows without a key or a good vector are written as rejects of the same batch.
+    """
     config, provider = run.config, run.provider
     vector = provider.config.output_column
     if config.embed_partitions:
         batch = batch.repartition(config.embed_partitions)
-    embedded = provider.add_embeddings(batch)
-    embedded = embedded.withColumn(vector, as_float_vector(F.col(vector)))
+    outcome = batch.withColumn("_outcome", provider.outcome())
+    embedded = outcome.withColumn(vector, as_float_vector(F.col("_outcome.vector")))
     if config.write_partitions:
         # Not by key alone: a key may be hot, and the table does not need its rows together.
-        spread = F.xxhash64(config.key, provider.config.text_column, F.spark_partition_id())
+        spread = F.xxhash64(quoted(config.key), quoted(provider.config.text_column), F.spark_partition_id())
         embedded = embedded.repartition(config.write_partitions, spread)
+    size, wanted = F.coalesce(F.size(quoted(vector)), F.lit(-1)), provider.config.dimensions
+    reason = F.coalesce(
+        F.when(quoted(config.key).isNull(), F.lit(NULL_KEY)),
+        F.col("_outcome.reason"),
+        F.when(quoted(vector).isNull(), F.lit("no vector")),
+        F.when(size != wanted, F.format_string(f"vector of %d values, not {wanted}", size)),
+    )
+    judged = embedded.withColumn("reason", reason).drop("_outcome")
     seen = Observation()
-    counted = embedded.observe(
-        seen,
-        F.count(F.lit(1)).alias("read"),
-        F.count_if(F.size(vector) == provider.config.dimensions).alias("valid"),
+    counted = judged.observe(
+        seen, F.count(F.lit(1)).alias("read"), F.count_if(F.col("reason").isNull()).alias("valid")
     )
-    valid = provider.filter_valid_embeddings(counted).withColumn("label", F.lit(config.label))
-    run.table.write_batch(valid, run.run_seq, batch_id)
+    rows = counted.withColumn("label", F.lit(config.label))
+    run.table.write_batch(rows, run.run_seq, batch_id, config.batch_size if config.batch_files else None)
     return seen.get["read"], seen.get["valid"]
 
 
@@ -185,7 +201,7 @@ def stream_load(
     query = (
         prepare(source, config, provider, selector)
         .writeStream.foreachBatch(lambda batch, batch_id: process_batch(batch, batch_id, run))
-        .option("checkpointLocation", f"{config.checkpoint}/run-{run.run_seq}")
+        .option("checkpointLocation", table.checkpoint_folder(run.run_seq))
         .trigger(availableNow=True)
         .start()
     )

@@ -1,31 +1,38 @@
 """The keyed vector table: versioned batches of parquet, resolved to one row per key on read.
 
 A load appends and never reads or shuffles what is there: batch B of run R goes to
-`run_seq=R/batch_id=B/label=L`, and writing that batch again replaces exactly those
-files. The current state is the latest version of each (label, key).
+`run_seq=R/batch_id=B/commit=C/label=L`. Commits are numbered in the order of writing;
+writing a batch again replaces exactly its files and keeps its number. The current state is
+the version of each (label, key) with the highest commit. Rows with a reason against them
+are kept beside the records with key and reason only, and belong to no state.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vecloom.operators.project import quoted
+from vecloom.sources import files
 
-RUNS_SCHEMA = T.StructType([T.StructField("run_seq", T.LongType()), T.StructField("checkpoint", T.StringType())])
+RUNS_SCHEMA = T.StructType(
+    [
+        T.StructField("run_seq", T.LongType()),
+        T.StructField("checkpoint", T.StringType()),
+        T.StructField("folder", T.StringType()),
+    ]
+)
+NULL_KEY = "null key"
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    try:
+    if files.exists(spark, path):
         return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+    return spark.createDataFrame([], schema)
 
 
 def one_row(spark: SparkSession, values: dict, schema: T.StructType) -> DataFrame:
@@ -35,8 +42,11 @@ def one_row(spark: SparkSession, values: dict, schema: T.StructType) -> DataFram
 
 
 def append_rows(df: DataFrame, path: str, label: str = "label") -> None:
-    """Always add the rows; the same key may then occur many times."""
-    df.write.mode("append").partitionBy(label).parquet(path)
+    """Always add the rows; the same key may then occur many times.
+
+    Rows of a label are brought together for few files; Spark splits a label with many.
+    """
+    df.hint("rebalance", label).write.mode("append").partitionBy(label).parquet(path)
 
 
 class VectorTable:
@@ -68,8 +78,10 @@ class VectorTable:
             + [
                 *([T.StructField("given", T.ArrayType(T.StringType()))] if partial_rows else []),
                 T.StructField("deleted", T.BooleanType()),
+                T.StructField("reason", T.StringType()),
                 T.StructField("run_seq", T.LongType()),
                 T.StructField("batch_id", T.LongType()),
+                T.StructField("commit", T.LongType()),
                 T.StructField("label", T.StringType()),
             ]
         )
@@ -81,8 +93,8 @@ class VectorTable:
     def open_run(self, checkpoint: str, fresh: bool = True) -> int:
         """The run number a checkpoint belongs to; a fresh start gets a new one.
 
-        Batch numbers start again with every checkpoint, so the run number comes first
-        in the version. One writer per table at a time.
+        Each run has a checkpoint folder of its own, which no other run of this or another
+        table shares. One writer per table at a time.
         """
         path = f"{self.root}/runs"
         runs = read_or_empty(self.spark, path, RUNS_SCHEMA)
@@ -91,39 +103,83 @@ class VectorTable:
         if not fresh and row["mine"] is not None:
             return row["mine"]
         run_seq = (row["last"] or 0) + 1
-        values = {"run_seq": run_seq, "checkpoint": checkpoint}
+        folder = f"{checkpoint}/run-{run_seq}-{uuid.uuid4().hex}"
+        values = {"run_seq": run_seq, "checkpoint": checkpoint, "folder": folder}
         one_row(self.spark, values, RUNS_SCHEMA).write.mode("append").parquet(path)
         return run_seq
 
-    def write_batch(self, df: DataFrame, run_seq: int, batch_id: int) -> None:
+    def checkpoint_folder(self, run_seq: int) -> str:
+        runs = read_or_empty(self.spark, f"{self.root}/runs", RUNS_SCHEMA)
+        return runs.filter(F.col("run_seq") == run_seq).first()["folder"]
+
+    def _commit(self, folder: str) -> int:
+        """The commit of a batch: the one it had before, or the next number."""
+        for name in files.children(self.spark, folder):
+            if name.startswith("commit="):
+                return int(name.removeprefix("commit="))
+        number = self._last_commit() + 1
+        while not files.claim(self.spark, f"{self.root}/commits/{number}"):
+            number += 1
+        return number
+
+    def _last_commit(self) -> int:
+        """Commits are claimed as empty files, so that their number is the store's to give."""
+        return max((int(name) for name in files.children(self.spark, f"{self.root}/commits") if name.isdigit()), default=0)
+
+    def write_batch(
+        self, df: DataFrame, run_seq: int, batch_id: int, max_records: int | None = None, many_labels: bool = False
+    ) -> None:
         """Write one batch, replacing an earlier attempt at the same batch.
 
-        `df` needs a `label` column. No shuffle: every task writes its own rows.
+        `df` needs a `label` column; rows with a `reason`, and rows without a key, are kept as
+        rejects. No shuffle: every task writes its own rows, but for `many_labels`, which
+        brings each label's rows together. `max_records` bounds the rows of a file.
         """
+        folder = f"{self.records}/run_seq={run_seq}/batch_id={batch_id}"
+        self._write(df, f"{folder}/commit={self._commit(folder)}", max_records, many_labels)
+
+    def _write(self, df: DataFrame, path: str, max_records: int | None = None, many_labels: bool = False) -> None:
         if "deleted" not in df.columns:
             df = df.withColumn("deleted", F.lit(False))
+        reason = F.when(quoted(self.key).isNull(), F.lit(NULL_KEY))
+        if "reason" in df.columns and "reason" not in self.schema.names:
+            reason = F.coalesce("reason", reason)
         given = self.schema.names
         if self.partial_rows:
             given = [name for name in given if name in df.columns]
-        columns = [
-            (quoted(f.name) if f.name in given else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in self.schema
-        ]
+
+        def stored(field: T.StructField) -> Column:
+            value = quoted(field.name) if field.name in given else F.lit(None)
+            kept = value if field.name == self.key else F.when(F.col("_reason").isNull(), value)
+            return kept.cast(field.dataType).alias(field.name)
+
+        columns = [stored(f) for f in self.schema]
         if self.partial_rows:
             columns.append(F.array(*[F.lit(name) for name in given]).alias("given"))
+        rows = df.withColumn("_reason", reason.cast("string")).select(
+            *columns, "deleted", F.col("_reason").alias("reason"), F.col("label").cast("string").alias("label")
+        )
         (
-            df.select(*columns, "deleted", F.col("label").cast("string").alias("label"))
+            (rows.hint("rebalance", "label") if many_labels else rows)
             .write.mode("overwrite")
-            .option("maxRecordsPerFile", self.max_records_per_file)
+            .option("maxRecordsPerFile", min(self.max_records_per_file, max_records or self.max_records_per_file))
             .partitionBy("label")
-            .parquet(f"{self.records}/run_seq={run_seq}/batch_id={batch_id}")
+            .parquet(path)
         )
 
-    def history(self, label: str | None = None) -> DataFrame:
-        """Every version of every record, deletions included; the label prunes folders."""
+    def _stored(self, label: str | None) -> DataFrame:
         rows = read_or_empty(self.spark, self.records, self.stored)
         return rows if label is None else rows.filter(F.col("label") == label)
 
+    def rejects(self, label: str | None = None) -> DataFrame:
+        """The rows that were refused: label, key, reason, and the batch they came in."""
+        refused = self._stored(label).filter(F.col("reason").isNotNull())
+        return refused.select("label", quoted(self.key), "reason", "run_seq", "batch_id")
+
+    def history(self, label: str | None = None) -> DataFrame:
+        """Every version of every record, deletions included; the label prunes folders."""
+        return self._stored(label).filter(F.col("reason").isNull()).drop("reason")
+
     def current(self, label: str | None = None) -> DataFrame:
         """The latest version of each (label, key).
 
@@ -132,32 +188,23 @@ class VectorTable:
         table only the keys written since are resolved; the rest is read as it is.
         """
         rows = self.history(label)
-        names = self.order_by or self.schema.names
-        last = [quoted(name) for name in names]
-        if not self.order_by:
-            last = [F.xxhash64(*last)]
-        version = [F.col("run_seq"), F.col("batch_id"), *last]
+        row = F.xxhash64(*[quoted(name) for name in self.schema.names])
+        version = [F.col("commit"), *[quoted(name) for name in self.order_by], row]
         if self.partial_rows:
             return self._merged(rows, F.struct(*version))
         if not self._compacted():
             return self._latest(rows, version)
-        later = rows.filter(F.col("run_seq") > 0)
+        later = rows.filter(F.col("commit") > 0)
         changed = later.select(F.col("label").alias("_label"), quoted(self.key).alias("_key")).distinct()
-        base = rows.filter(F.col("run_seq") == 0)
+        base = rows.filter(F.col("commit") == 0)
         unchanged = base.join(
             changed, quoted(self.key).eqNullSafe(F.col("_key")) & (F.col("label") == F.col("_label")), "left_anti"
         )
         return unchanged.drop("deleted").unionByName(self._latest(later, version))
 
     def _compacted(self) -> bool:
-        """Is there a run 0? Only `compact` writes it, with one row per key."""
-        try:
-            self.spark.read.schema(self.stored).parquet(f"{self.records}/run_seq=0")
-            return True
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return False
+        """Is there a run 0? Only `compact` writes it, with one row per key and commit 0."""
+        return files.exists(self.spark, f"{self.records}/run_seq=0")
 
     def _latest(self, rows: DataFrame, version: list[Column]) -> DataFrame:
         latest = Window.partitionBy("label", quoted(self.key)).orderBy(*[v.desc() for v in version])
@@ -192,8 +239,7 @@ class VectorTable:
 
         return found.filter(since_deletion(F.col("_version"))).select(
             *[kept(name) for name in self.schema.names],
-            F.col("_version.run_seq").alias("run_seq"),
-            F.col("_version.batch_id").alias("batch_id"),
+            F.col("_version.commit").alias("commit"),
             "label",
         )
 
@@ -211,13 +257,25 @@ class VectorTable:
             F.lit(True).alias("deleted"),
             "label",
         )
-        self.write_batch(gone.observe(seen, F.count(F.lit(1)).alias("rows")), run_seq, batch_id)
+        self.write_batch(
+            gone.observe(seen, F.count(F.lit(1)).alias("rows")), run_seq, batch_id
+        )
         return seen.get["rows"]
 
     def compact(self, root: str) -> "VectorTable":
-        """Write the current state as a new table of one batch, run 0."""
+        """Write the current state as a new table of one batch, run 0 and commit 0.
+
+        Runs, ledger and commit numbers go along, so streams resume where they were and later
+        commits come after. Rejects stay in the old table.
+        """
         target = VectorTable(
             self.spark, root, self.schema, self.key, self.order_by, self.max_records_per_file, self.partial_rows
         )
-        target.write_batch(self.current(), 0, 0)
+        target._write(self.current(), f"{target.records}/run_seq=0/batch_id=0/commit=0", many_labels=True)
+        if files.exists(self.spark, f"{self.root}/runs"):
+            self.spark.read.schema(RUNS_SCHEMA).parquet(f"{self.root}/runs").write.parquet(f"{root}/runs")
+        if files.exists(self.spark, f"{self.root}/ledger"):
+            ledger = self.spark.read.parquet(f"{self.root}/ledger")
+            ledger.write.partitionBy("run_seq", "batch_id").parquet(f"{root}/ledger")
+        files.claim(self.spark, f"{root}/commits/{self._last_commit()}")
         return target

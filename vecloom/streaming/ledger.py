@@ -70,10 +70,10 @@ class BatchLedger:
         found = read_or_empty(self.spark, self.path, LEDGER_SCHEMA)
         return found if run_seq is None else found.filter(F.col("run_seq") == run_seq)
 
-    def written(self, run_seq: int) -> dict[int, int]:
-        """Rows written by each batch of a run: one small number per batch."""
-        rows = self.rows(run_seq).select("batch_id", "rows_written").collect()
-        return {row["batch_id"]: row["rows_written"] for row in rows}
+    def written_before(self, run_seq: int, batch_id: int) -> int:
+        """Rows that the earlier batches of a run have written."""
+        earlier = self.rows(run_seq).filter(F.col("batch_id") < batch_id)
+        return earlier.agg(F.coalesce(F.sum("rows_written"), F.lit(0)).alias("n")).first()["n"]
 
 
 def throughput(rows: Column, seconds: Column) -> Column:
