@@ -385,6 +385,28 @@ def test_compact(spark):
     assert texts(small) == {2: "y", 7: "new"}
 
 
+def test_untouched_buckets_are_not_shuffled(spark):
+    table = new_table(spark)
+    table.write_batch(rows(spark, *((i, "a") for i in range(300))), 1, 0)
+    small = table.compact(work_path(spark, "compacted"))
+    assert "Exchange" not in plan_of(small.read_label("L"))
+    small.write_batch(rows(spark, (1, "z"), (1000, "new")), 2, 0)
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        plan = plan_of(small.read_label("L"))
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    untouched = next(x for x in plan.split("FileScan")[1:] if "NOT _bucket" in x.split("PartitionFilters: [")[1].split("]")[0])
+    assert "Exchange" not in untouched.split("\n")[0]
+    # The first branch of the union is the scan of the untouched buckets, with nothing above it but projections.
+    assert plan.index("NOT _bucket") < plan.index("Exchange")
+    assert len(texts(small)) == 301 and texts(small)[1] == "z"
+
+
 def test_null_keys_are_refused(spark):
     table = new_table(spark)
     table.write_batch(rows(spark, (None, "a"), (None, "c"), (2, "b")), 1, 0)

@@ -4,7 +4,8 @@ A load appends and never reads or shuffles what is there: batch B of run R goes
 `run_seq=R/batch_id=B/commit=C/label=L`. Commits are numbered in the order of writing;
 writing a batch again replaces exactly its files and keeps its number. The current state is
 the version of each (label, key) with the highest commit. Rows with a reason against them
-are kept beside the records with key and reason only, and belong to no state.
+are kept beside the records with key and reason only, and belong to no state. A compacted
+table has its one version of each key in `base/label=L/bucket=B`.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ RUNS_SCHEMA = T.StructType(
     ]
 )
 NULL_KEY = "null key"
+# Folders of keys in a compacted table; a key's folder depends on its hash alone.
+BUCKETS = 64
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
@@ -171,6 +174,20 @@ class VectorTable:
         rows = read_or_empty(self.spark, self.records, self.stored)
         return rows if label is None else rows.filter(F.col("label") == label)
 
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(quoted(self.key)), F.lit(BUCKETS)).cast("int")
+
+    def _base(self, label: str | None) -> DataFrame:
+        """The compacted rows as versions of run, batch and commit 0, with their bucket."""
+        schema = T.StructType(
+            [f for f in self.stored if f.name not in ("deleted", "reason", "run_seq", "batch_id", "commit", "label")]
+            + [T.StructField("label", T.StringType()), T.StructField("_bucket", T.IntegerType())]
+        )
+        rows = self.spark.read.schema(schema).parquet(f"{self.root}/base")
+        zero = F.lit(0).cast("bigint")
+        rows = rows.withColumns({"deleted": F.lit(False), "run_seq": zero, "batch_id": zero, "commit": zero})
+        return rows if label is None else rows.filter(F.col("label") == label)
+
     def rejects(self, label: str | None = None) -> DataFrame:
         """The rows that were refused: label, key, reason, and the batch they came in."""
         refused = self._stored(label).filter(F.col("reason").isNotNull())
@@ -178,33 +195,38 @@ class VectorTable:
 
     def history(self, label: str | None = None) -> DataFrame:
         """Every version of every record, deletions included; the label prunes folders."""
-        return self._stored(label).filter(F.col("reason").isNull()).drop("reason")
+        later = self._stored(label).filter(F.col("reason").isNull()).drop("reason")
+        if not self._compacted():
+            return later
+        return self._base(label).drop("_bucket").unionByName(later)
 
     def current(self, label: str | None = None) -> DataFrame:
         """The latest version of each (label, key).
 
         Spark keeps one row per key in every task before it shuffles (WindowGroupLimit),
         so a key with very many versions costs no more than any other. In a compacted
-        table only the keys written since are resolved; the rest is read as it is.
+        table only the buckets written to since are resolved; the rest is read as it is.
         """
-        rows = self.history(label)
         row = F.xxhash64(*[quoted(name) for name in self.schema.names])
         version = [F.col("commit"), *[quoted(name) for name in self.order_by], row]
         if self.partial_rows:
-            return self._merged(rows, F.struct(*version))
+            return self._merged(self.history(label), F.struct(*version))
         if not self._compacted():
-            return self._latest(rows, version)
-        later = rows.filter(F.col("commit") > 0)
+            return self._latest(self.history(label), version)
+        later = self._stored(label).filter(F.col("reason").isNull()).drop("reason")
+        touched = [r["b"] for r in later.select(self._bucket().alias("b")).distinct().collect()]
+        base = self._base(label)
+        if not touched:
+            return base.drop("_bucket", "deleted")
         changed = later.select(F.col("label").alias("_label"), quoted(self.key).alias("_key")).distinct()
-        base = rows.filter(F.col("commit") == 0)
-        unchanged = base.join(
-            changed, quoted(self.key).eqNullSafe(F.col("_key")) & (F.col("label") == F.col("_label")), "left_anti"
+        unchanged = base.filter(F.col("_bucket").isin(touched)).join(
+            changed, (quoted(self.key) == F.col("_key")) & (F.col("label") == F.col("_label")), "left_anti"
         )
-        return unchanged.drop("deleted").unionByName(self._latest(later, version))
+        rest = base.filter(~F.col("_bucket").isin(touched)).unionByName(unchanged).drop("_bucket", "deleted")
+        return rest.unionByName(self._latest(later, version))
 
     def _compacted(self) -> bool:
-        """Is there a run 0? Only `compact` writes it, with one row per key and commit 0."""
-        return files.exists(self.spark, f"{self.records}/run_seq=0")
+        return files.exists(self.spark, f"{self.root}/base")
 
     def _latest(self, rows: DataFrame, version: list[Column]) -> DataFrame:
         latest = Window.partitionBy("label", quoted(self.key)).orderBy(*[v.desc() for v in version])
@@ -263,7 +285,7 @@ class VectorTable:
         return seen.get["rows"]
 
     def compact(self, root: str) -> "VectorTable":
-        """Write the current state as a new table of one batch, run 0 and commit 0.
+        """Write the current state as the base of a new table, in folders by label and bucket of keys.
 
         Runs, ledger and commit numbers go along, so streams resume where they were and later
         commits come after. Rejects stay in the old table.
@@ -271,7 +293,15 @@ class VectorTable:
         target = VectorTable(
             self.spark, root, self.schema, self.key, self.order_by, self.max_records_per_file, self.partial_rows
         )
-        target._write(self.current(), f"{target.records}/run_seq=0/batch_id=0/commit=0", many_labels=True)
+        names = [quoted(f.name) for f in self.schema]
+        if self.partial_rows:
+            names.append(F.array(*[F.lit(name) for name in self.schema.names]).alias("given"))
+        (
+            self.current().select(*names, "label", self._bucket().alias("_bucket"))
+            .hint("rebalance", "label", "_bucket")
+            .write.option("maxRecordsPerFile", self.max_records_per_file)
+            .partitionBy("label", "_bucket").parquet(f"{root}/base")
+        )
         if files.exists(self.spark, f"{self.root}/runs"):
             self.spark.read.schema(RUNS_SCHEMA).parquet(f"{self.root}/runs").write.parquet(f"{root}/runs")
         if files.exists(self.spark, f"{self.root}/ledger"):
