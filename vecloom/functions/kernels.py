@@ -355,11 +355,12 @@ class BestPool:
         floor = self.floor[asking]
         # A gain is compared with the floor on its own scale.
         bar = -(floor * floor) if self.metric == "euclidean" else floor
-        if gains.shape[1] > self.k and np.count_nonzero(gains > bar[:, None]) > 4 * self.k * len(asking):
+        able = gains >= (bar - slack)[:, None]
+        if gains.shape[1] > self.k and np.count_nonzero(able) > 4 * self.k * len(asking):
             known = np.where(np.isnan(gains), -np.inf, gains)
             best = np.partition(known, gains.shape[1] - self.k, axis=1)[:, gains.shape[1] - self.k]
-            bar = np.maximum(bar, best)
-        query, row = np.nonzero(gains >= (bar - slack)[:, None])
+            able = gains >= (np.maximum(bar, best) - slack)[:, None]
+        query, row = np.divmod(np.flatnonzero(able), gains.shape[1])
         if not len(query):
             return
         gain = pair_gains(self.queries[asking[query]], records[row], self.metric)
