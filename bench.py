@@ -21,6 +21,7 @@ from vecloom.catalog import loads, rows, vectors  # noqa: F401
 from vecloom.catalog.registry import QUERIES, load_table
 from vecloom.functions import models
 from vecloom.operators.embed import EmbeddingConfig, HashingProvider, ModelProvider, RandomProvider
+from vecloom.operators import search
 from vecloom.plans.load import LoadConfig, batch_load
 from vecloom.session import local_session, work_path
 from vecloom.sources.store import VectorTable
@@ -62,6 +63,17 @@ def load_documents(spark, provider) -> None:
     batch_load(spark, config, provider, table, lambda df: df.select("doc_id", "text", "lang"))
 
 
+def search_many(spark, queries: int, records: int) -> None:
+    """Stored vectors, repeated to the wanted numbers, against each other."""
+    stored = load_table(spark, SF_DIR, "embeddings")
+    times = -(-max(queries, records) // stored.count())
+    copy = F.explode(F.sequence(F.lit(0), F.lit(times - 1))).alias("copy")
+    grown = stored.repartition(int(CPUS)).select("*", copy).select((F.col("copy") * 1_000_000 + F.col("vec_id")).alias("vec_id"), "embedding")
+    asked = grown.select(F.col("vec_id").alias("q"), "embedding").limit(queries)
+    found = search.vector_search_many(grown.limit(records), asked, 64, 5, key="vec_id", query_key="q", query_bytes=64 << 20)
+    found.write.format("noop").mode("overwrite").save()
+
+
 def run_query(spark, name: str) -> None:
     QUERIES[name](spark, SF_DIR).write.format("noop").mode("overwrite").save()
 
@@ -94,6 +106,8 @@ def main() -> None:
         "load_hashing_384": round(documents / timings["load_hashing_384"], 1),
         "load_custom_384": round(documents / timings["load_custom_384"], 1),
     }
+    for queries, records in ((200, 200_000), (10_000, 50_000), (65_536, 8_000)):
+        timings[f"search_{queries}_x_{records}"] = median_time(lambda: search_many(spark, queries, records))
     for name in QUERY_NAMES:
         timings[name] = median_time(lambda: run_query(spark, name))
     print(

@@ -237,3 +237,23 @@ def test_embedding_is_narrow(texts):
         provider = embed.create_embedding_provider(name, named)
         plan = plan_of(provider.filter_valid_embeddings(provider.add_embeddings(texts)))
         assert "Exchange" not in plan and plan.count("ArrowEvalPython") == 1, plan
+
+
+def test_validate_model(spark):
+    from vecloom.plans.validate import validate_model
+
+    def meaning(batch):
+        return [[1.0, float("eat" in t), len(t) / 1e4 + 0.1] for t in batch]
+
+    good = validate_model(spark, embed.ModelProvider(config(3), lambda: meaning))
+    assert {r["check"]: r["passes"] for r in good.collect()} == dict.fromkeys(("basic", "edge", "triplet", "consistency"), True)
+    short = validate_model(spark, embed.ModelProvider(config(2), lambda: meaning))
+    assert not any(r["passes"] for r in short.filter("check in ('basic', 'edge')").collect())
+
+
+def test_requests_refuse_null_texts(spark):
+    from vecloom.operators.wire import build_requests
+
+    chunked = spark.createDataFrame([(1, 0, "a"), (2, 0, None)], "row_num bigint, chunk_id bigint, text string")
+    with pytest.raises(Exception, match="null text"):
+        build_requests(chunked).collect()

@@ -174,6 +174,8 @@ def test_job(spark, files):
     nearest = result.nearest.collect()
     assert len(nearest) == 5 and nearest[0]["score"] == pytest.approx(1.0)
     assert result.report.first()["rows_written"] == 30
+    assert [tuple(r)[:2] for r in result.sample.collect()] == [(i, f"text {i}") for i in range(5)]
+    assert result.rejects.count() == 0
     again = run_job(spark, settings, provider(), table, cleanup=True)
     assert again.deleted == 30 and again.nearest is None and again.report.first()["rows_written"] == 30
     with pytest.raises(ProviderNotReady):

@@ -12,11 +12,13 @@ from copy import copy
 from dataclasses import dataclass, replace
 
 import pyarrow as pa
+from pyspark.errors import PythonException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vecloom.functions import kernels, models
 from vecloom.operators import filters
+from vecloom.operators.project import quoted
 
 VECTOR_TYPE = "array<float>"
 
@@ -66,7 +68,7 @@ class EmbeddingProvider(ABC):
 
     def check(self, texts: DataFrame) -> DataFrame:
         """One row: how many texts went in, and whether every one got a good vector."""
-        vector = F.col(self.config.output_column)
+        vector = quoted(self.config.output_column)
         embedded = self.add_embeddings(texts)
         counts = embedded.agg(
             F.count(F.lit(1)).alias("rows_in"),
@@ -79,7 +81,10 @@ class EmbeddingProvider(ABC):
     def validate(self, spark: SparkSession) -> bool:
         """Embed a probe text before a run, so that a broken model stops it early."""
         probe = query_frame(spark, [PROBE_TEXT], self)
-        return bool(self.check(probe).first()["passes"])
+        try:
+            return bool(self.check(probe).first()["passes"])
+        except PythonException:
+            return False
 
 
 class RandomProvider(EmbeddingProvider):
@@ -90,7 +95,7 @@ class RandomProvider(EmbeddingProvider):
     """
 
     def vector(self) -> Column:
-        key = F.col(self.config.key_column or self.config.text_column).cast("string")
+        key = quoted(self.config.key_column or self.config.text_column).cast("string")
         digest = F.md5(F.coalesce(key, F.lit("")))
 
         def seed(start: int) -> Column:
@@ -119,7 +124,7 @@ class HashingProvider(EmbeddingProvider):
         def hashed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             yield from kernels.hash_vectors(batches, dims)
 
-        return hashed.asNondeterministic()(F.lower(self.config.text_column))
+        return hashed.asNondeterministic()(F.lower(quoted(self.config.text_column)))
 
 
 class ModelProvider(EmbeddingProvider):
@@ -159,7 +164,7 @@ class ModelProvider(EmbeddingProvider):
         def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             yield from kernels.encode_batches(batches, factory, rows, normalize, windows, retry)
 
-        return encoded.asNondeterministic()(F.col(self.config.text_column).cast("string"))
+        return encoded.asNondeterministic()(quoted(self.config.text_column).cast("string"))
 
     def vector(self) -> Column:
         return self.outcome()["vector"]

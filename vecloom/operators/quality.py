@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from vecloom.functions.vector import cosine_similarity, max_abs_difference
 from vecloom.operators.embed import EmbeddingProvider
+from vecloom.operators.project import quoted
 
 TOLERANCE = 1e-5
 
@@ -18,12 +19,12 @@ def count_rows(df: DataFrame) -> DataFrame:
 
 
 def count_embedded(df: DataFrame, vector: str = "embedding") -> DataFrame:
-    return df.agg(F.count(vector).alias("embedded"))
+    return df.agg(F.count(quoted(vector)).alias("embedded"))
 
 
 def dimension_profile(df: DataFrame, dimensions: int, vector: str = "embedding") -> DataFrame:
     """How many vectors have which length; a null length means no vector."""
-    lengths = df.groupBy(F.size(vector).alias("dims")).agg(F.count(F.lit(1)).alias("rows"))
+    lengths = df.groupBy(F.size(quoted(vector)).alias("dims")).agg(F.count(F.lit(1)).alias("rows"))
     return lengths.withColumn("as_expected", F.coalesce(F.col("dims") == dimensions, F.lit(False)))
 
 
@@ -31,19 +32,19 @@ def key_uniqueness(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that break uniqueness: held by several rows, or null."""
     null_key = F.lit(False)
     for key in keys:
-        null_key = null_key | F.col(key).isNull()
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+        null_key = null_key | quoted(key).isNull()
+    counts = df.groupBy(*[quoted(k) for k in keys]).agg(F.count(F.lit(1)).alias("rows"))
     return counts.filter((F.col("rows") > 1) | null_key)
 
 
 def verify_counts(df: DataFrame, vector: str = "embedding") -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("total"), F.count(vector).alias("embedded"))
+    return df.agg(F.count(F.lit(1)).alias("total"), F.count(quoted(vector)).alias("embedded"))
 
 
 def sample_dims(df: DataFrame, key: str, vector: str = "embedding", rows: int = 3) -> DataFrame:
     """A few embedded records with their vector length."""
-    embedded = df.filter(F.col(vector).isNotNull())
-    return embedded.select(key, F.size(vector).alias("dims")).orderBy(key).limit(rows)
+    embedded = df.filter(quoted(vector).isNotNull())
+    return embedded.select(quoted(key), F.size(quoted(vector)).alias("dims")).orderBy(quoted(key)).limit(rows)
 
 
 def verify_load(df: DataFrame, dimensions: int, key: str, vector: str = "embedding") -> DataFrame:
@@ -53,9 +54,9 @@ def verify_load(df: DataFrame, dimensions: int, key: str, vector: str = "embeddi
     """
     counts = df.agg(
         F.count(F.lit(1)).alias("total"),
-        F.count(vector).alias("embedded"),
-        F.count_if(F.size(vector) == dimensions).alias("right_dims"),
-        F.count_distinct(key).alias("distinct_keys"),
+        F.count(quoted(vector)).alias("embedded"),
+        F.count_if(F.size(quoted(vector)) == dimensions).alias("right_dims"),
+        F.count_distinct(quoted(key)).alias("distinct_keys"),
     )
     passes = (
         (F.col("total") > 0)
@@ -77,8 +78,8 @@ def compare_embeddings(
     """
 
     def one_per_key(df: DataFrame, side: str) -> DataFrame:
-        return df.groupBy(key).agg(
-            F.count(F.lit(1)).alias(f"_{side}_rows"), F.min(vector).alias(f"_{side}")
+        return df.groupBy(quoted(key)).agg(
+            F.count(F.lit(1)).alias(f"_{side}_rows"), F.min(quoted(vector)).alias(f"_{side}")
         )
 
     joined = one_per_key(left, "left").join(one_per_key(right, "right"), key, "full")
@@ -105,7 +106,7 @@ def triplet_check(triplets: DataFrame, records: DataFrame, key: str, vector: str
     """
     found = triplets
     for role in ("anchor", "similar", "different"):
-        named = records.select(F.col(key).alias(role), F.col(vector).alias(f"_{role}"))
+        named = records.select(quoted(key).alias(role), quoted(vector).alias(f"_{role}"))
         found = found.join(named, role)
     near = cosine_similarity(F.col("_anchor"), F.col("_similar"))
     far = cosine_similarity(F.col("_anchor"), F.col("_different"))

@@ -5,18 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vecloom.operators.project import quoted
+
 # The two request shapes and the two response shapes.
 RECORDS, INPUT = "dataframe_records", "input"
 NESTED_PREDICTIONS = "struct<predictions:array<array<array<double>>>>"
-FLAT_PREDICTIONS = "struct<predictions:array<array<double>>>"
-DATA = "struct<data:array<struct<embedding:array<double>>>>"
+FLAT = "struct<predictions:array<array<double>>,data:array<struct<embedding:array<double>>>>"
 
 
 def build_requests(chunked: DataFrame, text: str = "text", shape: str = RECORDS) -> DataFrame:
-    """One request row per chunk; a chunk never holds more rows than the chunk size."""
+    """One request row per chunk; a chunk never holds more rows than the chunk size.
+
+    A null text fails the job: left out it would move the places of the texts behind it.
+    """
     if shape not in (RECORDS, INPUT):
         raise ValueError(f"unknown request shape {shape!r}; choose {RECORDS!r} or {INPUT!r}")
-    rows = F.sort_array(F.collect_list(F.struct("row_num", F.col(text).alias("text"))))
+    given = F.coalesce(quoted(text), F.raise_error(F.lit("a request cannot hold a null text")).cast("string"))
+    rows = F.sort_array(F.collect_list(F.struct("row_num", given.alias("text"))))
     if shape == RECORDS:
         body = F.transform("rows", lambda r: F.struct(r["text"].alias("text"))).alias(RECORDS)
     else:
@@ -34,8 +39,8 @@ def response_vectors(body: Column) -> Column:
     Reads `predictions` (also with one more level of nesting) and `data[].embedding`.
     """
     deep = F.from_json(body, NESTED_PREDICTIONS)["predictions"]
-    flat = F.from_json(body, FLAT_PREDICTIONS)["predictions"]
-    data = F.from_json(body, DATA)["data"]
+    parsed = F.from_json(body, FLAT)
+    flat, data = parsed["predictions"], parsed["data"]
     unwrapped = F.transform(deep, lambda v: F.get(v, F.lit(0)))
     usable = F.filter(unwrapped, lambda v: v.isNotNull())
     found = F.coalesce(

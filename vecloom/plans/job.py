@@ -6,8 +6,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from vecloom.functions.vector import embedding_preview, text_preview
+from vecloom.operators.chunk import sample_rows
 from vecloom.operators.embed import EmbeddingProvider, embed_query
-from vecloom.operators.project import Selector
+from vecloom.operators.project import Selector, quoted
 from vecloom.operators.quality import verify_load
 from vecloom.operators.search import vector_search
 from vecloom.plans.load import LoadConfig, run_load
@@ -26,6 +28,8 @@ class JobResult:
     totals: dict
     verification: DataFrame
     report: DataFrame
+    sample: DataFrame
+    rejects: DataFrame
     nearest: DataFrame | None
 
 
@@ -67,5 +71,11 @@ def run_job(
         totals,
         verify_load(records, settings.dimensions, config.key, settings.output_column),
         run_report(BatchLedger(spark, table.root).rows(run_seq), config, provider),
+        sample_rows(records, [config.key]).select(
+            quoted(config.key),
+            text_preview(quoted(settings.text_column)).alias("text"),
+            embedding_preview(quoted(settings.output_column)).alias("values"),
+        ),
+        table.rejects(config.label),
         nearest,
     )
