@@ -66,11 +66,15 @@ def load_documents(spark, provider) -> None:
 def search_many(spark, queries: int, records: int) -> None:
     """Stored vectors, repeated to the wanted numbers, against each other."""
     stored = load_table(spark, SF_DIR, "embeddings")
-    times = -(-max(queries, records) // stored.count())
-    copy = F.explode(F.sequence(F.lit(0), F.lit(times - 1))).alias("copy")
-    grown = stored.repartition(int(CPUS)).select("*", copy).select((F.col("copy") * 1_000_000 + F.col("vec_id")).alias("vec_id"), "embedding")
-    asked = grown.select(F.col("vec_id").alias("q"), "embedding").limit(queries)
-    found = search.vector_search_many(grown.limit(records), asked, 64, 5, key="vec_id", query_key="q", query_bytes=64 << 20)
+    count = stored.count()
+
+    def repeated(rows: int):
+        copy = F.explode(F.sequence(F.lit(0), F.lit(-(-rows // count) - 1))).alias("copy")
+        spread = stored.repartition(int(CPUS)).select("vec_id", "embedding", copy)
+        return spread.select((F.col("copy") * 1_000_000 + F.col("vec_id")).alias("vec_id"), "embedding")
+
+    asked = repeated(queries).withColumnRenamed("vec_id", "q")
+    found = search.vector_search_many(repeated(records), asked, 64, 5, key="vec_id", query_key="q", query_bytes=64 << 20)
     found.write.format("noop").mode("overwrite").save()
 
 
