@@ -128,19 +128,29 @@ def repeated_starts(pieces: list[bytes], least: int = LEAST) -> np.ndarray:
     places.sort()
     bounded = np.zeros(n + 1, bool)
     bounded[[0, n]] = True
+    # Ends of strings that occur once, by where they begin: all that contains one occurs once.
+    once = np.full(n, n + least + 1)
     low, high = np.zeros(1, np.int64), np.full(1, n, np.int64)
-    for _ in range(least):
+    for length in range(1, least + 1):
         if not len(low):
             break
         size = high - low
         inside = before[spans_of(low, size)]
-        pair = np.sort(np.repeat(np.arange(len(low)), size) * 512 + inside)
+        # By symbol first: the searches that follow then go through `places` in order.
+        pair = np.sort((inside << 40) | np.repeat(np.arange(len(low)), size))
         pair = pair[np.r_[True, pair[1:] != pair[:-1]]]
-        interval, symbol = pair >> 9, pair & 511
-        new_high = np.searchsorted(places, symbol * n + high[interval])
-        fresh = ~bounded[new_high]
+        interval, symbol = pair & ((1 << 40) - 1), (pair >> 40) * n
+        new_low = np.searchsorted(places, symbol + low[interval])
+        new_high = np.searchsorted(places, symbol + high[interval])
+        single = new_high == new_low + 1
+        at = order[new_low[single]]
+        once[at] = np.minimum(once[at], at + length)
+        fresh = ~bounded[new_high] & ~single
         bounded[new_high] = True
-        low, high = np.searchsorted(places, symbol[fresh] * n + low[interval[fresh]]), new_high[fresh]
+        low, high = new_low[fresh], new_high[fresh]
+    once = np.minimum.accumulate(once[::-1])[::-1] <= np.arange(n) + least
+    alone = np.flatnonzero(once[order])
+    bounded[alone] = bounded[alone + 1] = True
     joined = ~bounded
     again = np.zeros(n, bool)
     again[order] = joined[:-1] | joined[1:]
