@@ -99,6 +99,22 @@ def op8_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
     return suffixes.digests(spark, _documents(spark, folder), least=400)
 
 
+ORACLES["op8_repeated_passages"] = """
+WITH doc AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+place AS (SELECT doc_id, h, unnest(range(len(h) // 2 - 399)) AS s FROM doc WHERE len(h) >= 800),
+win AS (SELECT doc_id, s, md5(substr(h, 2 * s + 1, 800)) AS w FROM place),
+hit AS (SELECT doc_id, s FROM win WHERE w IN (SELECT w FROM win GROUP BY w HAVING count(*) > 1)),
+edge AS (SELECT doc_id, s, CASE WHEN s <= lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 400 THEN 0 ELSE 1 END AS fresh FROM hit),
+run AS (SELECT doc_id, s, sum(fresh) OVER (PARTITION BY doc_id ORDER BY s) AS g FROM edge),
+span AS (SELECT doc_id, min(s) AS a, max(s) + 400 AS e FROM run GROUP BY doc_id, g),
+cut AS (SELECT doc_id, a, e, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY a), 0) AS b FROM span),
+kept AS (SELECT doc_id, count(*) AS n_spans, sum(e - a) AS n_removed, max(e) AS last,
+    string_agg(substr(h, 2 * b + 1, 2 * (a - b)), '' ORDER BY a) AS k FROM cut JOIN doc USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+    sha256(unhex(coalesce(k, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM doc LEFT JOIN kept USING (doc_id)"""
+
+
 @_query
 def op9_simhash_near_copies(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_copies(spark, _documents(spark, folder), size=3)

@@ -146,9 +146,7 @@ def train(spark: SparkSession, documents: DataFrame, labels: DataFrame, key: str
     )
     scale = np.array([x["r"] for x in top] or [0.0])
     keep[[x["cell"] for x in top]] = np.arange(len(top))
-    sample = texts.orderBy("order", "mark").limit(FIT_ROWS).select("mark", "body")
-    features = _features(sample, "body", ["mark"], keep)
-    rows = features.collect()
+    rows = _features(texts, "body", ["mark", "order"], keep).orderBy("order", "mark").limit(FIT_ROWS).collect()
     cells, total = [], 0
     for x in rows:
         total += len(x["cells"])
