@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vecloom.llm.numbering import with_row
+from vecloom.llm.numbering import numbered
 from vecloom.llm.text import col, flat, helper, mixed, or_empty, powers, spans_of, steps, written
 
 #: Lines of fewer characters are never removed.
@@ -125,7 +125,7 @@ class LineDedup:
     def __init__(self, spark: SparkSession, documents: DataFrame, key: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS):
         self.spark, self.min_chars = spark, max(1, min_chars)
         self.row = helper("row")
-        self.numbered = with_row(documents, self.row)
+        self.numbered = numbered(spark, documents, self.row)
         self.text = text
         self.texts = self.numbered.select(col(key).alias("key"), F.col(self.row).alias("row"), or_empty(text).alias("body"))
         self.key_type = self.texts.schema["key"].dataType

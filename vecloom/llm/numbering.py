@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vecloom.llm.text import col, helper
+from vecloom.llm.text import col, helper, written
 
 
 def with_row(frame: DataFrame, name: str) -> DataFrame:
@@ -13,6 +13,15 @@ def with_row(frame: DataFrame, name: str) -> DataFrame:
     return frame.withColumn(name, F.monotonically_increasing_id())
 
 
+def numbered(spark: SparkSession, frame: DataFrame, name: str) -> DataFrame:
+    """The rows with a number for each, written, so that the numbers hold for every later scan.
+
+    Numbers of a second scan need not be those of the first: how a source is split follows the
+    executors that are there.
+    """
+    return written(spark, with_row(frame, name), "numbered", "zstd")
+
+
 def gapless(frame: DataFrame, groups: list[str], row: str, out: str) -> DataFrame:
     """Numbers 0, 1, ... within each group, in the order of `row` (from `with_row`).
 

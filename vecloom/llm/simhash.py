@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vecloom.llm.components import components
-from vecloom.llm.numbering import with_row
+from vecloom.llm.numbering import numbered
 from vecloom.llm.text import col, flat, helper, or_empty, steps, written
 
 SEED = 42
@@ -125,11 +125,11 @@ def one_of_each(spark: SparkSession, documents: DataFrame, key: str = "doc_id",
     are copies of each other.
     """
     row, names = helper("row"), documents.columns
-    numbered = with_row(documents, row)
-    found = written(spark, fingerprints(numbered, [key, row], text, size, "print"), "prints")
+    rows = numbered(spark, documents, row)
+    found = written(spark, fingerprints(rows, [key, row], text, size, "print"), "prints")
     best = F.min(F.struct(col(key).isNull().alias("n"), col(key).alias("k"), col(row).alias("r"))).alias("best")
     first = written(spark, found.groupBy("print").agg(best), "distinct-prints")
     linked = first.join(classes(spark, first), "print", "left").withColumn("root", F.coalesce("root", "print"))
     kept = linked.groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.r").alias(row))
     gone = written(spark, found.select(row).join(kept, row, "left_anti"), "copies")
-    return numbered.join(gone, row, "left_anti").select(*[col(c) for c in names])
+    return rows.join(gone, row, "left_anti").select(*[col(c) for c in names])

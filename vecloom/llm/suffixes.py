@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vecloom.llm.numbering import with_row
+from vecloom.llm.numbering import numbered
 from vecloom.llm.text import col, flat, helper, mixed, or_empty, powers, spans_of, steps, written
 
 LEAST = 400
@@ -176,7 +176,7 @@ class Repeats:
     def __init__(self, spark: SparkSession, documents: DataFrame, text: str = "text", least: int = LEAST, group_bytes: int = GROUP_BYTES):
         self.spark, self.least, self.group_bytes = spark, least, group_bytes
         self.row = helper("row")
-        self.numbered = with_row(documents, self.row)
+        self.numbered = numbered(spark, documents, self.row)
         self.texts = self.numbered.select(F.col(self.row).alias("row"), or_empty(text).alias("body"))
 
     def _regions(self) -> DataFrame:

@@ -34,10 +34,10 @@ def or_empty(name: str) -> Column:
     return F.coalesce(col(name), F.lit(""))
 
 
-def written(spark: SparkSession, frame: DataFrame, name: str) -> DataFrame:
+def written(spark: SparkSession, frame: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """The rows as a table in the shared folder: lineage ends there and lost executors cost nothing."""
     path = work_path(spark, name)
-    frame.write.parquet(path)
+    (frame.write.option("compression", codec) if codec else frame.write).parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 
