@@ -56,12 +56,11 @@ def test_only_partition_sizes_meet_in_one_task(spark):
     assert "HashAggregate" in plan[single[0] + 1] and "output=[_part" in plan[single[0] + 1]
 
 
-def test_limits(spark, monkeypatch):
+def test_limits(spark):
     df = spark.range(100).select((99 - F.col("id")).alias("k"))
     assert sorted(r["k"] for r in chunk.limit_rows(df, 10, ["k"]).collect()) == list(range(10))
     assert chunk.limit_rows(df, -1, ["k"]).count() == 100
-    monkeypatch.setattr(chunk, "SMALL_LIMIT", 5)
-    assert sorted(r["k"] for r in chunk.limit_rows(df, 10, ["k"]).collect()) == list(range(10))
+    assert sorted(r["k"] for r in chunk.limit_rows(df, 1000, ["k"]).collect()) == list(range(100))
 
 
 def test_chunk_count():
