@@ -25,7 +25,7 @@ from vecloom.llm.text import WordCache, col, helper, list_array, or_empty, spans
 
 MARK = "▁"
 #: Words that a task remembers with their ids before it starts anew; a memory bound.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 #: Rounds before the few words that still merge are finished one by one.
 ROUNDS = 64
 NO_RANK = np.int64(1 << 40)

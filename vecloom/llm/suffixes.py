@@ -30,8 +30,8 @@ from vecloom.llm.text import col, flat, helper, mixed, or_empty, powers, spans_o
 LEAST = 400
 #: Bytes of unlike regions of one gram that a task joins; beyond it windows are counted. Tasks
 #: gather grams up to as many bytes for one transform.
-GROUP_BYTES, GATHER_BYTES = 1 << 22, 1 << 21
-STEP = 1 << 20
+GROUP_BYTES, GATHER_BYTES = 1 << 21, 1 << 19
+STEP = 1 << 19
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x27D4EB2F165667C5)
 
 
@@ -262,19 +262,20 @@ class Repeats:
                         yield from windows([x])
                         continue
                     if group and group[0][0] != x[0]:
-                        ready, ready_bytes = ready + group, ready_bytes + group_bytes
-                        group, group_bytes = [], 0
-                        if ready_bytes >= GATHER_BYTES:
+                        if ready and ready_bytes + group_bytes > GATHER_BYTES:
                             yield from spans(ready)
                             ready, ready_bytes = [], 0
+                        ready, ready_bytes = ready + group, ready_bytes + group_bytes
+                        group, group_bytes = [], 0
                     group.append(x)
                     group_bytes += len(x[4])
                     if group_bytes > most:
                         hot = x[0]
                         yield from windows(group)
                         group, group_bytes = [], 0
-            if ready or group:
-                yield from spans(ready + group)
+            for rest in (ready, group) if ready_bytes + group_bytes > GATHER_BYTES else (ready + group,):
+                if rest:
+                    yield from spans(rest)
 
         return pieces.repartition("gram").sortWithinPartitions("gram").mapInArrow(run, schema)
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from vecloom.session import work_path
 
 #: Text that one numpy step handles at a time; a longer text makes a step of its own.
-STEP_BYTES = 1 << 21
+STEP_BYTES = 1 << 20
 
 
 def quoted(name: str) -> str:

@@ -27,6 +27,8 @@ FEATURES = 4096
 #: Bounds of the sample: labelled keys that are learned from; rows that the regression is
 #: fitted on, and kept buckets that these may have together.
 SAMPLE_ROWS, FIT_ROWS, FIT_CELLS = 50_000, 20_000, 20_000_000
+#: Text that is cut into n-grams at a time: each byte makes four pairs of 8 bytes and their sort.
+STEP = 1 << 18
 SMOOTHING = 0.5
 THRESHOLD = 0.7
 
@@ -68,7 +70,7 @@ def _features(texts: DataFrame, body: str, keys: list[str], keep: np.ndarray | N
     schema = T.StructType([*[f for f in texts.schema if f.name != body], T.StructField("cells", T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches, body):
+        for batch in steps(batches, body, STEP):
             owner, cell = buckets(*flat(batch.column(len(keys))), keep)
             ends = np.searchsorted(owner, np.arange(batch.num_rows + 1)).astype(np.int32)
             cells = pa.ListArray.from_arrays(pa.array(ends), pa.array(cell.astype(np.int32)))
@@ -82,7 +84,7 @@ def _counts(texts: DataFrame, body: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         toxic, clean = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
-        for batch in steps(batches, body):
+        for batch in steps(batches, body, STEP):
             label = batch.column(0).to_numpy(zero_copy_only=False).astype(bool)
             owner, cell = buckets(*flat(batch.column(1)))
             mark = label[owner]
@@ -169,7 +171,7 @@ def score(spark: SparkSession, documents: DataFrame, model: tuple[np.ndarray, np
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep, weights, bias = shared.value
-        for batch in steps(batches, body):
+        for batch in steps(batches, body, STEP):
             owner, cell = buckets(*flat(batch.column(len(keys))), keep)
             margin = np.bincount(owner, weights[cell], batch.num_rows) + bias
             found = 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
@@ -185,7 +187,7 @@ def drop_toxic(spark: SparkSession, documents: DataFrame, model: tuple[np.ndarra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep, weights, bias = shared.value
-        for batch in steps(batches, text):
+        for batch in steps(batches, text, STEP):
             owner, cell = buckets(*flat(batch.column(place)), keep)
             margin = np.bincount(owner, weights[cell], batch.num_rows) + bias
             yield batch.filter(pa.array(1 / (1 + np.exp(-np.clip(margin, -30, 30))) < threshold))
