@@ -33,11 +33,13 @@ GRID, PARTS = 128, 3
 SHARE = 0.8
 #: Grid cells too short for a pattern: such lengths are worth most in the residual's gaps.
 SMALL = 24
-REMEMBERED = 600_000
+REMEMBERED = 400_000
 
-# Cuts at white space, and before a full stop or comma that follows a Latin letter: the
-# tokenizer cuts there too, so the parts' ids make up the text's.
-_PARTS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[., \n]|$)|[^ \t\n\r\x0b\x0c]+")
+# Cuts at white space, and before a punctuation mark that follows a Latin letter: the
+# tokenizer cuts there too, so the parts' ids make up the text's. It also drops case, but
+# for its special tokens, which have this beginning.
+_PARTS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[.,!?;:&%$#*| \n]|$)|[^ \t\n\r\x0b\x0c]+")
+_SPECIAL = "<|"
 
 
 class Tokens:
@@ -56,7 +58,8 @@ class Tokens:
         return np.array([i for ids in found for i in ids], np.int32), starts
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        return self.words.look_up([_PARTS.findall(t) for t in texts])
+        plain = (t if _SPECIAL in t else t.encode().lower().decode() for t in texts)
+        return self.words.look_up([_PARTS.findall(t) for t in plain])
 
 
 @lru_cache(maxsize=2)
