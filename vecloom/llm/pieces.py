@@ -227,10 +227,10 @@ def model(path: str) -> PieceModel:
 def encode(frame: DataFrame, path: str, text: str = "text", out: str = "ids", keys: list[str] | None = None) -> DataFrame:
     """The key columns (all but the text, if not named) and each whole text's ids with an end id.
 
-    A null text is an empty one, which has the end id only. `path` must name the model file
+    A column that is called like the output makes way for it. A null text is an empty one, which has the end id only. `path` must name the model file
     on every machine.
     """
-    keys = [c for c in frame.columns if c != text] if keys is None else keys
+    keys = [c for c in frame.columns if c not in (text, out)] if keys is None else keys
     body = helper("body")
     narrow = frame.select(*[col(k) for k in keys], or_empty(text).alias(body))
     schema = T.StructType([*[f for f in narrow.schema if f.name != body], T.StructField(out, T.ArrayType(T.IntegerType()))])
@@ -249,7 +249,11 @@ def encode(frame: DataFrame, path: str, text: str = "text", out: str = "ids", ke
 
 
 def decode(frame: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
-    """The frame with the text of each id sequence; null ids give the empty text."""
+    """The frame with the text of each id sequence; null ids give the empty text.
+
+    A column that is called like the output makes way for it.
+    """
+    frame = frame.drop(out)
     schema = T.StructType([*frame.schema.fields, T.StructField(out, T.StringType())])
     place = frame.columns.index(ids)
 
