@@ -5,10 +5,15 @@ distinct fingerprint therefore emits itself and its 64 one-bit neighbours; those
 under one variant are linked. All members of such a meeting lie within two bits of each
 other and number 65 at most, so links go from each member to the smallest one: the
 components are those of all pairs. A meeting is kept as one bit mask while it is grouped.
+
+Copies down to a shingle Jaccard of 0.8 differ in some ten bits of 64, out of reach of one
+ball. `alike_links` therefore cuts several salted fingerprints into short ones, each with a
+half-radius ball of its own, and holds the pairs that meet against their exact Jaccard.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,13 +25,39 @@ from pyspark.sql import types as T
 
 from vecloom.llm.components import components
 from vecloom.llm.numbering import numbered
-from vecloom.llm.text import col, flat, helper, or_empty, steps, written
+from vecloom.llm.text import col, flat, helper, mixed, or_empty, steps, written
 
 SEED = 42
+#: The share of planted pairs at just the wanted Jaccard that should meet, by the bits' chance to differ.
+MEET = 0.96
+#: Members of a meeting that each one is paired with, and members that stand for one short
+#: fingerprint in its neighbours' meetings; smaller meetings give all their pairs.
+BESIDE = 16
+#: Ball variants that one task makes or brings together, and the least number of such tasks.
+BALL_ROWS, BALL_TASKS = 1 << 20, 64
+
+_SALT = 0x9E3779B97F4A7C15
+_LANES = np.uint64(0x0101010101010101)
+
 
+def _salted(hashes: np.ndarray, first: np.ndarray, counts: np.ndarray, salt: int) -> np.ndarray:
+    """Fingerprints from salted hashes of the shingles; eight bits are counted in one word, 255 shingles at a time."""
+    pieces = -(-counts // 255)
+    begins = np.cumsum(pieces) - pieces
+    cuts = np.repeat(first, pieces) + 255 * (np.arange(pieces.sum()) - np.repeat(begins, pieces))
+    hashes = mixed(hashes ^ np.uint64(salt * _SALT % 2**64))
+    ones = np.empty((len(counts), 8, 8), np.int64)
+    for k in range(8):
+        lanes = np.add.reduceat((hashes >> np.uint64(k)) & _LANES, cuts).astype("<u8").view(np.uint8).reshape(-1, 8)
+        ones[:, :, k] = np.add.reduceat(lanes, begins, axis=0, dtype=np.int64)
+    return np.packbits(ones.reshape(-1, 64) * 2 > counts[:, None], axis=1, bitorder="little").view("<u8")[:, 0]
 
-def fingerprint_texts(texts: list[bytes], size: int) -> np.ndarray:
-    """Fingerprints of texts: a bit is set where over half of the shingles' hashes have it."""
+
+def fingerprint_texts(texts: list[bytes], size: int, words: int = 1) -> np.ndarray:
+    """Fingerprints of texts: a bit is set where over half of the shingles' hashes have it.
+
+    With several `words`, one row for each text: the fingerprint and those of salted hashes.
+    """
     hashes: list[int] = []
     counts = np.zeros(len(texts), np.int64)
     digest = xxhash.xxh64_intdigest
@@ -44,28 +75,42 @@ def fingerprint_texts(texts: list[bytes], size: int) -> np.ndarray:
         ends = [*gaps[size - 1 :].tolist(), len(line)]
         hashes += [digest(line[a:b], SEED) for a, b in zip(begins, ends)]
         counts[k] = len(begins)
-    out = np.zeros(len(texts), np.uint64)
+    out = np.zeros((len(texts), words), np.uint64)
     full = np.flatnonzero(counts)
     if len(full):
-        bits = np.unpackbits(np.array(hashes, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        whole = np.array(hashes, "<u8")
+        bits = np.unpackbits(whole.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         first = (np.cumsum(counts) - counts)[full]
         ones = np.add.reduceat(bits, first, axis=0, dtype=np.int64)
-        out[full] = np.packbits(ones * 2 > counts[full, None], axis=1, bitorder="little").view("<u8")[:, 0]
-    return out.view(np.int64)
+        out[full, 0] = np.packbits(ones * 2 > counts[full, None], axis=1, bitorder="little").view("<u8")[:, 0]
+        for k in range(1, words):
+            out[full, k] = _salted(whole, first, counts[full], k)
+    return out.view(np.int64) if words > 1 else out[:, 0].view(np.int64)
 
 
-def fingerprints(frame: DataFrame, keys: list[str], text: str, size: int, out: str) -> DataFrame:
-    """The key columns and each whole text's fingerprint as a long. Null or blank text: zero."""
+def fingerprints(
+    frame: DataFrame, keys: list[str], text: str, size: int, out: str, more: str | None = None, words: int = 2
+) -> DataFrame:
+    """The key columns and each whole text's fingerprint as a long. Null or blank text: zero.
+
+    With a name in `more`, also all `words` fingerprints as bytes, eight for each.
+    """
     body = helper("body")
     narrow = frame.select(*[col(k) for k in keys], or_empty(text).alias(body))
     schema = T.StructType([*[f for f in narrow.schema if f.name != body], T.StructField(out, T.LongType())])
+    if more:
+        schema = schema.add(more, T.BinaryType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, body):
             data, starts = flat(batch.column(len(keys)))
             whole = data.tobytes()
-            found = fingerprint_texts([whole[a:b] for a, b in zip(starts[:-1].tolist(), starts[1:].tolist())], size)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found)], [*keys, out])
+            texts = [whole[a:b] for a, b in zip(starts[:-1].tolist(), starts[1:].tolist())]
+            found = fingerprint_texts(texts, size, words if more else 1).reshape(len(texts), -1)
+            columns = [*batch.columns[:-1], pa.array(np.ascontiguousarray(found[:, 0]))]
+            if more:
+                columns.append(pa.array([row.tobytes() for row in found.astype("<i8")], pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, schema.names)
 
     return narrow.mapInArrow(run, schema)
 
@@ -118,18 +163,193 @@ def near_copies(spark: SparkSession, documents: DataFrame, key: str = "doc_id",
     return found.join(named, "print").select(col(key), F.col("print").alias("fingerprint"), "component_id")
 
 
-def one_of_each(spark: SparkSession, documents: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5) -> DataFrame:
+def layout(rows: int, alike: float) -> tuple[int, int]:
+    """Bits of a short fingerprint and how many of them there are, for so many texts.
+
+    The bits grow with the logarithm of the texts, so that each meets a few strangers at any
+    size; the number follows from the chance that `alike` texts are within two bits.
+    """
+    bits = min(40, max(16, math.ceil(math.log2(max(2, rows))) + 6))
+    differ = math.acos(2 * alike / (1 + alike)) / math.pi
+    near = sum(math.comb(bits, k) * differ**k * (1 - differ) ** (bits - k) for k in range(3))
+    return bits, math.ceil(math.log(1 - MEET) / math.log(1 - near))
+
+
+def _short(more: np.ndarray, bits: int, tables: int) -> np.ndarray:
+    """The short fingerprints, a column for each table, from rows of fingerprint bytes."""
+    every = np.unpackbits(more, axis=1, bitorder="little")[:, : bits * tables].reshape(len(more), tables, bits)
+    return every @ (np.int64(1) << np.arange(bits, dtype=np.int64))
+
+
+def _met(key: np.ndarray, flip: np.ndarray, node: np.ndarray, own: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (smaller, larger) of the nodes that share a key.
+
+    Texts of one short fingerprint meet whole under that fingerprint (`own`); under each
+    neighbour of it BESIDE of them stand for all. Members of a large meeting are paired with
+    the BESIDE next ones and the first.
+    """
+    spread = mixed(node.view(np.uint64))
+    order = np.lexsort((spread, flip, key))
+    key, flip, node, spread = key[order], flip[order], node[order], spread[order]
+    place = np.arange(len(key))
+    new = np.r_[True, (key[1:] != key[:-1]) | (flip[1:] != flip[:-1])]
+    keep = (flip == own) | (place - np.maximum.accumulate(np.where(new, place, 0)) < BESIDE)
+    key, node, spread = key[keep], node[keep], spread[keep]
+    order = np.lexsort((spread, key))
+    key, node = key[order], node[order]
+    place = np.arange(len(key))
+    first = np.maximum.accumulate(np.where(np.r_[True, key[1:] != key[:-1]], place, 0))
+    far = np.flatnonzero(place - first > BESIDE)
+    left, right = [node[first[far]]], [node[far]]
+    for lag in range(1, BESIDE + 1):
+        same = np.flatnonzero(key[lag:] == key[:-lag])
+        if not len(same):
+            break
+        left.append(node[same])
+        right.append(node[same + lag])
+    a, b = np.concatenate(left), np.concatenate(right)
+    pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
+    return pairs[:, 0], pairs[:, 1]
+
+
+def _packed(key: np.ndarray, flip: np.ndarray, node: np.ndarray) -> bytes:
+    """Variants by ascending key in bytes that compress well: differences of keys, and nodes, by byte plane."""
+    order = np.argsort(key)
+    wide = np.stack([np.diff(key[order], prepend=0), node[order]]).astype("<i8")
+    return np.ascontiguousarray(wide.view(np.uint8).reshape(2, -1, 8).transpose(0, 2, 1)).tobytes() + flip[order].tobytes()
+
+
+def _unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    n = len(blob) // 17
+    planes = np.frombuffer(blob, np.uint8, 16 * n).reshape(2, 8, n)
+    key, node = np.ascontiguousarray(planes.transpose(0, 2, 1)).view("<i8")[:, :, 0]
+    return np.cumsum(key), np.frombuffer(blob, np.int8, n, 16 * n), node
+
+
+def meetings(prints: DataFrame, bits: int, tables: int) -> DataFrame:
+    """Distinct (a, b), a < b, of `node`s whose `more` has a short fingerprint within two bits."""
+    tasks = max(BALL_TASKS, prints.count() * tables * (bits + 1) // BALL_ROWS)
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flips = np.r_[np.int64(1) << np.arange(bits, dtype=np.int64), np.int64(0)]
+        high = np.arange(tables, dtype=np.int64) << bits
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2048):
+                part = batch.slice(at, 2048)
+                rows = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint8).reshape(part.num_rows, -1)
+                key = (_short(rows, bits, tables) + high)[:, :, None] ^ flips
+                flip = np.broadcast_to(np.arange(bits + 1, dtype=np.int8), key.shape).ravel()
+                key, node = key.ravel(), np.repeat(part.column(0).to_numpy(), tables * (bits + 1))
+                home = (mixed(key.view(np.uint64)) % np.uint64(tasks)).astype(np.int64)
+                order = np.argsort(home, kind="stable")
+                cuts = np.searchsorted(home[order], np.arange(tasks + 1))
+                full = np.flatnonzero(np.diff(cuts))
+                blobs = [_packed(*(x[order[cuts[h] : cuts[h + 1]]] for x in (key, flip, node))) for h in full.tolist()]
+                yield pa.RecordBatch.from_arrays([pa.array(full), pa.array(blobs, pa.binary())], ["home", "ball"])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [_unpacked(blob) for batch in batches for blob in batch.column(1).to_pylist()]
+        if held:
+            a, b = _met(*(np.concatenate(c) for c in zip(*held)), bits)
+            for at in range(0, len(a), 1 << 16):
+                yield pa.RecordBatch.from_arrays([pa.array(a[at : at + (1 << 16)]), pa.array(b[at : at + (1 << 16)])], ["a", "b"])
+
+    variants = prints.select("node", "more").repartition(tasks).mapInArrow(spread, "home long, ball binary")
+    return variants.repartition(tasks, "home").mapInArrow(meet, "a long, b long").distinct()
+
+
+def _shingles(text: bytes, size: int) -> set[bytes]:
+    parts = text.lower().split()
+    return {b" ".join(parts[k : k + size]) for k in range(max(1, len(parts) - size + 1))} if parts else set()
+
+
+def alike_pairs(pairs: DataFrame, rows: DataFrame, row: str, text: str, size: int, alike: float) -> DataFrame:
+    """Those of the pairs (a, b) of row numbers whose texts have a shingle Jaccard of `alike` or more."""
+    named = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    texts = rows.select(col(row).alias("node"), or_empty(text).alias("body")).join(named, "node", "left_semi")
+    left = texts.select(F.col("node").alias("a"), F.col("body").alias("x"))
+    right = texts.select(F.col("node").alias("b"), F.col("body").alias("y"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column(2), batch.column(3)):
+                one, other = _shingles(x.as_py().encode(), size), _shingles(y.as_py().encode(), size)
+                both = len(one & other)
+                keep.append(both >= alike * (len(one) + len(other) - both))
+            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    both = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y")
+    return both.mapInArrow(run, "a long, b long")
+
+
+def alike_links(
+    spark: SparkSession, prints: DataFrame, linked: DataFrame, rows: DataFrame, row: str, text: str, size: int,
+    alike: float, bits: int, tables: int,
+) -> DataFrame:
+    """`linked` (a, b) and links between all nodes that meet and whose texts are alike.
+
+    `prints` has the columns node (a row number) and more. Pairs that differ in far too many of all bits
+    are strangers. Of the others each node is first held against its nearest one; what that
+    does not connect is held against each other whole.
+    """
+    differ = math.acos(2 * alike / (1 + alike)) / math.pi
+    total = 64 * -(-bits * tables // 64)
+    most = int(total * differ + 6 * math.sqrt(total * differ * (1 - differ)))
+    sides = [prints.select(F.col("node").alias(n), F.col("more").alias(m)) for n, m in (("a", "x"), ("b", "y"))]
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for k in (2, 3))
+            apart = np.bitwise_count(x ^ y).sum(1, dtype=np.int64) if batch.num_rows else np.zeros(0, np.int64)
+            found = pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(apart)], ["a", "b", "apart"])
+            yield found.filter(pa.array(apart <= most))
+
+    met = meetings(prints.where(F.col("print") != 0), bits, tables)
+    both = met.join(sides[0], "a").join(sides[1], "b").select("a", "b", "x", "y")
+    pairs = both.mapInArrow(near, "a long, b long, apart long")
+    pairs = written(spark, pairs, "pairs")
+    for last in (False, True):
+        root = components(spark, linked)
+        left = root.select(F.col("node").alias("a"), F.col("root").alias("p"))
+        right = root.select(F.col("node").alias("b"), F.col("root").alias("q"))
+        open_ = pairs.join(left, "a", "left").join(right, "b", "left").where(F.coalesce("p", "a") != F.coalesce("q", "b"))
+        if not last:
+            nearest = F.min(F.struct("apart", "a")).alias("m")
+            open_ = open_.groupBy("b").agg(nearest).select(F.col("m.a").alias("a"), "b")
+        found = written(spark, alike_pairs(open_.select("a", "b"), rows, row, text, size, alike), "alike")
+        linked = linked.unionByName(found)
+    return linked
+
+
+def one_of_each(
+    spark: SparkSession, documents: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, alike: float | None = None
+) -> DataFrame:
     """The documents without near copies: of each component the row with the smallest key stays.
 
-    Columns stay as they are. Among equal keys the earlier row stays. Texts without words
-    are copies of each other.
+    Fingerprints within two bits are linked; with `alike`, texts whose shingles have that
+    Jaccard or more are, too. Columns stay as they are. Among equal keys the earlier row
+    stays. Texts without words are copies of each other.
     """
     row, names = helper("row"), documents.columns
     rows = numbered(spark, documents, row)
-    found = written(spark, fingerprints(rows, [key, row], text, size, "print"), "prints")
+    bits, tables = layout(rows.count(), alike) if alike else (0, 0)
+    more = "more" if alike else None
+    found = written(spark, fingerprints(rows, [key, row], text, size, "print", more, -(-bits * tables // 64)), "prints")
     best = F.min(F.struct(col(key).isNull().alias("n"), col(key).alias("k"), col(row).alias("r"))).alias("best")
-    first = written(spark, found.groupBy("print").agg(best), "distinct-prints")
-    linked = first.join(classes(spark, first), "print", "left").withColumn("root", F.coalesce("root", "print"))
+    first = written(spark, found.groupBy("print", *([more] if more else [])).agg(best), "distinct-prints")
+    if alike:
+        nodes = first.withColumn("node", F.col("best.r"))
+        least = written(spark, nodes.groupBy("print").agg(F.min("node").alias("a")), "least")
+        same = nodes.join(least, "print").where("a <> node").select("a", F.col("node").alias("b"))
+        other = least.select(F.col("print").alias("b"), F.col("a").alias("q"))
+        spread = least.repartition(1 + least.count() * 65 // BALL_ROWS)
+        near = links(spread).join(least.select(F.col("print").alias("a"), F.col("a").alias("p")), "a").join(other, "b")
+        linked = written(spark, same.unionByName(near.select(F.col("p").alias("a"), F.col("q").alias("b"))), "near")
+        linked = alike_links(spark, nodes, linked, rows, row, text, size, alike, bits, tables)
+        linked = nodes.join(components(spark, linked), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    else:
+        linked = first.join(classes(spark, first), "print", "left").withColumn("root", F.coalesce("root", "print"))
     kept = linked.groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.r").alias(row))
     gone = written(spark, found.select(row).join(kept, row, "left_anti"), "copies")
     return rows.join(gone, row, "left_anti").select(*[col(c) for c in names])
