@@ -230,7 +230,7 @@ def test_embed_query_uses_the_same_model(spark, texts):
 
 
 def test_embedding_is_narrow(texts):
-    from conftest import plan_of
+    from plans import plan_of
 
     for name in embed.PROVIDERS:
         named = embed.EmbeddingConfig("bge-large-en", 16, key_column="id")

@@ -3,7 +3,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import plan_of
+from plans import plan_of
 from vecloom.functions import models
 from vecloom.operators.embed import EmbeddingConfig, HashingProvider, ModelProvider
 from vecloom.plans.job import ProviderNotReady, run_job

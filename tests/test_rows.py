@@ -3,7 +3,7 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan_of
+from plans import plan_of
 from vecloom.operators import chunk, filters, project, quality, wire
 from vecloom.operators.embed import EmbeddingConfig, HashingProvider
 from vecloom.plans.load import LoadConfig

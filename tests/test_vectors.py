@@ -136,7 +136,7 @@ def test_grid_equals_scan(spark, metric):
 
 
 def test_no_cross_joins(spark, sf_dir):
-    from conftest import plan_of
+    from plans import plan_of
     from vecloom.catalog import vectors  # noqa: F401
     from vecloom.catalog.registry import QUERIES
 
