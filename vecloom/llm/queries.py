@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecloom.llm import lines, lm, packing, pieces, projections, sharding, simhash, sketch, suffixes, toxicity
+from vecloom.llm import lines, lm, packing, pieces, projections, ranked, sharding, simhash, sketch, suffixes, toxicity, winnowing
 from vecloom.llm.text import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -125,3 +125,48 @@ def op9_simhash_near_copies(spark: SparkSession, folder: str) -> DataFrame:
 def op10_projected_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     vectors = spark.read.parquet(f"{folder}/embeddings.parquet")
     return projections.search(spark, vectors, "vec_id % 100 = 0", k=10)
+
+
+@_query
+def op12_winnowed_benchmark(spark: SparkSession, folder: str) -> DataFrame:
+    return winnowing.contaminated(spark, _documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
+
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLES["op12_winnowed_benchmark"] = rf"""
+WITH doc AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+item AS (SELECT item_id::VARCHAR AS item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+sized AS (SELECT item_id, w, least(10, len(w)) AS size FROM item WHERE len(w) > 0),
+wanted AS (SELECT DISTINCT item_id, size, array_to_string(w[s:s + size - 1], ' ') AS win
+    FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS s FROM sized)),
+place AS (SELECT doc_id, size, s, array_to_string(w[s:s + size - 1], ' ') AS win
+    FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS s
+          FROM doc JOIN (SELECT DISTINCT size FROM wanted) ON len(w) >= size)),
+hit AS (SELECT doc_id, s, size, item_id FROM place JOIN wanted USING (size, win)),
+covered AS (SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(s, s + size)) FROM (SELECT DISTINCT doc_id, s, size FROM hit)) GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n_items, sha256(string_agg(item_id, ',' ORDER BY item_id)) AS items_sha256
+    FROM (SELECT DISTINCT doc_id, item_id FROM hit) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+    coalesce(items_sha256, sha256('')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)"""
+
+
+@_query
+def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked.search(spark, _documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"), k=20)
+
+
+ORACLES["op13_ranked_search"] = rf"""
+WITH word AS (SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM documents),
+posting AS (SELECT doc_id, t, count(*) AS tf FROM word GROUP BY ALL),
+size AS (SELECT doc_id, count(*) AS n FROM word GROUP BY doc_id),
+whole AS (SELECT count(*)::BIGINT AS big_n, sum(n)::BIGINT AS big_l FROM size),
+weight AS (SELECT t, floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM posting, whole GROUP BY t, big_n),
+slow AS (SELECT doc_id, 75 + (25 * n * big_n) // big_l AS m FROM size, whole),
+asked AS (SELECT item_id, t, count(*) AS q
+    FROM (SELECT item_id, unnest(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark) GROUP BY ALL),
+scored AS (SELECT item_id, doc_id, sum(q * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+    FROM asked JOIN weight USING (t) JOIN posting USING (t) JOIN slow USING (doc_id) GROUP BY ALL)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0) WHERE rank <= 20"""

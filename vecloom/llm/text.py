@@ -132,9 +132,19 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
+#: The bytes of words that are only letters and digits (those of ASCII, and all beyond it).
+WORD = np.zeros(256, bool)
+WORD[48:58] = WORD[65:91] = WORD[97:123] = WORD[128:] = True
+
+
 def words(body: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Where each word begins and ends in the flat bytes, and the first word of each text (one more for the end)."""
-    solid = ~SPACE[body]
+    return runs(~SPACE[body], starts)
+
+
+def runs(solid: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same for runs of any bytes that are marked."""
+    body = solid
     before = np.zeros(len(body), bool)
     before[1:] = solid[:-1]
     edges = starts[:-1][starts[:-1] < len(body)]
