@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecloom.llm import lines, lm, packing, pieces, projections, ranked, sharding, simhash, sketch, suffixes, toxicity, winnowing
+from vecloom.llm import lines, lm, packing, pieces, projections, ranked, sharding, simhash, sketch, suffixes, toxicity, turns, winnowing
 from vecloom.llm.text import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,6 +127,58 @@ def op10_projected_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return projections.search(spark, vectors, "vec_id % 100 = 0", k=10)
 
 
+@_query
+def op11_turn_repair(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = spark.read.parquet(f"{folder}/conversations.parquet")
+    return turns.audits(spark, conversations, turns.Repair(spark, turns.damage(conversations)))
+
+
+# crc32 goes bit by bit; each conversation's rows and the turns that may be added before and after them
+# are steps of a recursion that keeps the cheapest way into each state: {cost, audit, turns}.
+ORACLES["op11_turn_repair"] = """
+WITH RECURSIVE source AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+crc AS (SELECT *, xor(list_reduce(list_concat([4294967295], flatten(list_transform(range(1, len(k) + 1), lambda i: list_concat([ord(k[i])::BIGINT], [-1, -1, -1, -1, -1, -1, -1, -1])))),
+    lambda c, v: CASE WHEN v >= 0 THEN xor(c, v) WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END), 4294967295) % 20 AS fault FROM source),
+damaged AS (SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+    CASE fault WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(CASE fault WHEN 0 THEN [] WHEN 3 THEN [1, 2] ELSE [1] END) AS copy FROM crc),
+trimmed AS (SELECT *, left(role, 1) AS r, trim(text, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ') AS t,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i FROM damaged),
+marked AS (SELECT *, t = '' AS blank, t <> '' AND i > min(i) OVER (PARTITION BY conv_id, role, text) AS again,
+    lead(r) OVER (PARTITION BY conv_id ORDER BY i) AS next FROM trimmed),
+fault AS (SELECT *, NOT blank AND NOT again AND right(t, 1) NOT IN ('.', '!', '?') AS cut FROM marked),
+steps AS (
+    SELECT conv_id, 4 * i AS k, true AS real, NOT blank AND NOT again AS live, cut::INTEGER AS cut, role, text, r FROM fault
+    UNION ALL SELECT conv_id, 4 * i - j, false, false, 0, '', '', '' FROM fault, (SELECT unnest([1, 2, 3]) AS j)
+    UNION ALL SELECT conv_id, 4 * max(i) + j, false, false, 0, '', '', '' FROM fault, (SELECT unnest([1, 2, 3]) AS j) GROUP BY conv_id, j),
+best AS (
+    SELECT DISTINCT conv_id, 0::BIGINT AS k, {'c': 0::BIGINT, 'a': '', 'o': []::VARCHAR[]} AS s0, {'c': 1000000::BIGINT, 'a': '', 'o': []::VARCHAR[]} AS s1,
+        {'c': 1000000::BIGINT, 'a': '', 'o': []::VARCHAR[]} AS s2, {'c': 1000000::BIGINT, 'a': '', 'o': []::VARCHAR[]} AS s3 FROM fault
+    UNION ALL
+    SELECT b.conv_id, s.k,
+        CASE WHEN real THEN {'c': s0.c + 3, 'a': s0.a || 'D', 'o': s0.o} ELSE s0 END,
+        CASE WHEN real THEN list_sort([{'c': s1.c + 3, 'a': s1.a || 'D', 'o': s1.o},
+            {'c': CASE WHEN live AND r = 's' THEN s0.c + cut ELSE 2000000 END, 'a': s0.a || 'K', 'o': list_append(s0.o, role || ':' || text)}])[1] ELSE s1 END,
+        CASE WHEN real THEN list_sort(list_concat([{'c': s2.c + 3, 'a': s2.a || 'D', 'o': s2.o}],
+            list_transform([s0, s1, s3], lambda x: {'c': CASE WHEN live AND r = 'u' THEN x.c + cut ELSE 2000000 END, 'a': x.a || 'K', 'o': list_append(x.o, role || ':' || text)}),
+            list_transform([s0, s1, s3], lambda x: {'c': CASE WHEN live THEN x.c + 2 + cut ELSE 2000000 END, 'a': x.a || 'R', 'o': list_append(x.o, 'user:' || text)})))[1]
+        ELSE list_sort(list_concat([s2], list_transform([s0, s1, s3], lambda x: {'c': x.c + 2, 'a': x.a || 'I', 'o': list_append(x.o, 'user:')})))[1] END,
+        CASE WHEN real THEN list_sort([{'c': s3.c + 3, 'a': s3.a || 'D', 'o': s3.o},
+            {'c': CASE WHEN live AND r = 'a' THEN s2.c + cut ELSE 2000000 END, 'a': s2.a || 'K', 'o': list_append(s2.o, role || ':' || text)},
+            {'c': CASE WHEN live THEN s2.c + 2 + cut ELSE 2000000 END, 'a': s2.a || 'R', 'o': list_append(s2.o, 'assistant:' || text)}])[1]
+        ELSE list_sort([s3, {'c': s2.c + 2, 'a': s2.a || 'I', 'o': list_append(s2.o, 'assistant:')}])[1] END
+    FROM best b JOIN steps s ON b.conv_id IS NOT DISTINCT FROM s.conv_id AND s.k = b.k + 1),
+ended AS (SELECT conv_id, list_sort([arg_max(s0, k), arg_max(s3, k)])[1] AS s FROM best GROUP BY conv_id),
+counted AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (again) AS duplicate,
+    count(*) FILTER (cut) AS truncated, count(*) FILTER (next IS NOT NULL AND r || next NOT IN ('su', 'ua', 'au')) AS illegal FROM fault GROUP BY conv_id)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+    coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(s.c, 0)::BIGINT AS cost, coalesce(s.a, '') AS audit,
+    sha256(coalesce(array_to_string(s.o, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+    LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM o.conv_id"""
+
+
 @_query
 def op12_winnowed_benchmark(spark: SparkSession, folder: str) -> DataFrame:
     return winnowing.contaminated(spark, _documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
