@@ -3,7 +3,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plans import plan_of
+from plans import plan_of, shuffled
 from vecloom.functions import models
 from vecloom.operators.embed import EmbeddingConfig, HashingProvider, ModelProvider
 from vecloom.plans.job import ProviderNotReady, run_job
@@ -387,26 +387,128 @@ def test_compact(spark):
     assert texts(small) == {2: "y", 7: "new"}
 
 
-def test_untouched_buckets_are_not_shuffled(spark):
+@pytest.fixture
+def no_broadcast(spark):
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def numbered_rows(spark, n, text, step=1):
+    df = spark.range(0, n * step, step, 4)
+    return df.select("id", F.lit(text).alias("text"), F.array(F.lit(1.0)).cast("array<float>").alias("embedding"), F.lit("L").alias("label"))
+
+
+def test_only_rows_that_may_have_changed_are_shuffled(spark, monkeypatch, no_broadcast):
+    """Ten thousand changed keys in every one of 64 buckets move no more than 2 % of a million rows."""
+    monkeypatch.setattr("vecloom.sources.store.BUCKET_ROWS", 16_000)
     table = new_table(spark)
-    table.write_batch(rows(spark, *((i, "a") for i in range(300))), 1, 0)
+    table.write_batch(numbered_rows(spark, 1_000_000, "a"), 1, 0)
     small = table.compact(work_path(spark, "compacted"))
     assert "Exchange" not in plan_of(small.read_label("L"))
-    small.write_batch(rows(spark, (1, "z"), (1000, "new")), 2, 0)
-    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
-    before = {name: spark.conf.get(name) for name in settings}
-    try:
-        for name, value in settings.items():
-            spark.conf.set(name, value)
-        plan = plan_of(small.read_label("L"))
-    finally:
-        for name, value in before.items():
-            spark.conf.set(name, value)
-    untouched = next(x for x in plan.split("FileScan")[1:] if "NOT _bucket" in x.split("PartitionFilters: [")[1].split("]")[0])
-    assert "Exchange" not in untouched.split("\n")[0]
-    # The first branch of the union is the scan of the untouched buckets, with nothing above it but projections.
-    assert plan.index("NOT _bucket") < plan.index("Exchange")
-    assert len(texts(small)) == 301 and texts(small)[1] == "z"
+    assert small._base("L").select("_bucket").distinct().count() == small._base_buckets() == 64
+    small.write_batch(numbered_rows(spark, 10_000, "z", 150), 2, 0)
+    assert small._stored("L").select(small._bucket(64)).distinct().count() == 64
+    found = small.read_label("L")
+    assert {r["text"]: r["count"] for r in found.groupBy("text").count().collect()} == {"a": 1_000_000 - 6_667, "z": 10_000}
+    moved = [rows for below, rows in shuffled(found) if "_bucket" in below]
+    assert moved and sum(moved) <= 20_000
+
+
+def test_a_narrow_filter_loses_nothing(spark, monkeypatch):
+    """With a filter of 64 bits nearly all rows may have changed; the exact join settles them."""
+    monkeypatch.setattr("vecloom.sources.store.FILTER_BITS", 64)
+    monkeypatch.setattr("vecloom.sources.store.BUCKET_ROWS", 40)
+    table = new_table(spark)
+    table.write_batch(rows(spark, *((i, "a") for i in range(300))), 1, 0)
+    small = table.compact(work_path(spark, "compacted"))
+    small.write_batch(rows(spark, *((i, "z") for i in range(0, 600, 4))), 2, 0)
+    assert texts(small) == {**{i: "a" for i in range(300)}, **{i: "z" for i in range(0, 600, 4)}}
+
+
+def test_merge_by_level(spark):
+    """Parts double in level; what a merge does not take keeps its files, and readers see one state throughout."""
+    table, state = new_table(spark), {}
+
+    def load(batch, *values):
+        table.write_batch(rows(spark, *values), 1, batch)
+        state.update(values)
+        assert texts(table) == state
+
+    def names():
+        return {p.path: sorted(table.spark.read.parquet(p.path).inputFiles()) for p in table.parts()}
+
+    load(0, *((i, "a") for i in range(50)))
+    load(1, (3, "b"), (50, "b"))
+    assert [p.level for p in table.merge(2)] == [1] and texts(table) == state
+    first = names()
+    load(2, (3, "c"), (51, "c"))
+    assert [(p.level, p.rows) for p in table.merge(2)] == [(2, 52)] and texts(table) == state
+    second = names()
+    load(3, (4, "d"))
+    assert [p.level for p in table.merge(2)] == [2, 1] and texts(table) == state
+    third = names()
+    assert not first.items() & second.items() and second.items() <= third.items()
+    assert table.merge(2) == table.parts() and names() == third
+    # A batch that is done again after its merge changes nothing, and numbers go on.
+    table.write_batch(rows(spark, (3, "late")), 1, 1)
+    assert texts(table) == state
+    load(4, (3, "e"))
+    assert table._last_commit() == 5
+    table.merge(2)
+    assert texts(table) == state and table.history().select("id").distinct().count() == len(state)
+
+
+def test_merge_with_deletions(spark):
+    table = new_table(spark)
+    table.write_batch(rows(spark, (1, "a"), (2, "b")), 1, 0)
+    table.merge(3)
+    one = rows(spark, (1, None)).withColumn("deleted", F.lit(True))
+    table.write_batch(one, 1, 1)
+    table.merge(3)
+    assert texts(table) == {2: "b"}
+    assert table.delete_label("L", 2) == 1 and texts(table) == {}
+    table.write_batch(rows(spark, (2, "back")).withColumn("embedding", F.lit(None)), 1, 2)
+    assert [p.level for p in table.merge(3)] == [2] and texts(table) == {2: "back"}
+    assert [p.rows for p in table.parts()] == [1]
+    small = table.compact(work_path(spark, "compacted"))
+    small.write_batch(rows(spark, (5, "new")), 9, 0)
+    small.merge()
+    assert texts(small) == {2: "back", 5: "new"} and small.delete_label("L", 10) == 2 and texts(small) == {}
+
+
+def test_merge_leaves_broken_batches_and_manifests(spark):
+    from vecloom.sources import files as paths
+
+    table = new_table(spark)
+    table.write_batch(rows(spark, (1, "a")), 1, 0)
+    table.write_batch(rows(spark, (2, "b")), 1, 1)
+    table.write_batch(rows(spark, (3, "c")), 1, 2)
+    broken = paths.matching(spark, f"{table.records}/run_seq=1/batch_id=1/commit=*/_SUCCESS")[0]
+    place, system = paths._opened(spark, broken)
+    system.delete(place, False)
+    assert [p.through for p in table.merge()] == [1]
+    paths.claim(spark, f"{table.root}/manifests/2/part-of-one")
+    assert [p.through for p in table.parts()] == [1] and texts(table) == {1: "a", 2: "b", 3: "c"}
+    table.write_batch(rows(spark, (2, "b")), 1, 1)
+    assert table.merge()[-1].through == 3 and texts(table) == {1: "a", 2: "b", 3: "c"}
+    with pytest.raises(ValueError, match="compact"):
+        new_table(spark, partial_rows=True).merge()
+
+
+def test_emptying_a_label_writes_one_row(spark):
+    table = new_table(spark)
+    table.write_batch(rows(spark, *((i, "a") for i in range(100))), 1, 0)
+    assert table.delete_label("L", 2) == 100
+    assert spark.read.parquet(f"{table.root}/emptied").count() == 1
+    assert spark.read.parquet(table.records).count() == 100 and texts(table) == {}
+    # The same deletion again keeps its place: what came later stays.
+    table.write_batch(rows(spark, (1, "b")), 1, 1)
+    assert table.delete_label("L", 2) == 1 and texts(table) == {1: "b"}
 
 
 def test_null_keys_are_refused(spark):

@@ -533,3 +533,22 @@ def read_label_after_compact(spark, folder):
     purchases = load_table(spark, folder, "events").filter(F.col("event_type") == "purchase")
     table.write_batch(purchases.withColumn("label", F.lit("User")), table.open_run("purchases"), 0)
     return table.read_label("User").select("user_id", "event_id")
+
+
+@register(
+    "compact_levels",
+    """SELECT user_id, event_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id
+    ORDER BY event_id % 7 DESC, ts DESC, event_id DESC) AS nth FROM events WHERE event_id % 7 < 6 OR event_type <> 'view')
+    WHERE nth = 1""",
+)
+def compact_levels(spark, folder):
+    """Three rounds of two loads and a merge by level, and one more load that no merge has seen."""
+    table = new_table(spark, EVENT, "user_id", order_by=["ts", "event_id"])
+    events = load_table(spark, folder, "events").withColumn("label", F.lit("User"))
+    run = table.open_run("events")
+    for batch in range(7):
+        rows = events.filter(F.col("event_id") % 7 == batch)
+        table.write_batch(rows if batch < 6 else rows.filter(F.col("event_type") != "view"), run, batch)
+        if batch in (1, 3, 5):
+            table.merge(fanout=2)
+    return table.read_label("User").select("user_id", "event_id", "event_type", "value")

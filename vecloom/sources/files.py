@@ -26,3 +26,9 @@ def claim(spark: SparkSession, path: str) -> bool:
     place, system = _opened(spark, path)
     system.mkdirs(place.getParent())
     return not system.exists(place) and system.createNewFile(place)
+
+
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that a pattern of the file system matches."""
+    place, system = _opened(spark, pattern)
+    return [x.getPath().toString() for x in system.globStatus(place) or []]

@@ -6,12 +6,21 @@ writing a batch again replaces exactly its files and keeps its number. The curre
 the version of each (label, key) with the highest commit. Rows with a reason against them
 are kept beside the records with key and reason only, and belong to no state. A compacted
 table has its one version of each key in `base/label=L/bucket=B`.
+
+A label is emptied by one marker: of its rows only those of later commits count.
+
+Merging keeps reads short without writing everything again. The batches since the last
+merge become one part with one version of each key, and so many parts of one level become one
+part of the next; all other parts stay where they are. A manifest names the parts and the last
+commit in them. Readers take the last whole manifest and the batches after it.
 """
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
@@ -28,8 +37,35 @@ RUNS_SCHEMA = T.StructType(
     ]
 )
 NULL_KEY = "null key"
-# Folders of keys in a compacted table; a key's folder depends on its hash alone.
-BUCKETS = 64
+# Rows of a bucket of keys in a compacted table; their number follows the rows. A key's bucket depends on its hash alone.
+BUCKET_ROWS, MOST_BUCKETS = 1_000_000, 1 << 14
+# Buckets that a filter on folders names one by one.
+NAMED_BUCKETS = 256
+# Bits of the filter of changed keys, in words of 64; what it lets through in error meets the exact join.
+FILTER_BITS = 1 << 26
+# Parts of a level that are merged into one of the next.
+FANOUT = 4
+
+EMPTIED_SCHEMA = T.StructType([T.StructField("label", T.StringType()), T.StructField("at", T.LongType())])
+PARTS_SCHEMA = T.StructType(
+    [
+        T.StructField("nth", T.IntegerType()),
+        T.StructField("level", T.IntegerType()),
+        T.StructField("path", T.StringType()),
+        T.StructField("through", T.LongType()),
+        T.StructField("rows", T.LongType()),
+    ]
+)
+
+
+@dataclass(frozen=True)
+class Part:
+    """A folder with one version of each key that was written in a range of commits, up to `through`."""
+
+    level: int
+    path: str
+    through: int
+    rows: int
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
@@ -126,7 +162,15 @@ class VectorTable:
         return number
 
     def _last_commit(self) -> int:
-        """Commits are claimed as empty files, so that their number is the store's to give."""
+        """Commits are claimed as empty files, so that their number is the store's to give.
+
+        Numbers have no gaps, so those in a manifest need not be listed again.
+        """
+        if parts := self.parts():
+            number = parts[-1].through
+            while files.exists(self.spark, f"{self.root}/commits/{number + 1}"):
+                number += 1
+            return number
         return max((int(name) for name in files.children(self.spark, f"{self.root}/commits") if name.isdigit()), default=0)
 
     def write_batch(
@@ -170,12 +214,13 @@ class VectorTable:
             .parquet(path)
         )
 
-    def _stored(self, label: str | None) -> DataFrame:
+    def _stored(self, label: str | None, after: int = 0) -> DataFrame:
         rows = read_or_empty(self.spark, self.records, self.stored)
-        return rows if label is None else rows.filter(F.col("label") == label)
+        rows = rows if label is None else rows.filter(F.col("label") == label)
+        return rows.filter(F.col("commit") > after) if after else rows
 
-    def _bucket(self) -> Column:
-        return F.pmod(F.xxhash64(quoted(self.key)), F.lit(BUCKETS)).cast("int")
+    def _bucket(self, buckets: int) -> Column:
+        return F.pmod(F.xxhash64(quoted(self.key)), F.lit(buckets)).cast("int")
 
     def _base(self, label: str | None) -> DataFrame:
         """The compacted rows as versions of run, batch and commit 0, with their bucket."""
@@ -188,53 +233,180 @@ class VectorTable:
         rows = rows.withColumns({"deleted": F.lit(False), "run_seq": zero, "batch_id": zero, "commit": zero})
         return rows if label is None else rows.filter(F.col("label") == label)
 
+    def _part(self, part: Part, label: str | None) -> DataFrame:
+        """The rows of a part, with their bucket."""
+        schema = T.StructType([f for f in self.stored if f.name != "reason"] + [T.StructField("_bucket", T.IntegerType())])
+        rows = self.spark.read.schema(schema).parquet(part.path)
+        return rows if label is None else rows.filter(F.col("label") == label)
+
+    def _emptied(self, label: str | None) -> dict[str, int]:
+        """The commit as of which each emptied label was empty; a row for each such label, whose folders the driver lists as well."""
+        if not files.exists(self.spark, f"{self.root}/emptied"):
+            return {}
+        rows = self.spark.read.schema(EMPTIED_SCHEMA).parquet(f"{self.root}/emptied")
+        rows = rows if label is None else rows.filter(F.col("label") == label)
+        return {r["label"]: r["at"] for r in rows.groupBy("label").agg(F.max("at").alias("at")).collect()}
+
+    def _alive(self, rows: DataFrame, emptied: dict[str, int]) -> DataFrame:
+        """Without the rows that were there when their label was emptied."""
+        for label, at in sorted(emptied.items()):
+            rows = rows.filter((F.col("label") != label) | F.col("label").isNull() | (F.col("commit") > at))
+        return rows
+
     def rejects(self, label: str | None = None) -> DataFrame:
         """The rows that were refused: label, key, reason, and the batch they came in."""
         refused = self._stored(label).filter(F.col("reason").isNotNull())
         return refused.select("label", quoted(self.key), "reason", "run_seq", "batch_id")
 
+    def changes(self, after: int, through: int, label: str | None = None) -> DataFrame:
+        """Every version that was written in the commits (after, through], deletions included."""
+        rows = self._stored(label, after).filter(F.col("commit") <= through)
+        return rows.filter(F.col("reason").isNull()).drop("reason")
+
     def history(self, label: str | None = None) -> DataFrame:
-        """Every version of every record, deletions included; the label prunes folders."""
-        later = self._stored(label).filter(F.col("reason").isNull()).drop("reason")
-        if not self._compacted():
-            return later
-        return self._base(label).drop("_bucket").unionByName(later)
+        """Every version of every record that is still held, deletions of single keys included; the label prunes folders."""
+        through = parts[-1].through if (parts := self.parts()) else 0
+        rows = self._stored(label, through).filter(F.col("reason").isNull()).drop("reason")
+        for part in reversed(parts):
+            rows = self._part(part, label).drop("_bucket").unionByName(rows)
+        return self._base(label).drop("_bucket").unionByName(rows) if self._compacted() else rows
 
     def current(self, label: str | None = None) -> DataFrame:
         """The latest version of each (label, key).
 
         Spark keeps one row per key in every task before it shuffles (WindowGroupLimit),
-        so a key with very many versions costs no more than any other. In a compacted
-        table only the buckets written to since are resolved; the rest is read as it is.
+        so a key with very many versions costs no more than any other. In a compacted or
+        merged table only what came later is resolved. A filter of the changed keys tells
+        which rows of the oldest part may have changed; they alone meet the exact join,
+        and all others are read as they are.
         """
-        row = F.xxhash64(*[quoted(name) for name in self.schema.names])
-        version = [F.col("commit"), *[quoted(name) for name in self.order_by], row]
+        version = self._version()
+        emptied = self._emptied(label)
         if self.partial_rows:
-            return self._merged(self.history(label), F.struct(*version))
-        if not self._compacted():
-            return self._latest(self.history(label), version)
-        later = self._stored(label).filter(F.col("reason").isNull()).drop("reason")
-        touched = [r["b"] for r in later.select(self._bucket().alias("b")).distinct().collect()]
-        base = self._base(label)
+            return self._merged(self._alive(self.history(label), emptied), F.struct(*version))
+        parts = self.parts()
+        later = self._stored(label, parts[-1].through if parts else 0).filter(F.col("reason").isNull()).drop("reason")
+        if self._compacted():
+            oldest, buckets = self._base(label), self._base_buckets()
+        elif parts:
+            oldest, buckets, parts = self._part(parts[0], label), self._buckets_of(parts[0].rows), parts[1:]
+        else:
+            return self._latest(self._alive(later, emptied), version)
+        for part in parts:
+            later = later.unionByName(self._part(part, label).drop("_bucket"))
+        later, oldest = self._alive(later, emptied), self._alive(oldest, emptied)
+        touched = [r["b"] for r in later.select(self._bucket(buckets).alias("b")).distinct().collect()]
         if not touched:
-            return base.drop("_bucket", "deleted")
+            return oldest.drop("_bucket", "deleted")
+        rest = self._unchanged(oldest, later, touched).drop("_bucket", "deleted")
+        return rest.unionByName(self._latest(later, version))
+
+    def _version(self) -> list[Column]:
+        row = F.xxhash64(*[quoted(name) for name in self.schema.names])
+        return [F.col("commit"), *[quoted(name) for name in self.order_by], row]
+
+    def _unchanged(self, oldest: DataFrame, later: DataFrame, touched: list[int]) -> DataFrame:
+        """The rows of the oldest part whose keys do not occur later."""
         changed = later.select(F.col("label").alias("_label"), quoted(self.key).alias("_key")).distinct()
-        unchanged = base.filter(F.col("_bucket").isin(touched)).join(
-            changed, (quoted(self.key) == F.col("_key")) & (F.col("label") == F.col("_label")), "left_anti"
+
+        def place(label: Column, key: Column) -> Column:
+            return F.xxhash64(label, key).bitwiseAND(F.lit(FILTER_BITS - 1))
+
+        # At most FILTER_BITS / 64 rows, so it may go to every task.
+        hashed = changed.select(place(F.col("_label"), F.col("_key")).alias("_place"))
+        words = hashed.groupBy(F.shiftright("_place", 6).alias("_word")).agg(F.expr("bit_or(shiftleft(1L, cast(_place & 63 as int)))").alias("_bits"))
+        placed = oldest.withColumn("_place", place(F.col("label"), quoted(self.key))).withColumn("_word", F.shiftright("_place", 6))
+        placed = placed.join(F.broadcast(words), "_word", "left")
+        maybe = F.coalesce(F.expr("(shiftrightunsigned(_bits, cast(_place & 63 as int)) & 1) = 1"), F.lit(False))
+        clean = placed.filter(~maybe).select(*oldest.columns)
+        doubtful = placed.filter(maybe)
+        if len(touched) <= NAMED_BUCKETS:
+            doubtful = doubtful.filter(F.col("_bucket").isin(touched))
+        same = (quoted(self.key) == F.col("_key")) & (F.col("label") == F.col("_label"))
+        return clean.unionByName(doubtful.select(*oldest.columns).join(changed, same, "left_anti"))
+
+    @staticmethod
+    def _buckets_of(rows: int) -> int:
+        return min(MOST_BUCKETS, max(1, 1 << (rows // BUCKET_ROWS).bit_length()))
+
+    def _base_buckets(self) -> int:
+        return max(int(n) for n in files.children(self.spark, f"{self.root}/buckets"))
+
+    def parts(self) -> list[Part]:
+        """The merged parts, oldest first, as the last whole manifest names them."""
+        numbers = [int(n) for n in files.children(self.spark, f"{self.root}/manifests") if n.isdigit()]
+        for number in sorted(numbers, reverse=True):
+            path = f"{self.root}/manifests/{number}"
+            if files.exists(self.spark, f"{path}/_SUCCESS"):
+                rows = self.spark.read.schema(PARTS_SCHEMA).parquet(path).orderBy("nth").collect()
+                return [Part(r["level"], r["path"], r["through"], r["rows"]) for r in rows]
+        return []
+
+    def _whole_through(self, after: int) -> int:
+        """The last commit before which all batches were written to their end."""
+        last = self._last_commit()
+        found = files.matching(self.spark, f"{self.records}/run_seq=*/batch_id=*/commit=*")
+        whole = set(files.matching(self.spark, f"{self.records}/run_seq=*/batch_id=*/commit=*/_SUCCESS"))
+        broken = [n for p in found if f"{p}/_SUCCESS" not in whole and (n := int(re.search(r"commit=(\d+)$", p)[1])) > after]
+        return min(broken) - 1 if broken else last
+
+    def merge(self, fanout: int = FANOUT) -> list[Part]:
+        """Make one part of the batches since the last merge, and merge `fanout` parts of a level into one of the next.
+
+        Only the batches and parts that are merged are read; no other file changes. A part has one version of
+        each key; the oldest one holds no deletions. The new parts are read once the manifest is whole, and
+        a merge that fails leaves the table as it was. A batch that is done again after its merge has no effect. Not while a
+        batch is being written, and not for tables of partial rows, which `compact` serves.
+        """
+        if self.partial_rows:
+            raise ValueError("a table of partial rows cannot be merged by level: use compact")
+        parts = before = self.parts()
+        after = parts[-1].through if parts else 0
+        through, emptied = self._whole_through(after), self._emptied(None)
+        if through > after:
+            fresh = self._write_part(self._alive(self.changes(after, through), emptied), 1, through, not parts)
+            parts = [*parts, fresh]
+        while len(parts) >= fanout and len({p.level for p in parts[-fanout:]}) == 1:
+            some, parts = parts[-fanout:], parts[:-fanout]
+            rows = self._part(some[0], None)
+            for part in some[1:]:
+                rows = rows.unionByName(self._part(part, None))
+            rows = self._alive(rows.drop("_bucket"), emptied)
+            parts = [*parts, self._write_part(rows, some[-1].level + 1, some[-1].through, not parts)]
+        if parts != before:
+            self._publish(parts)
+        return parts
+
+    def _write_part(self, rows: DataFrame, level: int, through: int, oldest: bool) -> Part:
+        """The latest version of each key of some rows; deletions stay, unless there is nothing older that they hide."""
+        path = f"{self.root}/parts/{uuid.uuid4().hex}"
+        # As many buckets as the rows before they are resolved would need: no less than needed.
+        buckets = self._buckets_of(rows.count())
+        found = self._latest(rows, self._version(), deletions=True)
+        if oldest and not self._compacted():
+            found = found.filter(~F.col("deleted"))
+        seen = Observation()
+        (
+            found.withColumn("_bucket", self._bucket(buckets)).observe(seen, F.count(F.lit(1)).alias("rows"))
+            .hint("rebalance", "label", "_bucket")
+            .write.option("maxRecordsPerFile", self.max_records_per_file)
+            .partitionBy("label", "_bucket").parquet(path)
         )
-        rest = base.filter(~F.col("_bucket").isin(touched)).unionByName(unchanged).drop("_bucket", "deleted")
-        return rest.unionByName(self._latest(later, version))
+        return Part(level, path, through, seen.get["rows"])
+
+    def _publish(self, parts: list[Part]) -> None:
+        numbers = [int(n) for n in files.children(self.spark, f"{self.root}/manifests") if n.isdigit()]
+        rows = [(k, p.level, p.path, p.through, p.rows) for k, p in enumerate(parts)]
+        manifest = self.spark.createDataFrame(rows, PARTS_SCHEMA).coalesce(1)
+        manifest.write.parquet(f"{self.root}/manifests/{max(numbers, default=0) + 1}")
 
     def _compacted(self) -> bool:
         return files.exists(self.spark, f"{self.root}/base")
 
-    def _latest(self, rows: DataFrame, version: list[Column]) -> DataFrame:
+    def _latest(self, rows: DataFrame, version: list[Column], deletions: bool = False) -> DataFrame:
         latest = Window.partitionBy("label", quoted(self.key)).orderBy(*[v.desc() for v in version])
-        return (
-            rows.withColumn("_nth", F.row_number().over(latest))
-            .filter((F.col("_nth") == 1) & ~F.col("deleted"))
-            .drop("_nth", "deleted")
-        )
+        found = rows.withColumn("_nth", F.row_number().over(latest)).filter(F.col("_nth") == 1).drop("_nth")
+        return found if deletions else found.filter(~F.col("deleted")).drop("deleted")
 
     def _merged(self, rows: DataFrame, version: Column) -> DataFrame:
         """Each column from the latest row that gave it, unless the key was deleted since."""
@@ -269,25 +441,18 @@ class VectorTable:
         return self.current(label).select(*[quoted(name) for name in self.schema.names], "label")
 
     def delete_label(self, label: str, run_seq: int, batch_id: int = 0) -> int:
-        """Delete all records of a label and say how many; the label can be loaded again later."""
-        seen = Observation()
-        gone = self.current(label).select(
-            *[
-                quoted(f.name) if f.name == self.key else F.lit(None).cast(f.dataType).alias(f.name)
-                for f in self.schema
-            ],
-            F.lit(True).alias("deleted"),
-            "label",
-        )
-        self.write_batch(
-            gone.observe(seen, F.count(F.lit(1)).alias("rows")), run_seq, batch_id
-        )
-        return seen.get["rows"]
+        """Empty a label by one marker and say how many records it held; the label can be loaded again later."""
+        rows = self.current(label).count()
+        folder = f"{self.root}/emptied/run_seq={run_seq}/batch_id={batch_id}"
+        commit = self._commit(folder)
+        marker = one_row(self.spark, {"label": label, "at": commit}, EMPTIED_SCHEMA)
+        marker.write.mode("overwrite").parquet(f"{folder}/commit={commit}")
+        return rows
 
     def compact(self, root: str) -> "VectorTable":
         """Write the current state as the base of a new table, in folders by label and bucket of keys.
 
-        Runs, ledger and commit numbers go along, so streams resume where they were and later
+        The number of buckets follows the rows. Runs, ledger and commit numbers go along, so streams resume where they were and later
         commits come after. Rejects stay in the old table.
         """
         target = VectorTable(
@@ -296,12 +461,14 @@ class VectorTable:
         names = [quoted(f.name) for f in self.schema]
         if self.partial_rows:
             names.append(F.array(*[F.lit(name) for name in self.schema.names]).alias("given"))
+        buckets = self._buckets_of(self.current().count())
         (
-            self.current().select(*names, "label", self._bucket().alias("_bucket"))
+            self.current().select(*names, "label", self._bucket(buckets).alias("_bucket"))
             .hint("rebalance", "label", "_bucket")
             .write.option("maxRecordsPerFile", self.max_records_per_file)
             .partitionBy("label", "_bucket").parquet(f"{root}/base")
         )
+        files.claim(self.spark, f"{root}/buckets/{buckets}")
         if files.exists(self.spark, f"{self.root}/runs"):
             self.spark.read.schema(RUNS_SCHEMA).parquet(f"{self.root}/runs").write.parquet(f"{root}/runs")
         if files.exists(self.spark, f"{self.root}/ledger"):
