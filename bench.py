@@ -63,7 +63,7 @@ def load_documents(spark, provider) -> None:
     batch_load(spark, config, provider, table, lambda df: df.select("doc_id", "text", "lang"))
 
 
-def search_many(spark, queries: int, records: int) -> None:
+def search_many(spark, queries: int, records: int, query_bytes: int = 64 << 20) -> None:
     """Stored vectors, repeated to the wanted numbers, against each other."""
     stored = load_table(spark, SF_DIR, "embeddings")
     count = stored.count()
@@ -74,7 +74,7 @@ def search_many(spark, queries: int, records: int) -> None:
         return spread.select((F.col("copy") * 1_000_000 + F.col("vec_id")).alias("vec_id"), "embedding")
 
     asked = repeated(queries).withColumnRenamed("vec_id", "q")
-    found = search.vector_search_many(repeated(records), asked, 64, 5, key="vec_id", query_key="q", query_bytes=64 << 20)
+    found = search.vector_search_many(repeated(records), asked, 64, 5, key="vec_id", query_key="q", query_bytes=query_bytes)
     found.write.format("noop").mode("overwrite").save()
 
 
@@ -112,6 +112,8 @@ def main() -> None:
     }
     for queries, records in ((200, 200_000), (10_000, 50_000), (65_536, 8_000)):
         timings[f"search_{queries}_x_{records}"] = median_time(lambda: search_many(spark, queries, records))
+    # Six blocks of queries, with a scan of the records for each.
+    timings["search_blocks_10000_x_20000"] = median_time(lambda: search_many(spark, 10_000, 20_000, 1 << 20))
     for name in QUERY_NAMES:
         timings[name] = median_time(lambda: run_query(spark, name))
     print(

@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vecloom.catalog import sql
 from vecloom.catalog.registry import load_table, register
@@ -29,6 +30,7 @@ from vecloom.operators.embed import (
     embed_queries,
 )
 from vecloom.session import work_path
+from vecloom.sources.store import VectorTable
 
 DIMS = 64
 DOCS = "SELECT doc_id AS key, text FROM documents"
@@ -341,25 +343,49 @@ def vector_search_many(spark, folder):
 
 @register("vector_search_many_grid", MANY)
 def vector_search_many_grid(spark, folder):
-    """The same search with sizes set so low that it takes the grid."""
-    return _many(spark, folder, query_bytes=8 * DIMS * 15, cell_rows=400)
-
-
-PLACED = """WITH plane AS (SELECT j, i, CASE WHEN substr(md5(j || '-' || i), 1, 1) < '8' THEN 1 ELSE -1 END AS h
-        FROM range(6) a(j), range(64) b(i)),
-    side AS (SELECT vec_id, j, sum(h * (embedding[i + 1])::DOUBLE) > 0 AS up
-        FROM embeddings, plane GROUP BY ALL),
-    placed AS (SELECT vec_id, sum(CASE WHEN up THEN 1 << j ELSE 0 END)::BIGINT AS cell FROM side GROUP BY vec_id),
-    record AS (SELECT vec_id, label, embedding::DOUBLE[] AS e, cell FROM embeddings JOIN placed USING (vec_id)),
-    query AS (SELECT label AS query_label, e AS q, cell AS q_cell FROM record
-        WHERE vec_id IN (SELECT min(vec_id) FROM embeddings GROUP BY label)),
-    every AS (SELECT query_label, vec_id, list_cosine_similarity(e, q) AS score, bit_count(xor(cell, q_cell)) AS apart
-        FROM record, query)"""
-
-APPROX = f"""{PLACED}
-    SELECT query_label, vec_id, {sql.shown()}, rank FROM (SELECT query_label, vec_id, score,
-        row_number() OVER (PARTITION BY query_label ORDER BY score DESC, vec_id)::INTEGER AS rank FROM every WHERE apart <= 2)
-    WHERE rank <= 5"""
+    """The same search with a size set so low that the queries go in several blocks."""
+    return _many(spark, folder, query_bytes=8 * DIMS * 15)
+
+
+# Four tables of planes, as many as the records ask for; a query's distances to them order the cells of each table.
+# The four nearest cells give the fifth best score, and with it the chance that a record as near lies in a cell.
+def probed(records: str, counted: str) -> str:
+    """CTEs ending in `seen(query_label, vec_id, score)`: what each query is held against in the end.
+
+    `records` gives (vec_id, label, embedding); the records of `counted` set the number of planes.
+    """
+    return f"""WITH wide AS (SELECT least(10, greatest(2, ceil(log2(ceil(count(*) / 16)))))::INTEGER AS b FROM ({counted})),
+    plane AS (SELECT t, j, i, CASE WHEN substr(md5(t || '-' || j || '-' || i), 1, 1) < '8' THEN 1 ELSE -1 END AS h
+        FROM range(4) x(t), range(10) y(j), range(64) z(i), wide WHERE j < b),
+    record AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM ({records})),
+    flat AS (SELECT vec_id, unnest(range(64)) AS i, unnest(e) / sqrt(list_inner_product(e, e)) AS v FROM record),
+    margin AS (SELECT vec_id, t, j, sum(h * v) AS m FROM flat JOIN plane USING (i) GROUP BY ALL),
+    placed AS (SELECT vec_id, t, sum(CASE WHEN m > 0 THEN 1 << j ELSE 0 END)::BIGINT AS cell FROM margin GROUP BY ALL),
+    query AS (SELECT label AS query_label, vec_id AS q_id, e AS q FROM record
+        WHERE vec_id IN (SELECT min(vec_id) FROM record GROUP BY label)),
+    crossing AS (SELECT query_label, t, mask, sum(CASE WHEN (mask >> j) & 1 = 1 THEN abs(m) ELSE 0 END) AS cost
+        FROM query JOIN margin ON q_id = vec_id, wide, unnest(range((1 << b)::BIGINT)) u(mask) GROUP BY ALL),
+    ordered AS (SELECT *, row_number() OVER (PARTITION BY query_label, t ORDER BY cost, mask) AS nth FROM crossing),
+    pairs AS (SELECT query_label, vec_id, list_cosine_similarity(e, q) AS score FROM record, query),
+    begun AS (SELECT DISTINCT query_label, p.vec_id FROM ordered o JOIN query USING (query_label)
+        JOIN placed own ON own.vec_id = q_id AND own.t = o.t JOIN placed p ON p.t = o.t AND p.cell = xor(own.cell, mask) WHERE nth <= 4),
+    fifth AS (SELECT query_label, score AS c FROM (SELECT *, row_number() OVER (PARTITION BY query_label ORDER BY score DESC, vec_id) AS nth
+        FROM begun JOIN pairs USING (query_label, vec_id)) WHERE nth = 5),
+    angle AS (SELECT query_label, q_id, greatest(0, least(0.999999, coalesce(c, 0))) AS c FROM query LEFT JOIN fifth USING (query_label)),
+    crossed AS (SELECT query_label, t, j, 1 / (1 + exp(least(abs(m) * 1.702 * c / sqrt(1 - c * c), 700))) AS f
+        FROM angle JOIN margin ON q_id = vec_id),
+    chance AS (SELECT query_label, t, mask, nth, product(CASE WHEN (mask >> j) & 1 = 1 THEN f ELSE 1 - f END) AS p
+        FROM ordered JOIN crossed USING (query_label, t) GROUP BY ALL),
+    summed AS (SELECT *, coalesce(sum(p) OVER (PARTITION BY query_label, t ORDER BY nth ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM chance),
+    seen AS (SELECT query_label, vec_id, score FROM (SELECT DISTINCT query_label, p.vec_id FROM summed s JOIN query USING (query_label)
+        JOIN placed own ON own.vec_id = q_id AND own.t = s.t JOIN placed p ON p.t = s.t AND p.cell = xor(own.cell, mask)
+        WHERE nth <= 4 OR before < 1 - pow(0.1, 0.25)) JOIN pairs USING (query_label, vec_id))"""
+
+
+STORED = "SELECT vec_id, label, embedding FROM embeddings"
+BEST = f"""SELECT query_label, vec_id, {sql.shown()}, rank FROM (SELECT query_label, vec_id, score,
+        row_number() OVER (PARTITION BY query_label ORDER BY score DESC, vec_id)::INTEGER AS rank FROM seen) WHERE rank <= 5"""
+APPROX = f"{probed(STORED, STORED)} {BEST}"
 
 
 def label_questions(stored: DataFrame) -> DataFrame:
@@ -370,42 +396,92 @@ def label_questions(stored: DataFrame) -> DataFrame:
     )
 
 
-def _approx(spark, folder, radius: int = 2, **sizes) -> DataFrame:
+@register("vector_search_approx", APPROX)
+def vector_search_approx(spark, folder):
     stored = load_table(spark, folder, "embeddings")
-    path = work_path(spark, "index")
-    ann.write_index(stored, path, DIMS, bits=6)
-    index = spark.read.parquet(path)
-    return ann.vector_search_approx(
-        index, label_questions(stored), DIMS, 5, key="vec_id", query_key="query_label", bits=6, radius=radius, **sizes
-    )
+    index = ann.CellIndex.build(stored, work_path(spark, "index"), DIMS, "vec_id")
+    return shown(index.search(label_questions(stored), query_key="query_label"))
 
 
-@register(
-    "vector_search_approx_recall",
-    f"""{PLACED},
+@register("vector_search_approx_join", APPROX)
+def vector_search_approx_join(spark, folder):
+    """The same search with the query size set so low that the queries go in several blocks."""
+    stored = load_table(spark, folder, "embeddings")
+    index = ann.CellIndex.build(stored, work_path(spark, "index"), DIMS, "vec_id")
+    return shown(index.search(label_questions(stored), query_key="query_label", query_bytes=8 * DIMS * 3))
+
+
+def recall_sql(cte: str) -> str:
+    return f"""{cte},
     exact AS (SELECT query_label, vec_id FROM (SELECT *, row_number() OVER (PARTITION BY query_label
-        ORDER BY score DESC, vec_id) AS nth FROM every) WHERE nth <= 5),
+        ORDER BY score DESC, vec_id) AS nth FROM pairs) WHERE nth <= 5),
     near AS (SELECT query_label, vec_id FROM (SELECT *, row_number() OVER (PARTITION BY query_label
-        ORDER BY score DESC, vec_id) AS nth FROM every WHERE apart <= 4) WHERE nth <= 5)
-    SELECT query_label, count(*) AS wanted, count(n.vec_id) AS found, count(n.vec_id) / count(*) AS recall
-    FROM exact x LEFT JOIN near n USING (query_label, vec_id) GROUP BY query_label""",
-)
+        ORDER BY score DESC, vec_id) AS nth FROM seen) WHERE nth <= 5),
+    work AS (SELECT query_label, count(*) AS records_read FROM seen GROUP BY query_label)
+    SELECT query_label, count(*) AS wanted, count(n.vec_id) AS found, count(n.vec_id) / count(*) AS recall,
+        any_value(records_read) AS records_read, any_value(records_read) / (SELECT count(*) FROM record) AS share_read
+    FROM exact x LEFT JOIN near n USING (query_label, vec_id) JOIN work USING (query_label) GROUP BY query_label"""
+
+
+def measured(stored: DataFrame, index: ann.CellIndex) -> DataFrame:
+    """Recall and work of a search by the settings that it has by default."""
+    asked = label_questions(stored)
+    exact = search.vector_search_many(stored, asked, DIMS, 5, key="vec_id", query_key="query_label")
+    found = ann.recall(index.search(asked, query_key="query_label"), exact, "query_label", "vec_id")
+    work = index.read_by(index.probed(asked, 5, "query_label"), "query_label")
+    return found.join(work, "query_label").withColumn("share_read", F.col("records_read") / F.lit(stored.count()))
+
+
+@register("vector_search_approx_recall", recall_sql(probed(STORED, STORED)))
 def approximate_recall(spark, folder):
-    """Share of the exact neighbours found within four of six bits."""
+    """Share of the exact neighbours that the search finds as it runs by default, and of the records that it reads."""
     stored = load_table(spark, folder, "embeddings")
-    exact = search.vector_search_many(stored, label_questions(stored), DIMS, 5, key="vec_id", query_key="query_label")
-    return ann.recall(_approx(spark, folder, radius=4), exact, "query_label", "vec_id")
+    return measured(stored, ann.CellIndex.build(stored, work_path(spark, "index"), DIMS, "vec_id"))
 
 
-@register("vector_search_approx", APPROX)
-def vector_search_approx(spark, folder):
-    return shown(_approx(spark, folder))
+# Every record drawn near to the record of the same label and place that comes first: clusters of some twenty.
+CLUSTERED = """SELECT r.vec_id, r.label, list_transform(range(64), lambda i: (c.embedding[i + 1] + 0.25 * r.embedding[i + 1])::FLOAT) AS embedding
+    FROM embeddings r JOIN embeddings c ON c.vec_id = r.vec_id % (SELECT greatest(1, count(*) // 20) FROM embeddings)"""
 
 
-@register("vector_search_approx_join", APPROX)
-def vector_search_approx_join(spark, folder):
-    """The same search with the query size set so low that queries are joined to their cells."""
-    return shown(_approx(spark, folder, query_bytes=8 * DIMS * 3))
+@register("vector_search_approx_clusters", recall_sql(probed(CLUSTERED, CLUSTERED)))
+def approximate_clusters(spark, folder):
+    """The same measurement over vectors in clusters, where few cells are enough."""
+    plain = load_table(spark, folder, "embeddings")
+    centre = plain.select(F.col("vec_id").alias("_c"), F.col("embedding").alias("_centre"))
+    near = plain.join(centre, F.col("vec_id") % max(1, plain.count() // 20) == F.col("_c"))
+    mixed = F.zip_with("_centre", "embedding", lambda c, e: (c + F.lit(0.25) * e).cast("float"))
+    stored = near.select("vec_id", "label", mixed.alias("embedding"))
+    path = work_path(spark, "clusters")
+    stored.write.parquet(path)
+    stored = spark.read.parquet(path)
+    return measured(stored, ann.CellIndex.build(stored, work_path(spark, "index"), DIMS, "vec_id"))
+
+
+# What is left of the records after a deletion, an upsert and an append: those of the first half, turned and moved, and the rest.
+FOLLOWED = """SELECT vec_id, label, CASE WHEN vec_id % 5 = 1 THEN list_transform(embedding, lambda x: -x) ELSE embedding END AS embedding
+    FROM embeddings WHERE vec_id % 5 <> 0"""
+
+
+@register("vector_search_approx_follow", f"{probed(FOLLOWED, 'SELECT * FROM embeddings WHERE vec_id % 5 <= 2')} {BEST}")
+def approximate_follow(spark, folder):
+    """An index of a table that then deletes, upserts and appends, commit by commit."""
+    stored = load_table(spark, folder, "embeddings")
+    rows = stored.select("vec_id", F.col("label").alias("kind"), "embedding", F.lit("Vector").alias("label"))
+    schema = T.StructType([rows.schema["vec_id"], rows.schema["kind"], rows.schema["embedding"]])
+    table = VectorTable(spark, work_path(spark, "table"), schema, "vec_id")
+    rest = F.col("vec_id") % 5
+    run = table.open_run("vectors")
+    table.write_batch(rows.filter(rest <= 2), run, 0)
+    index = ann.CellIndex.of_table(table, "Vector", work_path(spark, "index"), DIMS)
+    table.write_batch(rows.filter(rest == 0).withColumn("deleted", F.lit(True)), run, 1)
+    turned = F.transform("embedding", lambda x: -x)
+    table.write_batch(rows.filter(rest == 1).withColumn("embedding", turned), run, 2)
+    index.follow(table, "Vector")
+    table.write_batch(rows.filter(rest >= 3), run, 3)
+    index.follow(table, "Vector")
+    current = table.read_label("Vector").withColumn("label", F.col("kind"))
+    return shown(index.search(label_questions(current), query_key="query_label"))
 
 
 @register(

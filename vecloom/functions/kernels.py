@@ -348,10 +348,12 @@ class BestPool:
         self.parts: list[pa.Table] = []
         self.rows, self.kept = 0, 0
 
-    def offer(self, batch: pa.RecordBatch, records: np.ndarray, asking: np.ndarray) -> None:
-        """Records that can still be among the best of the asking queries go into the buffer."""
+    def offer(self, batch: pa.RecordBatch, records: np.ndarray, asking: np.ndarray, left_out: np.ndarray | None = None) -> None:
+        """Records that can still be among the best of the asking queries go into the buffer, but for pairs left out."""
         sides = directions(records) if self.metric == "cosine" else records
         gains, slack = rough_gains(self.rough[asking], sides, self.metric)
+        if left_out is not None:
+            gains = np.where(left_out, np.nan, gains)
         floor = self.floor[asking]
         # A gain is compared with the floor on its own scale.
         bar = -(floor * floor) if self.metric == "euclidean" else floor
@@ -403,14 +405,19 @@ def best_per_query(
     vector: str,
     columns: list[str],
     metric: str,
-    query_cells: np.ndarray | None = None,
-    cell: str | None = None,
-    radius: int = 0,
+    probes: np.ndarray | None = None,
+    cells: str | None = None,
+    table: str | None = None,
 ) -> pa.Table | None:
-    """Scan record batches, holding a small multiple of k candidates per query at any time."""
+    """Scan record batches, holding a small multiple of k candidates per query at any time.
+
+    With `probes` (tables x queries x cells, true where a query looks) the batches are index
+    rows: a record once for each table, with its cells in all of them. A query meets a
+    record in the first table in which it looks into the record's cell.
+    """
     pool = BestPool(queries, k, key, columns, metric)
 
-    def offer_in_steps(batch: pa.RecordBatch, asking: np.ndarray) -> None:
+    def offer_in_steps(batch: pa.RecordBatch, asking: np.ndarray, placed: np.ndarray | None = None) -> None:
         if not batch.num_rows or not len(asking):
             return
         step = max(1, SCORE_CELLS // min(len(asking), SCORE_QUERIES))
@@ -418,18 +425,27 @@ def best_per_query(
             part = batch.slice(start, step)
             records = to_matrix(part.column(vector), queries.shape[1])
             for first in range(0, len(asking), SCORE_QUERIES):
-                pool.offer(part, records, asking[first : first + SCORE_QUERIES])
+                some, met = asking[first : first + SCORE_QUERIES], None
+                for earlier in range(0 if placed is None else placed.shape[1] - 1):
+                    here = probes[earlier][np.ix_(some, placed[start : start + step, earlier])]
+                    met = here if met is None else met | here
+                pool.offer(part, records, some, met)
 
     for batch in batches:
-        if query_cells is None:
+        if probes is None:
             offer_in_steps(batch, np.arange(len(queries)))
             continue
-        # Files hold one cell each, so this is mostly one round.
-        cells = batch.column(cell).to_numpy()
-        for here in np.unique(cells):
-            near = np.flatnonzero(np.bitwise_count(query_cells ^ np.int64(here)) <= radius)
-            inside = cells == here
-            offer_in_steps(batch if inside.all() else batch.filter(pa.array(inside)), near)
+        if not batch.num_rows:
+            continue
+        placed = batch.column(cells).flatten().to_numpy().reshape(batch.num_rows, -1)
+        tables = batch.column(table).to_numpy()
+        for t in np.unique(tables):
+            own = np.where(tables == t, placed[:, t], -1)
+            # Rows come sorted by cell.
+            for cell in np.unique(own[own >= 0]):
+                inside = own == cell
+                some = batch if inside.all() else batch.filter(pa.array(inside))
+                offer_in_steps(some, np.flatnonzero(probes[t][:, cell]), placed[inside][:, : t + 1])
 
     best = pool.prune()
     if best is None:
@@ -438,18 +454,42 @@ def best_per_query(
     return best.append_column("score", pa.array(sign * best["_gain"].to_numpy() + 0.0))
 
 
-def hyperplanes(bits: int, dims: int) -> np.ndarray:
-    """+1/-1 hyperplanes from md5 of their position."""
+def hyperplanes(bits: int, dims: int, table: int) -> np.ndarray:
+    """+1/-1 hyperplanes of a hash table, from md5 of the table and their position."""
     return np.array(
         [
-            [1 if hashlib.md5(f"{j}-{i}".encode()).hexdigest()[0] < "8" else -1 for i in range(dims)]
+            [1 if hashlib.md5(f"{table}-{j}-{i}".encode()).hexdigest()[0] < "8" else -1 for i in range(dims)]
             for j in range(bits)
         ],
         dtype=np.float64,
     )
 
 
-def sign_cells(matrix: np.ndarray, planes: np.ndarray) -> np.ndarray:
+def sign_cells(margins: np.ndarray) -> np.ndarray:
     """One bit per hyperplane: on which side the vector lies."""
-    bits = (matrix @ planes.T > 0).astype(np.int64)
-    return bits @ (1 << np.arange(len(planes), dtype=np.int64))
+    return (margins > 0).astype(np.int64) @ (1 << np.arange(margins.shape[1], dtype=np.int64))
+
+
+def cells_looked_into(margins: np.ndarray, cosines: np.ndarray, first: int, share: float) -> np.ndarray:
+    """For each query (its distances to the planes of a table) the cells that it looks into, likeliest first, as truth values.
+
+    A vector at angle a from the query lies on the other side of a plane at distance m with
+    chance F(-m / tan a), F being the normal distribution, for which a logistic curve stands here.
+    Cells are taken by the sum of the distances to the planes crossed until the chance that such a
+    vector lies in one of them is `share`, and `first` cells at least.
+    """
+    rows, bits = margins.shape
+    cosine = np.clip(cosines, 0.0, 0.999999)
+    slope = 1.702 * cosine / np.sqrt(1 - cosine * cosine)
+    crossed = 1 / (1 + np.exp(np.minimum(np.abs(margins) * slope[:, None], 700)))
+    chance, cost = np.ones((rows, 1)), np.zeros((rows, 1))
+    for j in range(bits):
+        chance = np.concatenate([chance * (1 - crossed[:, j : j + 1]), chance * crossed[:, j : j + 1]], axis=1)
+        cost = np.concatenate([cost, cost + np.abs(margins[:, j : j + 1])], axis=1)
+    order = np.argsort(cost, axis=1, kind="stable")
+    sums = np.cumsum(np.take_along_axis(chance, order, 1), axis=1)
+    taken = np.concatenate([np.ones((rows, 1), bool), sums[:, :-1] < share], axis=1)
+    taken[:, :first] = True
+    out = np.zeros((rows, 1 << bits), bool)
+    np.put_along_axis(out, order ^ sign_cells(margins)[:, None], taken, 1)
+    return out

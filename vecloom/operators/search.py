@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -15,11 +16,10 @@ from vecloom.functions import kernels
 from vecloom.functions.vector import DISTANCE_METRICS, METRICS, similarity
 from vecloom.operators.filters import valid_embeddings
 from vecloom.operators.project import quoted
+from vecloom.session import work_path
 
-# Query vectors sent with every task may take this much; a larger table takes the grid.
+# Query vectors and keys sent with every task take this much; a larger table goes in blocks, with one scan of the records for each.
 QUERY_BYTES = 32 << 20
-# Rows of the record side in one grid cell.
-CELL_ROWS = 50_000
 
 
 class DimensionMismatch(ValueError):
@@ -84,50 +84,85 @@ def vector_search_scored(
     return valid_embeddings(records, dimensions, vector).withColumn("score", similarity(metric, quoted(vector), literal))
 
 
-def guard_queries(queries: DataFrame, dimensions: int, vector: str) -> None:
-    """Refuse a query table if any of its vectors has another length; null vectors are no queries."""
+def query_blocks(queries: DataFrame, query_key: str, vector: str, dimensions: int, query_bytes: int) -> Iterator[pa.Table]:
+    """The queries (key, _vector, and other columns) that have a vector, in blocks of about so many bytes.
+
+    A vector of another length refuses the whole table; null vectors are no queries. More than one block is
+    written once to the shared folder, with a number for each row, so that blocks are of
+    like sizes even if all rows are copies.
+    """
     size = F.size(quoted(vector))
     wrong = F.when(quoted(vector).isNotNull() & (size != dimensions), size)
-    found = queries.agg(F.max(wrong).alias("found")).first()["found"]
-    if found is not None:
-        guard_dimensions(dimensions, found)
+    key = F.coalesce(F.octet_length(quoted(query_key).cast("string")), F.lit(0))
+    bytes_ = F.coalesce(F.sum(F.when(quoted(vector).isNotNull(), key + 8 * dimensions)), F.lit(0))
+    found = queries.agg(F.max(wrong).alias("wrong"), bytes_.alias("bytes")).first()
+    if found["wrong"] is not None:
+        guard_dimensions(dimensions, found["wrong"])
+    usable = queries.filter(quoted(vector).isNotNull())
+    blocks = max(1, -(-found["bytes"] // query_bytes))
+    if blocks == 1:
+        yield usable.toArrow()
+        return
+    path = work_path(queries.sparkSession, "queries")
+    usable.withColumn("_id", F.monotonically_increasing_id()).write.parquet(path)
+    staged = queries.sparkSession.read.parquet(path)
+    for block in range(blocks):
+        rows = staged.filter(F.pmod(F.xxhash64("_id"), F.lit(blocks)) == block).drop("_id").toArrow()
+        if rows.num_rows:
+            yield rows
+
+
+def in_blocks(spark: SparkSession, blocks: Iterator[pa.Table], answer: Callable[[pa.Table], DataFrame]) -> DataFrame:
+    """The answers to all blocks; those to more than one are written one after another."""
+    first, second = next(blocks), next(blocks, None)
+    if second is None:
+        return answer(first)
+    path, schema = work_path(spark, "answers"), None
+    for block in chain([first, second], blocks):
+        found = answer(block)
+        schema = found.schema
+        found.write.mode("append").parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
+def matrix_of(vectors: pa.ChunkedArray, dimensions: int) -> np.ndarray:
+    vectors = vectors.combine_chunks()
+    return kernels.to_matrix(vectors, dimensions) if len(vectors) else np.zeros((0, dimensions))
 
 
 def _scan(
     records: DataFrame,
-    queries: np.ndarray,
+    queries: pa.Table,
     dimensions: int,
     k: int,
     key: str,
+    query_key: T.StructField,
     columns: list[str],
     vector: str,
     metric: str,
-    query_cells: np.ndarray | None = None,
-    cell: str | None = None,
-    radius: int = 0,
+    probes: np.ndarray | None = None,
+    cells: str | None = None,
+    table: str | None = None,
 ) -> DataFrame:
-    """One narrow pass: each task returns at most k candidates per query.
-
-    Columns: _query (row of the query matrix), key, columns, score.
-    """
+    """One narrow pass: each task returns at most k candidates per query (query key, key, columns, score)."""
     kept = list(dict.fromkeys([key, *columns]))
-    needed = [*kept, vector, *([cell] if cell else [])]
+    needed = [*kept, vector, *([cells, table] if cells else [])]
     source = valid_embeddings(records, dimensions, vector).select(*[quoted(c) for c in needed])
     schema = T.StructType(
         [
-            T.StructField("_query", T.LongType()),
+            T.StructField(query_key.name, query_key.dataType),
             *[T.StructField(c, records.schema[c].dataType) for c in kept],
             T.StructField("score", T.DoubleType()),
         ]
     )
     arrow = to_arrow_schema(schema)
+    matrix, names = matrix_of(queries["_vector"], dimensions), queries[query_key.name].combine_chunks()
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = kernels.best_per_query(
-            batches, queries, k, key, vector, kept, metric, query_cells, cell, radius
-        )
+        best = kernels.best_per_query(batches, matrix, k, key, vector, kept, metric, probes, cells, table)
         if best is not None:
-            yield from best.select(arrow.names).cast(arrow).combine_chunks().to_batches()
+            named = best.append_column(query_key.name, names.take(best["_query"].combine_chunks()))
+            yield from named.select(arrow.names).cast(arrow).combine_chunks().to_batches()
 
     return source.mapInArrow(scan, schema)
 
@@ -151,137 +186,21 @@ def vector_search_many(
     query_vector: str = "embedding",
     metric: str = "cosine",
     query_bytes: int = QUERY_BYTES,
-    cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
     """The k nearest records of every query: query_key, key, columns, score, rank.
 
-    Queries that fit in `query_bytes`, their keys included, go to the tasks that scan the
-    records, which are then not shuffled. More queries than that take the grid, see `_grid`.
-    Both give the same rows, and refuse the whole table if one query has a wrong length.
-    Ranks come from the exact scores.
+    Queries go to the tasks that scan the records in blocks of `query_bytes`, with a scan
+    for each block; the records are never shuffled. One query of a wrong length refuses the whole
+    table. Ranks come from the exact scores.
     """
     _check(metric, k)
     if query_key == key or query_key in columns:
         raise ValueError("the query key needs a name of its own")
-    guard_queries(queries, dimensions, query_vector)
     wanted = queries.select(quoted(query_key), quoted(query_vector).alias("_vector"))
-    most = max(1, query_bytes // (8 * dimensions))
-    if fits(wanted, query_key, query_bytes, dimensions):
-        usable = wanted.filter(F.col("_vector").isNotNull()).collect()
-        matrix = np.array([row["_vector"] for row in usable], dtype=np.float64).reshape(-1, dimensions)
-        found = _name_queries(
-            _scan(records, matrix, dimensions, k, key, list(columns), vector, metric),
-            [row[query_key] for row in usable],
-            queries.schema[query_key],
-        )
-    else:
-        left, right = _whole_grid(records, wanted, most, cell_rows)
-        found = _grid(left, right, dimensions, k, key, query_key, list(columns), vector, metric)
-    ranked = _rank(found, query_key, key, k, metric)
-    return ranked.select(*[quoted(c) for c in (query_key, *dict.fromkeys([key, *columns]))], "score", "rank")
-
-
-def fits(queries: DataFrame, query_key: str, query_bytes: int, dimensions: int) -> bool:
-    """Whether all queries with their keys take at most `query_bytes`."""
-    key = F.coalesce(F.octet_length(quoted(query_key).cast("string")), F.lit(0))
-    size = queries.agg(F.coalesce(F.sum(key + 8 * dimensions), F.lit(0)).alias("n")).first()["n"]
-    return size <= query_bytes
-
-
-def _name_queries(found: DataFrame, keys: list, field: T.StructField) -> DataFrame:
-    """Swap matrix rows for query keys; the key list is as small as the query matrix."""
-    schema = T.StructType([T.StructField("_query", T.LongType()), T.StructField(field.name, field.dataType)])
-    names = found.sparkSession.createDataFrame(list(enumerate(keys)), schema)
-    return found.join(F.broadcast(names), "_query").drop("_query")
-
-
-# The grid: search for a query table of any size. Records fall into R blocks and queries
-# into Q blocks, and each pair of blocks is one group that returns k candidates per query.
-# R and Q follow the row counts, so a group holds about `cell_rows` records and
-# `query_rows` queries, whatever the size of the tables.
-
-
-def _blocks(rows, per_block: int):
-    return F.greatest(F.ceil(rows / per_block), F.lit(1)).cast("bigint")
+    names = [quoted(c) for c in (query_key, *dict.fromkeys([key, *columns]))]
 
+    def answer(block: pa.Table) -> DataFrame:
+        found = _scan(records, block, dimensions, k, key, queries.schema[query_key], list(columns), vector, metric)
+        return _rank(found, query_key, key, k, metric).select(*names, "score", "rank")
 
-def _whole_grid(records: DataFrame, queries: DataFrame, query_rows: int, cell_rows: int):
-    """Block counts for records and queries that all meet."""
-
-    def blocks(df: DataFrame, per_block: int):
-        return F.lit(max(1, -(-df.count() // per_block))).cast("bigint")
-
-    sizes = [blocks(records, cell_rows).alias("_records"), blocks(queries, query_rows).alias("_queries")]
-    return records.select("*", *sizes), queries.select("*", *sizes)
-
-
-def _cell_grid(records: DataFrame, queries: DataFrame, query_rows: int, cell_rows: int):
-    """Block counts for records and queries that meet only in the same `cell`."""
-
-    def counted(df: DataFrame, name: str, per_block: int) -> DataFrame:
-        return df.groupBy("cell").agg(_blocks(F.count(F.lit(1)), per_block).alias(name))
-
-    sizes = counted(records, "_records", cell_rows).join(counted(queries, "_queries", query_rows), "cell")
-
-    def sized(df: DataFrame) -> DataFrame:
-        # One row per cell: as many as the index has cells, whatever the data.
-        own = sizes.select("cell", *[F.col(c).alias(c) for c in ("_records", "_queries")])
-        return df.join(F.broadcast(own), "cell")
-
-    return sized(records), sized(queries)
-
-
-def _grid(
-    records: DataFrame,
-    queries: DataFrame,
-    dimensions: int,
-    k: int,
-    key: str,
-    query_key: str,
-    columns: list[str],
-    vector: str,
-    metric: str,
-    within: Sequence[str] = (),
-) -> DataFrame:
-    """Candidates from every group of the grid.
-
-    Blocks come from a hash of the row and its input partition, so copies are spread.
-    """
-    kept = list(dict.fromkeys([key, *columns]))
-    group = [*within, "_r", "_q"]
-
-    def block(name: str, source: str, count: str):
-        return F.pmod(F.xxhash64(quoted(name), quoted(source), F.spark_partition_id()), F.col(count))
-
-    def every(count: str):
-        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(count) - 1))
-
-    left = valid_embeddings(records, dimensions, vector)
-    left = left.withColumn("_r", block(key, vector, "_records")).withColumn("_q", every("_queries"))
-    left = left.select(*group, *[quoted(c) for c in [*kept, vector]])
-    right = valid_embeddings(queries, dimensions, "_vector")
-    right = right.withColumn("_q", block(query_key, "_vector", "_queries")).withColumn("_r", every("_records"))
-    right = right.select(*group, quoted(query_key), "_vector")
-
-    schema = T.StructType(
-        [
-            T.StructField(query_key, queries.schema[query_key].dataType),
-            *[T.StructField(c, records.schema[c].dataType) for c in kept],
-            T.StructField("score", T.DoubleType()),
-        ]
-    )
-    arrow = to_arrow_schema(schema)
-
-    def cell(some_records: pa.Table, some_queries: pa.Table) -> pa.Table:
-        asked = some_queries["_vector"].combine_chunks()
-        matrix = kernels.to_matrix(asked, dimensions) if len(asked) else np.zeros((0, dimensions))
-        best = None
-        if len(matrix):
-            batches = some_records.combine_chunks().to_batches()
-            best = kernels.best_per_query(batches, matrix, k, key, vector, kept, metric)
-        if best is None:
-            return arrow.empty_table()
-        names = some_queries[query_key].combine_chunks().take(best["_query"].combine_chunks())
-        return best.append_column(query_key, names).select(arrow.names).cast(arrow)
-
-    return left.groupBy(*group).cogroup(right.groupBy(*group)).applyInArrow(cell, schema)
+    return in_blocks(records.sparkSession, query_blocks(wanted, query_key, "_vector", dimensions, query_bytes), answer)

@@ -21,6 +21,7 @@ import re
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
@@ -88,6 +89,36 @@ def append_rows(df: DataFrame, path: str, label: str = "label") -> None:
     df.hint("rebalance", label).write.mode("append").partitionBy(label).parquet(path)
 
 
+def without_changed(rows: DataFrame, changed: DataFrame, keys: list[str], among: Column | None = None, since: str | None = None) -> DataFrame:
+    """The rows whose keys are not among the changed ones; `among` is true for all rows that may be.
+
+    A filter of the changed keys, of FILTER_BITS at most, goes to every task. Rows that it does not let through are
+    read as they are, and only the others meet the exact join. With `since`, a row goes only
+    if its key changed at a higher value of that column than its own.
+    """
+    named = [quoted(n).alias(f"_changed_{i}") for i, n in enumerate(keys)]
+    if since is None:
+        changed = changed.select(*named).distinct()
+    else:
+        changed = changed.groupBy(*named).agg(F.max(since).alias("_since"))
+
+    def place(columns: list[Column]) -> Column:
+        return F.xxhash64(*columns).bitwiseAND(F.lit(FILTER_BITS - 1))
+
+    # At most FILTER_BITS / 64 rows.
+    hashed = changed.select(place([F.col(f"_changed_{i}") for i in range(len(keys))]).alias("_place"))
+    words = hashed.groupBy(F.shiftright("_place", 6).alias("_word")).agg(F.expr("bit_or(shiftleft(1L, cast(_place & 63 as int)))").alias("_bits"))
+    placed = rows.withColumn("_place", place([quoted(n) for n in keys])).withColumn("_word", F.shiftright("_place", 6))
+    placed = placed.join(F.broadcast(words), "_word", "left")
+    maybe = F.coalesce(F.expr("(shiftrightunsigned(_bits, cast(_place & 63 as int)) & 1) = 1"), F.lit(False))
+    names = [quoted(n) for n in rows.columns]
+    clean, doubtful = placed.filter(~maybe).select(*names), placed.filter(maybe if among is None else maybe & among).select(*names)
+    same = [quoted(n) == F.col(f"_changed_{i}") for i, n in enumerate(keys)]
+    if since is not None:
+        same.append(F.col("_since") > F.col(since))
+    return clean.unionByName(doubtful.join(changed, reduce(Column.__and__, same), "left_anti"))
+
+
 class VectorTable:
     """Records of `schema`, keyed by `key` within a label.
 
@@ -307,23 +338,9 @@ class VectorTable:
 
     def _unchanged(self, oldest: DataFrame, later: DataFrame, touched: list[int]) -> DataFrame:
         """The rows of the oldest part whose keys do not occur later."""
-        changed = later.select(F.col("label").alias("_label"), quoted(self.key).alias("_key")).distinct()
-
-        def place(label: Column, key: Column) -> Column:
-            return F.xxhash64(label, key).bitwiseAND(F.lit(FILTER_BITS - 1))
-
-        # At most FILTER_BITS / 64 rows, so it may go to every task.
-        hashed = changed.select(place(F.col("_label"), F.col("_key")).alias("_place"))
-        words = hashed.groupBy(F.shiftright("_place", 6).alias("_word")).agg(F.expr("bit_or(shiftleft(1L, cast(_place & 63 as int)))").alias("_bits"))
-        placed = oldest.withColumn("_place", place(F.col("label"), quoted(self.key))).withColumn("_word", F.shiftright("_place", 6))
-        placed = placed.join(F.broadcast(words), "_word", "left")
-        maybe = F.coalesce(F.expr("(shiftrightunsigned(_bits, cast(_place & 63 as int)) & 1) = 1"), F.lit(False))
-        clean = placed.filter(~maybe).select(*oldest.columns)
-        doubtful = placed.filter(maybe)
-        if len(touched) <= NAMED_BUCKETS:
-            doubtful = doubtful.filter(F.col("_bucket").isin(touched))
-        same = (quoted(self.key) == F.col("_key")) & (F.col("label") == F.col("_label"))
-        return clean.unionByName(doubtful.select(*oldest.columns).join(changed, same, "left_anti"))
+        changed = later.select("label", quoted(self.key))
+        among = F.col("_bucket").isin(touched) if len(touched) <= NAMED_BUCKETS else None
+        return without_changed(oldest, changed, ["label", self.key], among)
 
     @staticmethod
     def _buckets_of(rows: int) -> int:
