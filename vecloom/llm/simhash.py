@@ -9,6 +9,10 @@ components are those of all pairs. A meeting is kept as one bit mask while it is
 Copies down to a shingle Jaccard of 0.8 differ in some ten bits of 64, out of reach of one
 ball. `alike_links` therefore cuts several salted fingerprints into short ones, each with a
 half-radius ball of its own, and holds the pairs that meet against their exact Jaccard.
+A text whose meetings are all small is held against everyone it meets. Texts that crowd
+together are held, round by round, against one text a table, first the one that most others lie near,
+which the original of many copies is, until a round links nothing: the pairs grow
+with the texts of a crowd and not with their square.
 """
 
 from __future__ import annotations
@@ -30,9 +34,10 @@ from vecloom.llm.text import col, flat, helper, mixed, or_empty, steps, written
 SEED = 42
 #: The share of planted pairs at just the wanted Jaccard that should meet, by the bits' chance to differ.
 MEET = 0.96
-#: Members of a meeting that each one is paired with, and members that stand for one short
-#: fingerprint in its neighbours' meetings; smaller meetings give all their pairs.
-BESIDE = 16
+#: Members of a meeting that makes its members a crowd; smaller ones give all their pairs.
+CROWD = 5
+#: Texts that one group of a hub's verification holds against it.
+HUB_ROWS = 1000
 #: Ball variants that one task makes or brings together, and the least number of such tasks.
 BALL_ROWS, BALL_TASKS = 1 << 20, 64
 
@@ -181,81 +186,157 @@ def _short(more: np.ndarray, bits: int, tables: int) -> np.ndarray:
     return every @ (np.int64(1) << np.arange(bits, dtype=np.int64))
 
 
-def _met(key: np.ndarray, flip: np.ndarray, node: np.ndarray, own: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (smaller, larger) of the nodes that share a key.
+def _packed(key: np.ndarray, *others: np.ndarray) -> bytes:
+    """Rows by ascending key in bytes that compress well: differences of keys, and the other columns, by byte plane."""
+    order = np.argsort(key, kind="stable")
+    wide = np.stack([np.diff(key[order], prepend=0), *(x[order] for x in others)]).astype("<i8")
+    return np.ascontiguousarray(wide.view(np.uint8).reshape(len(wide), -1, 8).transpose(0, 2, 1)).tobytes()
 
-    Texts of one short fingerprint meet whole under that fingerprint (`own`); under each
-    neighbour of it BESIDE of them stand for all. Members of a large meeting are paired with
-    the BESIDE next ones and the first.
+
+def _unpacked(blobs: list[bytes], columns: int) -> tuple[np.ndarray, ...]:
+    """The columns of all rows; the first one is the key."""
+    parts = []
+    for blob in blobs:
+        planes = np.frombuffer(blob, np.uint8).reshape(columns, 8, -1)
+        wide = np.ascontiguousarray(planes.transpose(0, 2, 1)).view("<i8")[:, :, 0]
+        parts.append(np.concatenate([np.cumsum(wide[:1], axis=1), wide[1:]]))
+    return tuple(np.concatenate(parts, axis=1))
+
+
+def _dealt(home: np.ndarray, tasks: int, columns: tuple[np.ndarray, ...]) -> pa.RecordBatch:
+    """The rows in one piece of bytes for each home that has any."""
+    order = np.argsort(home, kind="stable")
+    cuts = np.searchsorted(home[order], np.arange(tasks + 1))
+    full = np.flatnonzero(np.diff(cuts))
+    blobs = [_packed(*(x[order[cuts[h] : cuts[h + 1]]] for x in columns)) for h in full.tolist()]
+    return pa.RecordBatch.from_arrays([pa.array(full), pa.array(blobs, pa.binary())], ["home", "rows"])
+
+
+def _home(key: np.ndarray, tasks: int) -> np.ndarray:
+    return (mixed(key.view(np.uint64)) % np.uint64(tasks)).astype(np.int64)
+
+
+def _runs(*columns: np.ndarray) -> np.ndarray:
+    """Where a run of equal values of sorted columns begins."""
+    if not len(columns[0]):
+        return np.zeros(0, np.int64)
+    return np.flatnonzero(np.r_[True, np.any([x[1:] != x[:-1] for x in columns], axis=0)])
+
+
+def _balls(batches: Iterator[pa.RecordBatch], bits: int, tables: int, tasks: int, own: bool) -> Iterator[pa.RecordBatch]:
+    """All variants (key, node, the columns after it) of rows (node, more, ...), to the homes of their keys.
+
+    With `own`, whether the variant is the short fingerprint itself comes last.
     """
-    spread = mixed(node.view(np.uint64))
-    order = np.lexsort((spread, flip, key))
-    key, flip, node, spread = key[order], flip[order], node[order], spread[order]
-    place = np.arange(len(key))
-    new = np.r_[True, (key[1:] != key[:-1]) | (flip[1:] != flip[:-1])]
-    keep = (flip == own) | (place - np.maximum.accumulate(np.where(new, place, 0)) < BESIDE)
-    key, node, spread = key[keep], node[keep], spread[keep]
-    order = np.lexsort((spread, key))
-    key, node = key[order], node[order]
-    place = np.arange(len(key))
-    first = np.maximum.accumulate(np.where(np.r_[True, key[1:] != key[:-1]], place, 0))
-    far = np.flatnonzero(place - first > BESIDE)
-    left, right = [node[first[far]]], [node[far]]
-    for lag in range(1, BESIDE + 1):
-        same = np.flatnonzero(key[lag:] == key[:-lag])
-        if not len(same):
-            break
-        left.append(node[same])
-        right.append(node[same + lag])
-    a, b = np.concatenate(left), np.concatenate(right)
-    pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
-    return pairs[:, 0], pairs[:, 1]
+    flips = np.r_[np.int64(1) << np.arange(bits, dtype=np.int64), np.int64(0)]
+    high = np.arange(tables, dtype=np.int64) << bits
+    for batch in batches:
+        for at in range(0, batch.num_rows, 2048):
+            part = batch.slice(at, 2048)
+            rows = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint8).reshape(part.num_rows, -1)
+            key = ((_short(rows, bits, tables) + high)[:, :, None] ^ flips).ravel()
+            others = [np.repeat(part.column(k).to_numpy(), tables * (bits + 1)) for k in (0, *range(2, part.num_columns))]
+            if own:
+                others.append(np.tile(np.arange(bits + 1) == bits, part.num_rows * tables).astype(np.int64))
+            yield _dealt(_home(key, tasks), tasks, (key, *others))
 
 
-def _packed(key: np.ndarray, flip: np.ndarray, node: np.ndarray) -> bytes:
-    """Variants by ascending key in bytes that compress well: differences of keys, and nodes, by byte plane."""
-    order = np.argsort(key)
-    wide = np.stack([np.diff(key[order], prepend=0), node[order]]).astype("<i8")
-    return np.ascontiguousarray(wide.view(np.uint8).reshape(2, -1, 8).transpose(0, 2, 1)).tobytes() + flip[order].tobytes()
+def _blobs(batches: Iterator[pa.RecordBatch]) -> list[bytes]:
+    return [blob for batch in batches for blob in batch.column(1).to_pylist()]
 
 
-def _unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    n = len(blob) // 17
-    planes = np.frombuffer(blob, np.uint8, 16 * n).reshape(2, 8, n)
-    key, node = np.ascontiguousarray(planes.transpose(0, 2, 1)).view("<i8")[:, :, 0]
-    return np.cumsum(key), np.frombuffer(blob, np.int8, n, 16 * n), node
+def _tasks(rows: int, bits: int, tables: int) -> int:
+    return max(BALL_TASKS, rows * tables * (bits + 1) // BALL_ROWS)
 
 
 def meetings(prints: DataFrame, bits: int, tables: int) -> DataFrame:
-    """Distinct (a, b), a < b, of `node`s whose `more` has a short fingerprint within two bits."""
-    tasks = max(BALL_TASKS, prints.count() * tables * (bits + 1) // BALL_ROWS)
+    """Who meets whom by short fingerprints within two bits, for rows (node, more): (a, b, near).
+
+    Of texts of which one at least is in no crowd, all pairs (a, b), perhaps in both orders. Of
+    each text in a crowd one row (a, null, near) with how many lie within a bit of it, over all tables.
+    """
+    tasks = _tasks(prints.count(), bits, tables)
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flips = np.r_[np.int64(1) << np.arange(bits, dtype=np.int64), np.int64(0)]
-        high = np.arange(tables, dtype=np.int64) << bits
-        for batch in batches:
-            for at in range(0, batch.num_rows, 2048):
-                part = batch.slice(at, 2048)
-                rows = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint8).reshape(part.num_rows, -1)
-                key = (_short(rows, bits, tables) + high)[:, :, None] ^ flips
-                flip = np.broadcast_to(np.arange(bits + 1, dtype=np.int8), key.shape).ravel()
-                key, node = key.ravel(), np.repeat(part.column(0).to_numpy(), tables * (bits + 1))
-                home = (mixed(key.view(np.uint64)) % np.uint64(tasks)).astype(np.int64)
-                order = np.argsort(home, kind="stable")
-                cuts = np.searchsorted(home[order], np.arange(tasks + 1))
-                full = np.flatnonzero(np.diff(cuts))
-                blobs = [_packed(*(x[order[cuts[h] : cuts[h + 1]]] for x in (key, flip, node))) for h in full.tolist()]
-                yield pa.RecordBatch.from_arrays([pa.array(full), pa.array(blobs, pa.binary())], ["home", "ball"])
+        return _balls(batches, bits, tables, tasks, True)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [_unpacked(blob) for batch in batches for blob in batch.column(1).to_pylist()]
-        if held:
-            a, b = _met(*(np.concatenate(c) for c in zip(*held)), bits)
-            for at in range(0, len(a), 1 << 16):
-                yield pa.RecordBatch.from_arrays([pa.array(a[at : at + (1 << 16)]), pa.array(b[at : at + (1 << 16)])], ["a", "b"])
+        if not (held := _blobs(batches)):
+            return
+        key, node, own = _unpacked(held, 3)
+        order = np.argsort(key, kind="stable")
+        key, node, own = key[order], node[order], own[order]
+        begin = _runs(key)
+        size = np.repeat(np.diff(np.r_[begin, len(key)]), np.diff(np.r_[begin, len(key)]))
+        left, right = [], []
+        for lag in range(1, CROWD - 1):
+            same = np.flatnonzero((key[lag:] == key[:-lag]) & (size[lag:] < CROWD)) if lag < len(key) else key[:0]
+            left += [node[same], node[same + lag]]
+            right += [node[same + lag], node[same]]
+        crowd = np.flatnonzero(size >= CROWD)
+        members, place = np.unique(node[crowd], return_inverse=True)
+        near = np.bincount(place, weights=size[crowd] * own[crowd], minlength=len(members)).astype(np.int64)
+        a = np.concatenate([*left, members])
+        b = np.concatenate([*right, np.full(len(members), -1)])
+        n = np.concatenate([np.zeros(len(a) - len(members), np.int64), near])
+        yield _dealt(_home(a, tasks), tasks, (a, b, n))
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not (held := _blobs(batches)):
+            return
+        a, b, n = _unpacked(held, 3)
+        members, place = np.unique(a[b < 0], return_inverse=True)
+        near = np.bincount(place, weights=n[b < 0], minlength=len(members)).astype(np.int64)
+        alone = (b >= 0) & ~np.isin(a, members)
+        pairs = np.unique(np.stack([a[alone], b[alone]]), axis=1)
+        none = pa.nulls(len(members), pa.int64())
+        columns = [np.concatenate([pairs[0], members]), pa.concat_arrays([pa.array(pairs[1]), none])]
+        yield pa.RecordBatch.from_arrays([pa.array(columns[0]), columns[1], pa.array(np.concatenate([np.zeros(pairs.shape[1], np.int64), near]))], ["a", "b", "near"])
+
+    pieces = "home long, rows binary"
+    variants = prints.select("node", "more").repartition(tasks).mapInArrow(spread, pieces)
+    met = variants.repartition(tasks, "home").mapInArrow(meet, pieces)
+    return met.repartition(tasks, "home").mapInArrow(settle, "a long, b long, near long")
+
+
+def partners(members: DataFrame, bits: int, tables: int) -> DataFrame:
+    """(a, b): each node b of rows (node, more, root, rank) and, for each table, the node a of highest rank that it meets and that has another root."""
+    tasks = _tasks(members.count(), bits, tables)
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _balls(batches, bits, tables, tasks, False)
 
-    variants = prints.select("node", "more").repartition(tasks).mapInArrow(spread, "home long, ball binary")
-    return variants.repartition(tasks, "home").mapInArrow(meet, "a long, b long").distinct()
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not (held := _blobs(batches)):
+            return
+        key, node, root, rank = _unpacked(held, 4)
+        order = np.lexsort((node, -rank, key))
+        key, node, root, rank = key[order], node[order], root[order], rank[order]
+        begin = _runs(key)
+        group = np.repeat(np.arange(len(begin)), np.diff(np.r_[begin, len(key)]))
+        # The first of a meeting, and the first one of another root, are all that can be chosen.
+        other = np.flatnonzero(root != root[begin][group])
+        second = np.full(len(begin), -1)
+        second[group[other[::-1]]] = other[::-1]
+        chosen = np.where(root != root[begin][group], begin[group], second[group])
+        able = np.flatnonzero(chosen >= 0)
+        table = key[able] >> np.int64(bits)
+        b, a, r = node[able], node[chosen[able]], rank[chosen[able]]
+        yield _dealt(_home(b, tasks), tasks, (b, table, r, a))
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not (held := _blobs(batches)):
+            return
+        b, table, rank, a = _unpacked(held, 4)
+        order = np.lexsort((a, -rank, table, b))
+        best = order[_runs(b[order], table[order])]
+        pairs = np.unique(np.stack([a[best], b[best]]), axis=1)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
+
+    pieces = "home long, rows binary"
+    variants = members.select("node", "more", "root", "rank").repartition(tasks).mapInArrow(spread, pieces)
+    met = variants.repartition(tasks, "home").mapInArrow(meet, pieces)
+    return met.repartition(tasks, "home").mapInArrow(settle, "a long, b long")
 
 
 def _shingles(text: bytes, size: int) -> set[bytes]:
@@ -264,34 +345,45 @@ def _shingles(text: bytes, size: int) -> set[bytes]:
 
 
 def alike_pairs(pairs: DataFrame, rows: DataFrame, row: str, text: str, size: int, alike: float) -> DataFrame:
-    """Those of the pairs (a, b) of row numbers whose texts have a shingle Jaccard of `alike` or more."""
-    named = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts = rows.select(col(row).alias("node"), or_empty(text).alias("body")).join(named, "node", "left_semi")
-    left = texts.select(F.col("node").alias("a"), F.col("body").alias("x"))
-    right = texts.select(F.col("node").alias("b"), F.col("body").alias("y"))
+    """Those of the distinct pairs (a, b) of row numbers whose texts have a shingle Jaccard of `alike` or more.
+
+    Pairs come in groups of one a, which is the hub if there is one. Its text is sent once for each
+    HUB_ROWS or so of its partners, and theirs once for each pair; they pass by one after another.
+    """
+    texts = rows.select(col(row).alias("node"), or_empty(text).alias("body"))
+    groups = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / HUB_ROWS).cast("long").alias("groups"))
+    part = F.pmod(F.xxhash64("b"), F.col("groups"))
+    others = pairs.join(groups, "a").select("a", part.alias("part"), "b").join(texts.withColumnRenamed("node", "b"), "b")
+    hubs = groups.join(texts.withColumnRenamed("node", "a"), "a").select(
+        "a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1)).alias("part"), F.lit(None).cast("long").alias("b"), "body"
+    )
+    beside = hubs.unionByName(others.select("a", "part", "b", "body")).repartition("a", "part")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        one: set[bytes] = set()
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                one, other = _shingles(x.as_py().encode(), size), _shingles(y.as_py().encode(), size)
+            for b, body in zip(batch.column(2).to_pylist(), batch.column(3)):
+                other = _shingles(body.as_py().encode(), size)
+                if b is None:
+                    one = other
                 both = len(one & other)
-                keep.append(both >= alike * (len(one) + len(other) - both))
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+                keep.append(b is not None and both >= alike * (len(one) + len(other) - both))
+            yield batch.select([0, 2]).filter(pa.array(keep, pa.bool_()))
 
-    both = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y")
-    return both.mapInArrow(run, "a long, b long")
+    return beside.sortWithinPartitions("a", "part", F.asc_nulls_first("b")).mapInArrow(run, "a long, b long")
 
 
 def alike_links(
     spark: SparkSession, prints: DataFrame, linked: DataFrame, rows: DataFrame, row: str, text: str, size: int,
     alike: float, bits: int, tables: int,
 ) -> DataFrame:
-    """`linked` (a, b) and links between all nodes that meet and whose texts are alike.
+    """`linked` (a, b) and links between nodes that meet and whose texts are alike.
 
-    `prints` has the columns node (a row number) and more. Pairs that differ in far too many of all bits
-    are strangers. Of the others each node is first held against its nearest one; what that
-    does not connect is held against each other whole.
+    `prints` has the columns node (a row number), print and more. Pairs that differ in far too many of all bits
+    are strangers. Pairs beside the crowds are held against each other whole unless they are linked; in crowds each
+    text has a partner for each table and round, by nearness in the first round and by draws in later ones. The
+    rounds end with the first one after the second that links nothing.
     """
     differ = math.acos(2 * alike / (1 + alike)) / math.pi
     total = 64 * -(-bits * tables // 64)
@@ -300,24 +392,39 @@ def alike_links(
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for k in (2, 3))
-            apart = np.bitwise_count(x ^ y).sum(1, dtype=np.int64) if batch.num_rows else np.zeros(0, np.int64)
-            found = pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(apart)], ["a", "b", "apart"])
-            yield found.filter(pa.array(apart <= most))
-
-    met = meetings(prints.where(F.col("print") != 0), bits, tables)
-    both = met.join(sides[0], "a").join(sides[1], "b").select("a", "b", "x", "y")
-    pairs = both.mapInArrow(near, "a long, b long, apart long")
-    pairs = written(spark, pairs, "pairs")
-    for last in (False, True):
-        root = components(spark, linked)
-        left = root.select(F.col("node").alias("a"), F.col("root").alias("p"))
-        right = root.select(F.col("node").alias("b"), F.col("root").alias("q"))
-        open_ = pairs.join(left, "a", "left").join(right, "b", "left").where(F.coalesce("p", "a") != F.coalesce("q", "b"))
-        if not last:
-            nearest = F.min(F.struct("apart", "a")).alias("m")
-            open_ = open_.groupBy("b").agg(nearest).select(F.col("m.a").alias("a"), "b")
-        found = written(spark, alike_pairs(open_.select("a", "b"), rows, row, text, size, alike), "alike")
+            x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint64).reshape(batch.num_rows, total // 64) for k in (2, 3))
+            apart = np.bitwise_count(x ^ y).sum(1, dtype=np.int64)
+            yield batch.select([0, 1]).filter(pa.array(apart <= most))
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "x", "y")
+        close = written(spark, both.mapInArrow(near, "a long, b long"), "pairs")
+        return written(spark, alike_pairs(close, rows, row, text, size, alike), "alike")
+
+    def rooted() -> DataFrame:
+        return written(spark, components(spark, linked), "rooted")
+
+    met = written(spark, meetings(prints.where(F.col("print") != 0), bits, tables), "met")
+    root = rooted()
+    left = root.select(F.col("node").alias("a"), F.col("root").alias("p"))
+    right = root.select(F.col("node").alias("b"), F.col("root").alias("q"))
+    pairs = met.where("b is not null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = pairs.join(left, "a", "left").join(right, "b", "left").where(F.coalesce("p", "a") != F.coalesce("q", "b"))
+    linked = linked.unionByName(verified(pairs.select("a", "b")))
+    crowd = written(spark, met.where("b is null").select(F.col("a").alias("node"), "near").join(prints.select("node", "more"), "node"), "crowd")
+    tried = None
+    for turn in range(crowd.count()):
+        members = crowd.join(rooted(), "node", "left").withColumn("root", F.coalesce("root", "node"))
+        draw = F.shiftrightunsigned(F.xxhash64("node", F.lit(turn)), 1)
+        members = members.select("node", "more", "root", (F.col("near") if turn == 0 else draw).alias("rank"))
+        fresh = partners(members, bits, tables)
+        if tried is not None:
+            fresh = fresh.join(tried, ["a", "b"], "left_anti")
+        fresh = written(spark, fresh, "partners")
+        tried = fresh if tried is None else tried.unionByName(fresh)
+        found = verified(fresh)
+        if turn and found.isEmpty():
+            break
         linked = linked.unionByName(found)
     return linked
 
