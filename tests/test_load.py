@@ -7,10 +7,11 @@ from plans import plan_of, shuffled
 from vecloom.functions import models
 from vecloom.operators.embed import EmbeddingConfig, HashingProvider, ModelProvider
 from vecloom.plans.job import ProviderNotReady, run_job
-from vecloom.plans.load import LoadConfig, batch_load, open_run, process_batch, run_load, stream_load
+from vecloom.plans.load import LoadConfig, RepeatedKeys, batch_load, open_run, process_batch, run_load, stream_load
 from vecloom.session import work_path
 from vecloom.sources.store import VectorTable, append_rows
 from vecloom.streaming.ledger import BatchLedger
+from vecloom.streaming.progress import progress_rows
 
 SCHEMA = T.StructType(
     [
@@ -542,3 +543,65 @@ def test_append_keeps_duplicates(spark):
     append_rows(rows(spark, (1, "a")), path)
     append_rows(rows(spark, (1, "a")), path)
     assert spark.read.parquet(path).count() == 2
+
+
+# --- rules, unfinished writes, progress ------------------------------------------------------
+
+
+def test_key_rule(spark):
+    batch = spark.createDataFrame([(1, "a"), (1, "b"), (1, "b"), (2, "c"), (None, "d"), (None, "e")], "id bigint, text string")
+    free, rejecting, failing = (new_table(spark, order_by=["text"]) for _ in range(3))
+    for table, rule in ((free, None), (rejecting, "reject")):
+        run = open_run(spark, LoadConfig(label="L", key="id", key_rule=rule), provider(), table)
+        process_batch(batch, 0, run)
+        assert texts(table) == {1: "b", 2: "c"}
+    assert sorted(r["reason"] for r in rejecting.rejects().collect()) == ["null key"] * 2 + ["repeated key"] * 2
+    assert ledger(rejecting) == [(1, 0, "written", 6, 0, 2)] and ledger(free) == [(1, 0, "written", 6, 0, 4)]
+    # Doing the batch again gives the same rejects once.
+    process_batch(batch, 0, open_run(spark, LoadConfig(label="L", key="id", key_rule="reject"), provider(), rejecting, fresh=False))
+    assert rejecting.rejects().count() == 4
+    run = open_run(spark, LoadConfig(label="L", key="id", key_rule="fail"), provider(), failing)
+    with pytest.raises(RepeatedKeys, match="key 1 has 3 rows"):
+        process_batch(batch, 0, run)
+    assert texts(failing) == {} and ledger(failing)[0][2] == "failed"
+    process_batch(batch.dropDuplicates(["id"]), 1, run)
+    assert set(texts(failing)) == {1, 2}
+    with pytest.raises(ValueError, match="key rule"):
+        open_run(spark, LoadConfig(label="L", key="id", key_rule="maybe"), provider(), new_table(spark))
+
+
+def test_failed_write_is_not_seen(spark):
+    """A task that dies after others have written leaves nothing that a reader, a merge or a compaction takes."""
+    table = new_table(spark)
+    table.write_batch(rows(spark, (1, "a")), 1, 0)
+    dies = F.when(F.col("id") == 7, F.raise_error(F.lit("broken"))).otherwise(F.col("text"))
+    with pytest.raises(Exception, match="broken"):
+        table.write_batch(rows(spark, *((i, "b") for i in range(8))).repartition(4).withColumn("text", dies.cast("string")), 1, 1)
+    assert table._pending() == [2] and texts(table) == {1: "a"}
+    table._write(rows(spark, (1, "half")), f"{table.records}/run_seq=1/batch_id=1/commit=2")
+    table.write_batch(rows(spark, (3, "c")), 1, 2)
+    assert texts(table) == {1: "a", 3: "c"} and table.history().count() == 2
+    assert [p.through for p in table.merge()] == [1] and texts(table) == {1: "a", 3: "c"}
+    assert texts(table.compact(work_path(spark, "compacted"))) == {1: "a", 3: "c"}
+    table.write_batch(rows(spark, (1, "b"), (2, "b")), 1, 1)
+    assert table._pending() == [] and texts(table) == {1: "b", 2: "b", 3: "c"}
+
+
+def test_progress_of_a_stream(spark, files):
+    table = new_table(spark)
+    settings = config(spark, files)
+    stream_load(spark, settings, provider(), table)
+    found = progress_rows(spark, table.root, 1).orderBy("batch_id").collect()
+    assert [(r["batch_id"], r["input_rows"]) for r in found] == [(0, 10), (1, 10), (2, 10)]
+    assert all(r["duration_ms"] > 0 and r["processed_rows_per_second"] > 0 for r in found)
+    # A resume without news adds nothing, and another table has a log of its own.
+    stream_load(spark, settings, provider(), table, clear_checkpoint=False)
+    assert progress_rows(spark, table.root).count() == 3
+    assert progress_rows(spark, new_table(spark).root).count() == 0
+
+
+def test_files_follow_the_batch_size(spark, files):
+    table = new_table(spark)
+    batch_load(spark, config(spark, files, batch_size=4, write_partitions=1), provider(), table)
+    per_file = table.history().groupBy(F.input_file_name()).count().collect()
+    assert max(r["count"] for r in per_file) <= 4 and sum(r["count"] for r in per_file) == 30

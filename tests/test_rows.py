@@ -1,7 +1,9 @@
+import random
 from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plans import plan_of
 from vecloom.operators import chunk, filters, project, quality, wire
@@ -215,3 +217,41 @@ def test_shared_folder(spark):
     for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]", "k8s://host"):
         with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
             shared_folder(session_like(master))
+
+
+def test_nth_row_without_a_sort(spark, tmp_path):
+    """Every place of a table of copies, nulls and several columns, by selection and by sorting."""
+    rng = random.Random(4)
+    rows = [(rng.choice([None, "a", "b", "é"]), rng.choice([None, -1, 0, 7, 2**40])) for _ in range(500)] + [("hot", 1)] * 300
+    path = str(tmp_path / "rows")
+    spark.createDataFrame(rows, "s string, n bigint").repartition(5).write.parquet(path)
+    stored = spark.read.parquet(path)
+    order = sorted(rows, key=lambda r: (r[0] is not None, (r[0] or "").encode(), r[1] is not None, r[1] or 0))
+    for nth in (1, 2, 333, 499, 500, 501, 799, 800):
+        last, before = chunk.nth_row(stored, ["s", "n"], nth)
+        found = tuple(last.first()["last"])
+        assert found == order[nth - 1] and before == order.index(found)
+    assert chunk.nth_row(stored, ["s", "n"], 801) is None
+    assert chunk.nth_row(stored.limit(0), ["s", "n"], 1) is None
+
+
+def test_limit_sorts_nothing(spark):
+    limited = chunk.limit_rows(spark.range(5000).selectExpr("id % 1700 as k", "cast(id % 3 as string) as t"), 2000, ["k"])
+    assert "Sort" not in plan_of(limited) and "Exchange range" not in plan_of(limited)
+    keys = sorted(r["k"] for r in limited.collect())
+    assert len(keys) == 2000 and keys == sorted(i % 1700 for i in range(5000))[:2000]
+
+
+def test_broken_csv_rows_go_apart(spark, tmp_path):
+    source = tmp_path / "in.csv"
+    source.write_text('id,name\n1,a\nx,b\n3\n4,d,e\n5,"f\n6,g\n7,\n')
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType())])
+    kept, rejects = tables.csv_ingest_checked(spark, str(source), schema, str(tmp_path / "out"))
+    assert kept.columns == ["id", "name"]
+    found = sorted(tuple(r) for r in kept.collect() if r["name"] in (None, "a", "g"))
+    assert found == [(1, "a"), (6, "g"), (7, None)]
+    assert {"x,b", "3", "4,d,e"} <= {r["line"] for r in rejects.collect()}
+    assert all(r["file"].endswith("in.csv") for r in rejects.collect())
+    source.write_text("id,name\n")
+    kept, rejects = tables.csv_ingest_checked(spark, str(source), schema, str(tmp_path / "none"))
+    assert kept.count() == rejects.count() == 0

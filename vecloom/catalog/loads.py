@@ -11,12 +11,14 @@ from vecloom.catalog.registry import load_table, register
 from vecloom.catalog.rows import documents
 from vecloom.catalog.vectors import DIMS, DOCS, SPOKEN, cells, hashing
 from vecloom.functions import models
+from vecloom.operators.chunk import chunk_assign, limit_rows
 from vecloom.operators.embed import EmbeddingConfig, EmbeddingProvider, HashingProvider, ModelProvider
 from vecloom.plans.job import run_job
 from vecloom.plans.load import LoadConfig, batch_load, open_run, process_batch, run_load, stream_load
 from vecloom.session import work_path
 from vecloom.sources.store import VectorTable, append_rows
-from vecloom.sources.tables import stream_scan
+from vecloom.sources.tables import csv_ingest_checked, stream_scan
+from vecloom.streaming.progress import progress_rows
 
 SLICES = 4
 RECORD = T.StructType(
@@ -552,3 +554,90 @@ def compact_levels(spark, folder):
         if batch in (1, 3, 5):
             table.merge(fanout=2)
     return table.read_label("User").select("user_id", "event_id", "event_type", "value")
+
+
+# --- rules of a load, broken sources, progress ---------------------------------------------
+
+
+@register("load_key_rule", "SELECT lang, count(*) - 1 AS repeats, 'repeated key' AS reason FROM documents GROUP BY lang HAVING count(*) > 1")
+def load_key_rule(spark, folder):
+    """Documents keyed by their language: all rows of a key but one are refused."""
+    config = LoadConfig(label="Language", key="lang", key_rule="reject")
+    table = new_table(spark, T.StructType(RECORD.fields[1:]), "lang")
+    run = open_run(spark, config, hashing(), table)
+    process_batch(documents(spark, folder).select("text", "lang"), 0, run)
+    return table.rejects("Language").groupBy("lang", "reason").agg(F.count(F.lit(1)).alias("repeats"))
+
+
+@register(
+    "limit_many_rows",
+    """SELECT doc_id, part FROM (SELECT *, row_number() OVER (ORDER BY lang, part, doc_id) AS nth
+    FROM documents, range(8) r(part)) WHERE nth <= (SELECT count(*) * 3 FROM documents)""",
+)
+def limit_many_rows(spark, folder):
+    """The first three eighths of all rows by several columns, found without a sort."""
+    docs = documents(spark, folder).select("lang", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(7).cast("bigint"))).alias("part"), "doc_id")
+    return limit_rows(docs, 3 * documents(spark, folder).count(), ["lang", "part", "doc_id"]).select("doc_id", "part")
+
+
+BROKEN_LINE = """CASE WHEN doc_id % 10 = 3 THEN 'x' || doc_id || ',' || lang || ',' || n_chars
+    WHEN doc_id % 10 = 7 THEN doc_id || ',' || lang || ',' || n_chars || ',more'
+    WHEN doc_id % 10 = 9 THEN doc_id || ',' || lang ELSE doc_id || ',' || lang || ',' || n_chars END"""
+
+
+@register(
+    "csv_ingest_rejects",
+    f"""SELECT {BROKEN_LINE} AS line, doc_id % 10 IN (3, 7, 9) AS rejected, doc_id % 10 IN (3, 7, 9) AS has_file FROM documents""",
+)
+def csv_ingest_rejects(spark, folder):
+    """A CSV with words for numbers, and with too many and too few values in a row."""
+    source = work_path(spark, "csv")
+    load_table(spark, folder, "documents").select(F.expr(BROKEN_LINE).alias("value")).write.text(source)
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("lang", T.StringType()), T.StructField("n_chars", T.LongType())])
+    kept, rejects = csv_ingest_checked(spark, source, schema, work_path(spark, "rows"), header=False)
+    kept = kept.select(F.concat_ws(",", *schema.names).alias("line"), F.lit(False).alias("rejected"), F.lit(False).alias("has_file"))
+    return kept.unionByName(rejects.select("line", F.lit(True).alias("rejected"), F.col("file").isNotNull().alias("has_file")))
+
+
+@register(
+    "stream_progress",
+    """SELECT part::BIGINT AS batch_id, count(*) AS input_rows, true AS timed FROM (SELECT ntile(4) OVER (ORDER BY doc_id) - 1 AS part
+    FROM documents) GROUP BY part""",
+)
+def stream_progress(spark, folder):
+    """Rows of each micro-batch of a stream, as Spark tells them while it runs."""
+    narrow = documents(spark, folder).select("doc_id", "text", "lang")
+    numbered = chunk_assign(narrow, 1, ["doc_id"])
+    rows, path = numbered.count(), work_path(spark, "documents")
+    # As ntile deals them: the first parts have one row more if the rows cannot be dealt evenly.
+    size, more = divmod(rows, SLICES)
+    place = F.col("row_num") - 1
+    part = F.when(place < more * (size + 1), F.floor(place / (size + 1))).otherwise(more + F.floor((place - more * (size + 1)) / max(size, 1)))
+    for k in range(SLICES):
+        numbered.filter(part == k).select("doc_id", "text", "lang").coalesce(1).write.mode("append").parquet(path)
+    table = new_table(spark)
+    stream_load(spark, document_load(spark, path, 1), hashing(), table)
+    found = progress_rows(spark, table.root)
+    return found.select("batch_id", "input_rows", (F.col("duration_ms") >= 0).alias("timed"))
+
+
+@register(
+    "stream_half_written_batch",
+    """SELECT 'after the failure' AS seen, doc_id, text FROM documents WHERE doc_id % 2 = 0
+    UNION ALL SELECT 'after the replay', doc_id, text || CASE WHEN doc_id % 2 = 1 THEN '!' ELSE '' END FROM documents""",
+)
+def stream_half_written_batch(spark, folder):
+    """A batch whose files are there and whose write did not end is seen by no reader; done again, it is there whole."""
+    rows = documents(spark, folder).select("doc_id", "text", "lang", F.lit(None).alias("embedding"), F.lit("Document").alias("label"))
+    table = new_table(spark)
+    run = table.open_run("a")
+    table.write_batch(rows.filter("doc_id % 2 = 0"), run, 0)
+    late = rows.filter("doc_id % 2 = 1").withColumn("text", shouted("text", 1))
+    # What a writer leaves that dies before its last step: half of the rows.
+    folder_of_batch = f"{table.records}/run_seq={run}/batch_id=1"
+    table._write(late.filter("doc_id % 4 = 1"), f"{folder_of_batch}/commit={table._commit(folder_of_batch)}")
+    first = work_path(spark, "seen")
+    table.read_label("Document").select("doc_id", "text").write.parquet(first)
+    table.write_batch(late, run, 1)
+    second = table.read_label("Document").select(F.lit("after the replay").alias("seen"), "doc_id", "text")
+    return spark.read.parquet(first).select(F.lit("after the failure").alias("seen"), "doc_id", "text").unionByName(second)

@@ -23,6 +23,7 @@ from vecloom.sources.store import NULL_KEY, VectorTable
 from vecloom.sources.tables import stream_scan, table_scan
 from vecloom.streaming import ledger as books
 from vecloom.streaming.ledger import BatchLedger, batch_totals
+from vecloom.streaming.progress import ProgressLog
 
 
 @dataclass
@@ -33,7 +34,9 @@ class LoadConfig:
     not see those rows again. `write_partitions` caps the number of concurrent writers;
     without it every task of the scan writes its own rows. `embed_partitions` spreads the
     rows over so many tasks before a costly model, for sources with few splits.
-    `batch_files` bounds the rows of a written file by `batch_size`.
+    `batch_files` bounds the rows of a written file by `batch_size`. `key_rule` says what becomes of a key that
+    a batch holds several times: nothing (the later row is current), "reject" (the others are listed as
+    rejects), or "fail" (the batch is refused before anything is embedded or written).
     """
 
     label: str
@@ -42,7 +45,8 @@ class LoadConfig:
     source_path: str | None = None
     source_schema: StructType | None = None
     batch_size: int = 5000
-    batch_files: bool = False
+    batch_files: bool = True
+    key_rule: str | None = None
     write_partitions: int | None = None
     embed_partitions: int | None = None
     checkpoint: str | None = None
@@ -51,6 +55,10 @@ class LoadConfig:
     column_mappings: Mapping[str, str] = field(default_factory=dict)
 
 
+class RepeatedKeys(ValueError):
+    """A batch holds a key several times, which its key rule forbids."""
+
+
 @dataclass
 class LoadRun:
     """One run of a load: where it writes and what it has written so far."""
@@ -80,6 +88,8 @@ class LoadRun:
 def open_run(
     spark: SparkSession, config: LoadConfig, provider: EmbeddingProvider, table: VectorTable, fresh: bool = True
 ) -> LoadRun:
+    if config.key_rule not in (None, "reject", "fail"):
+        raise ValueError(f"unknown key rule {config.key_rule!r}; choose 'reject' or 'fail'")
     run_seq = table.open_run(config.checkpoint or table.root, fresh)
     return LoadRun(config, provider, table, run_seq, BatchLedger(spark, table.root))
 
@@ -115,7 +125,10 @@ def process_batch(batch: DataFrame, batch_id: int, run: LoadRun) -> None:
             batch = limit_rows(batch, left, [config.key])
 
     try:
+        if config.key_rule == "fail":
+            refuse_repeats(batch, config.key)
         rows_read, rows_valid = _write(batch, batch_id, run)
+        repeats = run.table.write_repeats(run.run_seq, batch_id) if config.key_rule == "reject" and rows_valid else 0
     except Exception as error:
         record(books.FAILED, error=str(error))
         raise
@@ -123,12 +136,20 @@ def process_batch(batch: DataFrame, batch_id: int, run: LoadRun) -> None:
     record(
         status,
         rows_read=rows_read,
-        rows_invalid=rows_read - rows_valid,
-        rows_written=rows_valid,
+        rows_invalid=rows_read - rows_valid + repeats,
+        rows_written=rows_valid - repeats,
         chunks=chunk_count(rows_read, config.batch_size),
     )
 
 
+def refuse_repeats(batch: DataFrame, key: str) -> None:
+    """Raise if a key occurs twice. Only keys are read and shuffled; a sketch of them could not tell two rows of a billion."""
+    repeated = batch.groupBy(quoted(key)).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > 1)
+    found = repeated.filter(quoted(key).isNotNull()).limit(1).collect()
+    if found:
+        raise RepeatedKeys(f"key {found[0][0]!r} has {found[0][1]} rows in one batch")
+
+
 def _write(batch: DataFrame, batch_id: int, run: LoadRun) -> tuple[int, int]:
     """One write action; the counts come out of it, so nothing is embedded twice.
 
@@ -198,14 +219,21 @@ def stream_load(
         schema=config.source_schema,
         max_files_per_trigger=config.max_files_per_trigger,
     )
+    progress = ProgressLog(spark, table.root, run.run_seq)
+    spark.streams.addListener(progress)
     query = (
         prepare(source, config, provider, selector)
         .writeStream.foreachBatch(lambda batch, batch_id: process_batch(batch, batch_id, run))
         .option("checkpointLocation", table.checkpoint_folder(run.run_seq))
         .trigger(availableNow=True)
+        .queryName(progress.name)
         .start()
     )
-    query.awaitTermination()
+    try:
+        query.awaitTermination()
+    finally:
+        progress.close()
+        spark.streams.removeListener(progress)
     return run.totals()
 
 

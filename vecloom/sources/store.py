@@ -7,6 +7,9 @@ the version of each (label, key) with the highest commit. Rows with a reason aga
 are kept beside the records with key and reason only, and belong to no state. A compacted
 table has its one version of each key in `base/label=L/bucket=B`.
 
+A commit counts once it is published, which is the last step of its write: what a failed or unfinished
+batch leaves behind is seen by no reader.
+
 A label is emptied by one marker: of its rows only those of later commits count.
 
 Merging keeps reads short without writing everything again. The batches since the last
@@ -37,7 +40,7 @@ RUNS_SCHEMA = T.StructType(
         T.StructField("folder", T.StringType()),
     ]
 )
-NULL_KEY = "null key"
+NULL_KEY, REPEATED_KEY = "null key", "repeated key"
 # Rows of a bucket of keys in a compacted table; their number follows the rows. A key's bucket depends on its hash alone.
 BUCKET_ROWS, MOST_BUCKETS = 1_000_000, 1 << 14
 # Buckets that a filter on folders names one by one.
@@ -214,9 +217,39 @@ class VectorTable:
         brings each label's rows together. `max_records` bounds the rows of a file.
         """
         folder = f"{self.records}/run_seq={run_seq}/batch_id={batch_id}"
-        self._write(df, f"{folder}/commit={self._commit(folder)}", max_records, many_labels)
+        commit = self._commit(folder)
+        self._write(df, f"{folder}/commit={commit}", max_records, many_labels)
+        self._publish_commit(commit)
+
+    def _publish_commit(self, commit: int) -> None:
+        files.claim(self.spark, f"{self.root}/published/{commit}")
+
+    def _pending(self, after: int = 0) -> list[int]:
+        """Commits after some commit that are numbered and not published: batches under way, or that failed."""
+        numbered, whole = (
+            {int(n) for n in files.children(self.spark, f"{self.root}/{name}") if n.isdigit()} for name in ("commits", "published")
+        )
+        return sorted(n for n in numbered - whole if n > after)
 
-    def _write(self, df: DataFrame, path: str, max_records: int | None = None, many_labels: bool = False) -> None:
+    def write_repeats(self, run_seq: int, batch_id: int) -> int:
+        """Add the rows of a written batch that repeat a key of it to its rejects, and say how many there are.
+
+        One row of each key stays current, as in any read; the others are refused. Only keys are shuffled.
+        """
+        folder = f"{self.records}/run_seq={run_seq}/batch_id={batch_id}"
+        path = f"{folder}/commit={self._commit(folder)}"
+        names = [T.StructField("label", T.StringType()), T.StructField("reason", T.StringType()), self.schema[self.key]]
+        rows = self.spark.read.schema(T.StructType(names)).parquet(path).filter("reason is null")
+        repeats = rows.groupBy("label", quoted(self.key)).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+        seen = Observation()
+        refused = repeats.select(quoted(self.key), "label", F.explode(F.sequence(F.lit(2), F.col("_n").cast("int"))))
+        refused = refused.observe(seen, F.count(F.lit(1)).alias("rows"))
+        empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema if f.name != self.key]
+        frame = refused.select(quoted(self.key), *empty, F.lit(REPEATED_KEY).alias("reason"), "label")
+        self._write(frame, path, mode="append")
+        return seen.get["rows"]
+
+    def _write(self, df: DataFrame, path: str, max_records: int | None = None, many_labels: bool = False, mode: str = "overwrite") -> None:
         if "deleted" not in df.columns:
             df = df.withColumn("deleted", F.lit(False))
         reason = F.when(quoted(self.key).isNull(), F.lit(NULL_KEY))
@@ -239,7 +272,7 @@ class VectorTable:
         )
         (
             (rows.hint("rebalance", "label") if many_labels else rows)
-            .write.mode("overwrite")
+            .write.mode(mode)
             .option("maxRecordsPerFile", min(self.max_records_per_file, max_records or self.max_records_per_file))
             .partitionBy("label")
             .parquet(path)
@@ -248,7 +281,9 @@ class VectorTable:
     def _stored(self, label: str | None, after: int = 0) -> DataFrame:
         rows = read_or_empty(self.spark, self.records, self.stored)
         rows = rows if label is None else rows.filter(F.col("label") == label)
-        return rows.filter(F.col("commit") > after) if after else rows
+        rows = rows.filter(F.col("commit") > after) if after else rows
+        pending = self._pending(after)
+        return rows.filter(~F.col("commit").isin(pending)) if pending else rows
 
     def _bucket(self, buckets: int) -> Column:
         return F.pmod(F.xxhash64(quoted(self.key)), F.lit(buckets)).cast("int")
@@ -275,6 +310,8 @@ class VectorTable:
         if not files.exists(self.spark, f"{self.root}/emptied"):
             return {}
         rows = self.spark.read.schema(EMPTIED_SCHEMA).parquet(f"{self.root}/emptied")
+        if pending := self._pending():
+            rows = rows.filter(~F.col("at").isin(pending))
         rows = rows if label is None else rows.filter(F.col("label") == label)
         return {r["label"]: r["at"] for r in rows.groupBy("label").agg(F.max("at").alias("at")).collect()}
 
@@ -364,7 +401,9 @@ class VectorTable:
         last = self._last_commit()
         found = files.matching(self.spark, f"{self.records}/run_seq=*/batch_id=*/commit=*")
         whole = set(files.matching(self.spark, f"{self.records}/run_seq=*/batch_id=*/commit=*/_SUCCESS"))
-        broken = [n for p in found if f"{p}/_SUCCESS" not in whole and (n := int(re.search(r"commit=(\d+)$", p)[1])) > after]
+        numbers = {p: int(re.search(r"commit=(\d+)$", p)[1]) for p in found}
+        pending = set(self._pending(after))
+        broken = [n for p, n in numbers.items() if n > after and (n in pending or f"{p}/_SUCCESS" not in whole)]
         return min(broken) - 1 if broken else last
 
     def merge(self, fanout: int = FANOUT) -> list[Part]:
@@ -464,6 +503,7 @@ class VectorTable:
         commit = self._commit(folder)
         marker = one_row(self.spark, {"label": label, "at": commit}, EMPTIED_SCHEMA)
         marker.write.mode("overwrite").parquet(f"{folder}/commit={commit}")
+        self._publish_commit(commit)
         return rows
 
     def compact(self, root: str) -> "VectorTable":

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
 
 def csv_ingest(
@@ -32,6 +33,25 @@ def csv_ingest(
     return spark.read.parquet(path)
 
 
+def csv_ingest_checked(
+    spark: SparkSession, csv_path: str, schema: StructType, path: str, *, header: bool = True, multi_line: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """Store a CSV as parquet, its broken rows apart: (rows of `schema`, rejects with file and line).
+
+    A row is broken if a value is not of its column's type or if it has too few or too many
+    values. One scan and one write give both; empty files give two empty tables.
+    """
+    read = spark.read.option("header", header).option("multiLine", multi_line).option("escape", '"')
+    read = read.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_line").option("enforceSchema", True)
+    rows = read.schema(StructType([*schema.fields]).add("_line", StringType())).csv(csv_path)
+    judged = rows.select("*", F.col("_metadata.file_path").alias("_file")).withColumn("rejected", F.col("_line").isNotNull())
+    judged.write.mode("overwrite").partitionBy("rejected").parquet(path)
+    stored = spark.read.schema(judged.schema).parquet(path)
+    kept = stored.filter(~F.col("rejected")).select(*[F.col(f"`{f.name}`") for f in schema.fields])
+    rejects = stored.filter("rejected").select(F.col("_file").alias("file"), F.col("_line").alias("line"))
+    return kept, rejects
+
+
 def table_scan(spark: SparkSession, *, table: str | None = None, path: str | None = None, schema=None) -> DataFrame:
     """The source as a batch."""
     if table is not None:
