@@ -34,6 +34,8 @@ SHARE = 0.8
 #: Grid cells too short for a pattern: such lengths are worth most in the residual's gaps.
 SMALL = 24
 REMEMBERED = 400_000
+#: Words that the tokenizer gets in one text.
+TOGETHER = 4000
 
 # Cuts at white space, and before a punctuation mark that follows a Latin letter: the
 # tokenizer cuts there too, so the parts' ids make up the text's. It also drops case, but
@@ -50,12 +52,26 @@ class Tokens:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        self.stop_id, self.stop = max((k, t.content) for k, t in self.library.get_added_tokens_decoder().items() if t.special)
         self.words = WordCache(self._encode, REMEMBERED)
 
     def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = [e.ids for e in self.library.encode_batch(words, add_special_tokens=False)]
-        starts = np.cumsum([0, *map(len, found)])
-        return np.array([i for ids in found for i in ids], np.int32), starts
+        """Ids of words: many at once, with a special token after each, which the tokenizer takes for itself."""
+        odd = [k for k, w in enumerate(words) if _SPECIAL in w]
+        plain = [w for w in words if _SPECIAL not in w] if odd else words
+        texts = [self.stop.join(plain[k : k + TOGETHER]) + self.stop for k in range(0, len(plain), TOGETHER)]
+        found = [np.array(e.ids, np.int32) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        ids = np.concatenate(found) if found else np.zeros(0, np.int32)
+        last = ids == self.stop_id
+        sizes = np.diff(np.r_[-1, np.flatnonzero(last)]) - 1
+        ids = ids[~last]
+        if odd:
+            own = [np.array(e.ids, np.int32) for e in self.library.encode_batch_fast([words[k] for k in odd], add_special_tokens=False)]
+            parts = np.split(ids, np.cumsum(sizes)[:-1]) if len(sizes) else []
+            for k, x in zip(odd, own):
+                parts.insert(k, x)
+            ids, sizes = np.concatenate(parts), np.array([len(x) for x in parts])
+        return ids, np.r_[0, np.cumsum(sizes)]
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         plain = (t if _SPECIAL in t else t.encode().lower().decode() for t in texts)

@@ -11,7 +11,7 @@ ball. `alike_links` therefore cuts several salted fingerprints into short ones,
 half-radius ball of its own, and holds the pairs that meet against their exact Jaccard.
 A text whose meetings are all small is held against everyone it meets. Texts that crowd
 together are held, round by round, against one text a table, first the one that most others lie near,
-which the original of many copies is, until a round links nothing: the pairs grow
+which the original of many copies is, until a round adds hardly any link: the pairs grow
 with the texts of a crowd and not with their square.
 """
 
@@ -36,6 +36,8 @@ SEED = 42
 MEET = 0.96
 #: Members of a meeting that makes its members a crowd; smaller ones give all their pairs.
 CROWD = 5
+#: Share of the crowds' links that a further round must add.
+ROUND_SHARE = 0.01
 #: Texts that one group of a hub's verification holds against it.
 HUB_ROWS = 1000
 #: Ball variants that one task makes or brings together, and the least number of such tasks.
@@ -383,7 +385,7 @@ def alike_links(
     `prints` has the columns node (a row number), print and more. Pairs that differ in far too many of all bits
     are strangers. Pairs beside the crowds are held against each other whole unless they are linked; in crowds each
     text has a partner for each table and round, by nearness in the first round and by draws in later ones. The
-    rounds end with the first one after the second that links nothing.
+    rounds end with the first one after the second that adds less than ROUND_SHARE to the crowds' links.
     """
     differ = math.acos(2 * alike / (1 + alike)) / math.pi
     total = 64 * -(-bits * tables // 64)
@@ -412,7 +414,7 @@ def alike_links(
     pairs = pairs.join(left, "a", "left").join(right, "b", "left").where(F.coalesce("p", "a") != F.coalesce("q", "b"))
     linked = linked.unionByName(verified(pairs.select("a", "b")))
     crowd = written(spark, met.where("b is null").select(F.col("a").alias("node"), "near").join(prints.select("node", "more"), "node"), "crowd")
-    tried = None
+    tried, links_found = None, 0
     for turn in range(crowd.count()):
         members = crowd.join(rooted(), "node", "left").withColumn("root", F.coalesce("root", "node"))
         draw = F.shiftrightunsigned(F.xxhash64("node", F.lit(turn)), 1)
@@ -423,9 +425,11 @@ def alike_links(
         fresh = written(spark, fresh, "partners")
         tried = fresh if tried is None else tried.unionByName(fresh)
         found = verified(fresh)
-        if turn and found.isEmpty():
-            break
         linked = linked.unionByName(found)
+        count = found.count()
+        links_found += count
+        if turn and count <= ROUND_SHARE * links_found:
+            break
     return linked
 
 
