@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -141,3 +142,14 @@ def test_registered_digests(spark, sf_dir, library):
         assert r["decoded_sha256"] == hashlib.sha256(library.decode(ids).encode()).hexdigest()
     rows = QUERIES["op7_pattern_packing"](spark, small).collect()
     assert packed_well(rows, 2048) <= 1.01 * sum(r["length"] for r in rows) / 2048 + 1
+
+
+def test_word_parts_are_the_tokenizers(odd_rows):
+    """Ids of fuzzed texts, special tokens and unusual letters among them, as the library gives them."""
+    library = packing.Tokens(public_tokenizers.path("word_bpe_49k.json"))
+    rng = random.Random(12)
+    pieces = ["<|endoftext|>", "<|", "<|STARTOFTEXT|>", "Word", "it's", "naïve", "ﬁ", "12", "...", "  ", "\n", "İ", "ǅ", "日本", "a.b", *"abzAZéÀ×÷ÿ日😀 \t\r\x0b\x0c.,!?;:&%$#*|<>'-_09ßĀ"]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randrange(0, 30))) for _ in range(3000)] + [t or "" for _, t in odd_rows]
+    ids, starts = library.encode(pa.array(texts))
+    wanted = [e.ids for e in library.library.encode_batch(texts, add_special_tokens=False)]
+    assert [ids[a:b].tolist() for a, b in zip(starts[:-1], starts[1:])] == wanted

@@ -12,7 +12,6 @@ Documents find their places by their number among those of equal length.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -25,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vecloom.llm.numbering import gapless, with_row
-from vecloom.llm.text import WordCache, col, helper, or_empty, steps, written
+from vecloom.llm.text import LOWER, WordCache, col, flat, helper, or_empty, runs, spans_of, steps, text_array, written
 
 CAPACITY, END = 2048, 0
 GRID, PARTS = 128, 3
@@ -37,13 +36,31 @@ REMEMBERED = 400_000
 #: Words that the tokenizer gets in one text.
 TOGETHER = 4000
 
-# Cuts at white space, and before a punctuation mark that follows a Latin letter: the
-# tokenizer cuts there too, so the parts' ids make up the text's. It also drops case, but
+# Words are cut at white space, and after Latin letters that begin one if one of these marks follows:
+# the tokenizer cuts there too, so the parts' ids make up the text's. It also drops case, but
 # for its special tokens, which have this beginning.
-_PARTS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[.,!?;:&%$#*| \n]|$)|[^ \t\n\r\x0b\x0c]+")
+_SPACES, _MARKS = np.zeros(256, bool), np.zeros(256, bool)
+_SPACES[[9, 10, 11, 12, 13, 32]] = True
+_MARKS[list(b".,!?;:&%$#*|")] = True
 _SPECIAL = "<|"
 
 
+def word_parts(body: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where the parts of all texts begin and end in their bytes, and the first part of each text (one more for the end)."""
+    begins, ends, _ = runs(~_SPACES[body], starts)
+    after = np.r_[body[1:], np.uint8(0)] if len(body) else body
+    # Two bytes in UTF-8: À to ÿ, but for the signs of multiplication and division.
+    accented = (body == 0xC3) & (after >= 0x80) & (after <= 0xBF) & (after != 0x97) & (after != 0xB7)
+    letter = ((body >= 65) & (body <= 90)) | ((body >= 97) & (body <= 122)) | accented
+    letter[1:] |= accented[:-1]
+    other = np.flatnonzero(~letter)
+    stop = np.r_[other, len(body)][np.searchsorted(other, begins)]
+    cut = (stop > begins) & (stop < ends)
+    cut[cut] = _MARKS[body[stop[cut]]]
+    begins, ends = np.sort(np.r_[begins, stop[cut]]), np.sort(np.r_[ends, stop[cut]])
+    return begins, ends, np.searchsorted(begins, starts)
+
+
 class Tokens:
     """Ids of texts by a tokenizer file whose words never span white space."""
 
@@ -73,9 +90,17 @@ class Tokens:
             ids, sizes = np.concatenate(parts), np.array([len(x) for x in parts])
         return ids, np.r_[0, np.cumsum(sizes)]
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        plain = (t if _SPECIAL in t else t.encode().lower().decode() for t in texts)
-        return self.words.look_up([_PARTS.findall(t) for t in plain])
+    def encode(self, texts: pa.Array | list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and where each text's begin; one more for the end."""
+        body, starts = flat(pa.array(texts, pa.string()) if isinstance(texts, list) else texts)
+        special = np.flatnonzero((body[:-1] == 60) & (body[1:] == 124)) if len(body) else np.zeros(0, np.int64)
+        lower = LOWER[body]
+        for k in np.unique(np.searchsorted(starts, special, side="right") - 1).tolist():
+            lower[starts[k] : starts[k + 1]] = body[starts[k] : starts[k + 1]]
+        begins, ends, first = word_parts(lower, starts)
+        sizes = ends - begins
+        words = text_array(lower[spans_of(begins, sizes)], np.r_[0, np.cumsum(sizes)]).dictionary_encode()
+        return self.words.look_up_coded(words.dictionary.to_pylist(), words.indices.to_numpy(), first)
 
 
 @lru_cache(maxsize=2)
@@ -99,10 +124,10 @@ def cut_pieces(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = tokens(path)
         for batch in steps(batches, body):
-            flat, starts = tokenizer.encode(batch.column(len(keys)).to_pylist())
+            found, starts = tokenizer.encode(batch.column(len(keys)))
             owner, piece, start, length, crc, parts = [], [], [], [], [], []
             for k, (a, b) in enumerate(zip(starts[:-1], starts[1:])):
-                own = np.append(flat[a:b], END).astype("<u4")
+                own = np.append(found[a:b], END).astype("<u4")
                 for n, begin in enumerate(range(0, len(own), capacity)):
                     part = own[begin : begin + capacity]
                     owner.append(k)

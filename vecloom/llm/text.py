@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -169,20 +169,31 @@ class WordCache:
         self.known: dict[str, int] = {}
         self.ids, self.starts = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
-    def look_up(self, cut: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts' words in a row, and where each text's begin; one more for the end."""
+    def learn(self, words: Iterable[str]) -> None:
+        """Encode those of the words that are not known."""
         if len(self.known) > self.most:
             self.forget()
-        known = self.known
-        fresh = list(set(chain.from_iterable(cut)).difference(known))
+        fresh = list(set(words).difference(self.known))
         if fresh:
             ids, starts = self.encode(fresh)
-            known.update(zip(fresh, range(len(known), len(known) + len(fresh))))
+            self.known.update(zip(fresh, range(len(self.known), len(self.known) + len(fresh))))
             self.starts = np.concatenate([self.starts, self.starts[-1] + starts[1:]])
             self.ids = np.concatenate([self.ids, ids])
+
+    def look_up(self, cut: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts' words in a row, and where each text's begin; one more for the end."""
+        self.learn(chain.from_iterable(cut))
+        known = self.known
         index = np.array([known[w] for words in cut for w in words], np.int64)
+        return self._ids(index, np.cumsum([0, *(len(words) for words in cut)]))
+
+    def look_up_coded(self, words: list[str], codes: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for texts' words by their places in a list, and the first one of each text (one more for the end)."""
+        self.learn(words)
+        return self._ids(np.array([self.known[w] for w in words], np.int64)[codes], firsts)
+
+    def _ids(self, index: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         lengths = self.starts[index + 1] - self.starts[index]
-        firsts = np.cumsum([0, *(len(words) for words in cut)])
         return self.ids[spans_of(self.starts[index], lengths)], np.r_[0, np.cumsum(lengths)][firsts]
 
 
