@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vecloom.llm.components import components
+from vecloom.llm.dealing import PIECES, blobs, dealt, home_of, run_starts, unpacked
 from vecloom.llm.numbering import numbered
 from vecloom.llm.text import col, flat, helper, mixed, or_empty, steps, written
 
@@ -188,43 +189,6 @@ def _short(more: np.ndarray, bits: int, tables: int) -> np.ndarray:
     return every @ (np.int64(1) << np.arange(bits, dtype=np.int64))
 
 
-def _packed(key: np.ndarray, *others: np.ndarray) -> bytes:
-    """Rows by ascending key in bytes that compress well: differences of keys, and the other columns, by byte plane."""
-    order = np.argsort(key, kind="stable")
-    wide = np.stack([np.diff(key[order], prepend=0), *(x[order] for x in others)]).astype("<i8")
-    return np.ascontiguousarray(wide.view(np.uint8).reshape(len(wide), -1, 8).transpose(0, 2, 1)).tobytes()
-
-
-def _unpacked(blobs: list[bytes], columns: int) -> tuple[np.ndarray, ...]:
-    """The columns of all rows; the first one is the key."""
-    parts = []
-    for blob in blobs:
-        planes = np.frombuffer(blob, np.uint8).reshape(columns, 8, -1)
-        wide = np.ascontiguousarray(planes.transpose(0, 2, 1)).view("<i8")[:, :, 0]
-        parts.append(np.concatenate([np.cumsum(wide[:1], axis=1), wide[1:]]))
-    return tuple(np.concatenate(parts, axis=1))
-
-
-def _dealt(home: np.ndarray, tasks: int, columns: tuple[np.ndarray, ...]) -> pa.RecordBatch:
-    """The rows in one piece of bytes for each home that has any."""
-    order = np.argsort(home, kind="stable")
-    cuts = np.searchsorted(home[order], np.arange(tasks + 1))
-    full = np.flatnonzero(np.diff(cuts))
-    blobs = [_packed(*(x[order[cuts[h] : cuts[h + 1]]] for x in columns)) for h in full.tolist()]
-    return pa.RecordBatch.from_arrays([pa.array(full), pa.array(blobs, pa.binary())], ["home", "rows"])
-
-
-def _home(key: np.ndarray, tasks: int) -> np.ndarray:
-    return (mixed(key.view(np.uint64)) % np.uint64(tasks)).astype(np.int64)
-
-
-def _runs(*columns: np.ndarray) -> np.ndarray:
-    """Where a run of equal values of sorted columns begins."""
-    if not len(columns[0]):
-        return np.zeros(0, np.int64)
-    return np.flatnonzero(np.r_[True, np.any([x[1:] != x[:-1] for x in columns], axis=0)])
-
-
 def _balls(batches: Iterator[pa.RecordBatch], bits: int, tables: int, tasks: int, own: bool) -> Iterator[pa.RecordBatch]:
     """All variants (key, node, the columns after it) of rows (node, more, ...), to the homes of their keys.
 
@@ -240,11 +204,7 @@ def _balls(batches: Iterator[pa.RecordBatch], bits: int, tables: int, tasks: int
             others = [np.repeat(part.column(k).to_numpy(), tables * (bits + 1)) for k in (0, *range(2, part.num_columns))]
             if own:
                 others.append(np.tile(np.arange(bits + 1) == bits, part.num_rows * tables).astype(np.int64))
-            yield _dealt(_home(key, tasks), tasks, (key, *others))
-
-
-def _blobs(batches: Iterator[pa.RecordBatch]) -> list[bytes]:
-    return [blob for batch in batches for blob in batch.column(1).to_pylist()]
+            yield dealt(home_of(key, tasks), tasks, (key, *others))
 
 
 def _tasks(rows: int, bits: int, tables: int) -> int:
@@ -263,12 +223,12 @@ def meetings(prints: DataFrame, bits: int, tables: int) -> DataFrame:
         return _balls(batches, bits, tables, tasks, True)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if not (held := _blobs(batches)):
+        if not (held := blobs(batches)):
             return
-        key, node, own = _unpacked(held, 3)
+        key, node, own = unpacked(held, 3)
         order = np.argsort(key, kind="stable")
         key, node, own = key[order], node[order], own[order]
-        begin = _runs(key)
+        begin = run_starts(key)
         size = np.repeat(np.diff(np.r_[begin, len(key)]), np.diff(np.r_[begin, len(key)]))
         left, right = [], []
         for lag in range(1, CROWD - 1):
@@ -281,12 +241,12 @@ def meetings(prints: DataFrame, bits: int, tables: int) -> DataFrame:
         a = np.concatenate([*left, members])
         b = np.concatenate([*right, np.full(len(members), -1)])
         n = np.concatenate([np.zeros(len(a) - len(members), np.int64), near])
-        yield _dealt(_home(a, tasks), tasks, (a, b, n))
+        yield dealt(home_of(a, tasks), tasks, (a, b, n))
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if not (held := _blobs(batches)):
+        if not (held := blobs(batches)):
             return
-        a, b, n = _unpacked(held, 3)
+        a, b, n = unpacked(held, 3)
         members, place = np.unique(a[b < 0], return_inverse=True)
         near = np.bincount(place, weights=n[b < 0], minlength=len(members)).astype(np.int64)
         alone = (b >= 0) & ~np.isin(a, members)
@@ -295,9 +255,8 @@ def meetings(prints: DataFrame, bits: int, tables: int) -> DataFrame:
         columns = [np.concatenate([pairs[0], members]), pa.concat_arrays([pa.array(pairs[1]), none])]
         yield pa.RecordBatch.from_arrays([pa.array(columns[0]), columns[1], pa.array(np.concatenate([np.zeros(pairs.shape[1], np.int64), near]))], ["a", "b", "near"])
 
-    pieces = "home long, rows binary"
-    variants = prints.select("node", "more").repartition(tasks).mapInArrow(spread, pieces)
-    met = variants.repartition(tasks, "home").mapInArrow(meet, pieces)
+    variants = prints.select("node", "more").repartition(tasks).mapInArrow(spread, PIECES)
+    met = variants.repartition(tasks, "home").mapInArrow(meet, PIECES)
     return met.repartition(tasks, "home").mapInArrow(settle, "a long, b long, near long")
 
 
@@ -309,12 +268,12 @@ def partners(members: DataFrame, bits: int, tables: int) -> DataFrame:
         return _balls(batches, bits, tables, tasks, False)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if not (held := _blobs(batches)):
+        if not (held := blobs(batches)):
             return
-        key, node, root, rank = _unpacked(held, 4)
+        key, node, root, rank = unpacked(held, 4)
         order = np.lexsort((node, -rank, key))
         key, node, root, rank = key[order], node[order], root[order], rank[order]
-        begin = _runs(key)
+        begin = run_starts(key)
         group = np.repeat(np.arange(len(begin)), np.diff(np.r_[begin, len(key)]))
         # The first of a meeting, and the first one of another root, are all that can be chosen.
         other = np.flatnonzero(root != root[begin][group])
@@ -324,20 +283,19 @@ def partners(members: DataFrame, bits: int, tables: int) -> DataFrame:
         able = np.flatnonzero(chosen >= 0)
         table = key[able] >> np.int64(bits)
         b, a, r = node[able], node[chosen[able]], rank[chosen[able]]
-        yield _dealt(_home(b, tasks), tasks, (b, table, r, a))
+        yield dealt(home_of(b, tasks), tasks, (b, table, r, a))
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if not (held := _blobs(batches)):
+        if not (held := blobs(batches)):
             return
-        b, table, rank, a = _unpacked(held, 4)
+        b, table, rank, a = unpacked(held, 4)
         order = np.lexsort((a, -rank, table, b))
-        best = order[_runs(b[order], table[order])]
+        best = order[run_starts(b[order], table[order])]
         pairs = np.unique(np.stack([a[best], b[best]]), axis=1)
         yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
 
-    pieces = "home long, rows binary"
-    variants = members.select("node", "more", "root", "rank").repartition(tasks).mapInArrow(spread, pieces)
-    met = variants.repartition(tasks, "home").mapInArrow(meet, pieces)
+    variants = members.select("node", "more", "root", "rank").repartition(tasks).mapInArrow(spread, PIECES)
+    met = variants.repartition(tasks, "home").mapInArrow(meet, PIECES)
     return met.repartition(tasks, "home").mapInArrow(settle, "a long, b long")
 
 

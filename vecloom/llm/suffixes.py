@@ -10,7 +10,8 @@ level by level this finds the boundaries of common prefixes of 0, 1, 2, ... byte
 stops at the least length. Suffixes with no boundary between them share at least that.
 
 A gram with more unlike regions than a task should hold is settled by the hashes of its
-windows instead, which Spark counts; the result is the same.
+windows instead, which meet by their values and not by the gram; the result is the same. Hashes
+change tasks in packed pieces, and what comes back are spans.
 """
 
 from __future__ import annotations
@@ -24,13 +25,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vecloom.llm.dealing import PIECES, blobs, dealt, home_of, run_starts, unpacked
 from vecloom.llm.numbering import numbered
 from vecloom.llm.text import col, flat, helper, mixed, or_empty, powers, spans_of, steps, written
 
 LEAST = 400
-#: Bytes of unlike regions of one gram that a task joins; beyond it windows are counted. Tasks
+#: Bytes of unlike regions of one gram that a task joins; beyond it windows are compared. Tasks
 #: gather grams up to as many bytes for one transform.
 GROUP_BYTES, GATHER_BYTES = 1 << 21, 1 << 19
+#: Windows that one task makes a piece of or brings together, and the least number of such tasks.
+WINDOWS, WINDOW_TASKS = 1 << 20, 64
 STEP = 1 << 19
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x27D4EB2F165667C5)
 
@@ -197,14 +201,15 @@ class Repeats:
         return written(self.spark, self.texts.mapInArrow(run, schema), "regions")
 
     def _pieces(self, contents: DataFrame) -> DataFrame:
-        """One copy of each unlike region of the grams that have several, with its bytes."""
-        grams = contents.groupBy("gram").agg(F.count(F.lit(1)).alias("d"), F.max("again").alias("again")).where("d > 1 or again").select("gram")
+        """One copy of each unlike region of the grams that have several, with its bytes; hot if the gram has too many."""
+        grams = contents.groupBy("gram").agg(F.count(F.lit(1)).alias("d"), F.max("again").alias("again"), F.sum("length").alias("bytes"))
+        grams = grams.where("d > 1 or again").select("gram", (F.col("bytes") > self.group_bytes).alias("hot"))
         wanted = (
-            contents.join(grams, "gram").select(F.col("first.row").alias("row"), F.struct("gram", F.col("first.a").alias("a"), "length", (F.col("n") == 1).alias("single")).alias("x"))
+            contents.join(grams, "gram").select(F.col("first.row").alias("row"), F.struct("gram", F.col("first.a").alias("a"), "length", (F.col("n") == 1).alias("single"), "hot").alias("x"))
             .groupBy("row").agg(F.collect_list("x").alias("xs"))
         )
         joined = wanted.join(self.texts, "row").select("row", "xs", "body")
-        schema = "gram long, row long, a long, single boolean, piece binary"
+        schema = "gram long, row long, a long, single boolean, piece binary, hot boolean"
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in steps(batches, "body", STEP):
@@ -218,18 +223,17 @@ class Repeats:
                 body = data.tobytes()
                 pieces = [body[b : b + n] for b, n in zip(begin.tolist(), size.tolist())]
                 yield pa.RecordBatch.from_arrays(
-                    [parts.field("gram"), batch.column(0).take(pa.array(owner)), parts.field("a"), parts.field("single"), pa.array(pieces, pa.binary())],
-                    ["gram", "row", "a", "single", "piece"],
+                    [parts.field("gram"), batch.column(0).take(pa.array(owner)), parts.field("a"), parts.field("single"), pa.array(pieces, pa.binary()), parts.field("hot")],
+                    ["gram", "row", "a", "single", "piece", "hot"],
                 )
 
-        return joined.mapInArrow(run, schema)
+        return written(self.spark, joined.mapInArrow(run, schema), "pieces", "zstd")
 
     def _expanded(self, pieces: DataFrame) -> DataFrame:
-        """Spans of the pieces, and the windows of those grams that have too many: (row, a, e, w1, w2)."""
-        least, most = self.least, self.group_bytes
-        schema = "row long, a long, e long, w1 long, w2 long"
+        """(row, a, e): spans of the pieces, whose grams are gathered for one transform."""
+        least = self.least
 
-        def spans(group: list[tuple]) -> Iterator[pa.RecordBatch]:
+        def spans(group: list[tuple]) -> pa.RecordBatch:
             again = repeated_starts([x[4] for x in group], least)
             rows, begins, ends, offset = [], [], [], 0
             for _, row, a, single, piece in group:
@@ -239,45 +243,78 @@ class Repeats:
                     begins += (a + first).tolist()
                     ends += (a + last + least).tolist()
                 offset += len(piece) + 1
-            none = pa.nulls(len(rows), pa.int64())
-            yield pa.RecordBatch.from_arrays([*(pa.array(x, pa.int64()) for x in (rows, begins, ends)), none, none], ["row", "a", "e", "w1", "w2"])
-
-        def windows(group: list[tuple]) -> Iterator[pa.RecordBatch]:
-            for _, row, a, single, piece in group:
-                data = np.frombuffer(piece, np.uint8)
-                at = np.arange(len(data) - least + 1)
-                values = [Hashes(data, k).of(at, at + least).view(np.int64) for k in (0, 2)]
-                # Copies of this piece are spans already; one window of it stands for them.
-                e = a + at + least if single else np.full(len(at), -1)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (np.full(len(at), row), a + at, e, *values)], ["row", "a", "e", "w1", "w2"])
+            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (rows, begins, ends)], ["row", "a", "e"])
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ready: list[tuple] = []
             group: list[tuple] = []
             ready_bytes = group_bytes = 0
-            hot = None
             for batch in batches:
                 for x in zip(*(c.to_pylist() for c in batch.columns)):
-                    if x[0] == hot:
-                        yield from windows([x])
-                        continue
                     if group and group[0][0] != x[0]:
                         if ready and ready_bytes + group_bytes > GATHER_BYTES:
-                            yield from spans(ready)
+                            yield spans(ready)
                             ready, ready_bytes = [], 0
                         ready, ready_bytes = ready + group, ready_bytes + group_bytes
                         group, group_bytes = [], 0
                     group.append(x)
                     group_bytes += len(x[4])
-                    if group_bytes > most:
-                        hot = x[0]
-                        yield from windows(group)
-                        group, group_bytes = [], 0
             for rest in (ready, group) if ready_bytes + group_bytes > GATHER_BYTES else (ready + group,):
                 if rest:
-                    yield from spans(rest)
+                    yield spans(rest)
 
-        return pieces.repartition("gram").sortWithinPartitions("gram").mapInArrow(run, schema)
+        return pieces.drop("hot").repartition("gram").sortWithinPartitions("gram").mapInArrow(run, "row long, a long, e long")
+
+    def _compared(self, pieces: DataFrame) -> DataFrame:
+        """(row, a, e): spans of the pieces of hot grams, by the two hashes of every window."""
+        least = self.least
+        windows = pieces.agg(F.coalesce(F.sum(F.octet_length("piece") - least + 1), F.lit(0))).first()[0]
+        tasks = max(WINDOW_TASKS, windows // WINDOWS)
+
+        def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held: list[tuple[np.ndarray, ...]] = []
+            count = 0
+            for batch in batches:
+                for row, a, single, piece in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3, 4))):
+                    data = np.frombuffer(piece, np.uint8)
+                    at = np.arange(len(data) - least + 1)
+                    values = [Hashes(data, k).of(at, at + least).view(np.int64) for k in (0, 2)]
+                    # Copies of a piece that is not single are spans already; one window of it stands for them.
+                    held.append((*values, np.full(len(at), row), a + at if single else np.full(len(at), -1)))
+                    count += len(at)
+                    if count >= WINDOWS:
+                        columns = tuple(np.concatenate(x) for x in zip(*held))
+                        yield dealt(home_of(columns[0], tasks), tasks, columns)
+                        held, count = [], 0
+            if held:
+                columns = tuple(np.concatenate(x) for x in zip(*held))
+                yield dealt(home_of(columns[0], tasks), tasks, columns)
+
+        def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            if not (held := blobs(batches)):
+                return
+            w1, w2, row, a = unpacked(held, 4)
+            order = np.lexsort((w2, w1))
+            w1, w2, row, a = w1[order], w2[order], row[order], a[order]
+            size = np.diff(np.r_[run_starts(w1, w2), len(w1)])
+            often = np.flatnonzero(np.repeat(size > 1, size) & (a >= 0))
+            # A long text is dealt out by stretches.
+            home = home_of(row[often] * np.int64(1 << 20) + (a[often] >> np.int64(16)), tasks)
+            yield dealt(home, tasks, (row[often], a[often]))
+
+        def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            if not (held := blobs(batches)):
+                return
+            row, a = unpacked(held, 2)
+            order = np.lexsort((a, row))
+            row, a = row[order], a[order]
+            first = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (a[1:] > a[:-1] + least)])
+            last = np.r_[first[1:], len(a)] - 1
+            yield pa.RecordBatch.from_arrays([pa.array(row[first]), pa.array(a[first]), pa.array(a[last] + least)], ["row", "a", "e"])
+
+        variants = pieces.repartition(tasks).mapInArrow(spread, PIECES)
+        met = variants.repartition(tasks, "home").mapInArrow(meet, PIECES)
+        return met.repartition(tasks, "home").mapInArrow(settle, "row long, a long, e long")
 
     def spans(self) -> DataFrame:
         """(row, a, e): spans of bytes, which may overlap and touch."""
@@ -287,12 +324,10 @@ class Repeats:
         )
         contents = written(self.spark, contents, "contents")
         whole = found.join(contents.where("n > 1").select("gram", "content", "length"), ["gram", "content", "length"], "left_semi").select("row", "a", (F.col("a") + F.col("length")).alias("e"))
-        expanded = written(self.spark, self._expanded(self._pieces(contents)), "expanded")
-        edges = expanded.where("w1 is null").select("row", "a", "e")
-        counted = expanded.where("w1 is not null")
-        often = counted.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("w1", "w2")
-        rest = counted.join(often, ["w1", "w2"], "left_semi").where("e >= 0").select("row", "a", "e")
-        return whole.unionByName(edges).unionByName(rest)
+        pieces = self._pieces(contents)
+        expanded = written(self.spark, self._expanded(pieces.where(~F.col("hot"))), "expanded")
+        hot = pieces.where("hot")
+        return whole.unionByName(expanded) if hot.isEmpty() else whole.unionByName(expanded).unionByName(self._compared(hot))
 
     def joined(self, out: str) -> DataFrame:
         """All columns of the table, the row number, and the texts' spans as a list, null where there is none."""
