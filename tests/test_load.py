@@ -605,3 +605,32 @@ def test_files_follow_the_batch_size(spark, files):
     batch_load(spark, config(spark, files, batch_size=4, write_partitions=1), provider(), table)
     per_file = table.history().groupBy(F.input_file_name()).count().collect()
     assert max(r["count"] for r in per_file) <= 4 and sum(r["count"] for r in per_file) == 30
+
+
+def test_write_is_tried_again(spark, monkeypatch):
+    table, calls = new_table(spark), []
+    whole = table.write_batch
+
+    def shaky(*args, **options):
+        calls.append(1)
+        if len(calls) % 3:
+            raise OSError("store is away")
+        whole(*args, **options)
+
+    monkeypatch.setattr(table, "write_batch", shaky)
+    run = open_run(spark, LoadConfig(label="L", key="id", write_pause=0), provider(), table)
+    process_batch(source(spark, 0, 5), 0, run)
+    assert len(calls) == 3 and len(texts(table)) == 5
+    run = open_run(spark, LoadConfig(label="L", key="id", write_attempts=2, write_pause=0), provider(), table)
+    with pytest.raises(OSError):
+        process_batch(source(spark, 0, 5), 0, run)
+    assert [r[2] for r in ledger(table)] == ["written", "failed"]
+
+
+def test_ledger_knows_the_vectors_lengths(spark):
+    table = new_table(spark)
+    run = open_run(spark, LoadConfig(label="L", key="id"), provider(), table)
+    process_batch(source(spark, 0, 5), 0, run)
+    process_batch(source(spark, 0, 0), 1, run)
+    rows = BatchLedger(spark, table.root).rows().orderBy("batch_id").collect()
+    assert [(r["dims_min"], r["dims_max"]) for r in rows] == [(DIMS, DIMS), (None, None)]

@@ -10,6 +10,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
+from pyspark.errors import PythonException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -36,7 +37,9 @@ class LoadConfig:
     rows over so many tasks before a costly model, for sources with few splits.
     `batch_files` bounds the rows of a written file by `batch_size`. `key_rule` says what becomes of a key that
     a batch holds several times: nothing (the later row is current), "reject" (the others are listed as
-    rejects), or "fail" (the batch is refused before anything is embedded or written).
+    rejects), or "fail" (the batch is refused before anything is embedded or written). A write that
+    fails is tried `write_attempts` times, `write_pause` seconds apart; an error of the model, which has
+    retries of its own, is not tried again here.
     """
 
     label: str
@@ -47,6 +50,8 @@ class LoadConfig:
     batch_size: int = 5000
     batch_files: bool = True
     key_rule: str | None = None
+    write_attempts: int = 3
+    write_pause: float = 30.0
     write_partitions: int | None = None
     embed_partitions: int | None = None
     checkpoint: str | None = None
@@ -127,7 +132,7 @@ def process_batch(batch: DataFrame, batch_id: int, run: LoadRun) -> None:
     try:
         if config.key_rule == "fail":
             refuse_repeats(batch, config.key)
-        rows_read, rows_valid = _write(batch, batch_id, run)
+        rows_read, rows_valid, dims = _write_with_retries(batch, batch_id, run)
         repeats = run.table.write_repeats(run.run_seq, batch_id) if config.key_rule == "reject" and rows_valid else 0
     except Exception as error:
         record(books.FAILED, error=str(error))
@@ -139,6 +144,8 @@ def process_batch(batch: DataFrame, batch_id: int, run: LoadRun) -> None:
         rows_invalid=rows_read - rows_valid + repeats,
         rows_written=rows_valid - repeats,
         chunks=chunk_count(rows_read, config.batch_size),
+        dims_min=dims[0],
+        dims_max=dims[1],
     )
 
 
@@ -150,8 +157,21 @@ def refuse_repeats(batch: DataFrame, key: str) -> None:
         raise RepeatedKeys(f"key {found[0][0]!r} has {found[0][1]} rows in one batch")
 
 
-def _write(batch: DataFrame, batch_id: int, run: LoadRun) -> tuple[int, int]:
-    """One write action; the counts come out of it, so nothing is embedded twice.
+def _write_with_retries(batch: DataFrame, batch_id: int, run: LoadRun) -> tuple[int, int, tuple]:
+    for attempt in range(1, run.config.write_attempts + 1):
+        try:
+            return _write(batch, batch_id, run)
+        except PythonException:
+            raise
+        except Exception:
+            if attempt == run.config.write_attempts:
+                raise
+            time.sleep(run.config.write_pause)
+    raise ValueError("write_attempts must be at least 1")
+
+
+def _write(batch: DataFrame, batch_id: int, run: LoadRun) -> tuple[int, int, tuple]:
+    """One write action; the counts and the vectors' lengths come out of it, so nothing is embedded twice.
 
     Rows without a key or a good vector are written as rejects of the same batch.
     """
@@ -175,11 +195,12 @@ def _write(batch: DataFrame, batch_id: int, run: LoadRun) -> tuple[int, int]:
     judged = embedded.withColumn("reason", reason).drop("_outcome")
     seen = Observation()
     counted = judged.observe(
-        seen, F.count(F.lit(1)).alias("read"), F.count_if(F.col("reason").isNull()).alias("valid")
+        seen, F.count(F.lit(1)).alias("read"), F.count_if(F.col("reason").isNull()).alias("valid"),
+        F.min(F.size(quoted(vector))).alias("least"), F.max(F.size(quoted(vector))).alias("most"),
     )
     rows = counted.withColumn("label", F.lit(config.label))
     run.table.write_batch(rows, run.run_seq, batch_id, config.batch_size if config.batch_files else None)
-    return seen.get["read"], seen.get["valid"]
+    return seen.get["read"], seen.get["valid"], (seen.get["least"], seen.get["most"])
 
 
 def batch_load(

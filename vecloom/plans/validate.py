@@ -11,15 +11,11 @@ from vecloom.functions.vector import cosine_similarity, max_abs_difference
 from vecloom.operators.embed import EmbeddingProvider, query_frame
 from vecloom.operators.project import quoted
 
-# The sample texts of the checks, and the largest difference of equal texts' vectors.
-BASIC = (
-    "Aircraft engine replacement due to oil leak",
-    "Landing gear inspection completed",
-    "Hydraulic pump failure requiring immediate replacement",
-)
-TRIPLET = ("Engine replacement due to failure", "Engine swap because of malfunction", "Cabin seat cushion replacement")
-EDGE = ("", "A", "x " * 500, "12345")
-SAME = "Test text for comparison"
+# Sample texts of the checks, and the largest difference of equal texts' vectors.
+BASIC = ("The valve was changed after the evening shift", "All filters are clean again", "No spare part was in store, so the unit was sent back")
+TRIPLET = ("The pump broke and was exchanged", "A broken pump had to be exchanged", "Lunch is served in the hall at noon")
+EDGE = ("", "q", "again " * 700, "2048", "\t")
+SAME = "One sentence, asked for twice"
 TOLERANCE = 1e-5
 
 

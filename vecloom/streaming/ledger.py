@@ -23,6 +23,8 @@ LEDGER_SCHEMA = T.StructType(
         T.StructField("started", T.TimestampType()),
         T.StructField("seconds", T.DoubleType()),
         T.StructField("error", T.StringType()),
+        T.StructField("dims_min", T.LongType()),
+        T.StructField("dims_max", T.LongType()),
     ]
 )
 
@@ -51,6 +53,8 @@ class BatchLedger:
         rows_written: int = 0,
         chunks: int = 0,
         error: str | None = None,
+        dims_min: int | None = None,
+        dims_max: int | None = None,
     ) -> None:
         values = {
             "status": status,
@@ -62,6 +66,8 @@ class BatchLedger:
             "started": started,
             "seconds": seconds,
             "error": error,
+            "dims_min": dims_min,
+            "dims_max": dims_max,
         }
         row = one_row(self.spark, values, LEDGER_SCHEMA)
         row.write.mode("overwrite").parquet(f"{self.path}/run_seq={run_seq}/batch_id={batch_id}")
