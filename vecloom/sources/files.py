@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -32,3 +34,32 @@ def matching(spark: SparkSession, pattern: str) -> list[str]:
     """Paths that a pattern of the file system matches."""
     place, system = _opened(spark, pattern)
     return [x.getPath().toString() for x in system.globStatus(place) or []]
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text as a file, whole or not at all; what was there before is replaced."""
+    place, system = _opened(spark, path)
+    aside, _ = _opened(spark, f"{place.getParent().toString()}/_{uuid.uuid4().hex}")
+    system.mkdirs(place.getParent())
+    stream = system.create(aside, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    if system.exists(place):
+        system.delete(place, False)
+    system.rename(aside, place)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    place, system = _opened(spark, path)
+    stream = system.open(place)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def clear(spark: SparkSession, folder: str) -> None:
+    """Take the files of a folder away, as an overwriting write does."""
+    place, system = _opened(spark, folder)
+    if system.exists(place):
+        system.delete(place, True)

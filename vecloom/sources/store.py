@@ -20,6 +20,7 @@ commit in them. Readers take the last whole manifest and the batches after it.
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
 from collections.abc import Sequence
@@ -33,13 +34,6 @@ from pyspark.sql import types as T
 from vecloom.operators.project import quoted
 from vecloom.sources import files
 
-RUNS_SCHEMA = T.StructType(
-    [
-        T.StructField("run_seq", T.LongType()),
-        T.StructField("checkpoint", T.StringType()),
-        T.StructField("folder", T.StringType()),
-    ]
-)
 NULL_KEY, REPEATED_KEY = "null key", "repeated key"
 # Rows of a bucket of keys in a compacted table; their number follows the rows. A key's bucket depends on its hash alone.
 BUCKET_ROWS, MOST_BUCKETS = 1_000_000, 1 << 14
@@ -169,21 +163,28 @@ class VectorTable:
         Each run has a checkpoint folder of its own, which no other run of this or another
         table shares. One writer per table at a time.
         """
-        path = f"{self.root}/runs"
-        runs = read_or_empty(self.spark, path, RUNS_SCHEMA)
-        mine = F.max(F.when(F.col("checkpoint") == checkpoint, F.col("run_seq")))
-        row = runs.agg(F.max("run_seq").alias("last"), mine.alias("mine")).first()
-        if not fresh and row["mine"] is not None:
-            return row["mine"]
-        run_seq = (row["last"] or 0) + 1
+        numbers = sorted(self._runs(), reverse=True)
+        mine = (n for n in numbers if not fresh and self._run(n)["checkpoint"] == checkpoint)
+        if (found := next(mine, None)) is not None:
+            return found
+        run_seq = max(numbers, default=0) + 1
         folder = f"{checkpoint}/run-{run_seq}-{uuid.uuid4().hex}"
-        values = {"run_seq": run_seq, "checkpoint": checkpoint, "folder": folder}
-        one_row(self.spark, values, RUNS_SCHEMA).write.mode("append").parquet(path)
+        self._note_run(self.root, run_seq, {"checkpoint": checkpoint, "folder": folder})
         return run_seq
 
+    def _runs(self) -> list[int]:
+        """A run is a small file by its number: no job is needed to open one."""
+        names = (name.removesuffix(".json") for name in files.children(self.spark, f"{self.root}/runs"))
+        return [int(name) for name in names if name.isdigit()]
+
+    def _run(self, run_seq: int) -> dict:
+        return json.loads(files.read_text(self.spark, f"{self.root}/runs/{run_seq}.json"))
+
+    def _note_run(self, root: str, run_seq: int, values: dict) -> None:
+        files.write_text(self.spark, f"{root}/runs/{run_seq}.json", json.dumps(values))
+
     def checkpoint_folder(self, run_seq: int) -> str:
-        runs = read_or_empty(self.spark, f"{self.root}/runs", RUNS_SCHEMA)
-        return runs.filter(F.col("run_seq") == run_seq).first()["folder"]
+        return self._run(run_seq)["folder"]
 
     def _commit(self, folder: str) -> int:
         """The commit of a batch: the one it had before, or the next number."""
@@ -526,10 +527,9 @@ class VectorTable:
             .partitionBy("label", "_bucket").parquet(f"{root}/base")
         )
         files.claim(self.spark, f"{root}/buckets/{buckets}")
-        if files.exists(self.spark, f"{self.root}/runs"):
-            self.spark.read.schema(RUNS_SCHEMA).parquet(f"{self.root}/runs").write.parquet(f"{root}/runs")
+        for run_seq in self._runs():
+            self._note_run(root, run_seq, self._run(run_seq))
         if files.exists(self.spark, f"{self.root}/ledger"):
-            ledger = self.spark.read.parquet(f"{self.root}/ledger")
-            ledger.write.partitionBy("run_seq", "batch_id").parquet(f"{root}/ledger")
+            self.spark.read.text(f"{self.root}/ledger").write.partitionBy("run_seq", "batch_id").text(f"{root}/ledger")
         files.claim(self.spark, f"{root}/commits/{self._last_commit()}")
         return target

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import json
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vecloom.sources.store import one_row, read_or_empty
+from vecloom.sources import files
 
 LEDGER_SCHEMA = T.StructType(
     [
@@ -33,7 +34,7 @@ PROCESSED = (WRITTEN, NO_VALID)
 
 
 class BatchLedger:
-    """Ledger rows beside a table; a replayed batch replaces its own row."""
+    """Ledger rows beside a table, a small file for each batch; a replayed batch replaces its own row."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -63,17 +64,19 @@ class BatchLedger:
             "rows_invalid": rows_invalid,
             "rows_written": rows_written,
             "chunks": chunks,
-            "started": started,
+            "started": started.isoformat(),
             "seconds": seconds,
             "error": error,
             "dims_min": dims_min,
             "dims_max": dims_max,
         }
-        row = one_row(self.spark, values, LEDGER_SCHEMA)
-        row.write.mode("overwrite").parquet(f"{self.path}/run_seq={run_seq}/batch_id={batch_id}")
+        files.clear(self.spark, f"{self.path}/run_seq={run_seq}/batch_id={batch_id}")
+        files.write_text(self.spark, f"{self.path}/run_seq={run_seq}/batch_id={batch_id}/row.json", json.dumps(values))
 
     def rows(self, run_seq: int | None = None) -> DataFrame:
-        found = read_or_empty(self.spark, self.path, LEDGER_SCHEMA)
+        if not files.exists(self.spark, self.path):
+            return self.spark.createDataFrame([], LEDGER_SCHEMA)
+        found = self.spark.read.schema(LEDGER_SCHEMA).json(self.path)
         return found if run_seq is None else found.filter(F.col("run_seq") == run_seq)
 
     def written_before(self, run_seq: int, batch_id: int) -> int:
