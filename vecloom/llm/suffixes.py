@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vecloom.llm.bits import MOST_BITS
 from vecloom.llm.dealing import PIECES, blobs, dealt, home_of, run_starts, unpacked
 from vecloom.llm.numbering import numbered
 from vecloom.llm.text import col, flat, helper, mixed, or_empty, powers, spans_of, steps, written
@@ -198,12 +199,27 @@ class Repeats:
                 )
 
         schema = "row long, a long, length long, gram long, content long, again boolean"
-        return written(self.spark, self.texts.mapInArrow(run, schema), "regions")
+        return written(self.spark, self.texts.mapInArrow(run, schema), "regions", "zstd")
+
+    def _met(self, found: DataFrame) -> DataFrame:
+        """The regions whose gram occurs in another one too, or twice in one; nearly all others end here.
+
+        A filter of those grams, of MOST_BITS at most, goes to every task; what it lets through meets them exactly.
+        """
+        grams = found.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.max("again").alias("again")).where("n > 1 or again").select("gram")
+        grams = written(self.spark, grams, "grams", "zstd")
+        place = F.col("gram").bitwiseAND(F.lit(MOST_BITS - 1))
+        words = grams.select(place.alias("place")).groupBy(F.shiftright("place", 6).alias("word")).agg(
+            F.expr("bit_or(shiftleft(1L, cast(place & 63 as int)))").alias("bits")
+        )
+        maybe = F.expr("(shiftrightunsigned(bits, cast(gram & 63 as int)) & 1) = 1")
+        near = found.withColumn("word", F.shiftright(place, 6)).join(F.broadcast(words), "word").where(maybe).select(*found.columns)
+        return written(self.spark, near.join(grams, "gram", "left_semi"), "met", "zstd")
 
-    def _pieces(self, contents: DataFrame) -> DataFrame:
+    def _pieces(self, contents: DataFrame) -> tuple[DataFrame, DataFrame | None]:
         """One copy of each unlike region of the grams that have several, with its bytes; hot if the gram has too many."""
         grams = contents.groupBy("gram").agg(F.count(F.lit(1)).alias("d"), F.max("again").alias("again"), F.sum("length").alias("bytes"))
-        grams = grams.where("d > 1 or again").select("gram", (F.col("bytes") > self.group_bytes).alias("hot"))
+        grams = written(self.spark, grams.where("d > 1 or again").select("gram", (F.col("bytes") > self.group_bytes).alias("hot")), "grams", "zstd")
         wanted = (
             contents.join(grams, "gram").select(F.col("first.row").alias("row"), F.struct("gram", F.col("first.a").alias("a"), "length", (F.col("n") == 1).alias("single"), "hot").alias("x"))
             .groupBy("row").agg(F.collect_list("x").alias("xs"))
@@ -227,7 +243,9 @@ class Repeats:
                     ["gram", "row", "a", "single", "piece", "hot"],
                 )
 
-        return written(self.spark, joined.mapInArrow(run, schema), "pieces", "zstd")
+        pieces = joined.mapInArrow(run, schema)
+        # Pieces that are read twice, for grams that are hot and for all others, are written.
+        return pieces, None if grams.where("hot").isEmpty() else written(self.spark, pieces, "pieces", "zstd")
 
     def _expanded(self, pieces: DataFrame) -> DataFrame:
         """(row, a, e): spans of the pieces, whose grams are gathered for one transform."""
@@ -318,16 +336,17 @@ class Repeats:
 
     def spans(self) -> DataFrame:
         """(row, a, e): spans of bytes, which may overlap and touch."""
-        found = self._regions()
+        found = self._met(self._regions())
         contents = found.groupBy("gram", "content", "length").agg(
             F.count(F.lit(1)).alias("n"), F.min(F.struct("row", "a")).alias("first"), F.max("again").alias("again")
         )
-        contents = written(self.spark, contents, "contents")
+        contents = written(self.spark, contents, "contents", "zstd")
         whole = found.join(contents.where("n > 1").select("gram", "content", "length"), ["gram", "content", "length"], "left_semi").select("row", "a", (F.col("a") + F.col("length")).alias("e"))
-        pieces = self._pieces(contents)
-        expanded = written(self.spark, self._expanded(pieces.where(~F.col("hot"))), "expanded")
-        hot = pieces.where("hot")
-        return whole.unionByName(expanded) if hot.isEmpty() else whole.unionByName(expanded).unionByName(self._compared(hot))
+        pieces, stored = self._pieces(contents)
+        if stored is None:
+            return whole.unionByName(written(self.spark, self._expanded(pieces), "expanded"))
+        expanded = written(self.spark, self._expanded(stored.where(~F.col("hot"))), "expanded")
+        return whole.unionByName(expanded).unionByName(self._compared(stored.where("hot")))
 
     def joined(self, out: str) -> DataFrame:
         """All columns of the table, the row number, and the texts' spans as a list, null where there is none."""
