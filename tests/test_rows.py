@@ -255,3 +255,11 @@ def test_broken_csv_rows_go_apart(spark, tmp_path):
     source.write_text("id,name\n")
     kept, rejects = tables.csv_ingest_checked(spark, str(source), schema, str(tmp_path / "none"))
     assert kept.count() == rejects.count() == 0
+
+
+def test_times_and_rates_round_the_number_itself(spark):
+    """75 s are 1.25 minutes; a tie goes to the even digit, and 0.15 lies below its tie."""
+    df = spark.createDataFrame([(75.0, 15), (100.0, 15), (105.0, 0)], "s double, n bigint")
+    rows = df.select(format_duration(F.col("s")).alias("d"), format_rate(F.col("n"), F.col("s")).alias("r")).collect()
+    assert [r["d"] for r in rows] == ["75.0s (1.2 minutes)", "100.0s (1.7 minutes)", "105.0s (1.8 minutes)"]
+    assert [r["r"] for r in rows] == ["0.2 rows/s", "0.1 rows/s", "0.0 rows/s"]

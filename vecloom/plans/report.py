@@ -4,21 +4,33 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from vecloom.operators.embed import EmbeddingProvider
 from vecloom.plans.load import LoadConfig
 from vecloom.streaming.ledger import batch_totals
 
 
+@F.udf(StringType())
+def _one_digit(value: float | None) -> str | None:
+    """One digit after the point, of the number as it is: Java's formats round 0.25 up, and 0.15 by its decimal form."""
+    return None if value is None else f"{value:.1f}"
+
+
+@F.udf(StringType())
+def _grouped(value: float | None) -> str | None:
+    return None if value is None else f"{value:,.1f}"
+
+
 def format_duration(seconds: Column) -> Column:
     """Like "30.0s", and from a minute on like "90.0s (1.5 minutes)"."""
-    short = F.format_string("%.1fs", seconds)
-    return F.when(seconds >= 60, F.concat(short, F.format_string(" (%.1f minutes)", seconds / 60))).otherwise(short)
+    short = F.concat(_one_digit(seconds), F.lit("s"))
+    return F.when(seconds >= 60, F.concat(short, F.lit(" ("), _one_digit(seconds / 60), F.lit(" minutes)"))).otherwise(short)
 
 
 def format_rate(rows: Column, seconds: Column) -> Column:
     """Like "2,000.0 rows/s", or "N/A" when no time has passed."""
-    rate = F.concat(F.format_string("%,.1f", rows / seconds), F.lit(" rows/s"))
+    rate = F.concat(_grouped(F.try_divide(rows, seconds)), F.lit(" rows/s"))
     return F.when(seconds > 0, rate).otherwise(F.lit("N/A"))
 
 
