@@ -326,3 +326,27 @@ def test_cells_by_margin():
                 wanted.add(own ^ mask)
             total += chance
         assert set(np.flatnonzero(cells_)) == wanted
+
+
+def test_cosines_are_summed_in_order_and_end_at_one(spark):
+    rng = np.random.default_rng(5)
+    # Rows of like values in other places: rounding alone tells their sums apart.
+    signs = np.array([rng.permutation(np.r_[np.ones(9), np.full(9, 2.0), np.zeros(46)]) for _ in range(400)], np.float32)
+    rows = [*(signs / np.float32(45**0.5)), *(signs[:50] * np.float32(0.7))]
+    records = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(rows)], "id bigint, embedding array<float>")
+    asked = spark.createDataFrame([(q, rows[q].tolist()) for q in range(20)], "q bigint, embedding array<float>")
+
+    def cosine(a, b):
+        dot = x = y = 0.0
+        for p, q in zip(a.astype(float), b.astype(float)):
+            dot, x, y = dot + p * q, x + p * p, y + q * q
+        return max(-1.0, min(1.0, dot / math.sqrt(x * y)))
+
+    wanted = []
+    for q in range(20):
+        best = sorted((-cosine(rows[q], r), i) for i, r in enumerate(rows))[:30]
+        wanted += [(q, i, -s, n + 1) for n, (s, i) in enumerate(best)]
+    found = search.vector_search_many(records, asked, 64, 30, key="id", query_key="q")
+    assert sorted(tuple(r) for r in found.select("q", "id", "score", "rank").collect()) == sorted(wanted)
+    one = search.vector_search(records, rows[0].tolist(), 64, 30, key="id").orderBy(F.desc("score"), "id").collect()
+    assert [(r["id"], r["score"]) for r in one] == [(i, s) for q, i, s, _ in sorted(wanted, key=lambda w: w[3]) if q == 0]

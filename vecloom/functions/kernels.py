@@ -298,18 +298,26 @@ def directions(matrix: np.ndarray) -> np.ndarray:
     return matrix / np.where(norms == 0, np.nan, norms)
 
 
+def in_order(values: np.ndarray) -> np.ndarray:
+    """Sums of rows, value after value, as the column expressions add them up; numpy's own sum adds in blocks."""
+    return np.cumsum(values, axis=1)[:, -1] if values.shape[1] else np.zeros(len(values))
+
+
 def pair_gains(queries: np.ndarray, records: np.ndarray, metric: str) -> np.ndarray:
     """Gain of each query with the record beside it, higher is better.
 
     Each pair is summed for itself, so that equal vectors have equal gains wherever they lie.
     """
     if metric == "euclidean":
-        return -np.sqrt(((records - queries) ** 2).sum(axis=1))
-    products = (queries * records).sum(axis=1)
+        return -np.sqrt(in_order((records - queries) ** 2))
+    products = in_order(queries * records)
     if metric == "dot_product":
         return products
-    norms = np.sqrt((queries * queries).sum(axis=1)) * np.sqrt((records * records).sum(axis=1))
-    return products / np.where(norms == 0, np.nan, norms)
+    squares, others = in_order(queries * queries), in_order(records * records)
+    with np.errstate(over="ignore"):
+        both = squares * others
+    norms = np.where((both > 0) & (both < np.inf), np.sqrt(both), np.sqrt(squares) * np.sqrt(others))
+    return np.clip(products / np.where(norms == 0, np.nan, norms), -1.0, 1.0)
 
 
 def rough_gains(queries: np.ndarray, records: np.ndarray, metric: str) -> tuple[np.ndarray, float]:

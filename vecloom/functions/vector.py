@@ -21,8 +21,12 @@ def _total(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x)
 
 
+def _squares(vector: Column) -> Column:
+    return F.aggregate(_doubles(vector), F.lit(0.0), lambda acc, x: acc + x * x)
+
+
 def l2_norm(vector: Column) -> Column:
-    return F.sqrt(F.aggregate(_doubles(vector), F.lit(0.0), lambda acc, x: acc + x * x))
+    return F.sqrt(_squares(vector))
 
 
 def dot_product(a: Column, b: Column) -> Column:
@@ -33,7 +37,17 @@ def dot_product(a: Column, b: Column) -> Column:
 
 def cosine_similarity(a: Column, b: Column) -> Column:
     """Cosine in [-1, 1]; NULL where undefined (a zero vector, unequal lengths, nulls)."""
-    return F.try_divide(dot_product(a, b), l2_norm(a) * l2_norm(b))
+    sums = F.struct(dot_product(a, b).alias("dot"), _squares(a).alias("a"), _squares(b).alias("b"))
+    # The sums go in as a one-element array, so they are computed once.
+    return F.get(F.transform(F.array(sums), _cosine), F.lit(0))
+
+
+def _cosine(sums: Column) -> Column:
+    """One root of both norms, unless their product leaves the range of doubles; rounding never leaves [-1, 1]."""
+    both = sums["a"] * sums["b"]
+    norms = F.when((both > 0) & (both < float("inf")), F.sqrt(both)).otherwise(F.sqrt(sums["a"]) * F.sqrt(sums["b"]))
+    value = F.try_divide(sums["dot"], norms)
+    return F.when(F.isnan(value), value).when(value > 1, 1.0).when(value < -1, -1.0).otherwise(value)
 
 
 def euclidean_distance(a: Column, b: Column) -> Column:
