@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plans import plan_of, shuffled
+from vecloom.catalog.loads import write_parallelism
 from vecloom.functions import models
 from vecloom.operators.embed import EmbeddingConfig, HashingProvider, ModelProvider
 from vecloom.plans.job import ProviderNotReady, run_job
@@ -634,3 +635,8 @@ def test_ledger_knows_the_vectors_lengths(spark):
     process_batch(source(spark, 0, 0), 1, run)
     rows = BatchLedger(spark, table.root).rows().orderBy("batch_id").collect()
     assert [(r["dims_min"], r["dims_max"]) for r in rows] == [(DIMS, DIMS), (None, None)]
+
+
+def test_writers_are_counted_and_not_their_files(spark, tmp_path):
+    spark.range(40_000).selectExpr("id AS doc_id", "concat('w', id) AS text", "'en' AS lang").write.parquet(f"{tmp_path}/documents.parquet")
+    assert tuple(write_parallelism(spark, str(tmp_path)).first()) == (3, 40_000)

@@ -382,11 +382,13 @@ def appended(spark, folder):
 
 @register("write_parallelism", "SELECT 3::BIGINT AS files, count(*) AS rows FROM documents")
 def write_parallelism(spark, folder):
+    """How many tasks write: each names its files by its own number, however many the batch size makes of its rows."""
     config = LoadConfig(label="Document", key="doc_id", source_path=f"{folder}/documents.parquet", write_partitions=3)
     table = new_table(spark)
     batch_load(spark, config, hashing(), table, lambda df: df.select("doc_id", "text", "lang"))
-    per_file = table.history().groupBy(F.input_file_name()).agg(F.count(F.lit(1)).alias("n"))
-    return per_file.agg(F.count(F.lit(1)).alias("files"), F.sum("n").alias("rows"))
+    writer = F.regexp_extract(F.input_file_name(), r"/part-(\d+)-[^/]*$", 1)
+    per_writer = table.history().groupBy(writer).agg(F.count(F.lit(1)).alias("n"))
+    return per_writer.agg(F.count(F.lit(1)).alias("files"), F.sum("n").alias("rows"))
 
 
 @register("write_batch_size", "SELECT count(*) AS rows, true AS within_limit FROM documents")
