@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plans import plan_of, shuffled
+from vecloom.catalog import loads
 from vecloom.catalog.loads import write_parallelism
 from vecloom.functions import models
 from vecloom.operators.embed import EmbeddingConfig, HashingProvider, ModelProvider
@@ -640,3 +641,14 @@ def test_ledger_knows_the_vectors_lengths(spark):
 def test_writers_are_counted_and_not_their_files(spark, tmp_path):
     spark.range(40_000).selectExpr("id AS doc_id", "concat('w', id) AS text", "'en' AS lang").write.parquet(f"{tmp_path}/documents.parquet")
     assert tuple(write_parallelism(spark, str(tmp_path)).first()) == (3, 40_000)
+
+
+def test_parts_of_a_stream_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(loads, "FILE_ROWS", 20, raising=False)
+    spark.range(402).selectExpr("id AS doc_id", "concat('w', id) AS text", "'en' AS lang").write.parquet(f"{tmp_path}/documents.parquet")
+    paths, whole = [], loads.document_load
+    monkeypatch.setattr(loads, "document_load", lambda spark, path, *args: paths.append(path) or whole(spark, path, *args))
+    found = loads.stream_progress(spark, str(tmp_path))
+    assert sorted((r["batch_id"], r["input_rows"]) for r in found.collect()) == [(0, 101), (1, 101), (2, 100), (3, 100)]
+    rows = [r["count"] for r in spark.read.parquet(paths[0]).groupBy(F.input_file_name()).count().collect()]
+    assert len(rows) == 20 and max(rows) <= 21

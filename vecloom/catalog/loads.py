@@ -21,6 +21,8 @@ from vecloom.sources.tables import csv_ingest_checked, stream_scan
 from vecloom.streaming.progress import progress_rows
 
 SLICES = 4
+#: Rows of a file of a stream's part.
+FILE_ROWS = 5000
 RECORD = T.StructType(
     [
         T.StructField("doc_id", T.LongType()),
@@ -615,10 +617,13 @@ def stream_progress(spark, folder):
     size, more = divmod(rows, SLICES)
     place = F.col("row_num") - 1
     part = F.when(place < more * (size + 1), F.floor(place / (size + 1))).otherwise(more + F.floor((place - more * (size + 1)) / max(size, 1)))
+    # Every part in as many files, each by a task of its own, so that a micro-batch is one part at any size.
+    files = max(1, -(-size // FILE_ROWS))
     for k in range(SLICES):
-        numbered.filter(part == k).select("doc_id", "text", "lang").coalesce(1).write.mode("append").parquet(path)
+        dealt = numbered.filter(part == k).repartitionById(files, F.pmod("row_num", F.lit(files)).cast("int"))
+        dealt.select("doc_id", "text", "lang").write.mode("append").parquet(path)
     table = new_table(spark)
-    stream_load(spark, document_load(spark, path, 1), hashing(), table)
+    stream_load(spark, document_load(spark, path, files), hashing(), table)
     found = progress_rows(spark, table.root)
     return found.select("batch_id", "input_rows", (F.col("duration_ms") >= 0).alias("timed"))
 
