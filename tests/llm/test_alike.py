@@ -66,3 +66,49 @@ def test_first_fingerprint_stays_and_salted_ones_count_bits():
         for f, n in zip(first.tolist(), counts.tolist())
     ]
     assert simhash._salted(hashes, first, counts, 2).tolist() == wanted
+
+
+def test_counts_never_forbid_a_jaccard_that_is_reached():
+    """Texts of a few words, repeats, and buckets beyond fifteen; the bound is checked against the exact sets."""
+    rng = random.Random(6)
+    texts = []
+    for n in (1, 3, 5, 9, 60, 400, 400, 5000):
+        words = ["v%d" % rng.randrange(3 * n) for _ in range(n)]
+        for edits in (0, 0, 1, n // 60, n // 30, n // 20):
+            copy = list(words)
+            for _ in range(edits):
+                copy[rng.randrange(n)] = "e%d" % rng.randrange(10**6)
+            texts.append(" ".join(copy))
+    texts.append("again and again " * 40)
+    counts = simhash.fingerprint_texts([t.encode() for t in texts], 5, 2, True)[:, 2:]
+    sets = [simhash._shingles(t.encode(), 5) for t in texts]
+    assert counts[:, 0].tolist() == [len(s) for s in sets]
+    x, y = np.triu_indices(len(texts))
+    for alike in (0.3, 0.8, 0.95):
+        exact = np.array([len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= alike for a, b in zip(x.tolist(), y.tolist())])
+        able = simhash.can_be_alike(counts[x], counts[y], alike)
+        assert able[exact].all() and not able[~exact].all()
+
+
+def test_a_crowd_that_is_not_alike_sends_no_pairs(spark, monkeypatch):
+    """Texts that meet by their fingerprints, but with a Jaccard of about a half, are told apart before texts move."""
+    sent, whole = [], simhash.alike_pairs
+
+    def counted(pairs, *others):
+        sent.append(pairs.count())
+        return whole(pairs, *others)
+
+    monkeypatch.setattr(simhash, "alike_pairs", counted)
+    rng = random.Random(8)
+    text = ["w%d" % rng.randrange(5000) for _ in range(200)]
+    rows = []
+    for k in range(150):
+        copy = list(text)
+        for place in range(rng.randrange(20), 200, 26):
+            copy[place] = "e%d" % rng.randrange(10**6)
+        rows.append((k, " ".join(copy)))
+    alike = [jaccard(rows[a][1], rows[b][1]) for a in range(150) for b in range(a)]
+    assert max(alike) < 0.8 and np.median(alike) > 0.4
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert corpus_pipeline.drop_near_copies(spark, docs, "").count() == 150
+    assert sum(sent) < 300

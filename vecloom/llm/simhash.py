@@ -13,7 +13,9 @@ A text whose meetings are all small is held against everyone it meets. Texts tha
 together are held, round by round, against one text a table, first the one that most others lie near,
 which the original of many copies is, until a round adds hardly any link: most texts of a crowd
 are in one component by then. All pairs that meet and are still in two components are then held
-against each other, in blocks of a crowd: nothing that meets is left out.
+against each other, in blocks of a crowd: nothing that meets is left out. How many shingles two texts
+can share is bounded from counts of their hashes by bucket; only pairs whose Jaccard can be reached
+leave the tasks of their blocks and have their texts compared.
 """
 
 from __future__ import annotations
@@ -42,8 +44,12 @@ CROWD = 5
 ROUND_SHARE = 0.01
 #: Texts of a block of a crowd, the most blocks of one (blocks grow beyond), and pairs compared at a time.
 BLOCK_ROWS, BLOCKS, PAIRS = 1024, 64, 1 << 18
+#: Buckets that a text's distinct shingles are counted in, as half-bytes, and the words that hold their number and those.
+BUCKETS, COUNT_WORDS = 128, 1 + 128 // 16
 #: Texts that one group of a hub's verification holds against it.
 HUB_ROWS = 1000
+#: Pieces of members that are opened at a time.
+MANY = 16
 #: Ball variants that one task makes or brings together, and the least number of such tasks.
 BALL_ROWS, BALL_TASKS = 1 << 20, 64
 
@@ -64,10 +70,36 @@ def _salted(hashes: np.ndarray, first: np.ndarray, counts: np.ndarray, salt: int
     return np.packbits(ones.reshape(-1, 64) * 2 > counts[:, None], axis=1, bitorder="little").view("<u8")[:, 0]
 
 
-def fingerprint_texts(texts: list[bytes], size: int, words: int = 1) -> np.ndarray:
+def _bucket_counts(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Of each text the number of its distinct shingles, and half-bytes with their number in each bucket, 15 at most."""
+    owner = np.repeat(np.arange(len(counts)), counts)
+    order = np.lexsort((hashes, owner))
+    hashes, owner = hashes[order], owner[order]
+    first = run_starts(owner, hashes)
+    cell = owner[first] * BUCKETS + (hashes[first] % np.uint64(BUCKETS)).astype(np.int64)
+    number = np.bincount(cell, minlength=len(counts) * BUCKETS).reshape(-1, BUCKETS)
+    low = np.minimum(number, 15).astype(np.uint8)
+    halves = np.ascontiguousarray(low[:, ::2] | low[:, 1::2] << np.uint8(4))
+    return np.concatenate([number.sum(1)[:, None], halves.view("<i8")], axis=1)
+
+
+def can_be_alike(x: np.ndarray, y: np.ndarray, alike: float) -> np.ndarray:
+    """Whether rows of COUNT_WORDS words leave a shingle Jaccard of `alike` or more possible; False is certain.
+
+    Texts share no more shingles of a bucket than either has there; what full half-bytes leave out is added.
+    """
+    a, b = (np.ascontiguousarray(z[:, 1:]).view(np.uint8) for z in (x, y))
+    halves = [(a & np.uint8(15), b & np.uint8(15)), (a >> np.uint8(4), b >> np.uint8(4))]
+    both = sum(np.minimum(i, j).sum(1, dtype=np.int64) for i, j in halves)
+    both += np.minimum(*(z[:, 0] - sum(h[k].sum(1, dtype=np.int64) for h in halves) for k, z in enumerate((x, y))))
+    return both >= alike * (x[:, 0] + y[:, 0] - both)
+
+
+def fingerprint_texts(texts: list[bytes], size: int, words: int = 1, counted: bool = False) -> np.ndarray:
     """Fingerprints of texts: a bit is set where over half of the shingles' hashes have it.
 
-    With several `words`, one row for each text: the fingerprint and those of salted hashes.
+    With several `words`, one row for each text: the fingerprint and those of salted hashes. If
+    `counted`, the words of `_bucket_counts` follow.
     """
     hashes: list[int] = []
     counts = np.zeros(len(texts), np.int64)
@@ -86,7 +118,7 @@ def fingerprint_texts(texts: list[bytes], size: int, words: int = 1) -> np.ndarr
         ends = [*gaps[size - 1 :].tolist(), len(line)]
         hashes += [digest(line[a:b], SEED) for a, b in zip(begins, ends)]
         counts[k] = len(begins)
-    out = np.zeros((len(texts), words), np.uint64)
+    out = np.zeros((len(texts), words + COUNT_WORDS * counted), np.uint64)
     full = np.flatnonzero(counts)
     if len(full):
         whole = np.array(hashes, "<u8")
@@ -96,7 +128,9 @@ def fingerprint_texts(texts: list[bytes], size: int, words: int = 1) -> np.ndarr
         out[full, 0] = np.packbits(ones * 2 > counts[full, None], axis=1, bitorder="little").view("<u8")[:, 0]
         for k in range(1, words):
             out[full, k] = _salted(whole, first, counts[full], k)
-    return out.view(np.int64) if words > 1 else out[:, 0].view(np.int64)
+        if counted:
+            out[full, words:] = _bucket_counts(whole, counts[full]).view(np.uint64)
+    return out.view(np.int64) if words > 1 or counted else out[:, 0].view(np.int64)
 
 
 def fingerprints(
@@ -104,7 +138,7 @@ def fingerprints(
 ) -> DataFrame:
     """The key columns and each whole text's fingerprint as a long. Null or blank text: zero.
 
-    With a name in `more`, also all `words` fingerprints as bytes, eight for each.
+    With a name in `more`, also all `words` fingerprints as bytes, eight for each, and the counts of the shingles.
     """
     body = helper("body")
     narrow = frame.select(*[col(k) for k in keys], or_empty(text).alias(body))
@@ -117,7 +151,7 @@ def fingerprints(
             data, starts = flat(batch.column(len(keys)))
             whole = data.tobytes()
             texts = [whole[a:b] for a, b in zip(starts[:-1].tolist(), starts[1:].tolist())]
-            found = fingerprint_texts(texts, size, words if more else 1).reshape(len(texts), -1)
+            found = fingerprint_texts(texts, size, words if more else 1, bool(more)).reshape(len(texts), -1)
             columns = [*batch.columns[:-1], pa.array(np.ascontiguousarray(found[:, 0]))]
             if more:
                 columns.append(pa.array([row.tobytes() for row in found.astype("<i8")], pa.binary()))
@@ -210,6 +244,11 @@ def _balls(batches: Iterator[pa.RecordBatch], bits: int, tables: int, tasks: int
             yield dealt(home_of(key, tasks), tasks, (key, *others))
 
 
+def _prints(bits: int, tables: int) -> Column:
+    """The fingerprints in `more`, without the counts."""
+    return F.substring("more", 1, 8 * -(-bits * tables // 64)).alias("more")
+
+
 def _tasks(rows: int, bits: int, tables: int) -> int:
     return max(BALL_TASKS, rows * tables * (bits + 1) // BALL_ROWS)
 
@@ -258,7 +297,7 @@ def meetings(prints: DataFrame, bits: int, tables: int) -> DataFrame:
         columns = [np.concatenate([pairs[0], members]), pa.concat_arrays([pa.array(pairs[1]), none])]
         yield pa.RecordBatch.from_arrays([pa.array(columns[0]), columns[1], pa.array(np.concatenate([np.zeros(pairs.shape[1], np.int64), near]))], ["a", "b", "near"])
 
-    variants = prints.select("node", "more").repartition(tasks).mapInArrow(spread, PIECES)
+    variants = prints.select("node", _prints(bits, tables)).repartition(tasks).mapInArrow(spread, PIECES)
     met = variants.repartition(tasks, "home").mapInArrow(meet, PIECES)
     return met.repartition(tasks, "home").mapInArrow(settle, "a long, b long, near long")
 
@@ -297,7 +336,7 @@ def partners(members: DataFrame, bits: int, tables: int) -> DataFrame:
         pairs = np.unique(np.stack([a[best], b[best]]), axis=1)
         yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
 
-    variants = members.select("node", "more", "root", "rank").repartition(tasks).mapInArrow(spread, PIECES)
+    variants = members.select("node", _prints(bits, tables), "root", "rank").repartition(tasks).mapInArrow(spread, PIECES)
     met = variants.repartition(tasks, "home").mapInArrow(meet, PIECES)
     return met.repartition(tasks, "home").mapInArrow(settle, "a long, b long")
 
@@ -306,29 +345,32 @@ def _words(more: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(more), "<i8").reshape(len(more), -1)
 
 
-def apart(members: DataFrame, bits: int, tables: int, most: int) -> DataFrame:
-    """(a, b), a < b: all nodes of rows (node, more, root) that meet, have different roots and differ in `most` bits or fewer.
+def apart(members: DataFrame, bits: int, tables: int, most: int, alike: float) -> DataFrame:
+    """(a, b), a < b: all nodes of rows (node, more, root) that meet, have different roots, differ in `most` bits or fewer and can be alike.
 
     The members of a meeting, by root, are cut into blocks, and each pair of blocks that has two roots goes to a
-    task of its own: the work is that of the pairs, and no task holds more than two blocks of a meeting.
+    task of its own: the work is that of the pairs, and no task holds more than two blocks of a meeting. What the
+    members are compared by joins them after that, so it moves for those only that have someone to be compared with.
     """
     tasks = _tasks(members.count(), bits, tables)
+    words = -(-bits * tables // 64)
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def wide() -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                words = _words(batch.column(1).to_pylist()) if batch.num_rows else np.zeros((0, 1), np.int64)
-                columns = [*batch.columns, *(pa.array(w) for w in words.T)]
-                yield pa.RecordBatch.from_arrays(columns, [str(k) for k in range(len(columns))])
+        return _balls(batches, bits, tables, tasks, False)
 
-        return _balls(wide(), bits, tables, tasks, False)
+    def carry(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                node, known = batch.column(0).to_numpy(), _words(batch.column(1).to_pylist())
+                yield of_kind(dealt(home_of(node, tasks), tasks, (node, *known.T)), 1)
 
-    words = -(-bits * tables // 64)
+    def of_kind(pieces: pa.RecordBatch, kind: int) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([*pieces.columns, pa.array(np.full(pieces.num_rows, kind))], ["home", "rows", "kind"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not (held := blobs(batches)):
             return
-        key, node, root, *rest = unpacked(held, 3 + words)
+        key, node, root = unpacked(held, 3)
         order = np.lexsort((node, root, key))
         key, root = key[order], root[order]
         begin = run_starts(key)
@@ -348,23 +390,39 @@ def apart(members: DataFrame, bits: int, tables: int, most: int) -> DataFrame:
                         pair.append(np.full(len(at[-1]), name))
                         side.append(np.full(len(at[-1]), mark))
             if sum(map(len, at)) > BALL_ROWS:
-                yield sent(at, pair, side, order, node, root, rest)
+                yield sent(at, pair, side, order, node, root)
                 at, pair, side = [], [], []
         if at:
-            yield sent(at, pair, side, order, node, root, rest)
+            yield sent(at, pair, side, order, node, root)
 
-    def sent(at, pair, side, order, node, root, rest) -> pa.RecordBatch:
-        at, pair = np.concatenate(at), np.concatenate(pair)
-        source = order[at]
-        return dealt(home_of(pair, tasks), tasks, (pair, np.concatenate(side), node[source], root[at], *(w[source] for w in rest)))
+    def sent(at, pair, side, order, node, root) -> pa.RecordBatch:
+        at = np.concatenate(at)
+        own = node[order[at]]
+        return of_kind(dealt(home_of(own, tasks), tasks, (own, np.concatenate(pair), np.concatenate(side), root[at])), 0)
+
+    def equip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: tuple[list[bytes], list[bytes]] = ([], [])
+        for batch in batches:
+            for blob, kind in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                held[kind].append(blob)
+        if not held[0]:
+            return
+        known, *rest = unpacked(held[1], 1 + words + COUNT_WORDS)
+        order = np.argsort(known, kind="stable")
+        for begin in range(0, len(held[0]), MANY):
+            node, pair, side, root = unpacked(held[0][begin : begin + MANY], 4)
+            place = order[np.searchsorted(known, node, sorter=order)]
+            for low in range(0, len(node), BALL_ROWS // 8):
+                part = slice(low, low + BALL_ROWS // 8)
+                yield dealt(home_of(pair[part], tasks), tasks, (pair[part], side[part], node[part], root[part], *(w[place[part]] for w in rest)))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not (held := blobs(batches)):
             return
-        pair, side, node, root, *rest = unpacked(held, 4 + words)
+        pair, side, node, root, *rest = unpacked(held, 4 + words + COUNT_WORDS)
         order = np.lexsort((root, pair))
         pair, side, node, root = (x[order] for x in (pair, side, node, root))
-        prints = np.stack(rest, axis=1)[order].view(np.uint64)
+        prints, counts = np.stack(rest[:words], axis=1)[order].view(np.uint64), np.stack(rest[words:], axis=1)[order]
         first, own = run_starts(pair), run_starts(pair, root)
         # Each row meets the rows of its group that come after its own root's.
         after = np.repeat(np.r_[own[1:], len(pair)], np.diff(np.r_[own, len(pair)]))
@@ -378,14 +436,18 @@ def apart(members: DataFrame, bits: int, tables: int, most: int) -> DataFrame:
             able = (side[x] == 2) | (side[x] != side[y])
             x, y = x[able], y[able]
             near = np.bitwise_count(prints[x] ^ prints[y]).sum(1, dtype=np.int64) <= most
-            x, y = node[x[near]], node[y[near]]
+            x, y = x[near], y[near]
+            able = can_be_alike(counts[x], counts[y], alike)
+            x, y = node[x[able]], node[y[able]]
             if len(x):
                 found = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)]), axis=1)
                 yield pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], ["a", "b"])
 
-    variants = members.select("node", "more", "root").repartition(tasks).mapInArrow(spread, PIECES)
-    met = variants.repartition(tasks, "home").mapInArrow(meet, PIECES)
-    return met.repartition(tasks, "home").mapInArrow(compare, "a long, b long").distinct()
+    variants = members.select("node", _prints(bits, tables), "root").repartition(tasks).mapInArrow(spread, PIECES)
+    met = variants.repartition(tasks, "home").mapInArrow(meet, f"{PIECES}, kind long")
+    known = members.select("node", "more").mapInArrow(carry, f"{PIECES}, kind long")
+    equipped = met.unionByName(known).repartition(tasks, "home").mapInArrow(equip, PIECES)
+    return equipped.repartition(tasks, "home").mapInArrow(compare, "a long, b long").distinct()
 
 
 def _shingles(text: bytes, size: int) -> set[bytes]:
@@ -430,7 +492,7 @@ def alike_links(
     """`linked` (a, b) and links between nodes that meet and whose texts are alike.
 
     `prints` has the columns node (a row number), print and more. Pairs that differ in far too many of all bits
-    are strangers. Pairs beside the crowds are held against each other whole unless they are linked; in crowds each
+    are strangers, and so are those whose counts of shingles forbid the Jaccard. Pairs beside the crowds are held against each other whole unless they are linked; in crowds each
     text has a partner for each table and round, by nearness in the first round and by draws in later ones. The
     rounds end with the first one after the second that adds less than ROUND_SHARE to the crowds' links; then all
     pairs of a crowd that meet and are not linked yet are held against each other.
@@ -442,9 +504,12 @@ def alike_links(
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint64).reshape(batch.num_rows, total // 64) for k in (2, 3))
-            apart = np.bitwise_count(x ^ y).sum(1, dtype=np.int64)
-            yield batch.select([0, 1]).filter(pa.array(apart <= most))
+            if not batch.num_rows:
+                continue
+            x, y = (_words(batch.column(k).to_pylist()) for k in (2, 3))
+            close = np.bitwise_count((x ^ y)[:, : total // 64].view(np.uint64)).sum(1, dtype=np.int64) <= most
+            close &= can_be_alike(x[:, total // 64 :], y[:, total // 64 :], alike)
+            yield batch.select([0, 1]).filter(pa.array(close))
 
     def verified(pairs: DataFrame) -> DataFrame:
         both = pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "x", "y")
@@ -481,7 +546,7 @@ def alike_links(
     if tried is None:
         return linked
     members = crowd.join(rooted(), "node", "left").select("node", "more", F.coalesce("root", "node").alias("root"))
-    rest = apart(members, bits, tables, most).join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
+    rest = apart(members, bits, tables, most, alike).join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
     rest = written(spark, rest, "apart")
     return linked.unionByName(written(spark, alike_pairs(rest, rows, row, text, size, alike), "alike"))
 
