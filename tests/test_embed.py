@@ -1,6 +1,8 @@
 import hashlib
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -65,6 +67,23 @@ def test_hashing_in_small_slices(texts, monkeypatch):
     assert list(kernels.hash_vectors(iter([column.slice(3)]), 8))[0].to_pylist() == whole[3:]
 
 
+@pytest.mark.parametrize("rows", [1, 40, 4000])
+def test_hashing_holds_little_beside_a_batch(rows, monkeypatch):
+    """However a batch is made up: many texts, or one long one, are tokenized a stretch at a time."""
+    words = "alpha beta3 gamma-delta épsilon zeta, eta"
+    column = pa.array([f"{words} {k} " * (80_000 // rows) for k in range(rows)])
+    wanted = [v.tolist() for v in kernels.unit_rows(kernels.hash_counts(column, 16)).astype(np.float32)]
+    monkeypatch.setattr(kernels, "TOKENIZE_BYTES", 1 << 16)
+    held = pa.total_allocated_bytes()
+    tracemalloc.start()
+    found = next(kernels.hash_vectors(iter([column]), 16)).to_pylist()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == wanted
+    # The numbers that come out, and one copy of a text that is longer than a stretch.
+    assert peak < column.nbytes * (2.5 if rows == 1 else 1) and pa.total_allocated_bytes() - held < column.nbytes
+
+
 @pytest.mark.parametrize("texts", [[], [""], [None], ["é ß", ""], [" a  b ", None, "a"]])
 def test_hashing_of_awkward_batches(texts):
     import pyarrow as pa

@@ -100,8 +100,12 @@ def split_words(lowered: pa.StringArray) -> pa.ListArray:
     """The runs of a-z and 0-9 in each text; every other byte, so every accented letter, is a break."""
     texts = pc.fill_null(lowered, "")
     _, offsets, data = texts.buffers()
-    spaced = data.to_pybytes().translate(WORD_BYTES) if data is not None else b""
-    plain = pa.StringArray.from_buffers(len(texts), offsets, pa.py_buffer(spaced), None, 0, texts.offset)
+    if not len(texts) or data is None:
+        return pc.ascii_split_whitespace(texts)
+    # A slice has the buffers of its whole batch; only its own bytes are copied.
+    starts = np.frombuffer(offsets, np.int32)[texts.offset : texts.offset + len(texts) + 1]
+    spaced = data.slice(starts[0], starts[-1] - starts[0]).to_pybytes().translate(WORD_BYTES)
+    plain = pa.StringArray.from_buffers(len(texts), pa.py_buffer(starts - starts[0]), pa.py_buffer(spaced))
     return pc.ascii_split_whitespace(pc.ascii_trim_whitespace(plain))
 
 
@@ -118,17 +122,41 @@ def hash_counts(lowered: pa.Array, dims: int) -> np.ndarray:
     return counts.reshape(len(lowered), dims)
 
 
-# Texts tokenized at a time, so that the token arrays stay small beside the batch.
-TOKENIZE_BYTES = 8 << 20
+def long_counts(lowered: bytes, dims: int) -> np.ndarray:
+    """The counts of one text, from stretches of about TOKENIZE_BYTES that end where a word does."""
+    counts, begin = np.zeros(dims), 0
+    spaced = lowered.translate(WORD_BYTES)
+    while begin < len(spaced):
+        end = begin + TOKENIZE_BYTES
+        if end < len(spaced):
+            last = spaced.rfind(b" ", begin, end)
+            end = last if last >= begin else spaced.find(b" ", end)
+        end = len(spaced) if end < 0 else end
+        counts += hash_counts(pa.array([spaced[begin:end].decode()], pa.string()), dims)[0]
+        begin = end + 1
+    return counts
+
+
+# Bytes of text tokenized at a time, so that the token arrays stay small beside the batch, whatever its rows and texts.
+TOKENIZE_BYTES = 1 << 20
 
 
 def hash_vectors(batches: Iterator[pa.Array], dims: int) -> Iterator[pa.Array]:
     for lowered in batches:
-        step = max(1, TOKENIZE_BYTES * len(lowered) // max(lowered.nbytes, 1))
-        parts = [lowered.slice(i, step) for i in range(0, len(lowered), step)]
-        counts = [hash_counts(part, dims) for part in parts] or [np.zeros((0, dims))]
+        ends = np.cumsum(pc.fill_null(pc.binary_length(lowered), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        counts = np.zeros((len(lowered), dims))
+        begin = 0
+        while begin < len(lowered):
+            most = (ends[begin - 1] if begin else 0) + TOKENIZE_BYTES
+            end = int(np.searchsorted(ends, most, side="right"))
+            if end > begin:
+                counts[begin:end] = hash_counts(lowered.slice(begin, end - begin), dims)
+            else:
+                end = begin + 1
+                counts[begin] = long_counts(lowered[begin].as_buffer().to_pybytes(), dims)
+            begin = end
         missing = lowered.is_null().to_numpy(zero_copy_only=False)
-        yield to_vectors(unit_rows(np.concatenate(counts)), missing)
+        yield to_vectors(unit_rows(counts), missing)
 
 
 # --- calling a model -----------------------------------------------------------------------
