@@ -500,18 +500,19 @@ def alike_links(
     differ = math.acos(2 * alike / (1 + alike)) / math.pi
     total = 64 * -(-bits * tables // 64)
     most = int(total * differ + 6 * math.sqrt(total * differ * (1 - differ)))
-    sides = [prints.select(F.col("node").alias(n), F.col("more").alias(m)) for n, m in (("a", "x"), ("b", "y"))]
-
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             x, y = (_words(batch.column(k).to_pylist()) for k in (2, 3))
             close = np.bitwise_count((x ^ y)[:, : total // 64].view(np.uint64)).sum(1, dtype=np.int64) <= most
-            close &= can_be_alike(x[:, total // 64 :], y[:, total // 64 :], alike)
+            if x.shape[1] > total // 64:
+                close &= can_be_alike(x[:, total // 64 :], y[:, total // 64 :], alike)
             yield batch.select([0, 1]).filter(pa.array(close))
 
-    def verified(pairs: DataFrame) -> DataFrame:
+    def verified(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+        """Those of the pairs that are alike; the rows (node, more) have counts or do without them."""
+        sides = [nodes.select(F.col("node").alias(n), F.col("more").alias(m)) for n, m in (("a", "x"), ("b", "y"))]
         both = pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "x", "y")
         close = written(spark, both.mapInArrow(near, "a long, b long"), "pairs")
         return written(spark, alike_pairs(close, rows, row, text, size, alike), "alike")
@@ -525,7 +526,8 @@ def alike_links(
     right = root.select(F.col("node").alias("b"), F.col("root").alias("q"))
     pairs = met.where("b is not null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     pairs = pairs.join(left, "a", "left").join(right, "b", "left").where(F.coalesce("p", "a") != F.coalesce("q", "b"))
-    linked = linked.unionByName(verified(pairs.select("a", "b")))
+    # These are many, but few of them for each text: what joins them is kept narrow.
+    linked = linked.unionByName(verified(pairs.select("a", "b"), prints.select("node", _prints(bits, tables))))
     crowd = written(spark, met.where("b is null").select(F.col("a").alias("node"), "near").join(prints.select("node", "more"), "node"), "crowd")
     tried, links_found = None, 0
     for turn in range(crowd.count()):
@@ -537,7 +539,7 @@ def alike_links(
             fresh = fresh.join(tried, ["a", "b"], "left_anti")
         fresh = written(spark, fresh, "partners")
         tried = fresh if tried is None else tried.unionByName(fresh)
-        found = verified(fresh)
+        found = verified(fresh, crowd)
         linked = linked.unionByName(found)
         count = found.count()
         links_found += count
