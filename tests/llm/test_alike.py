@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 
 import corpus_pipeline
 from test_copies import print_of
@@ -112,3 +113,53 @@ def test_a_crowd_that_is_not_alike_sends_no_pairs(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert corpus_pipeline.drop_near_copies(spark, docs, "").count() == 150
     assert sum(sent) < 300
+
+
+def test_variants_in_low_bits_are_made_at_the_homes_of_their_keys(monkeypatch):
+    """Under half of the variants change tasks, each key has one home, and nothing is missing there."""
+    bits, tables, tasks, n = 18, 3, 5, 90
+    low = simhash._low_bits(bits, tables, tasks)
+    rng = np.random.default_rng(5)
+    words = rng.integers(0, 2**63, (n, 1))
+    words[n // 2 :] = words[: n // 2] ^ (1 << rng.integers(0, 54, (n // 2, 1)))
+    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(n) << 33), pa.array([w.tobytes() for w in words]), pa.array(np.arange(n))], ["node", "more", "way"])
+    pieces = [p for balls in simhash._balls([batch], bits, tables, tasks) for p in balls.to_pylist()]
+    assert sum(len(p["rows"]) // 24 for p in pieces) == n * tables * (1 + bits - low) < n * tables * (1 + bits) / 2
+    monkeypatch.setattr(simhash, "BALL_ROWS", 200)
+    found, homes = [], {}
+    for home in range(tasks):
+        parts = list(simhash._variants([p["rows"] for p in pieces if p["home"] == home], 3, low))
+        assert len(parts) > 1
+        for k, (key, own, node, way) in enumerate(parts):
+            found += zip(key.tolist(), own.tolist(), node.tolist(), way.tolist())
+            assert all(homes.setdefault(x, (home, k)) == (home, k) for x in key.tolist())
+    short = simhash._short(words.view(np.uint8), bits, tables) + (np.arange(tables) << bits)
+    wanted = [(int(c) ^ f, int(not f), i << 33, i) for i in range(n) for c in short[i] for f in (0, *(1 << j for j in range(bits)))]
+    assert sorted(found) == sorted(wanted)
+
+
+def test_partners_and_meetings_are_those_of_all_pairs(spark):
+    """Members of one crowd and strangers, held against brute force: who meets, who has a partner, who is compared whole."""
+    bits, tables, n = 16, 2, 240
+    rng = np.random.default_rng(6)
+    words = rng.integers(0, 2**63, n)
+    words[:200] = words[0] ^ (1 << rng.integers(0, 32, 200)) ^ (1 << rng.integers(0, 32, 200))
+    words[200:210] = words[210:220] ^ 1
+    short = simhash._short(words.view(np.uint8).reshape(n, 8), bits, tables)
+    meet = (np.bitwise_count(short[:, None] ^ short[None]) <= 2).any(2)
+    nodes = [(k, words[k].tobytes(), k % 3 if k < 200 else k, int(k % 7)) for k in range(n)]
+    frame = spark.createDataFrame(nodes, "node long, more binary, root long, near long").repartition(3)
+    found = simhash.meetings(frame.select("node", "more"), bits, tables).collect()
+    crowd = {r["a"] for r in found if r["b"] is None}
+    assert set(range(200)) >= crowd and len(crowd) > 150
+    pairs = {(r["a"], r["b"]) for r in found if r["b"] is not None}
+    assert {(200 + k, 210 + k) for k in range(10)} <= pairs and all(meet[p] for p in pairs)
+    assert all((a, b) in pairs for a in range(n) for b in range(n) if a != b and meet[a, b] and a not in crowd)
+    root = [x[2] for x in nodes]
+    apart = {b for b in range(n) for a in range(n) if meet[a, b] and root[a] != root[b]}
+    for turn in (0, 1, 2):
+        partners = {(r["a"], r["b"]) for r in simhash.partners(frame, bits, tables, turn).collect()}
+        assert all(meet[p] and root[p[0]] != root[p[1]] for p in partners)
+        assert {b for _, b in partners} == apart
+        drawn = partners if turn == 1 else drawn if turn else None
+    assert drawn != partners

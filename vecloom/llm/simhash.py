@@ -52,6 +52,8 @@ HUB_ROWS = 1000
 MANY = 16
 #: Ball variants that one task makes or brings together, and the least number of such tasks.
 BALL_ROWS, BALL_TASKS = 1 << 20, 64
+#: Groups of keys, by table and upper bits, that each such task has on average at least.
+HOME_GROUPS = 64
 
 _SALT = 0x9E3779B97F4A7C15
 _LANES = np.uint64(0x0101010101010101)
@@ -226,22 +228,53 @@ def _short(more: np.ndarray, bits: int, tables: int) -> np.ndarray:
     return every @ (np.int64(1) << np.arange(bits, dtype=np.int64))
 
 
-def _balls(batches: Iterator[pa.RecordBatch], bits: int, tables: int, tasks: int, own: bool) -> Iterator[pa.RecordBatch]:
-    """All variants (key, node, the columns after it) of rows (node, more, ...), to the homes of their keys.
+def _low_bits(bits: int, tables: int, tasks: int) -> int:
+    """Bits of a short fingerprint that its home does not follow: the others give each task HOME_GROUPS groups of keys or so."""
+    return max(0, bits - math.ceil(math.log2(max(2, HOME_GROUPS * tasks / tables))))
 
-    With `own`, whether the variant is the short fingerprint itself comes last.
+
+def _balls(batches: Iterator[pa.RecordBatch], bits: int, tables: int, tasks: int) -> Iterator[pa.RecordBatch]:
+    """The variants of rows (node, more, ...) as rows (code, node, the columns after it) at the homes of their keys.
+
+    The home of a key follows its table and upper bits, so variants in a lower bit have the home of the short
+    fingerprint, and are made there by `_variants`. The last bit of a code says that it is a variant itself.
     """
-    flips = np.r_[np.int64(1) << np.arange(bits, dtype=np.int64), np.int64(0)]
+    low = _low_bits(bits, tables, tasks)
+    flips = np.r_[np.int64(0), np.int64(1) << np.arange(low, bits, dtype=np.int64)]
+    varied = (flips != 0).astype(np.int64)
     high = np.arange(tables, dtype=np.int64) << bits
     for batch in batches:
         for at in range(0, batch.num_rows, 2048):
             part = batch.slice(at, 2048)
             rows = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint8).reshape(part.num_rows, -1)
-            key = ((_short(rows, bits, tables) + high)[:, :, None] ^ flips).ravel()
-            others = [np.repeat(part.column(k).to_numpy(), tables * (bits + 1)) for k in (0, *range(2, part.num_columns))]
-            if own:
-                others.append(np.tile(np.arange(bits + 1) == bits, part.num_rows * tables).astype(np.int64))
-            yield dealt(home_of(key, tasks), tasks, (key, *others))
+            key = (_short(rows, bits, tables) + high)[:, :, None] ^ flips
+            others = [np.repeat(part.column(k).to_numpy(), tables * len(flips)) for k in (0, *range(2, part.num_columns))]
+            yield dealt(home_of(key.ravel() >> np.int64(low), tasks), tasks, ((key << np.int64(1) | varied).ravel(), *others))
+
+
+def _variants(held: list[bytes], columns: int, low: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """All variants (key, whether it is the short fingerprint itself, the columns after it) from rows of `_balls`.
+
+    They come in parts of about BALL_ROWS, each of which holds all rows of its keys.
+    """
+    code, *others = unpacked(held, columns)
+    itself = np.flatnonzero(code & 1 == 0)
+    code = code >> np.int64(1)
+    parts = 1 + (len(code) + low * len(itself)) // (2 * BALL_ROWS)
+    for part in range(parts):
+        keys, places = [], []
+        for flip in (0, *(1 << j for j in range(low))):
+            place = itself if flip else np.arange(len(code))
+            key = code[place] ^ np.int64(flip)
+            if parts > 1:
+                mine = home_of(key ^ np.int64(_SALT >> 1), parts) == part
+                key, place = key[mine], place[mine]
+            keys.append(key)
+            places.append(place)
+        at = np.concatenate(places)
+        own = np.zeros(len(at), np.int64)
+        own[np.flatnonzero(np.isin(places[0], itself, assume_unique=True))] = 1
+        yield np.concatenate(keys), own, *(x[at] for x in others)
 
 
 def _prints(bits: int, tables: int) -> Column:
@@ -260,30 +293,31 @@ def meetings(prints: DataFrame, bits: int, tables: int) -> DataFrame:
     each text in a crowd one row (a, null, near) with how many lie within a bit of it, over all tables.
     """
     tasks = _tasks(prints.count(), bits, tables)
+    low = _low_bits(bits, tables, tasks)
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _balls(batches, bits, tables, tasks, True)
+        return _balls(batches, bits, tables, tasks)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not (held := blobs(batches)):
             return
-        key, node, own = unpacked(held, 3)
-        order = np.argsort(key, kind="stable")
-        key, node, own = key[order], node[order], own[order]
-        begin = run_starts(key)
-        size = np.repeat(np.diff(np.r_[begin, len(key)]), np.diff(np.r_[begin, len(key)]))
-        left, right = [], []
-        for lag in range(1, CROWD - 1):
-            same = np.flatnonzero((key[lag:] == key[:-lag]) & (size[lag:] < CROWD)) if lag < len(key) else key[:0]
-            left += [node[same], node[same + lag]]
-            right += [node[same + lag], node[same]]
-        crowd = np.flatnonzero(size >= CROWD)
-        members, place = np.unique(node[crowd], return_inverse=True)
-        near = np.bincount(place, weights=size[crowd] * own[crowd], minlength=len(members)).astype(np.int64)
-        a = np.concatenate([*left, members])
-        b = np.concatenate([*right, np.full(len(members), -1)])
-        n = np.concatenate([np.zeros(len(a) - len(members), np.int64), near])
-        yield dealt(home_of(a, tasks), tasks, (a, b, n))
+        for key, own, node in _variants(held, 2, low):
+            order = np.argsort(key, kind="stable")
+            key, node, own = key[order], node[order], own[order]
+            begin = run_starts(key)
+            size = np.repeat(np.diff(np.r_[begin, len(key)]), np.diff(np.r_[begin, len(key)]))
+            left, right = [], []
+            for lag in range(1, CROWD - 1):
+                same = np.flatnonzero((key[lag:] == key[:-lag]) & (size[lag:] < CROWD)) if lag < len(key) else key[:0]
+                left += [node[same], node[same + lag]]
+                right += [node[same + lag], node[same]]
+            crowd = np.flatnonzero(size >= CROWD)
+            members, place = np.unique(node[crowd], return_inverse=True)
+            near = np.bincount(place, weights=size[crowd] * own[crowd], minlength=len(members)).astype(np.int64)
+            a = np.concatenate([*left, members])
+            b = np.concatenate([*right, np.full(len(members), -1)])
+            n = np.concatenate([np.zeros(len(a) - len(members), np.int64), near])
+            yield dealt(home_of(a, tasks), tasks, (a, b, n))
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not (held := blobs(batches)):
@@ -302,41 +336,53 @@ def meetings(prints: DataFrame, bits: int, tables: int) -> DataFrame:
     return met.repartition(tasks, "home").mapInArrow(settle, "a long, b long, near long")
 
 
-def partners(members: DataFrame, bits: int, tables: int) -> DataFrame:
-    """(a, b): each node b of rows (node, more, root, rank) and, for each table, the node a of highest rank that it meets and that has another root."""
+def partners(members: DataFrame, bits: int, tables: int, turn: int = 0) -> DataFrame:
+    """(a, b): each node b of rows (node, more, root, near) and, for each table, the node a of highest rank that it meets and that has another root.
+
+    In turn 0 the rank is `near`. In later ones it is drawn from the node where it is needed, so that draws, which
+    do not compress, change no tasks; a root does as its distance from the node, most often nothing.
+    """
     tasks = _tasks(members.count(), bits, tables)
+    low = _low_bits(bits, tables, tasks)
+
+    def ranks(node: np.ndarray, near: np.ndarray) -> np.ndarray:
+        if not turn:
+            return near
+        return (mixed(node.view(np.uint64) ^ np.uint64(turn * _SALT % 2**64)) >> np.uint64(1)).view(np.int64)
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _balls(batches, bits, tables, tasks, False)
+        return _balls(batches, bits, tables, tasks)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not (held := blobs(batches)):
             return
-        key, node, root, rank = unpacked(held, 4)
-        order = np.lexsort((node, -rank, key))
-        key, node, root, rank = key[order], node[order], root[order], rank[order]
-        begin = run_starts(key)
-        group = np.repeat(np.arange(len(begin)), np.diff(np.r_[begin, len(key)]))
-        # The first of a meeting, and the first one of another root, are all that can be chosen.
-        other = np.flatnonzero(root != root[begin][group])
-        second = np.full(len(begin), -1)
-        second[group[other[::-1]]] = other[::-1]
-        chosen = np.where(root != root[begin][group], begin[group], second[group])
-        able = np.flatnonzero(chosen >= 0)
-        table = key[able] >> np.int64(bits)
-        b, a, r = node[able], node[chosen[able]], rank[chosen[able]]
-        yield dealt(home_of(b, tasks), tasks, (b, table, r, a))
+        for key, _, node, way, near in _variants(held, 4, low):
+            root, rank = node + way, ranks(node, near)
+            order = np.lexsort((node, -rank, key))
+            key, node, root, near = key[order], node[order], root[order], near[order]
+            begin = run_starts(key)
+            group = np.repeat(np.arange(len(begin)), np.diff(np.r_[begin, len(key)]))
+            # The first of a meeting, and the first one of another root, are all that can be chosen.
+            other = np.flatnonzero(root != root[begin][group])
+            second = np.full(len(begin), -1)
+            second[group[other[::-1]]] = other[::-1]
+            chosen = np.where(root != root[begin][group], begin[group], second[group])
+            able = np.flatnonzero(chosen >= 0)
+            table = key[able] >> np.int64(bits)
+            b, a, n = node[able], node[chosen[able]], near[chosen[able]]
+            yield dealt(home_of(b, tasks), tasks, (b, table, n, a))
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not (held := blobs(batches)):
             return
-        b, table, rank, a = unpacked(held, 4)
-        order = np.lexsort((a, -rank, table, b))
+        b, table, near, a = unpacked(held, 4)
+        order = np.lexsort((a, -ranks(a, near), table, b))
         best = order[run_starts(b[order], table[order])]
         pairs = np.unique(np.stack([a[best], b[best]]), axis=1)
         yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
 
-    variants = members.select("node", _prints(bits, tables), "root", "rank").repartition(tasks).mapInArrow(spread, PIECES)
+    way, near = F.col("root") - F.col("node"), F.lit(0).cast("long") if turn else F.col("near")
+    variants = members.select("node", _prints(bits, tables), way.alias("way"), near.alias("near")).repartition(tasks).mapInArrow(spread, PIECES)
     met = variants.repartition(tasks, "home").mapInArrow(meet, PIECES)
     return met.repartition(tasks, "home").mapInArrow(settle, "a long, b long")
 
@@ -353,10 +399,11 @@ def apart(members: DataFrame, bits: int, tables: int, most: int, alike: float) -
     members are compared by joins them after that, so it moves for those only that have someone to be compared with.
     """
     tasks = _tasks(members.count(), bits, tables)
+    low_bits = _low_bits(bits, tables, tasks)
     words = -(-bits * tables // 64)
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _balls(batches, bits, tables, tasks, False)
+        return _balls(batches, bits, tables, tasks)
 
     def carry(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -370,7 +417,10 @@ def apart(members: DataFrame, bits: int, tables: int, most: int, alike: float) -
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not (held := blobs(batches)):
             return
-        key, node, root = unpacked(held, 3)
+        for key, _, node, way in _variants(held, 3, low_bits):
+            yield from blocks(key, node, node + way)
+
+    def blocks(key: np.ndarray, node: np.ndarray, root: np.ndarray) -> Iterator[pa.RecordBatch]:
         order = np.lexsort((node, root, key))
         key, root = key[order], root[order]
         begin = run_starts(key)
@@ -443,7 +493,8 @@ def apart(members: DataFrame, bits: int, tables: int, most: int, alike: float) -
                 found = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)]), axis=1)
                 yield pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], ["a", "b"])
 
-    variants = members.select("node", _prints(bits, tables), "root").repartition(tasks).mapInArrow(spread, PIECES)
+    way = (F.col("root") - F.col("node")).alias("way")
+    variants = members.select("node", _prints(bits, tables), way).repartition(tasks).mapInArrow(spread, PIECES)
     met = variants.repartition(tasks, "home").mapInArrow(meet, f"{PIECES}, kind long")
     known = members.select("node", "more").mapInArrow(carry, f"{PIECES}, kind long")
     equipped = met.unionByName(known).repartition(tasks, "home").mapInArrow(equip, PIECES)
@@ -524,7 +575,9 @@ def alike_links(
     root = rooted()
     left = root.select(F.col("node").alias("a"), F.col("root").alias("p"))
     right = root.select(F.col("node").alias("b"), F.col("root").alias("q"))
-    pairs = met.where("b is not null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    # Dealt by a, the pairs lose their repeats and meet what joins them by a where they are. None has many: each of
+    # them comes from a meeting of under CROWD members.
+    pairs = met.where("b is not null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).repartition("a").distinct()
     pairs = pairs.join(left, "a", "left").join(right, "b", "left").where(F.coalesce("p", "a") != F.coalesce("q", "b"))
     # These are many, but few of them for each text: what joins them is kept narrow.
     linked = linked.unionByName(verified(pairs.select("a", "b"), prints.select("node", _prints(bits, tables))))
@@ -532,9 +585,7 @@ def alike_links(
     tried, links_found = None, 0
     for turn in range(crowd.count()):
         members = crowd.join(rooted(), "node", "left").withColumn("root", F.coalesce("root", "node"))
-        draw = F.shiftrightunsigned(F.xxhash64("node", F.lit(turn)), 1)
-        members = members.select("node", "more", "root", (F.col("near") if turn == 0 else draw).alias("rank"))
-        fresh = partners(members, bits, tables)
+        fresh = partners(members.select("node", "more", "root", "near"), bits, tables, turn)
         if tried is not None:
             fresh = fresh.join(tried, ["a", "b"], "left_anti")
         fresh = written(spark, fresh, "partners")
