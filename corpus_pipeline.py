@@ -1,4 +1,7 @@
-"""The corpus pipeline: filters, copies and packing, stage by stage, each over all that the one before kept."""
+"""The corpus pipeline: filters, copies and packing, stage by stage, each over all that the one before kept.
+
+Stages take tables as they are read from files: every scan must give the same rows.
+"""
 
 from __future__ import annotations
 
@@ -27,17 +30,17 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that an earlier line, equal or one edit away, makes superfluous."""
-    return _counted(lines.drop_lines(spark, docs))
+    return _counted(lines.drop_lines(spark, docs, pinned=True))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: five-word shingles alike to 0.8 or more."""
-    return simhash.one_of_each(spark, docs, size=5, alike=0.8)
+    return simhash.one_of_each(spark, docs, size=5, alike=0.8, pinned=True)
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages of PASSAGE_BYTES or more that recur."""
-    return _counted(suffixes.drop_repeats(spark, docs, least=PASSAGE_BYTES))
+    return _counted(suffixes.drop_repeats(spark, docs, least=PASSAGE_BYTES, pinned=True))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -122,10 +122,10 @@ class LineDedup:
     input. A null or empty text is one empty line, which is never removed.
     """
 
-    def __init__(self, spark: SparkSession, documents: DataFrame, key: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS):
+    def __init__(self, spark: SparkSession, documents: DataFrame, key: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS, pinned: bool = False):
         self.spark, self.min_chars = spark, max(1, min_chars)
         self.row = helper("row")
-        self.numbered = numbered(spark, documents, self.row)
+        self.numbered = numbered(spark, documents, self.row, pinned)
         self.text = text
         self.texts = self.numbered.select(col(key).alias("key"), F.col(self.row).alias("row"), or_empty(text).alias("body"))
         self.key_type = self.texts.schema["key"].dataType
@@ -292,13 +292,13 @@ def digests(spark: SparkSession, documents: DataFrame, key: str = "doc_id", text
     )
 
 
-def drop_lines(spark: SparkSession, documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def drop_lines(spark: SparkSession, documents: DataFrame, key: str = "doc_id", text: str = "text", pinned: bool = False) -> DataFrame:
     """The documents without their superfluous lines; a text that loses all that was not blank goes with its row.
 
-    A text that loses nothing stays as it is, null and blank ones included.
+    A text that loses nothing stays as it is, null and blank ones included. `pinned` as in `numbering.numbered`.
     """
     names = documents.columns
     a, b, c, d = (helper(x) for x in ("lines", "near", "equal", "kept"))
-    found = LineDedup(spark, documents, key, text).kept(a, b, c, d)
+    found = LineDedup(spark, documents, key, text, pinned=pinned).kept(a, b, c, d)
     stays = (col(b) + col(c) == 0) | (F.length(F.trim(F.regexp_replace(col(d), r"\s+", " "))) > 0)
     return found.where(stays).withColumn(text, col(d)).select(*[col(n) for n in names])

@@ -255,12 +255,12 @@ def _balls(batches: Iterator[pa.RecordBatch], bits: int, tables: int, tasks: int
 def _variants(held: list[bytes], columns: int, low: int) -> Iterator[tuple[np.ndarray, ...]]:
     """All variants (key, whether it is the short fingerprint itself, the columns after it) from rows of `_balls`.
 
-    They come in parts of about BALL_ROWS, each of which holds all rows of its keys.
+    They come in parts of about a quarter of BALL_ROWS, each of which holds all rows of its keys.
     """
     code, *others = unpacked(held, columns)
     itself = np.flatnonzero(code & 1 == 0)
     code = code >> np.int64(1)
-    parts = 1 + (len(code) + low * len(itself)) // (2 * BALL_ROWS)
+    parts = 1 + 4 * (len(code) + low * len(itself)) // BALL_ROWS
     for part in range(parts):
         keys, places = [], []
         for flip in (0, *(1 << j for j in range(low))):
@@ -271,9 +271,8 @@ def _variants(held: list[bytes], columns: int, low: int) -> Iterator[tuple[np.nd
                 key, place = key[mine], place[mine]
             keys.append(key)
             places.append(place)
-        at = np.concatenate(places)
-        own = np.zeros(len(at), np.int64)
-        own[np.flatnonzero(np.isin(places[0], itself, assume_unique=True))] = 1
+        at, own = np.concatenate(places), np.isin(places[0], itself, assume_unique=True)
+        own = np.r_[own, np.zeros(len(at) - len(own), bool)].astype(np.int64)
         yield np.concatenate(keys), own, *(x[at] for x in others)
 
 
@@ -605,16 +604,17 @@ def alike_links(
 
 
 def one_of_each(
-    spark: SparkSession, documents: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, alike: float | None = None
+    spark: SparkSession, documents: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, alike: float | None = None,
+    pinned: bool = False,
 ) -> DataFrame:
     """The documents without near copies: of each component the row with the smallest key stays.
 
     Fingerprints within two bits are linked; with `alike`, texts whose shingles have that
     Jaccard or more are, too. Columns stay as they are. Among equal keys the earlier row
-    stays. Texts without words are copies of each other.
+    stays. Texts without words are copies of each other. `pinned` as in `numbering.numbered`.
     """
     row, names = helper("row"), documents.columns
-    rows = numbered(spark, documents, row)
+    rows = numbered(spark, documents, row, pinned)
     bits, tables = layout(rows.count(), alike) if alike else (0, 0)
     more = "more" if alike else None
     found = written(spark, fingerprints(rows, [key, row], text, size, "print", more, -(-bits * tables // 64)), "prints")
